@@ -3,10 +3,10 @@
 A document's expected copies are its source's target words divided by its source's words. Within a
 source, documents stand in order of size, the expected copies are summed up to each document, one
 random offset for the source is added, and a document is emitted once for each integer boundary that
-its own share crosses. In order of size the error of a source's words stays near one document's size.
+its own share crosses. In order of size the error of a source's words stays within a document or two.
 
-The order within a source is size, block of the id's hash, id. The prefix sums are therefore built
-from three levels of counts (source and size; block; row), so that no window holds a whole source.
+The order within a source is a slot made of the size, then block of the id's hash, then id. The prefix
+sums are therefore built from three levels of counts (source and slot; block; row), so that no window holds a whole source.
 
 Defined results: a null text has size 0; a null source is a source of its own, last; sources of no
 words get target 0 and no copies; repeated rows are separate documents; an empty table gives no rows.
@@ -17,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_unit
+from .common import hash_unit, staged
 
 #: Documents in a window at most, about, whatever the size of a source.
 BLOCKS = 256
+#: Above all sizes: falling slots stand after rising ones.
+FALLING = 1 << 60
 
 
 def word_count(text) -> F.Column:
@@ -60,21 +62,27 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 42, size=None) -> DataFrame:
     """One row per document: its columns doc_id, source, and size, source_size, target, copies, taken."""
     sized = docs.select("doc_id", "source", (size if size is not None else word_count(F.col("text"))).alias("size"))
-    sized = sized.withColumn("block", F.floor(hash_unit(F.col("doc_id")) * BLOCKS).cast("int"))
-    groups = sized.groupBy("source", "size", "block").agg(F.count(F.lit(1)).alias("n"))
-    by_size = groups.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    totals = by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    # Half of the documents stand in rising order of size, the other half after them in falling order: the
+    # error then neither starts nor ends at a large document, and its two halves cancel on average.
+    block = F.floor(hash_unit(F.col("doc_id")) * BLOCKS).cast("int")
+    sized = sized.withColumn("block", block).withColumn("slot", F.when(F.col("block") % 2 == 0, F.col("size")).otherwise(F.lit(FALLING) - F.col("size")))
+    # Narrow rows, read several times below: the texts are read once.
+    sized = staged(sized, "sizes")
+    groups = sized.groupBy("source", "slot", "block").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    by_slot = groups.groupBy("source", "slot").agg(F.sum("n").alias("n"), F.first("size").alias("size"))
+    totals = by_slot.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     targets = source_targets(totals, weights, most)
     # Texts of no words add nothing to a source and take no part in its prefix sums.
-    before_size = F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).over(Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = _null_safe_join(by_size.withColumn("before_size", before_size).drop("n"), targets, ["source"])
-    before_block = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = groups.withColumn("before_block", before_block).drop("n")
-    offsets = _null_safe_join(blocks, sizes, ["source", "size"])
-    rows = sized.withColumn("nth", F.row_number().over(Window.partitionBy("source", "size", "block").orderBy("doc_id")))
-    placed = _null_safe_join(rows, offsets, ["source", "size", "block"])
+    wordy = F.when(F.col("size") > 0, F.col("n")).otherwise(0)
+    before_slot = F.coalesce(F.sum(wordy).over(Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    slots = _null_safe_join(by_slot.withColumn("before_slot", before_slot).drop("n", "size"), targets, ["source"])
+    before_block = F.coalesce(F.sum("n").over(Window.partitionBy("source", "slot").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = groups.withColumn("before_block", before_block).drop("n", "size")
+    offsets = _null_safe_join(blocks, slots, ["source", "slot"])
+    rows = sized.withColumn("nth", F.row_number().over(Window.partitionBy("source", "slot", "block").orderBy("doc_id")))
+    placed = _null_safe_join(rows, offsets, ["source", "slot", "block"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    place = F.col("before_size") + F.col("before_block") + F.col("nth")
+    place = F.col("before_slot") + F.col("before_block") + F.col("nth")
     offset = hash_unit(F.lit(seed), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
     copies = F.floor(offset + place * F.col("rate")) - F.floor(offset + (place - 1) * F.col("rate"))
     copies = F.when(F.col("size") > 0, F.least(copies, F.lit(most))).otherwise(F.lit(0))

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import ann, chat, mixing, pii, simhash, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.judged(toxicity.score(docs, model), toxicity.THRESHOLD)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -20,5 +27,22 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op5_simhash)}
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted texts."""
+    turns = chat.table_turns(table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.format_chats(chat.with_hostile(turns)))
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document, with the terms beside it that give it away."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii)}
 ORACLES: dict[str, str] = {}
