@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, pii, simhash, toxicity
+from . import ann, chat, mixing, pii, quality, simhash, toxicity
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(toxicity.score(docs, model), toxicity.THRESHOLD)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document."""
+    scores = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.judged(scores, quality.THRESHOLD)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -44,5 +50,5 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii)}
 ORACLES: dict[str, str] = {}
