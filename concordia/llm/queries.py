@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, pii, quality, simhash, toxicity
+from . import ann, chat, mixing, pii, quality, simhash, substring, toxicity
 from .common import table
 
 
@@ -50,5 +50,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii)}
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that repeat passages of documents with smaller ids, and what is kept."""
+    return substring.digests(table(spark, sf_dir, "documents")).drop("removed")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii, op10_substring)}
 ORACLES: dict[str, str] = {}

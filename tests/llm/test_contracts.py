@@ -177,3 +177,46 @@ def test_op1(spark, sf, documents):
     assert sorted(r["doc_id"] for r in got) == sorted(documents)
     for r in got:
         assert r["held_out"] == held_out(r["doc_id"]) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
+
+
+def test_op2(spark, sf, documents):
+    got = rows(queries.QUERIES["op2_quality"](spark, sf))
+    assert sorted(r["doc_id"] for r in got) == sorted(documents)
+    for r in got:
+        assert r["held_out"] == held_out(r["doc_id"]) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+
+
+def plain_removed(texts, window=50):
+    """(words, which are removed) of each id."""
+    seen, out = {}, {}
+    for i in sorted(texts):
+        w = words(texts[i])
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if seen.setdefault(tuple(w[k : k + window]), i) < i:
+                gone[k : k + window] = [True] * window
+        out[i] = (w, gone)
+    return out
+
+
+def test_op10(spark, sf, documents):
+    got = {r["doc_id"]: r for r in rows(queries.QUERIES["op10_substring"](spark, sf))}
+    want = plain_removed({i: d["text"] for i, d in documents.items()})
+    assert set(got) == set(want)
+    for i, (w, gone) in want.items():
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_op10_crowded(spark, monkeypatch):
+    """Crowded anchors go another way and give the same."""
+    from concordia.llm import substring
+
+    passage = " ".join(f"p{k}" for k in range(70))
+    texts = {i: f"{' '.join(f'a{i}x{k}' for k in range(i % 40))} {passage if i % 3 else ''} {' '.join(f'b{i % 7}x{k}' for k in range(60))}" for i in range(300)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(1000, None), (1001, "")], "doc_id long, text string")
+    monkeypatch.setattr(substring, "LEAST_CROWD", 2)
+    assert len(substring.crowded_anchors(docs))
+    want = plain_removed(texts | {1000: "", 1001: ""})
+    got = {r["doc_id"]: r for r in rows(substring.dedup(docs))}
+    assert {i: (r["n_removed"], r["kept"]) for i, r in got.items()} == {i: (sum(g), " ".join(x for x, y in zip(w, g) if not y)) for i, (w, g) in want.items()}
