@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, pii, quality, simhash, substring, toxicity
+from . import ann, chat, decontaminate, mixing, pii, quality, repair, simhash, substring, toxicity
 from .common import table
 
 
@@ -27,12 +27,22 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, with up to the error budget of edits."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of each document and the smallest id of its group of near duplicates."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's token ids, read back from compressed files."""
+    return repair.written_and_read(table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, read back from their formatted texts."""
     turns = chat.table_turns(table(spark, sf_dir, "conversations"))
@@ -55,5 +65,5 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).drop("removed")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op5_simhash, op7_chat, op8_ann, op9_pii, op10_substring)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op4_decontaminate, op5_simhash, op6_repair, op7_chat, op8_ann, op9_pii, op10_substring)}
 ORACLES: dict[str, str] = {}

@@ -1,15 +1,62 @@
-"""Stages that turn raw documents into training shards."""
+"""Stages that turn raw documents into training shards.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again
+as the next stage's documents. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from concordia.llm import decontaminate, mixing, repair, simhash, toxicity
+from concordia.llm.common import new_path, table
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on the labels, doesn't reject."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.kept(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    groups = simhash.near_duplicates(docs)
+    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    # Rows that repeat an id are copies too.
+    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return mixing.emitted(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids in the token files."""
+    return repair.written_and_read(docs)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate_benchmark),
+    ("mixing", mix_sources),
+    ("token_output", write_tokens),
+]
+
+#: SQL can express neither the models nor the files: the tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = new_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

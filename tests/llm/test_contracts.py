@@ -220,3 +220,80 @@ def test_op10_crowded(spark, monkeypatch):
     want = plain_removed(texts | {1000: "", 1001: ""})
     got = {r["doc_id"]: r for r in rows(substring.dedup(docs))}
     assert {i: (r["n_removed"], r["kept"]) for i, r in got.items()} == {i: (sum(g), " ".join(x for x, y in zip(w, g) if not y)) for i, (w, g) in want.items()}
+
+
+def test_op6(spark, sf, documents):
+    from tokenizers import Tokenizer
+
+    from concordia.llm import repair
+
+    tokenizer = Tokenizer.from_file(repair.tokenizer_path())
+    start, want = 0, {}
+    for i in sorted(documents):
+        ids = [*tokenizer.encode(documents[i]["text"] or "", add_special_tokens=False).ids, 2]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    got = rows(queries.QUERIES["op6_repair"](spark, sf))
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in got} == want
+
+
+def plain_distance(item, text):
+    """Fewest edits of item anywhere in text."""
+    above = list(range(len(item) + 1))
+    best = above[-1]
+    for c in text:
+        row = [0]
+        for k, p in enumerate(item, 1):
+            row.append(min(above[k] + 1, row[-1] + 1, above[k - 1] + (p != c)))
+        above = row
+        best = min(best, row[-1])
+    return best
+
+
+def test_myers():
+    import random
+
+    from concordia.llm import decontaminate
+
+    rng = random.Random(5)
+    for _ in range(200):
+        item = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 40)))
+        text = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 60)))
+        if rng.random() < 0.7:
+            edited = "".join(c for c in item if rng.random() < 0.9)
+            text = text[:20] + edited + text[20:]
+        hit, want = decontaminate.myers(item, text, 5), plain_distance(item, text)
+        assert (hit[0] if hit else None) == (want if want <= 5 else None)
+
+
+def test_op4(spark, sf, documents):
+    """Every item that stands within its budget is found, on short documents by plain dynamic programming."""
+    import random
+
+    from concordia.llm import decontaminate
+
+    items = [(r["item_id"], r["text"]) for r in rows(spark.read.parquet(f"{sf}/benchmark.parquet"))][:8]
+    rng, texts = random.Random(3), {}
+    for i in range(60):
+        item = items[i % 8][1]
+        k = int(decontaminate.ERRORS * len(item)) + (i % 3 == 2) * 12
+        chars = list(item)
+        for _ in range(rng.randint(0, k)):
+            at = rng.randrange(len(chars))
+            chars[at : at + 1] = rng.choice([[], ["x"], [chars[at], "y"], [chars[at].upper()]])
+        texts[i] = f"{'before words ' * rng.randint(0, 3)}{''.join(chars) if i % 5 else ''}{' after it' * rng.randint(0, 3)}"
+    docs = spark.createDataFrame([*texts.items(), (100, None), (101, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (900, None), (901, "short"), (902, "")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in rows(decontaminate.matches(docs, bench))}
+    want = {}
+    for i, t in texts.items():
+        for item, text in items:
+            text = decontaminate.normal(text).strip()
+            d = plain_distance(text, decontaminate.normal(t))
+            if d <= int(decontaminate.ERRORS * len(text)):
+                want[i, item] = d
+    assert {k: r["edits"] for k, r in got.items()} == want and len(want) > 20
+    for (i, _), r in got.items():
+        assert 0 <= r["start"] < r["end"] <= len(texts[i])
+    kept = {r["doc_id"] for r in rows(decontaminate.clean(docs, bench))}
+    assert kept == {100, 101, *texts} - {i for i, _ in want}
