@@ -1,6 +1,6 @@
-"""Registry of the engine's own queries and their oracle SQL."""
+"""All queries of the engine proper."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import cohort_queries, edge_queries, element_queries, text_queries, vector_queries  # noqa: F401  they register themselves
+from .registry import ORACLES, QUERIES  # noqa: F401
