@@ -26,6 +26,8 @@ from .common import crc32_mod3, staged, text_chunks
 GRAMS, HASH_BITS, FEATURES = (3, 4, 5, 6), 22, 6000
 #: Labelled documents of each class that are read at most.
 PER_CLASS = 3000
+#: Standard errors that a feature's log-count ratio must stand from zero.
+LEAST_STRENGTH = 3.0
 THRESHOLD = 0.7
 
 _MULT = np.uint32(0x9E3779B1)
@@ -147,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
     strength = np.abs(ratio) / spread
     strength[counts.sum(axis=0) < 3] = 0
     keys = np.argsort(-strength, kind="stable")[:FEATURES]
-    keys = np.sort(keys[strength[keys] > 2])
+    keys = np.sort(keys[strength[keys] > LEAST_STRENGTH])
     ratio = ratio[keys]
     place = np.zeros(1 << HASH_BITS, np.int32)
     place[keys] = np.arange(1, len(keys) + 1)
@@ -160,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
     return Model(keys.astype(np.int64), weights * ratio, bias)
 
 
-def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 300) -> tuple[np.ndarray, float]:
+def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse scaled presence features by accelerated gradient steps; classes weigh alike."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.concatenate(rows) if rows else np.zeros(0, np.int64)
