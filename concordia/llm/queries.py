@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, mixing, pii, quality, repair, simhash, substring, toxicity
+from . import ann, chat, decontaminate, mixing, pii, quality, repair, simhash, sql, substring, toxicity
 from .common import table
 
 
@@ -66,4 +66,4 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op4_decontaminate, op5_simhash, op6_repair, op7_chat, op8_ann, op9_pii, op10_substring)}
-ORACLES: dict[str, str] = {}
+ORACLES = sql.ORACLES
