@@ -100,13 +100,14 @@ class Block:
         while at < len(by_distance):
             if len(best) == k:
                 # Nothing nearer than the k-th best lies, with the test's confidence, beyond this projected distance.
-                limit = max(0.0, far - 2 * best[0][0]) * stop
+                # The slack is for rounding: copies of a vector lie at the same distance but for that.
+                limit = max(0.0, far - 2 * best[0][0]) * stop + 1e-9 * far
                 if near[by_distance[at]] > limit:
                     break
             leaves = by_distance[at : at + step]
             at, step = at + step, min(step * 2, 64)
             rows = np.concatenate([np.arange(*tree.bounds[j]) for j in leaves])
-            scores = self.vectors[rows] @ query
+            scores = (self.vectors[rows] * query).sum(axis=1)  # the same sum for the same vector, wherever it lies
             if len(best) == k:
                 good = scores >= best[0][0] - 1e-12
                 rows, scores = rows[good], scores[good]
