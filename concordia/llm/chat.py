@@ -99,14 +99,18 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return found
 
 
-def _known_paths() -> set[str]:
-    return {p for m in MAPPINGS.values() for p in (*m["fields"], *m.get("optional", ()))}
-
-
 def layout_of(df: DataFrame) -> str | None:
-    """The mapping that a typed table's fingerprint selects; columns that no mapping names are left out of it."""
-    own = [p for p in schema_paths(df.schema) if p in _known_paths()]
-    return _layouts().get(canonical(own))
+    """The mapping that a typed table's fingerprint selects.
+
+    A mapping's fingerprint is compared with that of the table's columns that the mapping names, so other
+    columns don't matter; of several that fit, the one that names most columns is taken, then the first.
+    """
+    paths, layouts, best = schema_paths(df.schema), _layouts(), None
+    for name, m in MAPPINGS.items():
+        own = [p for p in paths if p in (*m["fields"], *m.get("optional", ()))]
+        if own and layouts.get(canonical(own)) == name and (best is None or len(own) > best[0]):
+            best = (len(own), name)
+    return best and best[1]
 
 
 def table_turns(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:

@@ -99,7 +99,10 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def emitted(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: documents as often as the mix takes them."""
-    times = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    kept = _null_safe_join(docs, times, ["doc_id"]).filter("copies > 0")
-    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    """The mixed corpus: documents as often as the mix takes them, with docs' columns.
+
+    Rows that share a doc_id are taken equally often, as often as the one of them that is taken most.
+    """
+    times = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies")).filter("__copies > 0")
+    kept = _null_safe_join(docs, times, ["doc_id"])
+    return kept.withColumn("__copies", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)

@@ -165,10 +165,12 @@ def score(docs: DataFrame, labels: DataFrame, *, column: str = "quality", ridge:
     usable = labels.filter(F.col(column).isNotNull() & (crc32_mod3(F.col("doc_id")) != 1)).groupBy(F.col("doc_id").alias("__id")).agg(F.max(column).cast("double").alias("y"))
     known = table.join(usable, F.col("doc_id") == F.col("__id")).select("doc_id", "x", "y", fold.alias("fold"))
     rows = known.count()
+    if not rows:
+        return table.select("doc_id", F.lit(0.0).alias("score"))
     known = staged(known.repartition(max(1, math.ceil(rows / PART_ROWS)), F.xxhash64("doc_id")), "labelled")
     first = known.agg(vector_to_array(Summarizer.mean(array_to_vector("x"))).alias("mean"), vector_to_array(Summarizer.variance(array_to_vector("x"))).alias("variance"), F.avg("y").alias("y"), F.min("y").alias("low"), F.max("y").alias("high")).first()
-    if not rows or first["low"] == first["high"]:
-        return table.select("doc_id", F.lit(float(first["y"] or 0.0) if rows else 0.0).alias("score"))
+    if first["low"] == first["high"]:
+        return table.select("doc_id", F.lit(float(first["y"])).alias("score"))
     features = Features(np.array(first["mean"]), np.sqrt(np.array(first["variance"])), seed)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,7 +99,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = own.filter(F.col("label") == value).orderBy(spread, "__id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     # The sample is bounded by 2 * per_class rows of ids.
-    return docs.join(F.broadcast(staged(chosen, "sample")), F.col("doc_id") == F.col("__id")).select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(staged(chosen, "sample")), F.col("doc_id") == F.col("__id")).select("text", "label")
 
 
 class Model:

@@ -7,6 +7,7 @@ as the next stage's documents. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from concordia.llm import decontaminate, mixing, repair, simhash, toxicity
 from concordia.llm.common import new_path, table
@@ -19,11 +20,14 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    groups = simhash.near_duplicates(docs)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    # Rows that repeat an id are copies too.
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The document with the smallest id of each group of near duplicates.
+
+    Of rows that share that id one stays. Rows without an id have no place in a group and all stay.
+    """
+    groups = simhash.near_duplicates(docs.filter("doc_id is not null"))
+    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(stay, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
