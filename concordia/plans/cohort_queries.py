@@ -82,7 +82,7 @@ def sample_lineage(spark, sf_dir):
     return validation.lineage_findings(s).select("code", "item")
 
 
-@query("SELECT sum(n_chars) AS total_bytes, count(*) AS total_rows FROM documents")
+@query("SELECT sum(n_chars)::BIGINT AS total_bytes, count(*) AS total_rows FROM documents")
 def totals(spark, sf_dir):
     return read(spark, sf_dir, "documents").agg(F.sum("n_chars").alias("total_bytes"), F.count(F.lit(1)).alias("total_rows"))
 
