@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Columns whose values all come from a group's best row.
@@ -14,14 +14,14 @@ SCALARS = (
 )
 
 
-def best_row(df: DataFrame, keys: list[str], order: list[Column], scalars: list[str], aggregates: dict[str, Column]) -> DataFrame:
-    """One row for each key: the scalars of its first row in order, nulls included, and aggregates over all rows.
+def best_row(df: DataFrame, keys: list[str], rank: list[Column], scalars: list[str], aggregates: dict[str, Column]) -> DataFrame:
+    """One row for each key: the scalars of its row of smallest rank, nulls included, and aggregates over all rows.
 
-    One shuffle: the window and the aggregate share its partitioning. The order must be total.
+    One shuffle and no window: each task hands on one row for a key, so a key that many rows share (such as
+    a source's rows without a code) is no more than one row of each task. The rank must be a total order.
     """
-    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    best = F.first(F.when(F.col("__rank") == 1, F.struct(*scalars)), ignorenulls=True).alias("__best")
-    out = ranked.groupBy(*keys).agg(best, *[a.alias(n) for n, a in aggregates.items()])
+    best = F.min_by(F.struct(*scalars), F.struct(*[r.alias(f"r{k}") for k, r in enumerate(rank)])).alias("__best")
+    out = df.groupBy(*keys).agg(best, *[a.alias(n) for n, a in aggregates.items()])
     return out.select(*keys, *[F.col("__best")[c].alias(c) for c in scalars], *aggregates)
 
 
@@ -52,12 +52,13 @@ def dedup_elements(df: DataFrame, mode: str = "strict", tie: list[str] | None =
     filled = sum((F.col(c).isNotNull().cast("int") for c in ("description", "unit_of_measure", "plausible_min")), F.lit(0))
     scalars = [c for c in SCALARS if c in df.columns]
     rest = tie or [c for c in scalars if c != "source_retrieved_date"]
-    order = [filled.desc(), F.col("source_retrieved_date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]]
+    newest = F.coalesce(-F.unix_date(F.col("source_retrieved_date").try_cast("date")), F.lit(1 << 30))
+    rank = [-filled, newest, *[F.col(c) for c in rest]]
     names = string_union("alternate_names") if mode == "compat" else token_union("alternate_names")
     aggregates = {
         "alternate_names": names, "member_of_collections": set_union("member_of_collections"), "metadata_variants": F.sort_array(F.collect_list("metadata_")), "source_row_count": F.count(F.lit(1)),
     }
-    return best_row(df, ["source_authority", "source_code"], order, scalars, aggregates)
+    return best_row(df, ["source_authority", "source_code"], rank, scalars, aggregates)
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

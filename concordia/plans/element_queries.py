@@ -23,9 +23,9 @@ FROM ranked GROUP BY user_id, event_type
 def within_source_dedup(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("value", F.round("value", 6))
     filled = F.nullif(F.col("event_type"), F.lit("view")).isNotNull().cast("int") + (F.col("value") >= 50).cast("int")
-    order = [filled.desc(), F.col("ts").desc_nulls_last(), F.col("event_id")]
+    rank = [-filled, F.coalesce(-F.unix_micros(F.col("ts").cast("timestamp")), F.lit((1 << 63) - 1)), F.col("event_id")]
     sums = {"n_props": F.size(F.collect_set("props")).cast("long"), "source_row_count": F.count(F.lit(1))}
-    return dedup.best_row(e, ["user_id", "event_type"], order, ["event_id", "value", "props"], sums)
+    return dedup.best_row(e, ["user_id", "event_type"], rank, ["event_id", "value", "props"], sums)
 
 
 @query("SELECT user_id, event_type, string_agg(props, '|' ORDER BY props) AS variants, count(*) AS n FROM events WHERE props IS NOT NULL GROUP BY user_id, event_type")
