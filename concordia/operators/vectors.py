@@ -61,17 +61,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _blocks(queries: DataFrame, key: str, vector: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Queries in blocks of bounded size, read one row at a time."""
-    ids, rows = [], []
-    for r in queries.select(key, vector).toLocalIterator():
-        ids.append(r[0])
-        rows.append(r[1])
-        if len(ids) == QUERY_BLOCK:
-            yield np.array(ids), np.array(rows, np.float64)
-            ids, rows = [], []
-    if ids:
-        yield np.array(ids), np.array(rows, np.float64)
+def _blocks(queries: DataFrame, names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Queries (key, vector and, if there is one, group) in blocks of bounded size, read one row at a time."""
+    held = []
+    for r in queries.select(*names).toLocalIterator():
+        held.append(r)
+        if len(held) == QUERY_BLOCK:
+            yield _block(held)
+            held = []
+    if held:
+        yield _block(held)
+
+
+def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64), np.array([r[2] if len(r) > 2 else None for r in rows], object)
 
 
 def exact_search(corpus: DataFrame, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", group: str | None = None) -> DataFrame:
@@ -84,9 +87,8 @@ def exact_search(corpus: DataFrame, queries: DataFrame, k: int = 10, *, key: str
     schema = f"query_id long, {key} long, score double"
     names = [key, vector, *([group] if group else [])]
     found = None
-    extra = {r[0]: r[1] for r in queries.select(key, group).toLocalIterator()} if group else {}
-    for ids, m in _blocks(queries, key, vector):
-        sent = corpus.sparkSession.sparkContext.broadcast((ids, m, np.array([extra.get(i) for i in ids.tolist()], object)))
+    for block in _blocks(queries, names):
+        sent = corpus.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             q_ids, q, q_group = sent.value
