@@ -76,6 +76,16 @@ def verify(spark: SparkSession, folder: str) -> list[str]:
     return sorted(p for p, h in want.items() if have.get(p) != h)
 
 
+def ingest_manifest(spark: SparkSession, path: str, downloads: list[dict], counts: dict[str, int], failures: dict[str, str] | None = None) -> dict:
+    """Write what was fetched and staged, and what failed, as JSON; the manifest."""
+    manifest = {
+        "created": dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds"), "downloads": downloads, "sources": counts, "failures": failures or {}, "total_bytes": sum(d.get("bytes", 0) for d in downloads),
+        "total_elements": sum(counts.values()),
+    }
+    _put(spark, path, json.dumps(manifest, indent=2, sort_keys=True))
+    return manifest
+
+
 def _path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

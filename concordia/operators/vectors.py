@@ -57,6 +57,15 @@ def encode(df: DataFrame, text: str, factory: Callable[[], Encoder], batch: int
     return df.withColumn("embedding", embed(F.col(text)))
 
 
+def encode_missing(stored: DataFrame, incoming: DataFrame, text: str, factory: Callable[[], Encoder], key: str = "content_hash", **options) -> DataFrame:
+    """stored (key, embedding) and the embeddings of incoming rows whose key is new, each encoded once.
+
+    Run again after a failure, what has been written by then isn't encoded again.
+    """
+    fresh = incoming.select(key, text).join(stored.select(key), key, "left_anti").dropDuplicates([key])
+    return stored.select(key, "embedding").unionByName(encode(fresh, text, factory, **options).select(key, "embedding"))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.numbers import date_after, tag_text, tolerant_long, top_coded_age
 from ..functions.priority import is_required, parse_priority
+from ..functions.sql_functions import register
 from ..operators import reports, validation
 from ..sources import semistructured
 from .registry import query, read
@@ -193,6 +194,14 @@ def search_text_sql(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", X.search_text_sql("lang", "source", code, "lang", F.array(F.lit("a"), F.lit("b")), F.lit("{}")).alias("text"))
 
 
+@query("SELECT doc_id, lang || ' | ' || source || ' ' || ' | ' || lang || ' | a b | {}' AS text, CASE WHEN trim(lang) = 'en' THEN NULL ELSE lang END AS lang FROM documents")
+def sql_functions(spark, sf_dir):
+    """The same expressions by SQL functions."""
+    register(spark)
+    read(spark, sf_dir, "documents").createOrReplaceTempView("concordia_documents")
+    return spark.sql("""SELECT doc_id, compose_search_text(lang, source, NULL, lang, array('a', 'b'), '{}') AS text, filled(CASE WHEN trim_ws(concat(' ', lang)) = 'en' THEN '  ' ELSE lang END) AS lang FROM concordia_documents""")
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang ELSE source || ' (' || lang || ')' END AS text FROM documents")
 def default_description(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", X.default_description(F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "), "source", "lang").alias("text"))

@@ -50,10 +50,10 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1
 
 
 def stream_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Counts by user and kind of event, run as a stream over all that is there and read from its last state."""
+    """Counts by user and kind of event, run as a stream over all that is there; its last state, as a table."""
     schema = spark.read.parquet(path).schema
-    name = f"groups_{uuid.uuid4().hex[:12]}"
     groups = follow(spark, path, schema).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
-    q = groups.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", _state_folder(spark)).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    state, out = _state_folder(spark), _state_folder(spark) + "-groups"
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(out)
+    groups.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(groups.schema).parquet(out)

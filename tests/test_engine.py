@@ -218,3 +218,23 @@ def test_cli(spark, tmp_path, capsys):
     assert run("info", "--anchors", tmp_path / "anchors") == 0 and run("parse-priority", "Required") == 0 and run("bundle", "x.csv", tmp_path / "o", "--version", "1") == 2
     assert run("bundle", tmp_path / "good.json", tmp_path / "o", "--version", "1") == 0
     assert "ANCHOR_MISSING" in capsys.readouterr().out
+
+
+def test_sql_functions(spark):
+    from concordia.functions import sql_functions
+
+    sql_functions.register(spark)
+    assert spark.sql("SELECT tag_text(1048592), match_verdict(0.85), has_code(array(struct('a' AS vocabulary, 'b' AS code)), 'a', NULL), has_code(array(struct('a' AS vocabulary, 'b' AS code)), 'a', 'c')").first()[:] == ("(0010,0010)", "review", True, False)
+    df = elements(spark, {"item": "a", "canonical_concept_id": 1}, {"item": "b", "is_active": False})
+    assert sql_functions.create_views(df, spark.createDataFrame([(1, "x")], "canonical_concept_id long, cross string"))[-1] == "enriched_elements"
+    assert [tuple(r) for r in spark.sql("SELECT item, cross FROM enriched_elements").collect()] == [("a", "x")]
+
+
+def test_encode_missing(spark, tmp_path):
+    make = vectors.hashing_encoder(8)
+    stored = spark.createDataFrame([("h1", [9.0] * 8)], "content_hash string, embedding array<float>")
+    incoming = spark.createDataFrame([("h1", "x"), ("h2", "y"), ("h2", "y")], "content_hash string, text string")
+    got = {r["content_hash"]: r["embedding"] for r in rows(vectors.encode_missing(stored, incoming, "text", make))}
+    assert set(got) == {"h1", "h2"} and got["h1"] == [9.0] * 8
+    m = bundle.ingest_manifest(spark, str(tmp_path / "m.json"), [{"bytes": 5}], {"hpo": 3}, {"duo": "no file"})
+    assert json.loads((tmp_path / "m.json").read_text()) == m and m["total_bytes"] == 5
