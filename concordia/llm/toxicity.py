@@ -133,33 +133,45 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
             for lo, hi, raw, offs in text_chunks(batch.column(0)):
                 yield pa.record_batch([pa.array([f.tobytes() for f in _features(raw, offs)], pa.binary()), batch.column(1).slice(lo, hi - lo).cast(pa.int32())], names=["grams", "label"])
 
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, y = [], []
+        for batch in batches:
+            rows += [np.frombuffer(g, np.int32) for g in batch.column(0).to_pylist()]
+            y += batch.column(1).to_pylist()
+        model = _train(rows, np.array(y, np.int64), smoothing, ridge)
+        yield pa.record_batch([pa.array([model.keys.astype("<i8").tobytes()]), pa.array([model.weights.astype("<f8").tobytes()]), pa.array([model.bias])], names=["keys", "weights", "bias"])
+
+    # The sample is bounded, so one task trains on it, and the driver gets the selected features alone.
     found = staged(training_sample(docs, labels, column, per_class).mapInArrow(extract, "grams binary, label int"), "grams")
-    counts = np.zeros((2, 1 << HASH_BITS), np.int32)
-    total = np.zeros(2, np.int64)
-    # Two passes over the bounded sample, a row at a time: the counts first, then the selected features.
-    for row in found.toLocalIterator():
-        np.add.at(counts[row["label"]], np.frombuffer(row["grams"], np.int32), 1)
-        total[row["label"]] += 1
-    if not total.all():
+    row = found.coalesce(1).mapInArrow(train, "keys binary, weights binary, bias double").first()
+    if row is None:
+        return _train([], np.zeros(0, np.int64), smoothing, ridge)
+    return Model(np.frombuffer(row["keys"], np.int64), np.frombuffer(row["weights"], np.float64), row["bias"])
+
+
+def _train(rows: list[np.ndarray], y: np.ndarray, smoothing: float, ridge: float) -> Model:
+    """The model from each document's distinct n-grams and its label."""
+    total = [int((y == k).sum()) for k in (0, 1)]
+    if not all(total):
         return Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
-    p = (counts[1] + smoothing) / (total[1] + 2 * smoothing)
-    q = (counts[0] + smoothing) / (total[0] + 2 * smoothing)
-    ratio = np.log(p / q)
-    spread = np.sqrt(1 / (counts[1] + smoothing) + 1 / (counts[0] + smoothing))
-    strength = np.abs(ratio) / spread
-    strength[counts.sum(axis=0) < 3] = 0
-    keys = np.argsort(-strength, kind="stable")[:FEATURES]
-    keys = np.sort(keys[strength[keys] > LEAST_STRENGTH])
-    ratio = ratio[keys]
+    counts = np.zeros((2, 1 << HASH_BITS), np.int32)
+    for grams_, label in zip(rows, y.tolist(), strict=True):
+        counts[label][grams_] += 1  # they are distinct
+    some = np.flatnonzero(counts[0] + counts[1] >= 3)
+    clean, toxic = counts[0][some] + smoothing, counts[1][some] + smoothing
+    ratio = np.log((toxic / (total[1] + 2 * smoothing)) / (clean / (total[0] + 2 * smoothing)))
+    strength = np.abs(ratio) / np.sqrt(1 / toxic + 1 / clean)
+    best = np.argsort(-strength, kind="stable")[:FEATURES]
+    best = np.sort(best[strength[best] > LEAST_STRENGTH])
+    keys, ratio = some[best], ratio[best]
     place = np.zeros(1 << HASH_BITS, np.int32)
     place[keys] = np.arange(1, len(keys) + 1)
-    x, y = [], []
-    for row in found.toLocalIterator():
-        f = place[np.frombuffer(row["grams"], np.int32)]
+    x = []
+    for grams_ in rows:
+        f = place[grams_]
         x.append(f[f > 0] - 1)
-        y.append(row["label"])
-    weights, bias = _regress(x, np.array(y, float), ratio, ridge)
-    return Model(keys.astype(np.int64), weights * ratio, bias)
+    weights, bias = _regress(x, y.astype(float), ratio, ridge)
+    return Model(keys.astype(np.int64), weights * ratio, float(bias))
 
 
 def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 600) -> tuple[np.ndarray, float]:
