@@ -21,8 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: a, b (long), in any direction, repeats and loops allowed. No edges: no rows.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b").distinct()
-    both = staged(both, "edges")
+    edges = staged(edges.select("a", "b").filter("a <> b"), "links")
+    both = staged(edges.union(edges.select("b", "a")).distinct(), "edges")
     labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels")
     for _ in range(MOST_ROUNDS):
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))

@@ -119,12 +119,15 @@ def links(nodes: DataFrame, *, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     balls = F.concat(F.transform(ball, lambda m: _key(0, high.bitwiseXOR(m))), F.transform(ball, lambda m: _key(1, low.bitwiseXOR(m))))
     probes = nodes.select(F.col("node").alias("p_node"), F.col("fp").alias("p_fp"), F.explode(balls).alias("key"))
     crowded = staged(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded")
-    sparse = table.join(crowded, "key", "left_anti")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p_fp"))) <= bits
-    found = probes.join(sparse, "key").filter((F.col("p_node") != F.col("node")) & near).select(F.col("p_node").alias("a"), F.col("node").alias("b"))
+    # One lookup finds both: entries of sparse buckets, and marks of crowded ones (with no node).
+    mark = crowded.select("key", F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("fp"))
+    targets = table.join(crowded, "key", "left_anti").select("key", "node", "fp").union(mark)
+    near = (F.col("p_node") != F.col("node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("p_fp"))) <= bits)
+    hits = staged(probes.join(targets, "key").filter(F.col("node").isNull() | near).select("p_node", "p_fp", "node"), "hits")
+    found = hits.filter("node is not null").select(F.col("p_node").alias("a"), F.col("node").alias("b"))
     if crowded.isEmpty():
         return found
-    rest = probes.join(crowded, "key", "left_semi").select(F.col("p_node").alias("node"), F.col("p_fp").alias("fp")).distinct()
+    rest = hits.filter("node is null").select(F.col("p_node").alias("node"), F.col("p_fp").alias("fp")).distinct()
     points = rest.select("node", "fp", F.explode(F.transform(F.array(*map(F.lit, _BALL_64)), lambda m: fp.bitwiseXOR(m))).alias("point"))
     heads = points.groupBy("point").agg(F.min(F.struct("node", "fp")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("point", "head")
     star = points.join(heads, "point").filter((F.col("head.node") != F.col("node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("head.fp"))) <= bits))
