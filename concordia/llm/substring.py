@@ -9,11 +9,13 @@ The index is dealt out by anchors. A window's anchor is the smallest hash of its
 windows have equal anchors, wherever they stand; neighbouring windows share one, so an entry holds a run
 of them. An index block is all entries of an anchor: the block's smallest document with a window is that
 window's reference, and a window whose reference is a smaller document is repeated. Blocks are sorted by
-anchor and worked on a bounded number at a time.
+anchor and document and read as a stream, so that a worker holds a bounded number of entries and, of the
+block that is open, one reference for each different window.
 
 Anchors that a large share of the documents have (found on a sample; they are few by their definition)
-don't go to one block: their windows are counted singly, with partial sums before the shuffle. Either way
-gives the same windows, so the sample decides on the cost alone.
+don't go to one block: their entries are dealt out SALTS ways or more, by document. All of a window's
+entries under a salt but the first are repeated; the first ones of all salts, few, are compared once more.
+Either way gives the same windows, so the sample decides on the cost alone.
 
 Defined results: a null text has no words; fewer words than a window: nothing is removed; rows that share
 a doc_id share their removals, by word position, and never count as each other's reference; a null doc_id
@@ -23,18 +25,20 @@ is neither reference nor repeated; windows are equal if their 64-bit hashes and
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_unit, slice_hashes, staged, text_chunks, word_bounds, word_hashes
+from .common import hash_unit, mix64, slice_hashes, staged, text_chunks, word_bounds, word_hashes
 
 WINDOW, GRAM = 50, 25
-#: Windows that a worker holds at once; share of documents in the sample; what makes an anchor crowded there.
-HELD, SAMPLE, LEAST_CROWD, CROWD_SHARE = 1 << 20, 1 / 16, 64, 1 / 2048
+#: Windows that a worker holds at once; share of documents in the sample; what makes an anchor crowded there; ways its entries are dealt at
+#: least, and its entries that are dealt one way at most, about.
+HELD, SAMPLE, LEAST_CROWD, CROWD_SHARE, SALTS, SALT_ROWS = 1 << 20, 1 / 16, 64, 1 / 2048, 64, 1 << 16
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -83,8 +87,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(F.col("doc_id").isNotNull())
 
 
-def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """Sorted anchors of a large share of the documents: 1 / CROWD_SHARE at most."""
+def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, int]:
+    """Sorted anchors of a large share of the documents, 1 / CROWD_SHARE at most, and how many ways to deal their entries."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,8 +100,9 @@ def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     sample = _texts(docs).filter(hash_unit(F.lit("sample"), F.col("doc_id")) < SAMPLE)
     counts = staged(sample.mapInArrow(scan, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchors")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.filter(F.col("n") > max(LEAST_CROWD, total * CROWD_SHARE)).select("anchor").collect()
-    return np.sort(np.array([r["anchor"] for r in found], np.int64).view(np.uint64))
+    found = counts.filter(F.col("n") > max(LEAST_CROWD, total * CROWD_SHARE)).collect()
+    most = max((r["n"] for r in found), default=0) / SAMPLE
+    return np.sort(np.array([r["anchor"] for r in found], np.int64).view(np.uint64)), max(SALTS, math.ceil(most / SALT_ROWS))
 
 
 def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -106,9 +111,13 @@ def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
     return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
+ENTRY = "key long, anchor long, doc_id long, start int, windows binary"
+FOUND = "doc_id long, start int, n int, anchor long, hash long"
+
+
 def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, start, n): n windows from word start on that stand in documents with smaller ids."""
-    crowded = crowded_anchors(docs, window, gram)
+    crowded, salts = crowded_anchors(docs, window, gram)
     sent = docs.sparkSession.sparkContext.broadcast(crowded)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,73 +126,75 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
                 w = Windows(raw, offs, window, gram)
                 bounds = _runs(w.row, w.anchor)
                 first = bounds[:-1]
-                held = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((bounds * 8).astype(np.int32).tobytes()), pa.py_buffer(w.hash.tobytes())])
+                crowd = _among(w.anchor[first], sent.value)
                 ids = batch.column(0).take(pa.array(w.row[first] + lo))
-                keys = w.anchor[first]
-                table = pa.record_batch([pa.array(keys.view(np.int64)), ids, pa.array(w.place[first].astype(np.int32)), held], names=["anchor", "doc_id", "start", "windows"])
-                yield table.filter(pa.array(~_among(keys, sent.value))) if len(sent.value) else table
+                salt = mix64(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(salts)
+                key = np.where(crowd, mix64(w.anchor[first] + salt), w.anchor[first])
+                held = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((bounds * 8).astype(np.int32).tobytes()), pa.py_buffer(w.hash.tobytes())])
+                anchor = pa.array(w.anchor[first].view(np.int64), mask=~crowd)
+                yield pa.record_batch([pa.array(key.view(np.int64)), anchor, ids, pa.array(w.place[first].astype(np.int32)), held], names=["key", "anchor", "doc_id", "start", "windows"])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
-        size = 0
+        size, carry = 0, None
         for batch in batches:
             kept.append(batch)
-            size += batch.column(3).nbytes // 8
+            size += batch.column(4).nbytes // 8
             if size >= HELD:
-                rows = pa.Table.from_batches(kept).combine_chunks()
-                keys = rows.column(0).to_numpy()
-                cut = int(np.searchsorted(keys, keys[-1]))  # the last anchor may go on
-                if cut:
-                    yield from _parsed(rows.slice(0, cut))
-                    rest = rows.slice(cut)
-                    kept, size = rest.to_batches(), rest.num_rows
+                found, carry = _parsed(pa.Table.from_batches(kept).combine_chunks(), carry)
+                kept, size = [], 0
+                yield found
         if kept:
-            yield from _parsed(pa.Table.from_batches(kept).combine_chunks())
+            yield _parsed(pa.Table.from_batches(kept).combine_chunks(), carry)[0]
 
-    index = _texts(docs).mapInArrow(entries, "anchor long, doc_id long, start int, windows binary")
-    blocks = index.repartition(F.col("anchor")).sortWithinPartitions("anchor")
-    found = blocks.mapInArrow(parse, "doc_id long, start int, n int")
+    index = _texts(docs).mapInArrow(entries, ENTRY)
+    blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id").mapInArrow(parse, FOUND)
+    found = staged(blocks, "factors")
+    sure = found.filter("hash is null").select("doc_id", "start", "n")
     if not len(crowded):
-        return found
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, _, raw, offs in text_chunks(batch.column(1)):
-                w = Windows(raw, offs, window, gram)
-                some = np.flatnonzero(_among(w.anchor, sent.value))
-                yield pa.record_batch([pa.array(w.anchor[some].view(np.int64)), pa.array(w.hash[some].view(np.int64)), batch.column(0).take(pa.array(w.row[some] + lo)), pa.array(w.place[some].astype(np.int32))], names=["anchor", "hash", "doc_id", "start"])
-
-    windows = _texts(docs).mapInArrow(single, "anchor long, hash long, doc_id long, start int")
-    references = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("reference"), F.max("doc_id").alias("last")).filter("reference < last").drop("last")
-    crowd = windows.join(references, ["anchor", "hash"]).filter("reference < doc_id").select("doc_id", "start", F.lit(1).alias("n"))
-    return found.union(crowd)
-
-
-def _parsed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Repeated windows of whole index blocks."""
-    if not rows.num_rows:
-        return
-    column = rows.column(3).combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = column.chunk(0)
-    lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]) // 8
-    begin = np.frombuffer(column.buffers()[1], np.int32)[column.offset] // 8
-    hashes = np.frombuffer(column.buffers()[2], np.uint64)[begin : begin + lengths.sum()]
-    anchors = np.repeat(rows.column(0).to_numpy(), lengths)
-    ids = np.repeat(rows.column(1).to_numpy(), lengths)
+        return sure
+    # The first entries of each salt: all but those of the smallest document are repeated too.
+    first = found.filter("hash is not null").withColumn("reference", F.min("doc_id").over(Window.partitionBy("anchor", "hash")))
+    return sure.union(first.filter("reference < doc_id").select("doc_id", "start", "n"))
+
+
+def _parsed(rows: pa.Table, carry: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
+    """What is repeated among entries sorted by key and doc_id, and the references of the last key, which may go on."""
+    column = rows.column(4).chunk(0)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    lengths = np.diff(offsets) // 8
+    hashes = np.frombuffer(column.buffers()[2], np.uint64)[offsets[0] // 8 : offsets[-1] // 8]
+    row_keys, row_ids = rows.column(0).to_numpy(), rows.column(2).to_numpy()
+    keys, ids = np.repeat(row_keys, lengths), np.repeat(row_ids, lengths)
     run = np.repeat(np.arange(rows.num_rows), lengths)
-    place = np.arange(len(run)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(rows.column(2).to_numpy(), lengths)
-    order = np.lexsort((anchors, hashes))
-    bounds = _runs(hashes[order], anchors[order])
+    place = np.arange(len(run)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(rows.column(3).to_numpy(), lengths)
+    old = 0
+    if carry is not None and carry[0] == row_keys[0]:
+        old = len(carry[1])
+        hashes, keys, ids = np.concatenate([carry[1], hashes]), np.concatenate([np.full(old, carry[0]), keys]), np.concatenate([carry[2], ids])
+    order = np.lexsort((keys, hashes))
+    bounds = _runs(hashes[order], keys[order])
     smallest = np.minimum.reduceat(ids[order], bounds[:-1])
-    again = np.zeros(len(run), bool)
+    again = np.zeros(len(hashes), bool)
     again[order] = np.repeat(smallest, np.diff(bounds)) < ids[order]
+    heads = order[bounds[:-1]]
+    open_ = keys[heads] == row_keys[-1]
+    carry = (row_keys[-1], hashes[heads][open_], smallest[open_])
+    again, hashes = again[old:], hashes[old:]
     some = np.flatnonzero(again)
-    if not len(some):
-        return
     pieces = _runs(run[some], some - np.arange(len(some)))
     first = some[pieces[:-1]]
-    yield pa.record_batch([pa.array(ids[first]), pa.array(place[first].astype(np.int32)), pa.array(np.diff(pieces).astype(np.int32))], names=["doc_id", "start", "n"])
+    # Entries of crowded anchors that were first under their salt are looked at once more.
+    anchors = rows.column(1).combine_chunks()
+    crowd = anchors.is_valid().to_numpy(zero_copy_only=False)
+    unsure = np.flatnonzero(~again & crowd[run])
+    same = _runs(run[unsure], hashes[unsure], unsure - np.arange(len(unsure)))  # equal windows one after the other
+    n = np.concatenate([np.diff(pieces), np.diff(same)]).astype(np.int32)
+    at = np.concatenate([first, unsure[same[:-1]]])
+    none = np.arange(len(at)) < len(first)
+    mark = anchors.fill_null(0).to_numpy()[run[at]]
+    arrays = [pa.array(row_ids[run[at]]), pa.array(place[at].astype(np.int32)), pa.array(n), pa.array(mark, mask=none), pa.array(hashes[at].view(np.int64), mask=none)]
+    return pa.record_batch(arrays, names=["doc_id", "start", "n", "anchor", "hash"]), carry
 
 
 def _covered(n_words: int, spans: list, window: int) -> np.ndarray:

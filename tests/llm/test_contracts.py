@@ -208,15 +208,19 @@ def test_op10(spark, sf, documents):
         assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
 
 
-def test_op10_crowded(spark, monkeypatch):
-    """Crowded anchors go another way and give the same."""
+@pytest.mark.parametrize("held", [1, 40, 1 << 20])
+def test_op10_crowded(spark, monkeypatch, held):
+    """Crowded anchors go another way, and workers hold few entries at once, and it gives the same."""
     from concordia.llm import substring
 
+    monkeypatch.setattr(substring, "HELD", held)
+    monkeypatch.setattr(substring, "SALTS", 3)
+
     passage = " ".join(f"p{k}" for k in range(70))
     texts = {i: f"{' '.join(f'a{i}x{k}' for k in range(i % 40))} {passage if i % 3 else ''} {' '.join(f'b{i % 7}x{k}' for k in range(60))}" for i in range(300)}
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(1000, None), (1001, "")], "doc_id long, text string")
     monkeypatch.setattr(substring, "LEAST_CROWD", 2)
-    assert len(substring.crowded_anchors(docs))
+    assert len(substring.crowded_anchors(docs)[0])
     want = plain_removed(texts | {1000: "", 1001: ""})
     got = {r["doc_id"]: r for r in rows(substring.dedup(docs))}
     assert {i: (r["n_removed"], r["kept"]) for i, r in got.items()} == {i: (sum(g), " ".join(x for x, y in zip(w, g) if not y)) for i, (w, g) in want.items()}
