@@ -7,7 +7,8 @@ over the projections. A query visits the tree's leaves in order of their distanc
 space, verifies every vector it meets on the original ones, and stops when the test says that a vector
 nearer than its k-th best would, with the confidence asked for, have been met before.
 
-Blocks bound a task's memory; queries go to all blocks in chunks that the driver reads one at a time,
+The index is a table with a row for each block, written once to the shared folder and read for each chunk
+of queries. Blocks bound a task's memory; queries go to all blocks in chunks that the driver reads one at a time,
 each of a bounded number of rows, so that a broadcast doesn't grow with the data.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and those of
@@ -20,10 +21,12 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,15 +84,36 @@ class KdTree:
 
 
 class Block:
-    """One block of the index: original vectors, and the tree over their projections."""
+    """One block of the index: original vectors in the tree's order, and the tree over their projections."""
+
+    HEAD = struct.Struct("<QQQQd")
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, directions: np.ndarray):
-        self.largest = largest
         extra = np.sqrt(np.maximum(0, largest * largest - np.einsum("ij,ij->i", vectors, vectors)))
         points = vectors @ directions[:-1] + extra[:, None] * directions[-1]
-        self.tree = KdTree(points)
+        self.largest, self.tree = largest, KdTree(points)
         self.ids, self.vectors = ids[self.tree.order], np.ascontiguousarray(vectors[self.tree.order])
 
+    def body(self) -> bytes:
+        """The block as bytes; vectors in single precision where that loses nothing."""
+        t, single = self.tree, self.vectors.astype("<f4")
+        narrow = bool((single == self.vectors).all())
+        head = self.HEAD.pack(*self.vectors.shape, t.low.shape[1], len(t.bounds) << 1 | narrow, self.largest)
+        parts = (self.ids.astype("<i8"), single if narrow else self.vectors.astype("<f8"), t.bounds.astype("<i8"), t.low.astype("<f8"), t.high.astype("<f8"))
+        return head + b"".join(p.tobytes() for p in parts)
+
+    @classmethod
+    def read(cls, body: bytes) -> Block:
+        n, width, m, leaves, largest = cls.HEAD.unpack_from(body)
+        at, out = cls.HEAD.size, []
+        for kind, shape in (("<i8", (n,)), ("<f4" if leaves & 1 else "<f8", (n, width)), ("<i8", (leaves >> 1, 2)), ("<f8", (leaves >> 1, m)), ("<f8", (leaves >> 1, m))):
+            out.append(np.frombuffer(body, kind, math.prod(shape), at).reshape(shape))
+            at += out[-1].nbytes
+        block, tree = cls.__new__(cls), KdTree.__new__(KdTree)
+        tree.bounds, tree.low, tree.high = out[2:]
+        block.ids, block.vectors, block.tree, block.largest = out[0], out[1].astype(np.float64), tree, largest
+        return block
+
     def search(self, qid: int, query: np.ndarray, projected: np.ndarray, k: int, stop: float) -> list[tuple[float, int]]:
         """The k best (score, id) found, best first."""
         tree, far = self.tree, float(query @ query) + self.largest * self.largest
@@ -137,29 +161,62 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, directions: int = 16, confidence: float = 0.97, seed: int = 42) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found for each query, by inner product.
+INDEX = "block long, n long, width int, directions int, seed long, body binary"
 
-    vectors and queries: vec_id, embedding. A vector is no neighbour of a query with its own id.
-    """
-    schema = "query_id long, rank int, vec_id long, score double"
-    spark = vectors.sparkSession
-    data, asked = staged(usable(vectors), "vectors"), usable(queries)
+
+def build_index(vectors: DataFrame, *, directions: int = 16, seed: int = 42) -> DataFrame:
+    """The index as a table, a row for each block, written to the shared folder: vec_id and embedding of every usable vector."""
+    data = staged(usable(vectors), "vectors")
     widths = data.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "width").first()
-    if widths is None:
-        return spark.createDataFrame([], schema)
-    width = widths["width"]
-    data, asked = data.filter(F.size("v") == width), asked.filter(F.size("v") == width)
+    width = widths["width"] if widths else 0
+    data = data.filter(F.size("v") == width)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     largest, rows = data.agg(F.max(F.sqrt(square)), F.count(F.lit(1))).first()
     blocks = max(1, math.ceil(rows / BLOCK_ROWS))
-    asked = staged(asked.withColumn("place", F.xxhash64("vec_id")), "asked")
-    chunks = max(1, math.ceil(asked.count() / CHUNK_ROWS))
-    gauss = np.random.default_rng(seed).standard_normal((width + 1, directions))
-    stop = chi_square_quantile(confidence, directions)
-    # Rows are dealt to blocks by a running number within hashed groups, so that copies of a vector or an id spread.
-    dealt = data.repartition(blocks, F.xxhash64("vec_id", "v")) if blocks > 1 else data.coalesce(1)
+    gauss = _directions(width, directions, seed)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, nth = TaskContext.get().partitionId(), 0
+        ids, held, size = [], [], 0
+
+        def made() -> pa.RecordBatch:
+            block = Block(np.concatenate(ids), np.concatenate(held), largest, gauss)
+            row = (part << 32 | nth, size, width, directions, seed, block.body())
+            return pa.record_batch([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=[f.split()[0] for f in INDEX.split(", ")])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BLOCK_ROWS):
+                own = batch.slice(lo, BLOCK_ROWS)
+                ids.append(own.column(0).to_numpy())
+                held.append(_matrix(own.column(1), width))
+                size += own.num_rows
+                if size > BLOCK_ROWS + BLOCK_ROWS // 2:
+                    yield made()
+                    ids, held, size, nth = [], [], 0, nth + 1
+        if size:
+            yield made()
+
+    # Dealt out in turn, so that copies spread and blocks are as many as the rows ask for; a task makes several where they are many.
+    dealt = data.repartition(blocks if blocks <= 4096 else -(-blocks // 16))
+    return staged(dealt.mapInArrow(make, INDEX), "ann-index")
 
+
+def _directions(width: int, directions: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((width + 1, directions))
+
+
+def search_index(index: DataFrame, queries: DataFrame, *, k: int = 20, confidence: float = 0.97) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found for each query, by inner product.
+
+    A vector is no neighbour of a query with its own id.
+    """
+    spark, schema = index.sparkSession, "query_id long, rank int, vec_id long, score double"
+    meta = index.select("width", "directions", "seed").first()
+    if meta is None:
+        return spark.createDataFrame([], schema)
+    width, gauss, stop = meta["width"], _directions(*meta), chi_square_quantile(confidence, meta["directions"])
+    asked = staged(usable(queries).filter(F.size("v") == width).withColumn("place", F.xxhash64("vec_id")), "asked")
+    chunks = max(1, math.ceil(asked.count() / CHUNK_ROWS))
     found = None
     for chunk in range(chunks):
         own = asked.filter(F.pmod("place", F.lit(chunks)) == chunk).select("vec_id", "v").toArrow()
@@ -167,23 +224,25 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, directions: i
         sent = spark.sparkContext.broadcast((ids, _matrix(own.column(1).combine_chunks() if own.num_rows else pa.array([], pa.list_(pa.float64())), width)))
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            parts = [(b.column(0).to_numpy(), _matrix(b.column(1), width)) for b in batches if b.num_rows]
-            if not parts:
-                return
-            held_ids, held = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            for at in range(0, len(held_ids), 2 * BLOCK_ROWS):
-                block = Block(held_ids[at : at + 2 * BLOCK_ROWS], held[at : at + 2 * BLOCK_ROWS], largest, gauss)
-                qids, qs = sent.value
-                out: list[list] = [[], [], []]
-                projected = qs @ gauss[:-1]
-                for qid, q, p in zip(qids.tolist(), qs, projected, strict=True):
-                    hits = block.search(qid, q, p, k, stop)
-                    out[0] += [qid] * len(hits)
-                    out[1] += [i for _, i in hits]
-                    out[2] += [s for s, _ in hits]
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-        part = staged(dealt.mapInArrow(scan, "query_id long, vec_id long, score double"), "neighbours")
+            qids, qs = sent.value
+            projected = qs @ gauss[:-1]
+            for batch in batches:
+                for body in batch.column(0):
+                    block = Block.read(body.as_py())
+                    out: list[list] = [[], [], []]
+                    for qid, q, p in zip(qids.tolist(), qs, projected, strict=True):
+                        hits = block.search(qid, q, p, k, stop)
+                        out[0] += [qid] * len(hits)
+                        out[1] += [i for _, i in hits]
+                        out[2] += [s for s, _ in hits]
+                    yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+
+        part = staged(index.select("body").mapInArrow(scan, "query_id long, vec_id long, score double"), "neighbours")
         found = part if found is None else found.union(part)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, directions: int = 16, confidence: float = 0.97, seed: int = 42) -> DataFrame:
+    """Index vectors and search them: see build_index and search_index."""
+    return search_index(build_index(vectors, directions=directions, seed=seed), queries, k=k, confidence=confidence)
