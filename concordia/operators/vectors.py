@@ -18,6 +18,8 @@ from ..functions.numbers import l2_norm
 
 #: Queries that are sent to the executors at once.
 QUERY_BLOCK = 4096
+#: Rows whose exact neighbours set an index's probes, and the share of these neighbours that the probes must reach.
+TUNING_ROWS, TUNED_RECALL = 256, 0.95
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -132,13 +134,17 @@ class CellIndex:
         self.cells, self.centroids, self.probes = cells, centroids, probes
 
     @classmethod
-    def build(cls, corpus: DataFrame, lists: int, *, probes: int = 8, key: str = "vec_id", vector: str = "embedding", sample_rows: int = 200_000, seed: int = 42) -> CellIndex:
-        """Centroids are fitted on a sample of at most about sample_rows; every row gets its cell."""
+    def build(cls, corpus: DataFrame, lists: int, *, probes: int | None = None, key: str = "vec_id", vector: str = "embedding", sample_rows: int = 200_000, seed: int = 42) -> CellIndex:
+        """Centroids are fitted on a sample of at most about sample_rows; every row gets its cell.
+
+        Without probes, they are as many as reach TUNED_RECALL of the exact 10 nearest of TUNING_ROWS rows.
+        """
         n = corpus.count()
         v = corpus.select(key, vector, array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
         sample = v.sample(min(1.0, sample_rows / max(1, n)), seed) if n > sample_rows else v
         model = KMeans(k=max(2, min(lists, n)), seed=seed, maxIter=15).fit(sample)
-        return cls(model.transform(v).select(key, vector, F.col("prediction").alias("cell")), np.array(model.clusterCenters()), probes)
+        cells, centroids = model.transform(v).select(key, vector, F.col("prediction").alias("cell")), np.array(model.clusterCenters())
+        return cls(cells, centroids, probes or tuned_probes(cells, centroids, key, vector))
 
     def write(self, path: str) -> None:
         self.cells.write.partitionBy("cell").parquet(f"{path}/cells")
@@ -153,14 +159,7 @@ class CellIndex:
 
     def search(self, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", probes: int | None = None) -> DataFrame:
         """As exact_search, over each query's nearest cells alone."""
-        centroids, n = self.centroids, probes or self.probes
-
-        @F.pandas_udf("array<int>")
-        def nearest(v: pd.Series) -> pd.Series:
-            q = np.array(v.tolist(), np.float64)
-            d = (centroids**2).sum(axis=1)[None, :] - 2 * q @ centroids.T
-            return pd.Series(list(np.argsort(d, axis=1)[:, :n].astype(np.int32)))
-
+        nearest = nearest_cells(self.centroids, probes or self.probes)
         asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("q"), F.explode(nearest(vector)).alias("cell"))
 
         @F.pandas_udf("double")
@@ -171,6 +170,29 @@ class CellIndex:
         return best_k(pairs, k, key)
 
 
+def nearest_cells(centroids: np.ndarray, n: int):
+    """A function of vectors: the n cells whose centroids are nearest, in order."""
+
+    @F.pandas_udf("array<int>")
+    def nearest(v: pd.Series) -> pd.Series:
+        q = np.array(v.tolist(), np.float64)
+        d = (centroids**2).sum(axis=1)[None, :] - 2 * q @ centroids.T
+        return pd.Series(list(np.argsort(d, axis=1)[:, :n].astype(np.int32)))
+
+    return nearest
+
+
+def tuned_probes(cells: DataFrame, centroids: np.ndarray, key: str, vector: str) -> int:
+    """The fewest probes that reach TUNED_RECALL of the exact 10 nearest of TUNING_ROWS rows, chosen by hash."""
+    own = cells.select(F.xxhash64(key).alias("vec_id"), vector, "cell")
+    asked = own.orderBy("vec_id").limit(TUNING_ROWS)
+    true = exact_search(own, asked, 10, vector=vector).join(own.select("vec_id", "cell"), "vec_id")
+    order = asked.select(F.col("vec_id").alias("query_id"), nearest_cells(centroids, len(centroids))(vector).alias("order"))
+    at = true.join(order, "query_id").groupBy(F.array_position("order", F.col("cell")).alias("at")).count().collect()  # as many as lists
+    reached = np.cumsum(np.bincount([r["at"] for r in at], weights=[r["count"] for r in at], minlength=len(centroids) + 1))
+    return int(np.argmax(reached >= TUNED_RECALL * reached[-1]))
+
+
 def triage(score) -> Column:
     """What is done with a best match, by its score. Fixed bounds."""
     score = F.col(score) if isinstance(score, str) else score
