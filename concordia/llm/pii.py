@@ -1,11 +1,11 @@
 """Personal data: base spans by pattern, and terms that reveal them by corpus co-occurrence.
 
-Base spans are protected entities. A term beside an entity discloses it by its pointwise mutual
+Base spans are protected entities. A term in an entity's documents discloses it by its pointwise mutual
 information with it, log2(p(term, entity) / (p(term) p(entity))), measured against the entity's own
 information, -log2 p(entity): at 1, whoever reads the term knows the entity. Probabilities are shares
 of documents, counted over the whole corpus. A pair that co-occurs in enough documents and whose share
-reaches the threshold is disclosing: the term's occurrences beside the entity become spans of kind
-"term", which are removed; base spans are generalised to their kind.
+reaches the threshold is disclosing: all of the term's occurrences in documents with the entity become
+spans of kind "term", which are removed; base spans are generalised to their kind.
 
 Offsets are code points, ends exclusive. The patterns are matched so that no text takes more than
 linear time: an e-mail is found from its @ backwards, digits are never tried twice.
@@ -98,33 +98,34 @@ def _hashes(words: list[str]) -> np.ndarray:
     return word_hashes(_LOWER[raw], starts, ends).view(np.int64)
 
 
-def _contexts(text: str, spans, reach: int):
-    """(term, entity, start, end) of the words within reach of each span, as hashes; spans' own words left out."""
-    out = []
-    for a, kind, b in spans:
-        entity = int.from_bytes(hashlib.blake2b(f"{kind}:{text[a:b].lower()}".encode(), digest_size=8).digest(), "little", signed=True)
-        lo, hi = a, b
-        for _ in range(2):  # windows grow until they hold enough words or meet the text's ends
-            lo, hi = max(0, lo - 16 * reach), min(len(text), hi + 16 * reach)
-        words = [(m.start() + lo, m.end() + lo, m[0]) for m in _WORD.finditer(text[lo:hi])]
-        # Words that the window cuts are not whole.
-        words = [w for w in words if (w[0] > lo or lo == 0 or text[lo - 1] in _SPACES) and (w[1] < hi or hi == len(text) or text[hi] in _SPACES)]
-        near = [w for w in words if w[1] <= a][-reach:] + [w for w in words if w[0] >= b][:reach]
-        near = [w for w in near if not any(x < w[1] and w[0] < y for x, _, y in spans)]
-        out += [(int(h), entity, w[0], w[1]) for w, h in zip(near, _hashes([w[2] for w in near]), strict=True)]
+def _entities(text: str, spans) -> list[int]:
+    """The distinct entities of a text, as hashes."""
+    return sorted({int.from_bytes(hashlib.blake2b(f"{kind}:{text[a:b].lower()}".encode(), digest_size=8).digest(), "little", signed=True) for a, kind, b in spans})
+
+
+def _words(text: str, spans) -> list[dict]:
+    """Every word of a text that no span touches: term hash, start, stop."""
+    out, at = [], 0
+    reached = np.maximum.accumulate([b for _, _, b in spans])  # spans are sorted by start
+    words = list(_WORD.finditer(text))
+    for m, h in zip(words, _hashes([m[0] for m in words]), strict=True):
+        while at < len(spans) and spans[at][0] < m.end():
+            at += 1
+        if not at or reached[at - 1] <= m.start():
+            out.append({"term": int(h), "start": m.start(), "stop": m.end()})
     return out
 
 
-SCAN = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, context array<struct<term:long,entity:long,start:int,stop:int>>, term long, df long"
+SCAN = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, entities array<long>, words array<struct<term:long,start:int,stop:int>>, term long, df long"
 _ARROW = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("base", pa.string()),
-    ("context", pa.list_(pa.struct([("term", pa.int64()), ("entity", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))), ("term", pa.int64()), ("df", pa.int64()),
+    ("entities", pa.list_(pa.int64())), ("words", pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))), ("term", pa.int64()), ("df", pa.int64()),
 ])
 #: Distinct terms that a worker counts before it hands them on.
 COUNTED = 1 << 20
 
 
-def _scan(reach: int):
+def _scan():
     def counted(parts: list) -> pa.RecordBatch:
         terms, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
@@ -155,14 +156,14 @@ def _scan(reach: int):
                     else:
                         parts = [(merged.column("term").to_numpy().view(np.uint64), merged.column("df").to_numpy().astype(np.float64))]
                         held = merged.num_rows
-                yield _documents(ids.slice(lo, hi - lo), raw, offs, reach)
+                yield _documents(ids.slice(lo, hi - lo), raw, offs)
         if parts:
             yield counted(parts)
 
     return scan
 
 
-def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray, reach: int) -> pa.RecordBatch:
+def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
     data = raw.tobytes()
     rows: dict[str, list] = {f.name: [] for f in _ARROW}
     for k in range(len(ids)):
@@ -175,36 +176,45 @@ def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray, reach: int) ->
         rows["text_key"].append(int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True) if spans else None)
         rows["base_sha256"].append(hashlib.sha256(named.encode()).hexdigest())
         rows["base"].append(named)
-        rows["context"].append([{"term": t, "entity": e, "start": a, "stop": b} for t, e, a, b in _contexts(text, spans, reach)] if spans else None)
+        rows["entities"].append(_entities(text, spans) if spans else None)
+        rows["words"].append(_words(text, spans) if spans else None)
     own = {"doc_id": ids.cast(pa.int64())}
     none = len(ids)
     return pa.record_batch([own[f.name] if f.name in own else pa.nulls(none, f.type) if f.name in ("term", "df") else pa.array(rows[f.name], f.type) for f in _ARROW], schema=_ARROW)
 
 
-def find(docs: DataFrame, *, reach: int = 4, support: int = 2, threshold: float = 0.9) -> DataFrame:
+def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFrame:
     """One row per document: doc_id, n_<kind>, base_sha256, spans, n_term.
 
-    reach: words on either side of an entity that count as beside it. support: documents in which a
-    pair must co-occur. threshold: share of the entity's information that a term must give away.
+    support: documents in which a pair must co-occur, wherever in them. threshold: share of the entity's
+    information that a term must give away.
     """
-    scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(reach), SCAN), "pii")
+    scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(), SCAN), "pii")
     rows = scanned.filter(F.col("base_sha256").isNotNull())
     total = rows.count()
-    beside = rows.filter(F.size("context") > 0).select("doc_id", "text_key", F.inline("context"))
-    together = beside.groupBy("doc_id", "text_key", "term", "entity").agg(F.lit(1).alias("one")).groupBy("term", "entity").agg(F.count(F.lit(1)).alias("co"))
+    # Copies of a text have the same entities and words: each text is opened once, with its number of rows.
+    held = rows.filter(F.col("text_key").isNotNull())
+    asked = held.select("text_key", F.explode("entities").alias("entity")).groupBy("text_key", "entity").agg(F.count(F.lit(1)).alias("n"))
+    # A pair is in no more documents than its entity, so entities without support have none.
+    entities = asked.groupBy("entity").agg(F.sum("n").alias("entity_df")).filter(F.col("entity_df") >= support)
+    asked = asked.join(entities, "entity")
+    words = held.join(asked.select("text_key").distinct(), "text_key", "left_semi").select("text_key", F.inline("words")).distinct()
+    words = staged(words, "pii_words")
+    asked = staged(asked, "pii_entities")
+    together = words.select("text_key", "term").distinct().join(asked, "text_key").groupBy("term", "entity", "entity_df").agg(F.sum("n").alias("co"))
     together = together.filter(F.col("co") >= support)
-    entities = beside.select("doc_id", "text_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_df"))
     # The few pairs with support pick their terms out of the counts of all terms.
     terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull()).select("term", "df")
     terms = terms.join(together.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("term_df"))
-    counted = together.join(entities, "entity").join(terms, "term")
+    counted = together.join(terms, "term")
     shared = F.log2(F.col("co") * F.lit(float(total)) / (F.col("term_df") * F.col("entity_df")))
     own = F.log2(F.lit(float(total)) / F.col("entity_df"))
     telling = counted.filter((own > 0) & (shared >= threshold * own)).select("term", "entity")
-    added = beside.join(telling, ["term", "entity"]).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", F.col("stop").alias("end"))).alias("terms"))
+    marked = asked.join(telling, "entity").select("text_key", "term").distinct()
+    added = words.join(marked, ["text_key", "term"]).groupBy("text_key").agg(F.collect_set(F.struct("start", F.col("stop").alias("end"))).alias("terms"))
     out = rows.select("doc_id", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base")
     plain = out.filter(F.col("text_key").isNull()).withColumn("terms", F.lit(None).cast("array<struct<start:int,end:int>>"))
-    out = plain.unionByName(out.filter(F.col("text_key").isNotNull()).join(added, ["doc_id", "text_key"], "left"))
+    out = plain.unionByName(out.filter(F.col("text_key").isNotNull()).join(added, "text_key", "left").select(*plain.columns))
     return out.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", _all_spans("base", "terms").alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"))
 
 
