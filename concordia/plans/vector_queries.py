@@ -12,11 +12,11 @@ _QUERIES = "vec_id % 50 = 0"
 _STATED = "vec_id % 20 = 0"
 
 
-def _ranked(where: str = "") -> str:
+def _ranked(where: str = "", queries: str = _QUERIES) -> str:
     return f"""
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score
-  FROM embeddings q JOIN embeddings c ON true {where} WHERE q.{_QUERIES})"""
+  FROM embeddings q JOIN embeddings c ON true {where} WHERE q.{queries})"""
 
 
 @query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked()}) WHERE rank <= 10")
@@ -40,6 +40,28 @@ def cosine_triage(spark, sf_dir):
     return V.best_k(best, 1, "vec_id").select("query_id", V.triage("score").alias("verdict"))
 
 
+@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked(queries=_STATED)}) WHERE rank <= 10")
+def cosine_topk_whole(spark, sf_dir):
+    """cosine_topk over the stated set of queries."""
+    e = read(spark, sf_dir, "embeddings")
+    return V.exact_search(e, e.filter(_STATED), 10).withColumn("score", F.round("score", 6))
+
+
+@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked('AND q.label IS DISTINCT FROM c.label', _STATED)}) WHERE rank <= 5")
+def cross_label_knn_whole(spark, sf_dir):
+    e = read(spark, sf_dir, "embeddings")
+    return V.exact_search(e, e.filter(_STATED), 5, group="label").withColumn("score", F.round("score", 6))
+
+
+@query(f"""
+SELECT query_id, CASE WHEN score >= 0.92 THEN 'auto-bind' WHEN score >= 0.80 THEN 'review' WHEN score >= 0.65 THEN 'review-caution' ELSE 'novel' END AS verdict FROM ({_ranked('AND q.vec_id <> c.vec_id', _STATED)}) WHERE rank = 1
+""")
+def cosine_triage_whole(spark, sf_dir):
+    e = read(spark, sf_dir, "embeddings")
+    best = V.exact_search(e, e.filter(_STATED), 2).filter("query_id <> vec_id")
+    return V.best_k(best, 1, "vec_id").select("query_id", V.triage("score").alias("verdict"))
+
+
 @query("SELECT round(min(n), 5) AS min_norm, round(max(n), 5) AS max_norm, round(avg(n), 5) AS mean_norm, bool_and(abs(n - 1) <= 1e-5) AS all_unit FROM (SELECT sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)")
 def norm_stats(spark, sf_dir):
     s = V.norm_stats(read(spark, sf_dir, "embeddings"))
@@ -50,7 +72,7 @@ def norm_stats(spark, sf_dir):
 def self_recall(spark, sf_dir):
     """Every vector of unit length finds itself first."""
     e = read(spark, sf_dir, "embeddings")
-    q = e.filter(_QUERIES)
+    q = e.filter(_STATED)
     return V.recall_at(V.exact_search(e, q, 10), q.select(F.col("vec_id").alias("query_id"), "vec_id"))
 
 

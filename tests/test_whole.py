@@ -1,5 +1,7 @@
 """Queries that must do the whole of their job: recall of the indexes, all rows, all patterns."""
 
+import numpy as np
+
 from concordia.operators import vectors
 from concordia.plans.catalog import QUERIES
 from concordia.schema import to_elements
@@ -51,3 +53,14 @@ def test_pii_whole_documents(spark):
         assert "term:0:7" in spans and f"term:{last - 7}:{last}" in spans
         assert got[i]["n_term"] == 3 and "near" not in {texts[0][int(s.split(":")[1]) : int(s.split(":")[2])] for s in spans}
     assert got[10]["spans"] == ""
+
+
+def test_stated_queries(spark, sf):
+    """Every row divisible by 20 is asked; self-recall is counted here, not by a constant."""
+    asked = {r[0] for r in spark.read.parquet(f"{sf}/embeddings.parquet").filter("vec_id % 20 = 0").select("vec_id").collect()}
+    for name in ("cosine_topk_whole", "cross_label_knn_whole", "cosine_triage_whole"):
+        assert {r["query_id"] for r in QUERIES[name](spark, sf).collect()} == asked
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    m = {r["vec_id"]: np.array(r["embedding"], float) for r in e}
+    want = np.mean([max(m, key=lambda k, q=q: (m[q] @ m[k], -k)) == q for q in asked])
+    assert QUERIES["self_recall"](spark, sf).first()["recall_1"] == want
