@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.priority import FLAGS, is_required, parse_priority
 from ..schema import construction_checks
+from ..session import checkpointed
 
 ERROR, WARNING, INFO = "ERROR", "WARNING", "INFO"
 FINDING = "severity string, code string, message string, item string, field string"
@@ -92,16 +93,16 @@ def lineage_note(context: DataFrame) -> DataFrame:
     return _inline(context.withColumn("item", F.lit(None).cast("string")), [_finding(on, INFO, "LINEAGE_CHECK_DEFERRED", "sample lineage wasn't checked", None)])
 
 
-def lineage_findings(samples: DataFrame, most: int = 64) -> DataFrame:
+def lineage_findings(samples: DataFrame) -> DataFrame:
     """Samples (sample_id, parent_id, subject_id) whose ancestors are missing, go in circles, or are of another subject.
 
-    Each round follows one parent of all open samples at once, for at most `most` generations.
+    Each round follows one parent of all open samples at once, until none is open: a sample whose ancestors go in circles is closed when one comes again.
     """
     roots = samples.select(F.col("sample_id").alias("at"), F.col("parent_id").alias("next"), F.col("subject_id").alias("owner"))
     open_ = samples.filter("parent_id is not null").select("sample_id", "subject_id", F.col("parent_id").alias("at"), F.array("sample_id").alias("seen"))
     bad = []
-    for _ in range(most):
-        step = open_.join(roots, "at", "left").checkpoint() if open_.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else open_.join(roots, "at", "left").persist()
+    while True:
+        step = checkpointed(open_.join(roots, "at", "left"))
         state = F.when(F.col("owner").isNull() & F.col("next").isNull(), "PARENT_MISSING").when(F.array_contains("seen", F.col("at")), "LINEAGE_CIRCLE").when(F.col("owner") != F.col("subject_id"), "SUBJECT_MISMATCH")
         bad.append(step.withColumn("code", state).filter("code is not null").select("sample_id", "code", "at"))
         open_ = step.filter(state.isNull() & F.col("next").isNotNull()).select("sample_id", "subject_id", F.col("next").alias("at"), F.array_append("seen", F.col("at")).alias("seen"))

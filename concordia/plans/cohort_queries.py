@@ -77,8 +77,18 @@ def curation_winners(spark, sf_dir):
 
 @query("SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item FROM part WHERE p_partkey % 10 = 5 AND p_partkey < 100")
 def sample_lineage(spark, sf_dir):
+    return _lineage(read(spark, sf_dir, "part").filter("p_partkey < 100"))
+
+
+@query("SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item FROM part WHERE p_partkey % 10 = 5")
+def sample_lineage_whole(spark, sf_dir):
+    """sample_lineage over all parts."""
+    return _lineage(read(spark, sf_dir, "part"))
+
+
+def _lineage(part):
     k = F.col("p_partkey")
-    s = read(spark, sf_dir, "part").filter(k < 100).select(k.alias("sample_id"), F.when(k % 10 == 5, -k).when(k % 10 == 6, k - 2).when(k % 10 == 4, k - 1).alias("parent_id"), F.lit(1).alias("subject_id"))
+    s = part.select(k.alias("sample_id"), F.when(k % 10 == 5, -k).when(k % 10 == 6, k - 2).when(k % 10 == 4, k - 1).alias("parent_id"), F.lit(1).alias("subject_id"))
     return validation.lineage_findings(s).select("code", "item")
 
 

@@ -40,6 +40,12 @@ def string_union(spark, sf_dir):
     return e.groupBy("event_type").agg(dedup.string_union("props").alias("names"))
 
 
+@query("SELECT event_type, string_agg(DISTINCT props, '|' ORDER BY props) AS names FROM events GROUP BY event_type")
+def string_union_whole(spark, sf_dir):
+    """string_union over all events."""
+    return read(spark, sf_dir, "events").groupBy("event_type").agg(dedup.string_union("props").alias("names"))
+
+
 @query("""
 SELECT o_custkey, array_to_string(list_sort(list_distinct(flatten(list([o_orderstatus, o_orderpriority])))), ',') AS names
 FROM orders GROUP BY o_custkey

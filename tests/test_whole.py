@@ -64,3 +64,34 @@ def test_stated_queries(spark, sf):
     m = {r["vec_id"]: np.array(r["embedding"], float) for r in e}
     want = np.mean([max(m, key=lambda k, q=q: (m[q] @ m[k], -k)) == q for q in asked])
     assert QUERIES["self_recall"](spark, sf).first()["recall_1"] == want
+
+
+def test_whole_edges(spark, sf):
+    """All rows of lineitem, against plain loops."""
+    edges = {(r[0], r[1]) for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_partkey", "l_suppkey").collect()}
+    by = {}
+    for p, s in edges:
+        by.setdefault(s, set()).add(p)
+    want = {(a, b, s) for s, ps in by.items() for a in ps for b in ps if a < b}
+    got = [tuple(r) for r in QUERIES["coreference_pairs_whole"](spark, sf).select("id_a", "id_b", "target_code").collect()]
+    assert len(got) == len(want) and set(got) == want
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for p, s in edges:
+        a, b = sorted((top(p), top(s + 10000000)))
+        up[b] = a
+    assert {r["node"]: r["component"] for r in QUERIES["connected_components"](spark, sf).collect()} == {x: top(x) for x in up}
+
+
+def test_long_lineage(spark):
+    """A mismatch more than 64 generations up is found."""
+    from concordia.operators import validation
+
+    samples = spark.createDataFrame([(k, k - 1 if k else None, 1 if k else 9) for k in range(70)], "sample_id long, parent_id long, subject_id long")
+    found = validation.lineage_findings(samples).collect()
+    assert {(r["code"], r["item"]) for r in found} == {("SUBJECT_MISMATCH", str(k)) for k in range(1, 70)}
