@@ -209,8 +209,18 @@ def default_description(spark, sf_dir):
 
 @query("SELECT doc_id, 'email' AS pattern, len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\\.[A-Za-z]{2,}')) AS n FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\\.[A-Za-z]{2,}')")
 def security_scan(spark, sf_dir):
+    return _screened(spark, sf_dir, {"email": reports.FORBIDDEN["email"]})
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id, '{name}' AS pattern, len(regexp_extract_all(text, '{p}')) AS n FROM documents WHERE regexp_matches(text, '{p}')" for name, p in reports.FORBIDDEN.items()))
+def security_scan_whole(spark, sf_dir):
+    """security_scan with all patterns."""
+    return _screened(spark, sf_dir, reports.FORBIDDEN)
+
+
+def _screened(spark, sf_dir, patterns):
     d = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
-    found = reports.screen_content(d, "path", "text", {"email": reports.FORBIDDEN["email"]})
+    found = reports.screen_content(d, "path", "text", patterns)
     return found.groupBy(F.col("path").cast("long").alias("doc_id"), "pattern").agg(F.count(F.lit(1)).alias("n"))
 
 

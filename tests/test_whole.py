@@ -95,3 +95,15 @@ def test_long_lineage(spark):
     samples = spark.createDataFrame([(k, k - 1 if k else None, 1 if k else 9) for k in range(70)], "sample_id long, parent_id long, subject_id long")
     found = validation.lineage_findings(samples).collect()
     assert {(r["code"], r["item"]) for r in found} == {("SUBJECT_MISMATCH", str(k)) for k in range(1, 70)}
+
+
+def test_all_patterns(spark, tmp_path):
+    """A document for each of the nine patterns, and one without any."""
+    texts = {
+        "private_key": "-----BEGIN RSA PRIVATE KEY-----", "aws_key": "AKIA" + "A1" * 8, "github_token": "ghp_" + "aB3" * 12, "password": "Password: hunter22", "api_key": "api-key = 123456789", "secret": "SECRET=abcdefgh",
+        "bearer": "Bearer " + "a.b-" * 6, "connection": "postgres://u:p@host", "email": "a@b.org",
+    }
+    rows = [(k, f"some words\n{t} end") for k, t in enumerate(texts.values())] + [(9, "some words")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["pattern"], r["n"]) for r in QUERIES["security_scan_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(k, name, 1) for k, name in enumerate(texts)}
