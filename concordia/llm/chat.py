@@ -11,13 +11,17 @@ Inside roles and texts the characters that begin control strings are written as
 in a text can look like a mark, and replacing the entities gives the text back. The loss mask lists the
 code point spans of the assistant's texts, escaped as they stand.
 
-Defined results: a null text or role is empty; a record of an unknown layout has a null layout and no
-turns; equal turn numbers are ordered by role, then text; a conversation that has no rows has no output.
+Defined results: a null text or role is empty; a null conv_id is a conversation of its own, of all such
+turns; a null turn comes first; repeated turns are repeated; texts are whole; other columns of a typed
+table take no part, whatever their names, as its mapping reads fields by their paths; a record of an unknown
+layout has a null layout and no turns; equal turn numbers are ordered by role, then text; a conversation
+that has no rows has no output, and an empty table gives no rows.
 A conversation is one output row: its turns are gathered in one place, as its digest needs them in order.
 """
 
 from __future__ import annotations
 
+import hashlib
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -80,6 +84,11 @@ def _layouts() -> dict[str, str]:
     return found
 
 
+def print_of(form: str) -> str:
+    """The fingerprint of a canonical form, as fingerprint() gives it for a column of them."""
+    return hashlib.sha256(form.encode()).hexdigest()[:16]
+
+
 def fingerprint(paths_form: Column) -> Column:
     return F.substring(F.sha2(paths_form, 256), 1, 16)
 
@@ -105,10 +114,11 @@ def layout_of(df: DataFrame) -> str | None:
     A mapping's fingerprint is compared with that of the table's columns that the mapping names, so other
     columns don't matter; of several that fit, the one that names most columns is taken, then the first.
     """
-    paths, layouts, best = schema_paths(df.schema), _layouts(), None
+    paths, best = schema_paths(df.schema), None
+    by_print = {print_of(form): name for form, name in _layouts().items()}
     for name, m in MAPPINGS.items():
         own = [p for p in paths if p in (*m["fields"], *m.get("optional", ()))]
-        if own and layouts.get(canonical(own)) == name and (best is None or len(own) > best[0]):
+        if own and by_print.get(print_of(canonical(own))) == name and (best is None or len(own) > best[0]):
             best = (len(own), name)
     return best and best[1]
 
@@ -152,7 +162,7 @@ def json_turns(df: DataFrame, record: str = "record", conv_id: str = "conv_id")
     A record that can't be parsed or has an unknown layout gives one row with null layout and turn.
     """
     layouts = _layouts()
-    by_print = F.create_map(*[x for form, name in layouts.items() for x in (fingerprint(F.lit(form)), F.lit(name))])
+    by_print = F.create_map(*[F.lit(x) for form, name in layouts.items() for x in (print_of(form), name)])
     parsed = df.select(F.col(conv_id).alias("conv_id"), F.try_parse_json(F.col(record)).alias("v"))
     named = parsed.withColumn("layout", F.try_element_at(by_print, fingerprint(json_form(F.col("v")))))
     v, kind = F.col("v"), "array<struct<turn:bigint,role:string,text:string>>"

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that are worked on at once.
-CHUNK_BYTES = 1 << 21
+#: Bytes of text that are worked on at once, and rows that Spark hands to a Python worker at once.
+CHUNK_BYTES, BATCH_ROWS = 1 << 19, 1024
 
 #: Fixed values of the word contract: the bytes between words.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -25,20 +25,30 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset.
+
+    A folder of our own is on this machine, so without the setting only a local master is accepted.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             path = found.get()
+        elif spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             path = "file://" + tempfile.mkdtemp(prefix="concordia-")
             spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+#: Paths of tables that this process has staged and not released.
+_STAGED: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/concordia/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(f"{shared_dir(spark)}/concordia/{name}-{uuid.uuid4().hex}")
+    return _STAGED[-1]
 
 
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -48,7 +58,40 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_so_far() -> int:
+    """A mark for release()."""
+    return len(_STAGED)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove one staged table."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(target, True)
+    if path in _STAGED:
+        _STAGED.remove(path)
+
+
+def release(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Remove the tables staged since a mark, but for one to keep: call it when what reads them has been written."""
+    for path in _STAGED[since:]:
+        if path != keep:
+            discard(spark, path)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch for this session: Spark bounds a batch by rows alone, and texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def row_key(df: DataFrame) -> F.Column:
+    """A key of a whole row, 128 bits of all its columns: rows that share it are equal in every column."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -77,12 +120,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets) of runs of texts of about limit bytes, a text at least."""
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, most: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets) of runs of texts of about limit bytes and most rows, a text at least."""
     raw, offs = text_buffers(column)
     lo, n = 0, len(offs) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
+        hi = min(lo + most, max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1))
         yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         lo = hi
 
@@ -127,16 +170,18 @@ _BYTE_VALUES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least n of each."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        _POWERS[:] = []
-        for b in (_BASE, inverse):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS[0], _POWERS[1]
+    """Powers of the base and of its inverse, at least n of each; only those of a usual chunk are remembered."""
+    size = max(n, CHUNK_BYTES + 4096)
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for b in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+        p = np.full(size, b, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if size <= CHUNK_BYTES + 4096:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

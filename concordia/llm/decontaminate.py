@@ -9,9 +9,14 @@ Texts are compared in lower case with white space characters alike, one characte
 code points of the text itself. Items are the query set: they are read in blocks of bounded size, each
 broadcast against all documents.
 
-Defined results: null texts and items have no hits, nor have items of fewer than LEAST characters (a
-few common words would be found everywhere); equal items are each reported; repeated rows are reported
-each; an item that a document holds several times is reported once, where it has fewest edits, first.
+Items too short for an edit, under 1 / ERRORS characters, are matched exactly and between word boundaries, so
+that one word of an item isn't found inside another word.
+
+Defined results: null and blank items are nowhere found, null and empty texts hold none; items without an
+item_id are not read; equal items are each reported; repeated rows are reported each, and rows without a
+doc_id with a null one; an item that a document holds several times is reported once, where it has fewest
+edits, then first; empty tables give no rows. Texts are whole: the longest is the least that a worker holds.
+Other columns, whatever their names, take no part, and clean() passes them on.
 """
 
 from __future__ import annotations
@@ -27,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import text_chunks
 
-#: Edits for each character of an item; characters that an item needs; characters of items in a block.
-ERRORS, LEAST, BLOCK_CHARS = 0.06, 32, 4 << 20
+#: Edits for each character of an item; characters of items in a block, whose automaton takes some 60 bytes for each.
+ERRORS, BLOCK_CHARS = 0.06, 2 << 20
 
 
 def normal(text: str) -> str:
@@ -70,6 +75,12 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
     return best
 
 
+def _bounded(text: str, start: int, end: int) -> bool:
+    """Whether neither end of text[start:end] lies inside a word."""
+    inside = lambda at: 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+    return not inside(start) and not inside(end)
+
+
 class Items:
     """A block of test items and the automaton over their pieces."""
 
@@ -105,6 +116,8 @@ class Items:
 
     def _verify(self, k: int, text: str, begins: list[int]) -> tuple[int, int, int] | None:
         item, budget = self.texts[k], self.budgets[k]
+        if not budget:  # the one piece is the item
+            return next(((0, b, b + len(item)) for b in begins if _bounded(text, b, b + len(item))), None)
         for b in begins:
             if b >= 0 and text.startswith(item, b):
                 return 0, b, b + len(item)
@@ -130,12 +143,12 @@ class Items:
 _BLOCKS: dict[str, Items] = {}
 
 
-def blocks(benchmark: DataFrame, least: int = LEAST) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size, read one row at a time."""
     held, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null and item_id is not null").toLocalIterator():
         text = normal(row["text"]).strip()
-        if len(text) < least:
+        if not text:
             continue
         held.append((row["item_id"], text))
         size += len(text)
@@ -155,12 +168,12 @@ def _items(sent, errors: float) -> Items:
     return _BLOCKS[key]
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS, least: int = LEAST) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) -> DataFrame:
     """(doc_id, item_id, edits, start, end): test items that documents hold."""
     spark, schema = docs.sparkSession, "doc_id long, item_id long, edits int, start long, end long"
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = None
-    for block in blocks(benchmark, least):
+    for block in blocks(benchmark):
         sent = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -179,10 +192,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS, le
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS, least: int = LEAST) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) -> DataFrame:
     """docs without the rows whose text holds a test item; one pass, and no shuffle, for each block of items."""
     at = docs.columns.index("text")
-    for block in blocks(benchmark, least):
+    for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block))
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

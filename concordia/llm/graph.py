@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-#: Rounds double the reach of a label, so this is far beyond any graph that fits a disk.
+#: A graph that takes more rounds raises an error; nothing is returned unfinished. A round carries a label one edge
+#: further at least, and along labels that it has already found by a jump.
 MOST_ROUNDS = 200
 
 

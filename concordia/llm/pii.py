@@ -10,8 +10,13 @@ spans of kind "term", which are removed; base spans are generalised to their kin
 Offsets are code points, ends exclusive. The patterns are matched so that no text takes more than
 linear time: an e-mail is found from its @ backwards, digits are never tried twice.
 
-Defined results: a null text is empty and has no spans; repeated rows are separate rows with equal
-results, and count as documents of their own; an empty table gives no rows.
+Counts and spans follow texts, not ids: rows of equal texts have equal spans, whatever their ids, and each
+row counts as a document in all counts, those of terms, of entities, of pairs and of the whole.
+
+Defined results: a null text is empty and has no spans; rows without a doc_id and rows that share one are
+documents of their own; of spans that begin together base ones come first, by kind; an empty table gives no
+rows; a text is never cut, so the longest one is the least that a worker holds; other columns, whatever
+their names, take no part, and sanitised() passes them on.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +104,10 @@ def _hashes(words: list[str]) -> np.ndarray:
     return word_hashes(_LOWER[raw], starts, ends).view(np.int64)
 
 
+def _text_key(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
 def _entities(text: str, spans) -> list[int]:
     """The distinct entities of a text, as hashes."""
     return sorted({int.from_bytes(hashlib.blake2b(f"{kind}:{text[a:b].lower()}".encode(), digest_size=8).digest(), "little", signed=True) for a, kind, b in spans})
@@ -173,7 +183,7 @@ def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBat
         named = _written((a, KINDS[k], b) for a, k, b in spans)
         for kind, name in enumerate(KINDS):
             rows[f"n_{name}"].append(sum(s[1] == kind for s in spans))
-        rows["text_key"].append(int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True) if spans else None)
+        rows["text_key"].append(_text_key(own) if spans else None)
         rows["base_sha256"].append(hashlib.sha256(named.encode()).hexdigest())
         rows["base"].append(named)
         rows["entities"].append(_entities(text, spans) if spans else None)
@@ -184,9 +194,9 @@ def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBat
 
 
 def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFrame:
-    """One row per document: doc_id, n_<kind>, base_sha256, spans, n_term.
+    """One row per document: doc_id, n_<kind>, base_sha256, spans, n_term, text_key.
 
-    support: documents in which a pair must co-occur, wherever in them. threshold: share of the entity's
+    text_key: 64 bits of the text's digest, null where it has no spans. support: documents in which a pair must co-occur, wherever in them. threshold: share of the entity's
     information that a term must give away.
     """
     scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(), SCAN), "pii")
@@ -215,7 +225,7 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFr
     out = rows.select("doc_id", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base")
     plain = out.filter(F.col("text_key").isNull()).withColumn("terms", F.lit(None).cast("array<struct<start:int,end:int>>"))
     out = plain.unionByName(out.filter(F.col("text_key").isNotNull()).join(added, "text_key", "left").select(*plain.columns))
-    return out.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", _all_spans("base", "terms").alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"))
+    return out.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", _all_spans("base", "terms").alias("spans"), F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"), "text_key")
 
 
 def _all_spans(base: str, terms: str) -> F.Column:
@@ -242,12 +252,16 @@ def sanitise(text: str, spans: str) -> str:
 
 
 def sanitised(docs: DataFrame, **options) -> DataFrame:
-    """Documents with their texts sanitised."""
-    spans = find(docs, **options).filter("spans <> ''").groupBy("doc_id").agg(F.collect_set("spans").alias("spans"))
+    """Documents with their texts sanitised. Spans are those of the text, so they are looked up by its key."""
+    spans = find(docs, **options).filter("text_key is not null").groupBy("text_key").agg(F.first("spans").alias("__spans"))
+
+    @F.pandas_udf("long")
+    def key(texts):
+        return pd.Series([None if t is None or not base_spans(t) else _text_key(t.encode("utf-8", "replace")) for t in texts], dtype="Int64")
 
     @F.pandas_udf("string")
     def clean(texts, all_spans):
-        return texts.combine(all_spans, lambda t, s: t if t is None or s is None or len(s) == 0 else sanitise(t, s[0]) if len(s) == 1 else sanitise(t, _written((a, k, b) for a, _, k, b in sorted((a, i, KINDS[i], b) for a, i, b in base_spans(t)))))
+        return texts.combine(all_spans, lambda t, s: t if t is None or s is None else sanitise(t, s))
 
-    joined = docs.join(spans.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
-    return joined.withColumn("text", clean("text", "spans")).select(*docs.columns)
+    joined = docs.withColumn("__key", key(F.col("text").cast("string"))).join(spans.withColumnRenamed("text_key", "__text_key"), F.col("__key") == F.col("__text_key"), "left")
+    return joined.withColumn("text", clean("text", "__spans")).select(*docs.columns)

@@ -11,8 +11,13 @@ would have found them, are linked through complete balls of radius 1 instead. Tw
 most 2 bits apart exactly if their complete balls share a point, so each point links all that have it
 to the smallest one; that takes 65 rows a fingerprint and loses no link.
 
+Links are made between fingerprints, not ids, so rows without a doc_id and rows that share one link like
+any other: a component's id is the smallest doc_id that any row of it has, null only if none has one.
+
 Defined results: a text without words, an empty or a null text has fingerprint zero and links like any
-other; fewer words than a shingle are one shingle of all of them; repeated rows are separate rows.
+other; fewer words than a shingle are one shingle of all of them; a bit that exactly half of the hashes
+have is 0; repeated rows are separate rows of one component; an empty table gives no rows; a text is never
+cut, so the longest one is the least that a worker holds; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_chunks
+from .common import row_key, staged, text_chunks
 from .graph import components
 
 #: Entries of a segment value's bucket beyond which its links go through complete balls.
@@ -77,8 +82,8 @@ def _bit_counts(values: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprints(docs: DataFrame, *, width: int = 3, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, *, width: int = 3, seed: int = SEED, key: F.Column | None = None) -> DataFrame:
+    """(doc_id, fp, and key if one is given): fp is the fingerprint's 64 bits as a signed long, key a string."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,9 +91,14 @@ def fingerprints(docs: DataFrame, *, width: int = 3, seed: int = SEED) -> DataFr
             for lo, hi, raw, offs in text_chunks(column):
                 data = raw.tobytes()
                 own = [data[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
-                yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(_fingerprints(own, width, seed).view(np.int64))], names=["doc_id", "fp"])
+                found = pa.array(_fingerprints(own, width, seed).view(np.int64))
+                rest = [batch.column(k).slice(lo, hi - lo) for k in range(2, batch.num_columns)]
+                yield pa.record_batch([ids.slice(lo, hi - lo), found, *rest], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, "doc_id long, fp long")
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    if key is None:
+        return docs.select(*own).mapInArrow(scan, "doc_id long, fp long")
+    return docs.select(*own, key.alias("key")).mapInArrow(scan, "doc_id long, fp long, key string")
 
 
 def _segments(fp) -> list[F.Column]:
@@ -106,41 +116,59 @@ _BALL_64 = [0] + [1 << k for k in range(63)] + [-(1 << 63)]
 
 
 def links(nodes: DataFrame, *, bits: int = 2, crowd: int = CROWD) -> DataFrame:
-    """(a, b): edges between nodes (node, fp; fp distinct) whose fingerprints differ in at most 2 bits.
+    """(a, b): edges between distinct fingerprints (nodes: fp) that differ in at most 2 bits.
 
-    All such pairs below crowded buckets; in crowded ones, edges that connect the same nodes.
+    All such pairs below crowded buckets; in crowded ones, edges that connect the same fingerprints.
     """
     if bits != 2:
         raise ValueError("two segments with balls of radius 1 find exactly the pairs within 2 bits")
     fp = F.col("fp")
-    table = nodes.select("node", "fp", F.explode(F.array(*[_key(k, v) for k, v in enumerate(_segments(fp))])).alias("key"))
+    table = nodes.select("fp", F.explode(F.array(*[_key(k, v) for k, v in enumerate(_segments(fp))])).alias("key"))
     ball = F.array(*map(F.lit, _BALL_32))
     high, low = _segments(fp)
     balls = F.concat(F.transform(ball, lambda m: _key(0, high.bitwiseXOR(m))), F.transform(ball, lambda m: _key(1, low.bitwiseXOR(m))))
-    probes = nodes.select(F.col("node").alias("p_node"), F.col("fp").alias("p_fp"), F.explode(balls).alias("key"))
+    probes = nodes.select(F.col("fp").alias("p_fp"), F.explode(balls).alias("key"))
     crowded = staged(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded")
-    # One lookup finds both: entries of sparse buckets, and marks of crowded ones (with no node).
-    mark = crowded.select("key", F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("fp"))
-    targets = table.join(crowded, "key", "left_anti").select("key", "node", "fp").union(mark)
-    near = (F.col("p_node") != F.col("node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("p_fp"))) <= bits)
-    hits = staged(probes.join(targets, "key").filter(F.col("node").isNull() | near).select("p_node", "p_fp", "node"), "hits")
-    found = hits.filter("node is not null").select(F.col("p_node").alias("a"), F.col("node").alias("b"))
+    # One lookup finds both: entries of sparse buckets, and marks of crowded ones (with no fingerprint).
+    mark = crowded.select("key", F.lit(None).cast("long").alias("fp"))
+    targets = table.join(crowded, "key", "left_anti").select("key", "fp").union(mark)
+    near = (F.col("p_fp") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("p_fp"))) <= bits)
+    hits = staged(probes.join(targets, "key").filter(F.col("fp").isNull() | near).select("p_fp", "fp"), "hits")
+    found = hits.filter("fp is not null").select(F.col("p_fp").alias("a"), F.col("fp").alias("b"))
     if crowded.isEmpty():
         return found
-    rest = hits.filter("node is null").select(F.col("p_node").alias("node"), F.col("p_fp").alias("fp")).distinct()
-    points = rest.select("node", "fp", F.explode(F.transform(F.array(*map(F.lit, _BALL_64)), lambda m: fp.bitwiseXOR(m))).alias("point"))
-    heads = points.groupBy("point").agg(F.min(F.struct("node", "fp")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("point", "head")
-    star = points.join(heads, "point").filter((F.col("head.node") != F.col("node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("head.fp"))) <= bits))
-    return found.union(star.select(F.col("node").alias("a"), F.col("head.node").alias("b")))
-
-
-def near_duplicates(docs: DataFrame, *, width: int = 3, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, fp, component_id): the smallest doc_id that links reach, for each row of docs."""
-    prints = staged(fingerprints(docs, width=width), "fingerprints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    groups = components(links(nodes, crowd=crowd))
-    named = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp")
+    rest = hits.filter("fp is null").select(F.col("p_fp").alias("fp")).distinct()
+    points = rest.select("fp", F.explode(F.transform(F.array(*map(F.lit, _BALL_64)), lambda m: fp.bitwiseXOR(m))).alias("point"))
+    heads = points.groupBy("point").agg(F.min("fp").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("point", "head")
+    star = points.join(heads, "point").filter((F.col("head") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= bits))
+    return found.union(star.select(F.col("fp").alias("a"), F.col("head").alias("b")))
+
+
+def near_duplicates(docs: DataFrame, *, width: int = 3, crowd: int = CROWD, key: F.Column | None = None) -> DataFrame:
+    """(doc_id, fp, component_id, and group and key if a key is given) of each row of docs.
+
+    component_id: the smallest doc_id that links reach; group: a fingerprint that stands for the component.
+    """
+    prints = staged(fingerprints(docs, width=width, key=key), "fingerprints")
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    groups = components(links(nodes.select("fp"), crowd=crowd)).select(F.col("node").alias("fp"), "component")
+    named = staged(nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups")
+    # Most groups are one fingerprint: only those of several meet to find their smallest id.
+    several = named.filter("group <> fp").select("group").distinct()
+    least = named.join(several, "group", "left_semi").groupBy("group").agg(F.min("least").alias("lowest"))
+    of_print = named.join(least, "group", "left").select("fp", "group", F.coalesce("lowest", "least").alias("component_id"))
+    out = prints.join(of_print, "fp")
+    return out.select("doc_id", "fp", "component_id") if key is None else out.select("doc_id", "fp", "component_id", "group", "key")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id, then of the smallest row key; rows without an id come last."""
+    keyed = docs.withColumn("__row", row_key(docs))
+    found = near_duplicates(docs, key=row_key(docs), **options)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+    stay = first.select(F.col("first.key").alias("__row"))
+    # Rows that share a key are equal in every column; one of them stays.
+    return keyed.join(stay, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def fingerprint_hex(fp) -> F.Column:

@@ -12,7 +12,8 @@ def _unit(text: str) -> str:
 
 
 MIXING = f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, floor({_unit("doc_id::VARCHAR")} * {mixing.BLOCKS})::INTEGER AS block FROM documents),
+WITH d AS (SELECT doc_id, source, size, digest, floor({_unit("concat_ws(':', doc_id::VARCHAR, digest)")} * {mixing.BLOCKS})::INTEGER AS block
+  FROM (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(coalesce(text, '')) AS digest FROM documents)),
 e AS (SELECT *, CASE WHEN block % 2 = 0 THEN size ELSE {mixing.FALLING} - size END AS slot FROM d),
 t AS (SELECT source, sum(size)::BIGINT AS source_size FROM e GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM t),
@@ -23,7 +24,7 @@ x AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS all_we
 y AS (SELECT *, (total - cap_before)::DOUBLE / (all_weight - weight_before)::DOUBLE AS level FROM x),
 z AS (SELECT (SELECT level FROM y WHERE level * weight <= cap ORDER BY cap / weight, place LIMIT 1) AS water),
 g AS (SELECT source, source_size, least(cap::DOUBLE, coalesce(water * weight, cap::DOUBLE)) AS target FROM y, z),
-p AS (SELECT *, sum(CASE WHEN size > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY slot, block, doc_id ROWS UNBOUNDED PRECEDING) AS nth FROM e),
+p AS (SELECT *, sum(CASE WHEN size > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY slot, block, doc_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING) AS nth FROM e),
 q AS (SELECT p.doc_id, p.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate, p.nth,
   {_unit("'42:' || coalesce('s' || p.source, 'null')")} AS o FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN (least(floor(o + nth * rate) - floor(o + (nth - 1) * rate), 3)::BIGINT * size)::BIGINT ELSE 0 END AS taken FROM q

@@ -1,25 +1,30 @@
 """Substring dedup by relative Lempel-Ziv factors of words against an index of all documents.
 
-The reference of a document is all text of documents with smaller ids. A factor is a run of its words
-that the reference holds; factors of at least WINDOW words count. Greedy factors of single reference
-blocks may end inside such a run where the next block begins, so every boundary is checked: a factor is
-extended word by word as long as each window of WINDOW words that ends there stands in the reference.
-
-The index is dealt out by anchors. A window's anchor is the smallest hash of its GRAM-word grams, so equal
-windows have equal anchors, wherever they stand; neighbouring windows share one, so an entry holds a run
-of them. An index block is all entries of an anchor: the block's smallest document with a window is that
-window's reference, and a window whose reference is a smaller document is repeated. Blocks are sorted by
-anchor and document and read as a stream, so that a worker holds a bounded number of entries and, of the
-block that is open, one reference for each different window.
-
-Anchors that a large share of the documents have (found on a sample; they are few by their definition)
-don't go to one block: their entries are dealt out SALTS ways or more, by document. All of a window's
-entries under a salt but the first are repeated; the first ones of all salts, few, are compared once more.
-Either way gives the same windows, so the sample decides on the cost alone.
-
-Defined results: a null text has no words; fewer words than a window: nothing is removed; rows that share
-a doc_id share their removals, by word position, and never count as each other's reference; a null doc_id
-is neither reference nor repeated; windows are equal if their 64-bit hashes and their anchors' are.
+The reference of a document is all text of documents with smaller ids. It is indexed in blocks, and a
+document's words are factored greedily against every block that can hold a factor of theirs: from each word
+on that no factor has reached, the factor is the longest run of words that goes on as the reference does.
+Factors of at least WINDOW words count. Greedy factors of a block may end inside a longer repeat, where the
+reference changes or the next block begins, so boundaries are checked word by word: a word begins a window of
+WINDOW words, and each window that stands in the reference belongs to a factor, also across factors' ends.
+
+Blocks are dealt out by anchors. A window's anchor is the smallest hash of its GRAM-word grams, so equal
+windows have equal anchors, wherever they stand, and no other block can hold one. Neighbouring windows share
+an anchor, so an entry of a block is a run of them: anchor, document, place, and a hash for each word that
+begins a window. A block is sorted by document and place and read as a stream: what was read before is the
+reference, the first holder of a window in it is the source that a factor copies from, and a worker holds a
+bounded number of entries and, of the block that is open, one source for each different window.
+
+Blocks of many entries (anchors found on a sample) are dealt out by document in as many ways as their entries
+ask for. All of a window's entries under a way but the first document's are repeated; the first ones of all
+ways, one row for each way and window, are compared once more. Either way gives the same windows, so the
+sample decides on the cost alone.
+
+Defined results: a null text has no words; fewer words than a window: nothing is removed; rows that share a
+doc_id are judged each by its own words and are never each other's reference; rows equal in both have equal
+results; a null doc_id is neither reference nor repeated; of several sources the one of the smallest doc_id,
+then of the first place, is taken; an empty table gives no rows; texts are whole, the longest is the least
+that a worker holds; other columns, whatever their names, take no part. Windows are equal if their 64-bit
+hashes and their anchors' are; their words are not compared again.
 """
 
 from __future__ import annotations
@@ -36,9 +41,10 @@ from pyspark.sql import functions as F
 from .common import hash_unit, mix64, slice_hashes, staged, text_chunks, word_bounds, word_hashes
 
 WINDOW, GRAM = 50, 25
-#: Windows that a worker holds at once; share of documents in the sample; what makes an anchor crowded there; ways its entries are dealt at
-#: least, and its entries that are dealt one way at most, about.
-HELD, SAMPLE, LEAST_CROWD, CROWD_SHARE, SALTS, SALT_ROWS = 1 << 20, 1 / 16, 64, 1 / 2048, 64, 1 << 16
+#: Windows that a worker holds at once; share of documents in the sample; entries in the sample that make an anchor
+#: crowded at least; the share of all entries there that does; ways that crowded entries are dealt in at least, and
+#: entries of one way at most, about; crowded anchors at most.
+HELD, SAMPLE, LEAST_CROWD, CROWD_SHARE, SALTS, SALT_ROWS, MOST_CROWDED = 1 << 19, 1 / 16, 64, 1 / 2048, 64, 1 << 16, 1 << 18
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -84,11 +90,12 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(F.col("doc_id").isNotNull())
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key")).filter(F.col("doc_id").isNotNull())
 
 
-def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, int]:
-    """Sorted anchors of a large share of the documents, 1 / CROWD_SHARE at most, and how many ways to deal their entries."""
+def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted anchors of many entries, MOST_CROWDED at most, and how many ways to deal each one's entries."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,11 +105,12 @@ def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                 yield pa.record_batch([pa.array(keys.view(np.int64))], names=["anchor"])
 
     sample = _texts(docs).filter(hash_unit(F.lit("sample"), F.col("doc_id")) < SAMPLE)
-    counts = staged(sample.mapInArrow(scan, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchors")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.filter(F.col("n") > max(LEAST_CROWD, total * CROWD_SHARE)).collect()
-    most = max((r["n"] for r in found), default=0) / SAMPLE
-    return np.sort(np.array([r["anchor"] for r in found], np.int64).view(np.uint64)), max(SALTS, math.ceil(most / SALT_ROWS))
+    counts = staged(sample.mapInArrow(scan, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST_CROWD), "anchors")
+    total = (counts.agg(F.sum("n")).first()[0] or 0)
+    bound = max(LEAST_CROWD, min(total * CROWD_SHARE, max(SALT_ROWS * SAMPLE, total / MOST_CROWDED)))
+    found = sorted((np.int64(r["anchor"]).view(np.uint64), r["n"]) for r in counts.filter(F.col("n") > bound).collect())
+    ways = [max(SALTS, math.ceil(n / SAMPLE / SALT_ROWS)) for _, n in found]
+    return np.array([a for a, _ in found], np.uint64), np.array(ways, np.uint64)
 
 
 def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -111,35 +119,43 @@ def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
     return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
-ENTRY = "key long, anchor long, doc_id long, start int, windows binary"
-FOUND = "doc_id long, start int, n int, anchor long, hash long"
+ENTRY = "key long, anchor long, doc_id long, text_key long, start int, windows binary"
+#: Pieces of a row: the factors of its words; or, with anchor and hash, places of a window whose source isn't known yet.
+FOUND = "doc_id long, text_key long, pieces array<struct<start:int,n:int,source:long,source_start:int>>, anchor long, hash long"
+_PIECES = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
 
 
-def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, start, n): n windows from word start on that stand in documents with smaller ids."""
-    crowded, salts = crowded_anchors(docs, window, gram)
-    sent = docs.sparkSession.sparkContext.broadcast(crowded)
+def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(doc_id, text_key, pieces): factors of each text that has any. A factor is n windows from word start on, n + window - 1 words,
+    which stand from word source_start on in the document source, whose id is smaller."""
+    crowded, ways = crowded_anchors(docs, window, gram)
+    sent = docs.sparkSession.sparkContext.broadcast((crowded, ways))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, dealt = sent.value
         for batch in batches:
             for lo, _, raw, offs in text_chunks(batch.column(1)):
                 w = Windows(raw, offs, window, gram)
                 bounds = _runs(w.row, w.anchor)
                 first = bounds[:-1]
-                crowd = _among(w.anchor[first], sent.value)
-                ids = batch.column(0).take(pa.array(w.row[first] + lo))
-                salt = mix64(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(salts)
-                key = np.where(crowd, mix64(w.anchor[first] + salt), w.anchor[first])
+                anchors = w.anchor[first]
+                crowd = _among(anchors, some)
+                row = pa.array(w.row[first] + lo)
+                ids = batch.column(0).take(row)
+                key = anchors.copy()
+                if crowd.any():
+                    salt = mix64(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))[crowd] % dealt[np.searchsorted(some, anchors[crowd])]
+                    key[crowd] = mix64(anchors[crowd] + salt)
                 held = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((bounds * 8).astype(np.int32).tobytes()), pa.py_buffer(w.hash.tobytes())])
-                anchor = pa.array(w.anchor[first].view(np.int64), mask=~crowd)
-                yield pa.record_batch([pa.array(key.view(np.int64)), anchor, ids, pa.array(w.place[first].astype(np.int32)), held], names=["key", "anchor", "doc_id", "start", "windows"])
+                anchor = pa.array(anchors.view(np.int64), mask=~crowd)
+                yield pa.record_batch([pa.array(key.view(np.int64)), anchor, ids, batch.column(2).take(row), pa.array(w.place[first].astype(np.int32)), held], names=[f.split()[0] for f in ENTRY.split(", ")])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
         size, carry = 0, None
         for batch in batches:
             kept.append(batch)
-            size += batch.column(4).nbytes // 8
+            size += batch.column(5).nbytes // 8
             if size >= HELD:
                 found, carry = _parsed(pa.Table.from_batches(kept).combine_chunks(), carry)
                 kept, size = [], 0
@@ -148,53 +164,78 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM)
             yield _parsed(pa.Table.from_batches(kept).combine_chunks(), carry)[0]
 
     index = _texts(docs).mapInArrow(entries, ENTRY)
-    blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id").mapInArrow(parse, FOUND)
+    blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "start").mapInArrow(parse, FOUND)
     found = staged(blocks, "factors")
-    sure = found.filter("hash is null").select("doc_id", "start", "n")
-    if not len(crowded):
-        return sure
-    # The first entries of each salt: all but those of the smallest document are repeated too.
-    first = found.filter("hash is not null").withColumn("reference", F.min("doc_id").over(Window.partitionBy("anchor", "hash")))
-    return sure.union(first.filter("reference < doc_id").select("doc_id", "start", "n"))
+    sure = found.filter("hash is null").select("doc_id", "text_key", "pieces")
+    if len(crowded):
+        # The first entries of each way: all but those of the smallest document are repeated too. A window of the
+        # window function holds a row for each way, however often a document repeats it.
+        own = F.struct("doc_id", F.col("pieces")[0]["start"].alias("at"))
+        first = found.filter("hash is not null").withColumn("least", F.min(own).over(Window.partitionBy("anchor", "hash"))).filter("least.doc_id < doc_id")
+        named = F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"), F.col("least.doc_id").alias("source"), F.col("least.at").alias("source_start")))
+        sure = sure.union(first.select("doc_id", "text_key", named.alias("pieces")))
+    return sure.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
+
+
+def _grouped(group: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, pa.Array]:
+    """(first of each run of equal groups, the runs as lists of pieces)."""
+    bounds = _runs(group)
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
+    values = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], fields=list(_PIECES.value_type))
+    return bounds[:-1], pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values).cast(_PIECES)
 
 
 def _parsed(rows: pa.Table, carry: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
-    """What is repeated among entries sorted by key and doc_id, and the references of the last key, which may go on."""
-    column = rows.column(4).chunk(0)
+    """The factors of entries sorted by key, doc_id and start, and the sources in the last block, which may go on."""
+    column = rows.column(5).chunk(0)
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     lengths = np.diff(offsets) // 8
     hashes = np.frombuffer(column.buffers()[2], np.uint64)[offsets[0] // 8 : offsets[-1] // 8]
-    row_keys, row_ids = rows.column(0).to_numpy(), rows.column(2).to_numpy()
-    keys, ids = np.repeat(row_keys, lengths), np.repeat(row_ids, lengths)
+    row_keys, row_ids, row_texts = (rows.column(k).to_numpy() for k in (0, 2, 3))
     run = np.repeat(np.arange(rows.num_rows), lengths)
-    place = np.arange(len(run)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(rows.column(3).to_numpy(), lengths)
+    keys, ids = row_keys[run], row_ids[run]
+    place = (np.arange(len(run)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + rows.column(4).to_numpy()[run]).astype(np.int64)
     old = 0
     if carry is not None and carry[0] == row_keys[0]:
         old = len(carry[1])
-        hashes, keys, ids = np.concatenate([carry[1], hashes]), np.concatenate([np.full(old, carry[0]), keys]), np.concatenate([carry[2], ids])
-    order = np.lexsort((keys, hashes))
+        hashes, ids, place = np.concatenate([carry[1], hashes]), np.concatenate([carry[2], ids]), np.concatenate([carry[3], place])
+        keys = np.concatenate([np.full(old, carry[0]), keys])
+    # What was read first comes first among equal windows: the smallest document, then the first place.
+    order = np.argsort(mix64(hashes ^ mix64(keys.view(np.uint64))), kind="stable")
     bounds = _runs(hashes[order], keys[order])
-    smallest = np.minimum.reduceat(ids[order], bounds[:-1])
-    again = np.zeros(len(hashes), bool)
-    again[order] = np.repeat(smallest, np.diff(bounds)) < ids[order]
     heads = order[bounds[:-1]]
-    open_ = keys[heads] == row_keys[-1]
-    carry = (row_keys[-1], hashes[heads][open_], smallest[open_])
-    again, hashes = again[old:], hashes[old:]
+    source = np.empty(len(hashes), np.int64)
+    source[order] = np.repeat(heads, np.diff(bounds))
+    open_ = heads[keys[heads] == row_keys[-1]]
+    carry = (row_keys[-1], hashes[open_], ids[open_], place[open_])
+    again = (ids[source] < ids)[old:]
+    from_id, from_place = ids[source][old:], place[source][old:]
+    hashes, place = hashes[old:], place[old:]
+    # A factor goes on while the next window's source is the next window of the same document.
     some = np.flatnonzero(again)
-    pieces = _runs(run[some], some - np.arange(len(some)))
-    first = some[pieces[:-1]]
-    # Entries of crowded anchors that were first under their salt are looked at once more.
+    pieces = _runs(run[some], some - np.arange(len(some)), from_id[some], from_place[some] - place[some])
+    first, n = some[pieces[:-1]], np.diff(pieces)
+    owner = np.cumsum(np.concatenate([[0], (row_ids[1:] != row_ids[:-1]) | (row_texts[1:] != row_texts[:-1]) | (row_keys[1:] != row_keys[:-1])]))
+    at_sure, sure = _grouped(owner[run[first]], [place[first], n, from_id[first], from_place[first]])
+    rows_sure = run[first[at_sure]]
+    # Windows of crowded blocks that were first under their way are looked at once more, each with all its places in the document.
     anchors = rows.column(1).combine_chunks()
     crowd = anchors.is_valid().to_numpy(zero_copy_only=False)
     unsure = np.flatnonzero(~again & crowd[run])
-    same = _runs(run[unsure], hashes[unsure], unsure - np.arange(len(unsure)))  # equal windows one after the other
-    n = np.concatenate([np.diff(pieces), np.diff(same)]).astype(np.int32)
-    at = np.concatenate([first, unsure[same[:-1]]])
-    none = np.arange(len(at)) < len(first)
-    mark = anchors.fill_null(0).to_numpy()[run[at]]
-    arrays = [pa.array(row_ids[run[at]]), pa.array(place[at].astype(np.int32)), pa.array(n), pa.array(mark, mask=none), pa.array(hashes[at].view(np.int64), mask=none)]
-    return pa.record_batch(arrays, names=["doc_id", "start", "n", "anchor", "hash"]), carry
+    unsure = unsure[np.lexsort((place[unsure], hashes[unsure], owner[run[unsure]]))]
+    group = _runs(owner[run[unsure]], hashes[unsure])
+    group = np.repeat(np.arange(len(group) - 1), np.diff(group))
+    same = _runs(group, place[unsure] - np.arange(len(unsure)))  # equal windows one after the other
+    held = unsure[same[:-1]]
+    none = np.full(len(held), -1)
+    at_unsure, maybe = _grouped(group[same[:-1]], [place[held], np.diff(same), none, none])
+    rows_unsure = run[held[at_unsure]]
+    at = np.concatenate([rows_sure, rows_unsure])
+    is_sure = np.arange(len(at)) < len(rows_sure)
+    marks = anchors.fill_null(0).to_numpy()[at]
+    windows = np.concatenate([np.zeros(len(rows_sure), np.uint64), hashes[held[at_unsure]]]).view(np.int64)
+    arrays = [pa.array(row_ids[at]), pa.array(row_texts[at]), pa.concat_arrays([sure, maybe]), pa.array(marks, mask=is_sure), pa.array(windows, mask=is_sure)]
+    return pa.record_batch(arrays, names=["doc_id", "text_key", "pieces", "anchor", "hash"]), carry
 
 
 def _covered(n_words: int, spans: list, window: int) -> np.ndarray:
@@ -218,9 +259,10 @@ def digests(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
 
 
 def _joined(docs: DataFrame, window: int, gram: int, made, column: str, kind: pa.DataType) -> DataFrame:
-    spans = repeated_windows(docs, window=window, gram=gram).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    # Without removals most documents need no more than their own text.
-    both = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    spans = factors(docs, window=window, gram=gram).select("doc_id", "text_key", F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))).alias("spans"))
+    text = F.col("text").cast("string")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    both = own.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
     name = column.split()[0]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

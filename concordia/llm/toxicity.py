@@ -8,7 +8,12 @@ Training reads at most per_class labelled documents of each class, chosen by the
 weights are a table of fixed size, so scoring is one pass over the texts with nothing to shuffle.
 
 Defined results: a null text is an empty one, which has the score of no features; repeated rows are
-scored alike; a label that is null is no label; without labels of both classes every score is 0.
+scored alike, and each row of a labelled doc_id is trained on; rows without a doc_id are scored and never
+trained on; of several labels of a doc_id the largest counts, a null label is none; equally strong
+features are taken in order of their hashes; without labels of both classes every score is about 0; an
+empty table gives no rows. Texts are whole: the longest one is the least that a worker holds, with some
+40 bytes for each of its own. Other columns of docs stay out of the model, whatever their names, and
+kept() passes them on.
 """
 
 from __future__ import annotations
@@ -24,8 +29,10 @@ from .common import crc32_mod3, staged, text_chunks
 
 #: Sizes of the n-grams, bits of their hash, and features that the regression takes at most.
 GRAMS, HASH_BITS, FEATURES = (3, 4, 5, 6), 22, 6000
-#: Labelled documents of each class that are read at most.
-PER_CLASS = 3000
+#: Labelled documents of each class that are read at most, and partitions of that sample.
+PER_CLASS, SAMPLE_PARTS = 3000, 8
+#: Bytes and rows of text whose n-grams are worked on at once: row and n-gram fit 32 bits.
+GRAM_BYTES, GRAM_ROWS = 1 << 18, 1 << (32 - HASH_BITS)
 #: Standard errors that a feature's log-count ratio must stand from zero.
 LEAST_STRENGTH = 3.0
 THRESHOLD = 0.7
@@ -78,19 +85,23 @@ def grams(raw: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np.nd
             yield (key >> np.uint32(32 - HASH_BITS))[inside], row[: len(h)][inside]
 
 
-def _features(raw: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
-    """Sorted distinct n-grams of each text of a chunk."""
-    parts = list(grams(raw, offs))
-    keys = np.concatenate([(r.astype(np.int64) << 32) | g for g, r in parts])
-    keys = np.unique(keys)
-    bounds = np.searchsorted(keys, np.arange(len(offs)).astype(np.int64) << 32)
-    low = (keys & 0xFFFFFFFF).astype(np.int32)
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield low[a:b]
+def _features(raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Sorted distinct (row, n-gram) pairs of a chunk of at most GRAM_ROWS texts, as row << HASH_BITS | n-gram."""
+    parts = [r.astype(np.uint32) << np.uint32(HASH_BITS) | g for g, r in grams(raw, offs)]
+    keys = np.concatenate(parts)
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys[new]
+
+
+def gram_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Chunks that are small enough for n-grams, which take many bytes for each of the text."""
+    return text_chunks(column, GRAM_BYTES, GRAM_ROWS)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> DataFrame:
-    """(text, label) of at most per_class documents of each class, none of them held out."""
+    """(text, label) of at most per_class documents of each class, none of them held out; in SAMPLE_PARTS partitions."""
     usable = labels.filter(F.col(column).isNotNull() & (crc32_mod3(F.col("doc_id")) != 1))
     own = usable.groupBy(F.col("doc_id").alias("__id")).agg(F.max(column).alias("label"))
     spread = F.xxhash64("__id")
@@ -99,7 +110,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = own.filter(F.col("label") == value).orderBy(spread, "__id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     # The sample is bounded by 2 * per_class rows of ids.
-    return docs.select("doc_id", "text").join(F.broadcast(staged(chosen, "sample")), F.col("doc_id") == F.col("__id")).select("text", "label")
+    joined = docs.select("doc_id", "text").join(F.broadcast(staged(chosen, "sample")), F.col("doc_id") == F.col("__id"))
+    return joined.repartition(SAMPLE_PARTS, F.xxhash64("__id")).select("text", F.col("label").cast("int").alias("label"))
 
 
 class Model:
@@ -113,71 +125,92 @@ class Model:
         place[self.keys] = np.arange(1, len(self.keys) + 1)
         return place
 
-    def score(self, raw: np.ndarray, offs: np.ndarray, place: np.ndarray) -> np.ndarray:
-        n = len(offs) - 1
+    def present(self, raw: np.ndarray, offs: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Sorted distinct (row, feature) pairs of a chunk, as row << 16 | feature."""
         hits = []
         for g, r in grams(raw, offs):
             f = place[g]
             some = np.flatnonzero(f)
-            hits.append(r[some].astype(np.int64) << 16 | f[some])
-        pairs = np.unique(np.concatenate(hits))
-        total = np.bincount(pairs >> 16, weights=self.weights[(pairs & 0xFFFF) - 1], minlength=n)[:n] + self.bias
+            hits.append(r[some].astype(np.uint32) << np.uint32(16) | (f[some] - np.uint16(1)))
+        return np.unique(np.concatenate(hits))
+
+    def score(self, raw: np.ndarray, offs: np.ndarray, place: np.ndarray) -> np.ndarray:
+        n, pairs = len(offs) - 1, self.present(raw, offs, place)
+        total = np.bincount(pairs >> 16, weights=self.weights[pairs & 0xFFFF], minlength=n)[:n] + self.bias
         return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
+def log_count_ratio(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int, smoothing: float) -> np.ndarray:
+    """How much likelier a feature is in toxic documents than in clean ones, as a logarithm."""
+    return np.log(((toxic + smoothing) / (n_toxic + 2 * smoothing)) / ((clean + smoothing) / (n_clean + 2 * smoothing)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class: int = PER_CLASS, smoothing: float = 1.0, ridge: float = 1.0) -> Model:
-    """Train on a bounded sample of labelled documents; held-out documents are never read."""
+    """Train on a bounded sample of labelled documents; held-out documents are never read.
+
+    Each partition of the sample counts the documents with each n-gram, and the counts are summed over
+    partitions. The features that tell most, FEATURES at most, come to the driver. One task then trains on
+    the documents' selected features: 2 * per_class rows of at most FEATURES small numbers, however long
+    the texts are.
+    """
+    nothing = Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
+    sample = staged(training_sample(docs, labels, column, per_class), "texts")
+    total = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not total.get(0) or not total.get(1):
+        return nothing
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << HASH_BITS), np.int32)
+        for batch in batches:
+            label = batch.column(1).to_numpy()
+            for lo, _, raw, offs in gram_chunks(batch.column(0)):
+                pairs = _features(raw, offs)
+                row = label[(pairs >> np.uint32(HASH_BITS)).astype(np.int64) + lo]
+                for k in (0, 1):
+                    counts[k] += np.bincount(pairs[row == k] & np.uint32((1 << HASH_BITS) - 1), minlength=1 << HASH_BITS).astype(np.int32)
+        some = np.flatnonzero(counts[0] | counts[1])
+        for at in range(0, len(some), 1 << 16):
+            part = some[at : at + (1 << 16)]
+            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(counts[0][part]), pa.array(counts[1][part])], names=["gram", "clean", "toxic"])
+
+    counted = sample.mapInArrow(count, "gram int, clean int, toxic int").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean + toxic >= 3")
+    clean, toxic = F.col("clean") + smoothing, F.col("toxic") + smoothing
+    strength = F.abs(F.log((toxic / (total[1] + 2 * smoothing)) / (clean / (total[0] + 2 * smoothing)))) / F.sqrt(1 / toxic + 1 / clean)
+    best = counted.withColumn("strength", strength).filter(F.col("strength") > LEAST_STRENGTH).orderBy(F.col("strength").desc(), "gram").limit(FEATURES).collect()
+    if not best:
+        return nothing
+    best.sort(key=lambda r: r["gram"])
+    keys = np.array([r["gram"] for r in best], np.int64)
+    ratio = log_count_ratio(np.array([r["clean"] for r in best], float), np.array([r["toxic"] for r in best], float), total[0], total[1], smoothing)
+    chosen = Model(keys, ratio, 0.0)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = chosen.table()
         for batch in batches:
-            for lo, hi, raw, offs in text_chunks(batch.column(0)):
-                yield pa.record_batch([pa.array([f.tobytes() for f in _features(raw, offs)], pa.binary()), batch.column(1).slice(lo, hi - lo).cast(pa.int32())], names=["grams", "label"])
+            for lo, hi, raw, offs in gram_chunks(batch.column(0)):
+                pairs = chosen.present(raw, offs, place)
+                bounds = np.searchsorted(pairs, np.arange(hi - lo + 1, dtype=np.uint64) << np.uint64(16))
+                low = (pairs & np.uint32(0xFFFF)).astype("<u2")
+                found = [low[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.record_batch([pa.array(found, pa.binary()), batch.column(1).slice(lo, hi - lo)], names=["features", "label"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, y = [], []
         for batch in batches:
-            rows += [np.frombuffer(g, np.int32) for g in batch.column(0).to_pylist()]
+            rows += [np.frombuffer(g, "<u2") for g in batch.column(0).to_pylist()]
             y += batch.column(1).to_pylist()
-        model = _train(rows, np.array(y, np.int64), smoothing, ridge)
-        yield pa.record_batch([pa.array([model.keys.astype("<i8").tobytes()]), pa.array([model.weights.astype("<f8").tobytes()]), pa.array([model.bias])], names=["keys", "weights", "bias"])
-
-    # The sample is bounded, so one task trains on it, and the driver gets the selected features alone.
-    found = staged(training_sample(docs, labels, column, per_class).mapInArrow(extract, "grams binary, label int"), "grams")
-    row = found.coalesce(1).mapInArrow(train, "keys binary, weights binary, bias double").first()
-    if row is None:
-        return _train([], np.zeros(0, np.int64), smoothing, ridge)
-    return Model(np.frombuffer(row["keys"], np.int64), np.frombuffer(row["weights"], np.float64), row["bias"])
-
-
-def _train(rows: list[np.ndarray], y: np.ndarray, smoothing: float, ridge: float) -> Model:
-    """The model from each document's distinct n-grams and its label."""
-    total = [int((y == k).sum()) for k in (0, 1)]
-    if not all(total):
-        return Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
-    counts = np.zeros((2, 1 << HASH_BITS), np.int32)
-    for grams_, label in zip(rows, y.tolist(), strict=True):
-        counts[label][grams_] += 1  # they are distinct
-    some = np.flatnonzero(counts[0] + counts[1] >= 3)
-    clean, toxic = counts[0][some] + smoothing, counts[1][some] + smoothing
-    ratio = np.log((toxic / (total[1] + 2 * smoothing)) / (clean / (total[0] + 2 * smoothing)))
-    strength = np.abs(ratio) / np.sqrt(1 / toxic + 1 / clean)
-    best = np.argsort(-strength, kind="stable")[:FEATURES]
-    best = np.sort(best[strength[best] > LEAST_STRENGTH])
-    keys, ratio = some[best], ratio[best]
-    place = np.zeros(1 << HASH_BITS, np.int32)
-    place[keys] = np.arange(1, len(keys) + 1)
-    x = []
-    for grams_ in rows:
-        f = place[grams_]
-        x.append(f[f > 0] - 1)
-    weights, bias = _regress(x, y.astype(float), ratio, ridge)
-    return Model(keys.astype(np.int64), weights * ratio, float(bias))
+        weights, bias = _regress(rows, np.array(y, float), ratio, ridge)
+        yield pa.record_batch([pa.array([(weights * ratio).astype("<f8").tobytes()]), pa.array([float(bias)])], names=["weights", "bias"])
+
+    found = staged(sample.mapInArrow(extract, "features binary, label int"), "features")
+    row = found.coalesce(1).mapInArrow(train, "weights binary, bias double").first()
+    return Model(keys, np.frombuffer(row["weights"], np.float64), row["bias"])
 
 
 def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse scaled presence features by accelerated gradient steps; classes weigh alike."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    column = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
     value = scale[column]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     norms = np.bincount(owner, weights=value * value, minlength=len(y))
@@ -201,7 +234,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame
         own = Model(*sent.value)
         place = own.table()
         for batch in batches:
-            for lo, hi, raw, offs in text_chunks(batch.column(1)):
+            for lo, hi, raw, offs in gram_chunks(batch.column(1)):
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(own.score(raw, offs, place))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, "doc_id long, score double")
@@ -222,7 +255,7 @@ def kept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFra
         own = Model(*sent.value)
         place = own.table()
         for batch in batches:
-            for lo, hi, raw, offs in text_chunks(batch.column(at)):
+            for lo, hi, raw, offs in gram_chunks(batch.column(at)):
                 clean = own.score(raw, offs, place) < threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 

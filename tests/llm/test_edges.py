@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing columns: nothing crashes, each has its result."""
 
 import json
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,6 +73,19 @@ def test_mixing_repeats(spark):
     assert {r["copies"] for r in got if r["source"] == "tiny"} == {3}
 
 
+def test_mixing_rows(spark):
+    """Rows without an id, and rows that share one, are each taken for themselves; equal rows as often as all of them are."""
+    items = [(None, "w " * (k % 7 + 1), "big") for k in range(59)] + [(5, "w " * (k % 5 + 1), "small") for k in range(20)] + [(6, "w w w", "tiny")] * 3
+    df = spark.createDataFrame(made(items), DOCS)
+    taken, emitted = Counter(), Counter()
+    for r in rows(mixing.mix(df)):
+        taken[r["source"]] += r["taken"]
+    for r in rows(mixing.emitted(df)):
+        emitted[r["source"]] += len(r["text"].split())
+    assert taken == emitted and emitted["tiny"] == 27
+    assert sorted(map(repr, rows(mixing.emitted(df)))) == sorted(map(repr, rows(mixing.emitted(df.repartition(7)))))
+
+
 def test_simhash(docs, none):
     got = rows(simhash.near_duplicates(docs))
     by = {r["doc_id"]: r for r in got}
@@ -84,20 +98,44 @@ def test_simhash_crowded(spark):
     rng = np.random.default_rng(1)
     base = [int(x) for x in rng.integers(-(1 << 62), 1 << 62, 6)]
     prints = sorted({b ^ sum(1 << int(k) for k in rng.choice(63, rng.integers(0, 5), replace=False)) for b in base for _ in range(60)})
-    nodes = spark.createDataFrame(list(enumerate(prints)), "node long, fp long")
+    nodes = spark.createDataFrame([(p,) for p in prints], "fp long")
     from concordia.llm.graph import components
 
-    unsigned = {k: p & (1 << 64) - 1 for k, p in enumerate(prints)}
-    label = list(range(len(prints)))
-    for a in unsigned:
-        for b in unsigned:
-            if a < b and bin(unsigned[a] ^ unsigned[b]).count("1") <= 2 and label[a] != label[b]:
+    label = {p: p for p in prints}
+    for a in prints:
+        for b in prints:
+            if a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= 2 and label[a] != label[b]:
                 low, high = sorted((label[a], label[b]))
-                label = [low if x == high else x for x in label]
-    linked = {k for k in unsigned if label.count(label[k]) > 1}
+                label = {p: low if x == high else x for p, x in label.items()}
+    sizes = Counter(label.values())
     for crowd in (1, 5, 1000):
         found = {r["node"]: r["component"] for r in rows(components(simhash.links(nodes, crowd=crowd)))}
-        assert found == {k: label[k] for k in linked}
+        assert found == {p: x for p, x in label.items() if sizes[x] > 1}
+
+
+def test_simhash_null_ids(spark):
+    """Rows without an id carry links; a component's id is the smallest that any of its rows has."""
+    same, other = "alpha beta gamma delta", "quite another text than that"
+    df = spark.createDataFrame([(5, same), (None, same), (2, same), (None, other), (None, other), (2, other + " x"), (9, "")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["fp"], r["component_id"]) for r in rows(simhash.near_duplicates(df))), key=repr)
+    f, g, h = (int(np.uint64(simhash.fingerprint(t)).view(np.int64)) for t in (same, other, other + " x"))
+    assert got == sorted([(5, f, 2), (None, f, 2), (2, f, 2), (None, g, None), (None, g, None), (2, h, 2), (9, 0, 9)], key=repr)
+
+
+def test_simhash_link_by_null(spark, monkeypatch):
+    """Fingerprints 0, 3 and 15 are one component though the middle row has no id."""
+    prints = spark.createDataFrame([(1, 0), (None, 3), (2, 15), (2, 127 << 40)], "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, **_: docs)
+    assert sorted((repr(r["doc_id"]), r["fp"], r["component_id"]) for r in rows(simhash.near_duplicates(prints))) == [("1", 0, 1), ("2", 15, 1), ("2", 127 << 40, 2), ("None", 3, 1)]
+
+
+def test_one_of_each(spark):
+    """Rows that share an id but no text both stay; of equal rows one does; null ids go only for rows with ids."""
+    w, z, q = "one text of some words that is long enough", "another text altogether which shares nothing with it", "a third text without any id at all in it"
+    items = [(1, w, "a"), (1, z, "a"), (3, w, "b"), (None, w, "c"), (None, q, "d"), (None, q, "d"), (None, q, "e"), (7, None, "a"), (8, "", "a")]
+    df = spark.createDataFrame(made(items), DOCS)
+    got = sorted(((r["doc_id"], r["text"], r["source"]) for r in rows(simhash.one_of_each(df))), key=repr)
+    assert [x[:2] for x in got] == sorted([(1, w), (1, z), (7, None), (None, q)], key=repr)
 
 
 def test_decontaminate(spark, docs, none):
@@ -106,6 +144,8 @@ def test_decontaminate(spark, docs, none):
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(8, 2), (8, 3), (9, 2), (9, 3)]
     assert decontaminate.clean(docs, bench).count() == len(ITEMS) - 2 and rows(decontaminate.matches(none, bench)) == [] and rows(decontaminate.matches(docs, bench.limit(0))) == []
     assert decontaminate.clean(docs, bench).columns == docs.columns
+    short = spark.createDataFrame([(1, "ONE"), (2, "wo"), (3, "  "), (4, "two words"), (5, "same same same text again")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in rows(decontaminate.matches(docs, short)) if r["doc_id"] < 8) == [(4, 1, 0, 0, 3), (5, 4, 0, 0, 9), (6, 5, 0, 0, 25), (6, 5, 0, 0, 25)]
 
 
 def test_repair(docs, none):
@@ -197,6 +237,91 @@ def test_pii_terms(spark):
     assert clean[0] == "common words here  [EMAIL] more common words" and clean[10] == texts[10]
 
 
+def test_pii_long_words(spark):
+    """Terms are found however far from the entity and however long the words between; copies under one id and under two count alike."""
+    long = "x" * 1000
+    texts = [f"telling{k % 2} {long} {long} {long} some words a{k % 2}@x.org" if k < 8 else f"some words {long} {k}" for k in range(80)]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"].split(",")[0] for r in rows(pii.find(df))}
+    assert {got[k] for k in range(8)} == {"term:0:8"} and got[20] == ""
+    shared = spark.createDataFrame([(None if k % 3 == 0 else 4, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert Counter(r["spans"].split(",")[0] for r in rows(pii.find(shared))) == Counter(got.values())
+    assert Counter(r["text"] for r in rows(pii.sanitised(shared))) == Counter(r["text"] for r in rows(pii.sanitised(df)))
+
+
+@pytest.mark.parametrize("support", [1, 2])
+def test_pii_terms_plain(spark, support):
+    """Terms against a plain count over random documents, with copies, repeated ids and null ids."""
+    import math
+    import random
+
+    rng, texts = random.Random(support), []
+    for k in range(120):
+        words = [rng.choice("abcdefghij") + str(rng.randint(0, 3)) for _ in range(rng.randint(0, 12))]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            who = rng.randint(0, 6)
+            words.insert(rng.randint(0, len(words)), f"u{who}@m.org")
+            if rng.random() < 0.8:
+                words.insert(rng.randint(0, len(words)), f"Name{who}")
+        texts.append(" ".join(words))
+    texts += texts[:30]
+    ids = [None if k % 11 == 0 else k % 50 for k in range(len(texts))]
+    entity = [{w for w in t.split() if "@" in w} for t in texts]
+    terms = [{w.lower() for w in t.split()} for t in texts]
+    n = len(texts)
+    telling = set()
+    for e in set().union(*entity):
+        e_df = sum(e in x for x in entity)
+        for t in set().union(*terms):
+            co = sum(e in x and t in y for x, y in zip(entity, terms, strict=True))
+            if co >= support and n > e_df and math.log2(co * n / (sum(t in y for y in terms) * e_df)) >= 0.9 * math.log2(n / e_df):
+                telling.add((t, e))
+    want = Counter()
+    for i, text, own in zip(ids, texts, entity, strict=True):
+        at, spans = 0, []
+        for w in text.split(" "):
+            if w in own:
+                spans.append(f"email:{at}:{at + len(w)}")
+            elif any((w.lower(), e) in telling for e in own):
+                spans.append(f"term:{at}:{at + len(w)}")
+            at += len(w) + 1
+        want[i, ",".join(spans)] += 1
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    assert Counter((r["doc_id"], r["spans"]) for r in rows(pii.find(df, support=support))) == want
+    assert any("term" in s for _, s in want)
+
+
+def test_substring_rows(spark):
+    """Rows that share an id are judged each by its own words."""
+    w, z = " ".join(f"w{k}" for k in range(60)), " ".join(f"z{k}" for k in range(60))
+    df = spark.createDataFrame([(1, w), (2, w), (2, z), (2, w), (None, w), (None, z), (3, z), (3, "head " + z)], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["kept"], r["n_removed"]) for r in rows(substring.dedup(df))), key=repr)
+    assert got == sorted([(1, w, 0), (2, "", 60), (2, "", 60), (2, z, 0), (None, w, 0), (None, z, 0), (3, "", 60), (3, "head", 60)], key=repr)
+
+
+def test_substring_factors(spark):
+    """A factor copies its words from the place that it names."""
+    import random
+
+    rng = random.Random(4)
+    base = [[f"b{j}x{k}" for k in range(120)] for j in range(4)]
+    texts = {}
+    for i in range(30):
+        t = []
+        for _ in range(rng.randint(1, 4)):
+            b, a = rng.choice(base), rng.randint(0, 60)
+            t += b[a : a + rng.randint(20, 60)] + [f"own{i}"] * rng.randint(0, 2)
+        texts[i] = t
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    n = 0
+    for r in rows(substring.factors(df)):
+        for p in r["pieces"]:
+            length = p["n"] + substring.WINDOW - 1
+            assert p["source"] < r["doc_id"] and texts[p["source"]][p["source_start"] : p["source_start"] + length] == texts[r["doc_id"]][p["start"] : p["start"] + length]
+            n += 1
+    assert n > 5
+
+
 def test_substring(docs, none):
     got = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in rows(substring.digests(docs))}
     assert {(8, 400_000, 0), (9, 400_000, 400_000), (1, 0, 0), (None, 3, 0), (6, 5, 0)} <= got and len(rows(substring.digests(docs))) == len(ITEMS)
