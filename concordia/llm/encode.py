@@ -17,7 +17,7 @@ import numpy as np
 from .common import _BYTE_VALUES, slice_hashes
 
 #: Pieces that a worker remembers; it starts anew beyond.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 #: White space of the pattern, and endings that follow an apostrophe.
 _SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

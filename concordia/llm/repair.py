@@ -1,15 +1,21 @@
 """Token ids in files compressed by Re-Pair, a grammar for each shard.
 
-A shard is some consecutive documents in ascending order of id. Rounds replace the shard's most frequent
-pairs of neighbouring symbols by new nonterminals, many at a time and never across documents. A shard
-stores its rules, the expansion length of each, its documents' ids and the ends of their symbols, and the
-symbols; any document, and any stretch of the shard's ids, is decoded without the rest.
+A shard is some consecutive documents in ascending order of id. Its pairs of neighbouring symbols are counted
+exactly, and the most frequent are replaced by new nonterminals, again and again and never across documents,
+until no pair is left with LEAST_USES uses: a rule of fewer takes about as much as it saves. A round takes all
+pairs with at least a SHARE-th of the largest count; where two of them overlap the more frequent one wins.
+
+A shard stores its rules, the expansion length of each, its documents' ids and the ends of their symbols, and
+the symbols, rules and symbols packed in as few bits as the largest symbol needs. Every symbol has its place,
+so any document, and any stretch of the shard's ids, is decoded without the rest.
 
 Shards are rows of a Parquet table in the shared folder (part, shard, n_docs, n_tokens, body), written by
 Spark's committer, so a lost executor's tasks are written again and nothing of them counts twice.
 
 Defined results: a null text is empty and has the end id alone; rows that share a doc_id are separate
-documents, in order of their texts; a null doc_id comes first; an empty table gives no rows.
+documents, in order of a hash of their texts; equal rows are each encoded; a null doc_id comes first; an
+empty table gives no rows; texts are whole, and the longest one, with the symbols of a shard, is the least
+that a worker holds; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -27,67 +33,93 @@ from pyspark.sql import functions as F
 from .common import new_path, text_chunks
 from .encode import encoder
 
-MAGIC = b"RPSH0001"
-#: Ids in a shard, about; rounds, and rules that each adds; uses that a rule needs; bytes of text in a part.
-SHARD_IDS, ROUNDS, RULES, LEAST_USES, PART_BYTES = 1 << 21, 3, 3072, 16, 24 << 20
-COUNT_BITS = 20
+MAGIC = b"RPSH0002"
+#: Ids in a shard, about; uses that a rule needs; share of the largest count that pairs of a round have; bytes of text in a part.
+SHARD_IDS, LEAST_USES, SHARE, PART_BYTES = 1 << 20, 4, 8, 24 << 20
+#: Bits of the hash by which pairs that can't have enough uses are set aside before counting; parts in a group of prefix sums.
+SIEVE_BITS, GROUP_BITS = 21, 11
+#: Of this many documents one is read by itself.
+ALONE = 64
 NO_ID = -(1 << 63)
 
 
-def grammar(symbols: np.ndarray, last: np.ndarray, base: int, rounds: int = ROUNDS, rules: int = RULES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(symbols: np.ndarray, last: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, their pair's number, pairs): pairs of a round; places of one pair don't overlap. No pairs: nothing is left to replace.
+
+    done: pairs known to have too few uses.
+    """
+    place = np.flatnonzero(~last[:-1])
+    key = symbols[place].astype(np.uint64) << np.uint64(32) | symbols[place + 1]
+    sieve = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+    some = np.bincount(sieve, minlength=1 << SIEVE_BITS)[sieve] >= LEAST_USES
+    place, key = place[some], key[some]
+    pairs, count = np.unique(key, return_counts=True)
+    open_ = (count >= LEAST_USES) & ~np.isin(pairs, done)
+    pairs, count = pairs[open_], count[open_]
+    if not len(pairs):
+        return place[:0], place[:0], pairs
+    pairs = pairs[count >= max(LEAST_USES, int(count.max()) // SHARE)]
+    number = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+    hit = pairs[number] == key
+    place, number = place[hit], number[hit]
+    # Of a run of places of one pair, which overlap, every other one counts.
+    new = np.ones(len(place), bool)
+    new[1:] = (np.diff(place) != 1) | (number[1:] != number[:-1])
+    nth = np.arange(len(place))
+    own = (nth - np.maximum.accumulate(np.where(new, nth, 0))) % 2 == 0
+    return place[own], number[own], pairs
+
+
+def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rules as pairs, symbols left, whether each is the last of its document)."""
     made: list[np.ndarray] = []
+    done = np.zeros(0, np.uint64)
     next_symbol = base
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        left, right = symbols[:-1], symbols[1:]
-        key = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(32 - COUNT_BITS)).astype(np.int32)
-        free = np.flatnonzero(~last[:-1])
-        free_key = key if len(free) == len(key) else key[free]
-        count = np.bincount(free_key, minlength=1 << COUNT_BITS)
-        best = np.argpartition(count, -rules)[-rules:]
-        best = np.sort(best[count[best] >= LEAST_USES])
-        if not len(best):
+    while len(symbols) > 1:
+        place, number, pairs = _frequent(symbols, last, done)
+        if not len(pairs):
             break
-        number = np.full(1 << COUNT_BITS, -1, np.int32)
-        number[best] = np.arange(len(best), dtype=np.int32)
-        which = number[free_key]
-        some = np.flatnonzero(which >= 0)
-        place, which = free[some], which[some]
-        # Each chosen bucket stands for one pair, its last; other pairs that share the bucket are left alone.
-        pair_left, pair_right = np.zeros(len(best), np.uint32), np.zeros(len(best), np.uint32)
-        pair_left[which], pair_right[which] = left[place], right[place]
-        same = (left[place] == pair_left[which]) & (right[place] == pair_right[which])
-        place, which = place[same], which[same]
-        # Overlapping places: every other one of a run is replaced.
-        run = np.maximum.accumulate(np.where(np.diff(place, prepend=-2) != 1, np.arange(len(place)), 0))
-        some = (np.arange(len(place)) - run) % 2 == 0
-        place, which = place[some], which[some]
-        made.append(np.stack([pair_left, pair_right], axis=1))
-        symbols = symbols.copy()
-        symbols[place] = (next_symbol + which).astype(np.uint32)
-        last = last.copy()
+        uses = np.bincount(number, minlength=len(pairs))
+        rare = uses < LEAST_USES  # the count fell as its places overlap; it can't rise again
+        done = np.union1d(done, pairs[rare])
+        rank = np.empty(len(pairs), np.int64)
+        rank[np.lexsort((pairs, -uses))] = np.arange(len(pairs))
+        own = ~rare[number]
+        place, number = place[own], number[own]
+        # Where places of two pairs overlap the more frequent pair wins; the loser is counted again in the next round.
+        order, touch = rank[number], np.diff(place) == 1
+        win = np.ones(len(place), bool)
+        win[1:] &= ~(touch & (order[1:] > order[:-1]))
+        win[:-1] &= ~(touch & (order[:-1] > order[1:]))
+        place, number = place[win], number[win]
+        kept = np.bincount(number, minlength=len(pairs)) >= LEAST_USES
+        own = kept[number]
+        place, number = place[own], (np.cumsum(kept) - 1)[number[own]]
+        made.append(pairs[kept])
+        symbols, last = symbols.copy(), last.copy()
+        symbols[place] = (next_symbol + number).astype(np.uint32)
         last[place] = last[place + 1]
-        keep = np.ones(len(symbols), bool)
-        keep[place + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        next_symbol += len(best)
-    return (np.concatenate(made) if made else np.zeros((0, 2), np.uint32)), symbols, last
+        stay = np.ones(len(symbols), bool)
+        stay[place + 1] = False
+        symbols, last = symbols[stay], last[stay]
+        next_symbol += int(kept.sum())
+    rules = np.concatenate([np.zeros(0, np.uint64), *made])
+    return np.stack([rules >> np.uint64(32), rules & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), symbols, last
 
 
 def lengths_of(pairs: np.ndarray, base: int) -> np.ndarray:
     """Expansion length of each rule; a rule's symbols are older than it."""
     out = np.ones(len(pairs), np.uint32)
-    depth = np.zeros(len(pairs), bool)
-    while not depth.all():
-        side = [np.where(pairs[:, k] < base, 1, out[np.maximum(0, pairs[:, k].astype(np.int64) - base)]) for k in (0, 1)]
+    while True:
+        side = [np.where(pairs[:, k] < base, 1, out[np.maximum(0, pairs[:, k].astype(np.int64) - base)]) for k in (0, 1)] if len(pairs) else [out, out]
         new = (side[0] + side[1]).astype(np.uint32)
-        depth, out = new == out, new
-    return out
+        if (new == out).all():
+            return out
+        out = new
 
 
 def expand(symbols: np.ndarray, pairs: np.ndarray, base: int) -> np.ndarray:
+    """Ids of some symbols, from the rules that they use alone."""
     while len(symbols) and len(pairs):
         rule = symbols >= base
         if not rule.any():
@@ -101,11 +133,32 @@ def expand(symbols: np.ndarray, pairs: np.ndarray, base: int) -> np.ndarray:
     return symbols.astype(np.uint32)
 
 
+def pack(values: np.ndarray, bits: int) -> bytes:
+    """Numbers in so many bits each, lowest bit first."""
+    place, out = np.arange(bits, dtype=np.uint32), []
+    for at in range(0, len(values), 1 << 16):  # a multiple of 8 numbers ends at a byte
+        out.append(np.packbits((values[at : at + (1 << 16), None] >> place & np.uint32(1)).astype(np.uint8), bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def unpack(data: np.ndarray, bits: int, start: int, stop: int) -> np.ndarray:
+    """The numbers from place start to stop, from the bytes that hold them alone."""
+    out, weight = [np.zeros(0, np.uint32)], (np.uint32(1) << np.arange(bits, dtype=np.uint32))[None]
+    for a in range(start, stop, 1 << 16):
+        n = min(1 << 16, stop - a)
+        first = a * bits
+        held = np.unpackbits(data[first // 8 : -(-(first + n * bits) // 8)], bitorder="little")[first % 8 :][: n * bits]
+        out.append((held.reshape(n, bits) * weight).sum(axis=1, dtype=np.uint32))
+    return np.concatenate(out)
+
+
 class Shard:
     """A shard's content: written by body(), read back by Shard.read()."""
 
-    def __init__(self, base: int, pairs: np.ndarray, widths: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray, tokens: np.ndarray, symbols: np.ndarray):
-        self.base, self.pairs, self.widths, self.doc_ids, self.ends, self.tokens, self.symbols = base, pairs, widths, doc_ids, ends, tokens, symbols
+    HEAD = struct.Struct("<8sIIIIQ")
+
+    def __init__(self, base: int, pairs: np.ndarray, widths: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray, tokens: np.ndarray, bits: int, symbols: np.ndarray):
+        self.base, self.pairs, self.widths, self.doc_ids, self.ends, self.tokens, self.bits, self.packed = base, pairs, widths, doc_ids, ends, tokens, bits, symbols
 
     @classmethod
     def build(cls, doc_ids: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> Shard:
@@ -113,42 +166,62 @@ class Shard:
         last = np.zeros(len(ids), bool)
         last[bounds[1:] - 1] = True  # every document has its end id
         pairs, symbols, last = grammar(ids, last, base)
-        return cls(base, pairs, lengths_of(pairs, base), doc_ids, np.flatnonzero(last) + 1, np.diff(bounds), symbols)
+        bits = (base + len(pairs)).bit_length()
+        return cls(base, pairs, lengths_of(pairs, base), doc_ids, np.flatnonzero(last) + 1, np.diff(bounds), bits, np.frombuffer(pack(symbols, bits), np.uint8))
 
     def body(self) -> bytes:
-        kind = np.dtype("<u2") if self.base + len(self.pairs) <= 1 << 16 else np.dtype("<u4")
-        head = struct.pack("<8sIIIIQ", MAGIC, kind.itemsize, self.base, len(self.pairs), len(self.doc_ids), len(self.symbols))
+        n = len(self.doc_ids)
+        head = self.HEAD.pack(MAGIC, self.bits, self.base, len(self.pairs), n, int(self.ends[-1]) if n else 0)
         return b"".join([
-            head, self.pairs.astype("<u4").tobytes(), self.widths.astype("<u4").tobytes(), self.doc_ids.astype("<i8").tobytes(), self.ends.astype("<u8").tobytes(), self.tokens.astype("<u8").tobytes(),
-            self.symbols.astype(kind).tobytes(),
+            head, self.widths.astype("<u4").tobytes(), self.doc_ids.astype("<i8").tobytes(), self.ends.astype("<u8").tobytes(), self.tokens.astype("<u8").tobytes(),
+            pack(self.pairs.reshape(-1), self.bits), self.packed.tobytes(),
         ])
 
     @classmethod
     def read(cls, body: bytes) -> Shard:
-        magic, size, base, n_rules, n_docs, n_symbols = struct.unpack_from("<8sIIIIQ", body)
+        magic, bits, base, n_rules, n_docs, _ = cls.HEAD.unpack_from(body)
         if magic != MAGIC:
             raise ValueError("not a shard")
-        at = struct.calcsize("<8sIIIIQ")
-        out = []
-        for kind, n in (("<u4", 2 * n_rules), ("<u4", n_rules), ("<i8", n_docs), ("<u8", n_docs), ("<u8", n_docs), (f"<u{size}", n_symbols)):
+        at, out = cls.HEAD.size, []
+        for kind, n in (("<u4", n_rules), ("<i8", n_docs), ("<u8", n_docs), ("<u8", n_docs), ("u1", -(-2 * n_rules * bits // 8))):
             out.append(np.frombuffer(body, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        return cls(base, out[0].reshape(-1, 2), out[1], out[2], out[3].astype(np.int64), out[4].astype(np.int64), out[5])
+            at += out[-1].nbytes
+        pairs = unpack(out[4], bits, 0, 2 * n_rules).reshape(-1, 2)
+        return cls(base, pairs, out[0], out[1], out[2].astype(np.int64), out[3].astype(np.int64), bits, np.frombuffer(body, np.uint8, offset=at))
+
+    def symbols(self, start: int = 0, stop: int | None = None) -> np.ndarray:
+        n = int(self.ends[-1]) if len(self.ends) else 0
+        return unpack(self.packed, self.bits, start, n if stop is None else stop)
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document, from its own symbols."""
-        return expand(self.symbols[self.ends[k - 1] if k else 0 : self.ends[k]], self.pairs, self.base)
+        return expand(self.symbols(int(self.ends[k - 1]) if k else 0, int(self.ends[k])), self.pairs, self.base)
 
     def stretch(self, start: int, n: int) -> np.ndarray:
-        """n ids from place start on: the expansion lengths lead to the symbols that hold them."""
-        width = np.where(self.symbols >= self.base, self.widths[np.maximum(0, self.symbols.astype(np.int64) - self.base)], 1) if len(self.widths) else np.ones(len(self.symbols), np.int64)
-        ends = np.cumsum(width)
-        a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, start + n, "left")) + 1
-        skip = start - int(ends[a - 1] if a else 0)
-        return expand(self.symbols[a:b], self.pairs, self.base)[skip : skip + n]
+        """n ids from place start on: the documents' lengths and the symbols' expansion lengths lead to the symbols that hold them."""
+        if not n:
+            return np.zeros(0, np.uint32)
+        bounds = np.cumsum(self.tokens)
+        a, b = int(np.searchsorted(bounds, start, "right")), int(np.searchsorted(bounds, start + n, "left"))
+        symbols = self.symbols(int(self.ends[a - 1]) if a else 0, int(self.ends[b]))
+        skip = start - (int(bounds[a - 1]) if a else 0)
+        ends = np.cumsum(self._width(symbols))
+        first, stop = int(np.searchsorted(ends, skip, "right")), int(np.searchsorted(ends, skip + n, "left")) + 1
+        skip -= int(ends[first - 1]) if first else 0
+        return expand(symbols[first:stop], self.pairs, self.base)[skip : skip + n]
+
+    def _width(self, symbols: np.ndarray) -> np.ndarray:
+        return np.append(np.ones(1, np.int64), self.widths)[np.maximum(0, symbols.astype(np.int64) - self.base + 1)]
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
-        return expand(self.symbols, self.pairs, self.base), np.concatenate([[0], np.cumsum(self.tokens)])
+        """(ids of the shard, bounds of its documents): every rule is expanded once."""
+        symbols, first = self.symbols(), np.cumsum(self.widths, dtype=np.int64) - self.widths
+        pool = np.concatenate([np.arange(self.base, dtype=np.uint32), expand(np.arange(self.base, self.base + len(self.pairs)), self.pairs, self.base)])
+        start = np.concatenate([np.arange(self.base), self.base + first])[symbols]
+        width = self._width(symbols)
+        ends = np.cumsum(width)
+        ids = pool[np.repeat(start - (ends - width), width) + np.arange(int(width.sum()))]
+        return ids, np.concatenate([[0], np.cumsum(self.tokens)])
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -159,7 +232,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int = 2) -> None:
     """Encode whole texts and write their shards, in ascending doc_id order, to path."""
-    own = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("place"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,20 +260,22 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: i
         if held:
             yield made()
 
-    ordered = own.repartitionByRange(max(1, -(-size // PART_BYTES)), "doc_id").sortWithinPartitions("doc_id", "text")
+    # The hash keeps texts of one id, or of none, apart.
+    ordered = own.repartitionByRange(max(1, -(-size // PART_BYTES)), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
     ordered.mapInArrow(build, "part int, shard int, n_docs long, n_tokens long, body binary").write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files at path."""
     shards = spark.read.schema("part int, shard int, n_docs long, n_tokens long, body binary").parquet(path)
-    # Two levels of prefix sums: parts are as many as the input has PART_BYTES, shards are summed within their part.
-    counts = shards.select("part", "shard", "n_tokens")
-    parts = counts.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    # Prefix sums of shards in their part, parts in their group, and groups: the last are one for 2^GROUP_BITS parts.
+    counts = shards.select("part", "shard", "n_tokens", F.shiftright("part", GROUP_BITS).alias("group"))
     before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.withColumn("part_start", before("n", Window.orderBy("part"))).drop("n")
-    places = counts.withColumn("shard_start", before("n_tokens", Window.partitionBy("part").orderBy("shard"))).join(parts, "part")
-    places = places.select("part", "shard", (F.col("part_start") + F.col("shard_start")).alias("shard_start"))
+    parts = counts.groupBy("group", "part").agg(F.sum("n_tokens").alias("n"))
+    groups = parts.groupBy("group").agg(F.sum("n").alias("n")).select("group", before("n", Window.orderBy("group")).alias("group_start"))
+    parts = parts.withColumn("part_start", before("n", Window.partitionBy("group").orderBy("part"))).join(groups, "group")
+    places = counts.drop("group").withColumn("shard_start", before("n_tokens", Window.partitionBy("part").orderBy("shard"))).join(parts, "part")
+    places = places.select("part", "shard", (F.col("group_start") + F.col("part_start") + F.col("shard_start")).alias("shard_start"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,6 +284,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids, bounds = shard.all()
                 data = memoryview(ids.astype("<u4").tobytes())
                 crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                for j in range(0, len(crc), ALONE):  # some documents are read by themselves: both ways must agree
+                    if zlib.crc32(shard.document(j).astype("<u4").tobytes()) != crc[j]:
+                        raise ValueError("a document read alone differs from the shard's")
                 n = len(crc)
                 yield pa.record_batch([
                     pa.array([batch.column(0)[k].as_py()] * n, pa.int32()), pa.array([batch.column(1)[k].as_py()] * n, pa.int32()), pa.array(shard.doc_ids, pa.int64(), mask=shard.doc_ids == NO_ID),

@@ -170,6 +170,28 @@ def test_grammar_round_trip():
             assert (shard.stretch(a, n) == whole[a : a + n]).all()
 
 
+def test_grammar_ends():
+    """Rules are replaced until no pair has enough uses, and a shard is smaller than plain 16-bit ids."""
+    rng = np.random.default_rng(3)
+    words = [rng.integers(0, 3000, rng.integers(1, 6)) for _ in range(400)]
+    docs = [np.append(np.concatenate([words[int(k)] for k in rng.zipf(1.3, 300) % 400]), 3001).astype(np.uint32) for _ in range(60)] + [np.array([7] * 500 + [3001], np.uint32)]
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    ids = np.concatenate(docs)
+    last = np.zeros(len(ids), bool)
+    last[bounds[1:] - 1] = True
+    pairs, symbols, last = repair.grammar(ids, last, 3002)
+    uses, free = Counter(), {}
+    for k in range(len(symbols) - 1):
+        pair = (int(symbols[k]), int(symbols[k + 1]))
+        if not last[k] and free.get(pair, -1) < k:
+            uses[pair] += 1
+            free[pair] = k + 1
+    assert max(uses.values()) < repair.LEAST_USES and len(pairs) > 100 and (pairs < 3002 + np.arange(len(pairs))[:, None]).all()
+    shard = repair.Shard.build(np.arange(len(docs)), ids, bounds)
+    assert len(shard.body()) < 0.6 * 2 * len(ids)
+    assert (shard.widths == [len(repair.expand(np.array([3002 + k]), pairs, 3002)) for k in range(len(pairs))]).all()
+
+
 def test_chat(spark):
     turns = spark.createDataFrame([(1, 0, "user", None, "p"), (1, 0, "user", "a", "p"), (1, None, None, "[x] & <s>\n&lt;", "p"), (None, 1, "assistant", "", "p"), (2, 1, "as<s>\nist", LONG, "p"), (3, 0, "assistant", "</s>\n&amp;&#91;", "p")], "conv_id long, turn long, role string, text string, prompt string")
     formatted = chat.format_chats(chat.table_turns(turns))
