@@ -243,6 +243,63 @@ def test_ann_copies(spark):
     assert got == [i for _, i in best]
 
 
+def test_ann_rows(spark):
+    """Repeated query rows ask once; vectors of each length are searched among themselves."""
+    data = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (40, [1.0, 0.0, 2.0]), (7, [0.5, 0.0, 1.0]), *((k, [1.0 / k, 1.0]) for k in range(101, 140))]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(rows(ann.search(df, df.filter("vec_id % 20 = 0"))), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got[20] == list(range(101, 121)) and got[40] == [7]
+    assert got[120] == list(range(101, 120)) + [121]
+
+
+@pytest.mark.parametrize("kind", ["even", "clustered"])
+def test_ann_blocks(spark, tmp_path, monkeypatch, kind):
+    """Recall over many blocks and several chunks of queries, and how many vectors are verified."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(ann, "CHUNK_ROWS", 100)
+    rng = np.random.default_rng(7)
+    n = 50_000
+    v = rng.standard_normal((n, 64))
+    if kind == "clustered":
+        v = v * 0.3 + rng.standard_normal((200, 64))[rng.integers(0, 200, n)]
+    v[1000:1400] = v[999]
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(v), pa.list_(pa.float32()))}), f"{tmp_path}/v.parquet")
+    df = spark.read.parquet(f"{tmp_path}/v.parquet")
+    index = ann.build_index(df)
+    got = {}
+    for r in sorted(rows(ann.search_index(index, df.filter("vec_id % 200 = 0"))), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    x, hit = v.astype(float), 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -9
+        order = np.lexsort((np.arange(n), -np.round(s, 12)))[:20]
+        assert len(found) == 20 and all(abs(score - s[i]) < 1e-12 for i, score in found) and found == sorted(found, key=lambda f: (-f[1], f[0]))
+        hit += len(set(order.tolist()) & {i for i, _ in found})
+    assert len(got) == n // 200 and hit / (20 * len(got)) >= 0.9
+    # A search as it runs: the query's own block first, then, with its bound, the others.
+    top = ann.Top.read(bytes(index.filter("block = -1").first()["body"]))
+    blocks = [(r["cell"], ann.Block.read(r["body"])) for r in index.filter("block >= 0").collect()]
+    assert sum(len(b.ids) for _, b in blocks) == n and len(blocks) >= 7 and len({c for c, _ in blocks}) == len(blocks)
+    gauss, stop = ann._directions(64, 16, 42), ann.chi_square_quantile(0.9, 16)
+    ids = np.arange(0, n, 2000)
+    q, points = x[ids], x[ids] @ gauss[:-1]
+    home, carried, verified, came = top.cells(points), ann.Carried(len(ids), 20), 0, 0
+    for cell, b in blocks:
+        verified += sum(v for _, _, v in ann.ask(b, home == cell, ids, q, points, carried, 20, stop))
+    for cell, b in blocks:
+        for _, hits, v in ann.ask(b, home != cell, ids, q, points, carried, 20, stop):
+            verified, came = verified + v, came + len(hits)
+    share = verified / (n * 25)
+    print(f"{kind}: recall {hit / (20 * len(got)):.3f}, verified {share:.3f}, rows a query from other blocks {came / 25:.1f} of {len(blocks)} blocks")
+    assert share < (0.5 if kind == "even" else 0.1)
+
+
 def test_pii(docs, none):
     got = rows(pii.find(docs))
     assert len(got) == len(ITEMS) and {r["spans"] for r in got} == {""} and rows(pii.find(none)) == []
