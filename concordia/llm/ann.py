@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, tidied
 
 #: Vectors in an index block, at most about; in a leaf of a tree; queries in a chunk; vectors that the top of the
 #: tree is fitted on, and those of them that a cell needs.
@@ -267,7 +267,7 @@ def _one_index(data: DataFrame, width: int, largest: float, n: int, directions:
             yield pa.record_batch([batch.column(0), pa.array(list(p), pa.list_(pa.float64()))], names=["vec_id", "p"])
 
     # The sample is bounded by SAMPLE_ROWS rows of a few numbers.
-    sample = data.mapInArrow(project, "vec_id long, p array<double>").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("p").toArrow()
+    sample = data.mapInArrow(tidied(project), "vec_id long, p array<double>").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("p").toArrow()
     points = _matrix(sample.column(0).combine_chunks(), directions)
     top = Top.fit(points, math.ceil(n / BLOCK_ROWS), largest)
 
@@ -276,7 +276,7 @@ def _one_index(data: DataFrame, width: int, largest: float, n: int, directions:
             cell = top.cells(projected(_matrix(batch.column(1), width), largest, gauss))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(cell.astype(np.int32))], names=["vec_id", "v", "cell"])
 
-    placed = data.mapInArrow(place, "vec_id long, v array<double>, cell int")
+    placed = data.mapInArrow(tidied(place), "vec_id long, v array<double>, cell int")
     counts = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # SAMPLE_ROWS / CELL_SAMPLE cells at most
     # A cell of many vectors, copies of one for instance, is dealt to several blocks.
     ways = np.ones(len(top.side) + 1, np.int64)
@@ -315,9 +315,9 @@ def _one_index(data: DataFrame, width: int, largest: float, n: int, directions:
             yield made()
 
     blocks = int(ways.sum())
-    dealt = data.mapInArrow(deal, "key long, cell int, way int, vec_id long, v array<double>").repartition(min(blocks, 1 << 14), "key").sortWithinPartitions("key", "vec_id")
+    dealt = data.mapInArrow(tidied(deal), "key long, cell int, way int, vec_id long, v array<double>").repartition(min(blocks, 1 << 14), "key").sortWithinPartitions("key", "vec_id")
     head = spark.createDataFrame([(-1, -1, 0, 0, width, directions, seed, bytearray(top.body()))], INDEX)
-    return staged(dealt.mapInArrow(make, INDEX).union(head), "ann-index")
+    return staged(dealt.mapInArrow(tidied(make), INDEX).union(head), "ann-index")
 
 
 def _directions(width: int, directions: int, seed: int) -> np.ndarray:
@@ -402,7 +402,7 @@ def _search_one(index: DataFrame, asked: DataFrame, meta, k: int, confidence: fl
                     if (home == cell).any():
                         yield _hits(ids, ask(Block.read(body.as_py()), home == cell, ids, q, points, carried, k, stop))
 
-        first = staged(blocks.filter("way = 0").mapInArrow(descend, _HITS), "neighbours")
+        first = staged(blocks.filter("way = 0").mapInArrow(tidied(descend), _HITS), "neighbours")
         own_hits = first.select("query_id", "score").toArrow()  # k rows at most for each query of the chunk
         place = np.argsort(ids)
         place = place[np.searchsorted(ids[place], own_hits.column(0).to_numpy())]
@@ -422,7 +422,7 @@ def _search_one(index: DataFrame, asked: DataFrame, meta, k: int, confidence: fl
                     # A cell's first block has been searched by the queries of the cell already.
                     yield _hits(ids, ask(Block.read(body.as_py()), (home != cell) | (way > 0), ids, q, points, carried, k, stop))
 
-        parts += [first, staged(blocks.mapInArrow(others, _HITS), "neighbours")]
+        parts += [first, staged(blocks.mapInArrow(tidied(others), _HITS), "neighbours")]
         sent.unpersist()
         sent_best.unpersist()
     return parts

@@ -7,6 +7,7 @@ A single text is never cut; the largest text is the least that a worker must hol
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -101,6 +102,24 @@ def hash_unit(*cols) -> F.Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+# ---- Python workers
+
+
+def tidied(scan):
+    """scan, which gives its memory back to the machine when a partition ends: workers live on and wait for other tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from scan(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 # ---- Arrow text buffers
 
 

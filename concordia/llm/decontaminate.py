@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import text_chunks, tidied
 
 #: Edits for each character of an item; characters of items in a block, whose automaton takes some 60 bytes for each.
 ERRORS, BLOCK_CHARS = 0.06, 2 << 20
@@ -187,7 +187,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) ->
                         at, item, edits, start, end = zip(*sorted(rows), strict=True)
                         yield pa.record_batch([batch.column(0).take(pa.array(at)), pa.array(item, pa.int64()), pa.array(edits, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "edits", "start", "end"])
 
-        part = own.mapInArrow(scan, schema)
+        part = own.mapInArrow(tidied(scan), schema)
         found = part if found is None else found.union(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
@@ -206,5 +206,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) -> D
                     keep = [not items.find(data[a:b].decode("utf-8", "replace")) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
                     yield batch.slice(lo, hi - lo).filter(pa.array(np.array(keep, bool)))
 
-        docs = docs.mapInArrow(scan, docs.schema)
+        docs = docs.mapInArrow(tidied(scan), docs.schema)
     return docs

@@ -179,5 +179,10 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Let go of this worker's encoders."""
+    _ENCODERS.clear()
+
+
 if sys.byteorder != "little":
     raise RuntimeError("token files are little-endian")

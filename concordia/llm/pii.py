@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_chunks, word_bounds, word_hashes
+from .common import staged, text_chunks, tidied, word_bounds, word_hashes
 
 #: Fixed order of kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -199,7 +199,7 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFr
     text_key: 64 bits of the text's digest, null where it has no spans. support: documents in which a pair must co-occur, wherever in them. threshold: share of the entity's
     information that a term must give away.
     """
-    scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(), SCAN), "pii")
+    scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(_scan()), SCAN), "pii")
     rows = scanned.filter(F.col("base_sha256").isNotNull())
     total = rows.count()
     # Copies of a text have the same entities and words: each text is opened once, with its number of rows.

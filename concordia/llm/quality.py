@@ -7,8 +7,12 @@ partition of labelled rows sums its part of the normal equations, for each fold;
 give ridge weights. Every fold is scored by the weights of the other folds, and pooling adjacent violators
 on these scores, summed in bins first, gives the calibration.
 
-Held-out rows take no part in any of it. Defined results: a null text is empty; a label that is null is no
-label; repeated rows are scored alike; without labels of both classes every score is their mean, or 0.
+Held-out rows take no part in any of it. Defined results: a null text is empty, which is a text like any
+other; a label that is null is none, of several labels of a doc_id the largest counts; rows without a doc_id
+are scored and never trained on; repeated rows are scored alike, and each row of a labelled doc_id is
+trained on; equal raw scores have equal results; without labels of both classes every score is their mean,
+or 0; an empty table gives no rows. Texts are whole: the longest is the least that a worker holds. Other
+columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod3, staged, text_chunks, word_bounds, word_hashes
+from .common import crc32_mod3, staged, text_chunks, tidied, word_bounds, word_hashes
 
 THRESHOLD = 0.5
 #: Words of a stretch, random features, folds, bins of scores, and labelled rows in a partition.
@@ -99,8 +103,8 @@ def _lines(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(raw == 10)
     begin = np.unique(np.concatenate([offs[:-1], edge + 1]))
     begin = begin[begin < len(raw)]
-    finish = np.unique(np.concatenate([offs[1:], edge]))
-    stop = finish[np.searchsorted(finish, begin)] if len(begin) else begin
+    # A line ends at the next line end, or where its own text does.
+    stop = np.minimum(np.append(edge, len(raw))[np.searchsorted(edge, begin)], offs[np.searchsorted(offs, begin, "right")]) if len(begin) else begin
     full = stop > begin
     begin, stop = begin[full], stop[full]
     doc = np.searchsorted(offs, begin, "right") - 1
@@ -123,7 +127,7 @@ def statistics_table(docs: DataFrame) -> DataFrame:
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), flat], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, "doc_id long, x array<float>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(scan), "doc_id long, x array<float>")
 
 
 class Features:
@@ -186,7 +190,7 @@ def score(docs: DataFrame, labels: DataFrame, *, column: str = "quality", ridge:
         for k in range(FOLDS):
             yield pa.record_batch([pa.array([k] * (RANDOM + 1), pa.int32()), pa.array(range(RANDOM + 1), pa.int32()), pa.array(list(total[k]), pa.list_(pa.float64()))], names=["fold", "i", "v"])
 
-    parts = known.select("x", "y", "fold").mapInArrow(sums, "fold int, i int, v array<double>")
+    parts = known.select("x", "y", "fold").mapInArrow(tidied(sums), "fold int, i int, v array<double>")
     equations = np.zeros((FOLDS, RANDOM + 1, RANDOM + 2))
     for r in parts.groupBy("fold", "i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).collect():  # FOLDS * (RANDOM + 1) rows
         equations[r["fold"], r["i"]] = r["v"]
@@ -204,7 +208,7 @@ def score(docs: DataFrame, labels: DataFrame, *, column: str = "quality", ridge:
             s = (features(_matrix(batch.column(0))) @ others)[np.arange(batch.num_rows), batch.column(2).to_numpy()]
             yield pa.record_batch([pa.array(np.round(np.clip(s, -1, 2) * BINS / 3).astype(np.int32)), batch.column(1)], names=["bin", "y"])
 
-    bins = known.select("x", "y", "fold").mapInArrow(crossed, "bin int, y double").groupBy("bin").agg(F.avg("y").alias("y"), F.count(F.lit(1)).alias("n")).orderBy("bin").collect()  # BINS rows at most
+    bins = known.select("x", "y", "fold").mapInArrow(tidied(crossed), "bin int, y double").groupBy("bin").agg(F.avg("y").alias("y"), F.count(F.lit(1)).alias("n")).orderBy("bin").collect()  # BINS rows at most
     x, y = pool_adjacent(np.array([r["bin"] for r in bins]) * 3 / BINS, np.array([r["y"] for r in bins]), np.array([r["n"] for r in bins], float))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,4 +218,4 @@ def score(docs: DataFrame, labels: DataFrame, *, column: str = "quality", ridge:
             calibrated = np.interp(s, x, y) * 0.999 + 0.001 / (1 + np.exp(-np.clip(s, -20, 20)))
             yield pa.record_batch([batch.column(0), pa.array(calibrated)], names=["doc_id", "score"])
 
-    return table.mapInArrow(scan, "doc_id long, score double")
+    return table.mapInArrow(tidied(scan), "doc_id long, score double")

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, text_chunks
-from .encode import encoder
+from .common import new_path, text_chunks, tidied
+from .encode import encoder, forget
 
 MAGIC = b"RPSH0002"
 #: Ids in a shard, about; uses that a rule needs; share of the largest count that pairs of a round have; bytes of text in a part.
@@ -259,10 +259,11 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: i
                     held, count, shard = [], 0, shard + 1
         if held:
             yield made()
+        forget()
 
     # The hash keeps texts of one id, or of none, apart.
     ordered = own.repartitionByRange(max(1, -(-size // PART_BYTES)), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
-    ordered.mapInArrow(build, "part int, shard int, n_docs long, n_tokens long, body binary").write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(tidied(build), "part int, shard int, n_docs long, n_tokens long, body binary").write.option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -293,7 +294,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(bounds[:-1], pa.int64()), pa.array(shard.tokens, pa.int64()), pa.array(crc, pa.int64()),
                 ], names=["part", "shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    rows = shards.select("part", "shard", "body").mapInArrow(decode, "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = shards.select("part", "shard", "body").mapInArrow(tidied(decode), "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(places, ["part", "shard"]).select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

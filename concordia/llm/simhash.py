@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, staged, text_chunks
+from .common import row_key, staged, text_chunks, tidied
 from .graph import components
 
 #: Entries of a segment value's bucket beyond which its links go through complete balls.
@@ -97,8 +97,8 @@ def fingerprints(docs: DataFrame, *, width: int = 3, seed: int = SEED, key: F.Co
 
     own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     if key is None:
-        return docs.select(*own).mapInArrow(scan, "doc_id long, fp long")
-    return docs.select(*own, key.alias("key")).mapInArrow(scan, "doc_id long, fp long, key string")
+        return docs.select(*own).mapInArrow(tidied(scan), "doc_id long, fp long")
+    return docs.select(*own, key.alias("key")).mapInArrow(tidied(scan), "doc_id long, fp long, key string")
 
 
 def _segments(fp) -> list[F.Column]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_unit, mix64, slice_hashes, staged, text_chunks, word_bounds, word_hashes
+from .common import hash_unit, mix64, slice_hashes, staged, text_chunks, tidied, word_bounds, word_hashes
 
 WINDOW, GRAM = 50, 25
 #: Windows that a worker holds at once; share of documents in the sample; entries in the sample that make an anchor
@@ -105,7 +105,7 @@ def crowded_anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                 yield pa.record_batch([pa.array(keys.view(np.int64))], names=["anchor"])
 
     sample = _texts(docs).filter(hash_unit(F.lit("sample"), F.col("doc_id")) < SAMPLE)
-    counts = staged(sample.mapInArrow(scan, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST_CROWD), "anchors")
+    counts = staged(sample.mapInArrow(tidied(scan), "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST_CROWD), "anchors")
     total = (counts.agg(F.sum("n")).first()[0] or 0)
     bound = max(LEAST_CROWD, min(total * CROWD_SHARE, max(SALT_ROWS * SAMPLE, total / MOST_CROWDED)))
     found = sorted((np.int64(r["anchor"]).view(np.uint64), r["n"]) for r in counts.filter(F.col("n") > bound).collect())
@@ -163,8 +163,8 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
         if kept:
             yield _parsed(pa.Table.from_batches(kept).combine_chunks(), carry)[0]
 
-    index = _texts(docs).mapInArrow(entries, ENTRY)
-    blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "start").mapInArrow(parse, FOUND)
+    index = _texts(docs).mapInArrow(tidied(entries), ENTRY)
+    blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "start").mapInArrow(tidied(parse), FOUND)
     found = staged(blocks, "factors")
     sure = found.filter("hash is null").select("doc_id", "text_key", "pieces")
     if len(crowded):
@@ -283,4 +283,4 @@ def _joined(docs: DataFrame, window: int, gram: int, made, column: str, kind: pa
                     out[3].append(removed)
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], kind), pa.array(out[3], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=["doc_id", "n_words", "n_removed", name, "removed"])
 
-    return both.mapInArrow(scan, f"doc_id long, n_words long, n_removed long, {column}, removed array<struct<start:long,end:long>>")
+    return both.mapInArrow(tidied(scan), f"doc_id long, n_words long, n_removed long, {column}, removed array<struct<start:long,end:long>>")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod3, staged, text_chunks
+from .common import crc32_mod3, staged, text_chunks, tidied
 
 #: Sizes of the n-grams, bits of their hash, and features that the regression takes at most.
 GRAMS, HASH_BITS, FEATURES = (3, 4, 5, 6), 22, 6000
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
             part = some[at : at + (1 << 16)]
             yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(counts[0][part]), pa.array(counts[1][part])], names=["gram", "clean", "toxic"])
 
-    counted = sample.mapInArrow(count, "gram int, clean int, toxic int").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean + toxic >= 3")
+    counted = sample.mapInArrow(tidied(count), "gram int, clean int, toxic int").groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("clean + toxic >= 3")
     clean, toxic = F.col("clean") + smoothing, F.col("toxic") + smoothing
     strength = F.abs(F.log((toxic / (total[1] + 2 * smoothing)) / (clean / (total[0] + 2 * smoothing)))) / F.sqrt(1 / toxic + 1 / clean)
     best = counted.withColumn("strength", strength).filter(F.col("strength") > LEAST_STRENGTH).orderBy(F.col("strength").desc(), "gram").limit(FEATURES).collect()
@@ -202,24 +202,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
         weights, bias = _regress(rows, np.array(y, float), ratio, ridge)
         yield pa.record_batch([pa.array([(weights * ratio).astype("<f8").tobytes()]), pa.array([float(bias)])], names=["weights", "bias"])
 
-    found = staged(sample.mapInArrow(extract, "features binary, label int"), "features")
-    row = found.coalesce(1).mapInArrow(train, "weights binary, bias double").first()
+    found = staged(sample.mapInArrow(tidied(extract), "features binary, label int"), "features")
+    row = found.coalesce(1).mapInArrow(tidied(train), "weights binary, bias double").first()
     return Model(keys, np.frombuffer(row["weights"], np.float64), row["bias"])
 
 
 def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse scaled presence features by accelerated gradient steps; classes weigh alike."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-    value = scale[column]
+    column = np.concatenate(rows).astype(np.intp) if rows else np.zeros(0, np.intp)
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    norms = np.bincount(owner, weights=value * value, minlength=len(y))
+    norms = np.bincount(owner, weights=(scale * scale)[column], minlength=len(y))
     step = 1 / (0.25 * float((weight * (norms + 1)).sum()) + ridge / len(y))
     w, b, w_at, b_at, t = np.zeros(len(scale)), 0.0, np.zeros(len(scale)), 0.0, 1.0
     for _ in range(rounds):
-        margin = np.bincount(owner, weights=value * w_at[column], minlength=len(y)) + b_at
+        margin = np.bincount(owner, weights=(scale * w_at)[column], minlength=len(y)) + b_at
         slope = weight * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y)
-        grad = np.bincount(column, weights=value * slope[owner], minlength=len(scale)) + ridge / len(y) * 1e-2 * w_at
+        grad = scale * np.bincount(column, weights=slope[owner], minlength=len(scale)) + ridge / len(y) * 1e-2 * w_at
         w_new, b_new, t_new = w_at - step * grad, b_at - step * float(slope.sum()), (1 + (1 + 4 * t * t) ** 0.5) / 2
         w_at, b_at = w_new + (t - 1) / t_new * (w_new - w), b_new + (t - 1) / t_new * (b_new - b)
         w, b, t = w_new, b_new, t_new
@@ -237,7 +236,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame
             for lo, hi, raw, offs in gram_chunks(batch.column(1)):
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(own.score(raw, offs, place))], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, "doc_id long, score double")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(scan), "doc_id long, score double")
 
 
 def judged(scores: DataFrame, threshold: float) -> DataFrame:
@@ -259,4 +258,4 @@ def kept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFra
                 clean = own.score(raw, offs, place) < threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(tidied(scan), docs.schema)
