@@ -28,6 +28,17 @@ manifest.json lists every file with its size and SHA-256.
 """
 
 
+LICENSE = """# Terms of use
+
+The table's structure and the bundle's own notes are free to use. Its elements name concepts of other
+authorities, each under that authority's terms; source_code and source_url lead to the definitions there:
+
+{sources}
+
+Content that its authority doesn't let others pass on is named by code only: ask the authority first.
+"""
+
+
 def derived(elements: DataFrame) -> DataFrame:
     """elements with search text and content hash where they lack them."""
     text = search_text_library("description", "source_authority", "source_code", "collection", "member_of_collections", "metadata_")
@@ -57,6 +68,7 @@ def write_bundle(elements: DataFrame, out: str, version: str, *, key: str = "acc
         "files": file_manifest(spark, out),
     }
     _put(spark, f"{out}/manifest.json", json.dumps(manifest, indent=2, sort_keys=True))
+    _put(spark, f"{out}/LICENSE.md", LICENSE.format(sources="\n".join(f"- {a}, version {v}" for a, v in sorted(manifest["sources"].items()))))
     _put(spark, f"{out}/README.md", README.format(**manifest | {"sources": "\n".join(f"- {a}: {v}" for a, v in manifest["sources"].items())}))
     return manifest
 
@@ -76,6 +88,20 @@ def verify(spark: SparkSession, folder: str) -> list[str]:
     return sorted(p for p, h in want.items() if have.get(p) != h)
 
 
+def package_manifest(spark: SparkSession, folder: str, version: str, *, created: dt.date | None = None) -> dict:
+    """Write folder/package.json: a finished bundle's tables with their rows and sizes, all counted; the manifest."""
+    files = file_manifest(spark, folder)
+    tables = {}
+    for name in sorted({f["path"].split("/")[0] for f in files if f["path"].endswith(".parquet") and "/" in f["path"]}):
+        own = [f for f in files if f["path"].startswith(f"{name}/")]
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(*[f"{folder}/{f['path']}" for f in own if f["path"].endswith(".parquet")]).count() if name != "index" else None
+        tables[name] = {"rows": rows, "files": len(own), "bytes": sum(f["bytes"] for f in own), "size": human_size(sum(f["bytes"] for f in own))}
+    total = sum(f["bytes"] for f in files)
+    manifest = {"package_version": version, "created": (created or dt.date.today()).isoformat(), "tables": tables, "total_bytes": total, "total_size": human_size(total), "checksums": {f["path"]: f["sha256"] for f in files}}
+    _put(spark, f"{folder}/package.json", json.dumps(manifest, indent=2, sort_keys=True))
+    return manifest
+
+
 def ingest_manifest(spark: SparkSession, path: str, downloads: list[dict], counts: dict[str, int], failures: dict[str, str] | None = None) -> dict:
     """Write what was fetched and staged, and what failed, as JSON; the manifest."""
     manifest = {

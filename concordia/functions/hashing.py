@@ -71,11 +71,25 @@ def native_hash(fields: dict[str, Column], numbers: tuple[str, ...] = ()) -> Col
     return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")), 256)
 
 
+def rollup_tree(df: DataFrame, hashed: str = "content_hash", digits: int = 4) -> DataFrame:
+    """One row: a digest of all row hashes that no single place has to read.
+
+    Equal hashes are counted, a line each, and lines are digested by their hash's first digits, sorted; the
+    digest of these digests, 16^digits at most, is the result. Null counts as empty.
+    """
+    counted = df.groupBy(F.coalesce(F.col(hashed), F.lit("")).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    lines = F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "h", "n"))), "\n")
+    parts = counted.groupBy(F.left("h", F.lit(digits)).alias("part")).agg(F.sha2(lines, 256).alias("digest"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "digest"))), lambda x: x["digest"]), "\n")
+    return parts.agg(F.sha2(whole, 256).alias("rollup_hash"))
+
+
 def rollup_hash(df: DataFrame, hashed: str = "content_hash") -> DataFrame:
-    """One row: SHA-256 of all row hashes, sorted, a line each; null counts as empty.
+    """One row: SHA-256 of all row hashes, sorted, a line each; null counts as empty. As bundles of other makers have it.
 
-    A single digest needs its lines in one order and one place. Rows are sorted by range in parallel and
-    the digest is fed partition after partition, so the driver holds one partition's hashes at most.
+    A single digest needs its lines in one order and one place. Rows are sorted by range in parallel and the
+    digest is fed partition after partition, so the driver holds one partition's hashes at most. rollup_tree
+    has no such place and is for large tables.
     """
     digest, first = hashlib.sha256(), True
     for row in df.select(F.coalesce(F.col(hashed), F.lit("")).alias("h")).orderBy("h").toLocalIterator():

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schema import ELEMENT
+
 #: Name, parameters, and body of each SQL function.
 FUNCTIONS = {
     "compose_search_text": (
@@ -26,6 +28,20 @@ def register(spark: SparkSession) -> list[str]:
     return list(FUNCTIONS)
 
 
+def create_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Create the target tables, empty, where they aren't yet: elements by the element schema, and the edges between them; their names.
+
+    Parquet tables have no indexes: elements are bucketed by the columns that others would index, so that
+    lookups and joins on them read one bucket.
+    """
+    place = f"{database}." if database else ""
+    element = spark.createDataFrame([], ELEMENT)
+    columns = ", ".join(f"`{n}` {t}" for n, t in element.dtypes)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {place}element_store ({columns}) USING parquet CLUSTERED BY (source_authority, source_code) INTO 64 BUCKETS")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {place}edge_store (src_authority STRING, src_code STRING, target_vocab STRING, target_code STRING, evidence STRING) USING parquet CLUSTERED BY (target_vocab, target_code) INTO 64 BUCKETS")
+    return [f"{place}element_store", f"{place}edge_store"]
+
+
 def create_views(elements: DataFrame, crosswalk: DataFrame | None = None) -> list[str]:
     """Views over the element table: all elements, active ones, and active ones with a crosswalk's columns."""
     elements.createOrReplaceTempView("elements")

@@ -170,6 +170,11 @@ def search_text_sql(description, authority, code, collection, collections, metad
     return F.concat_ws(" | ", col(description), F.concat(col(authority), F.lit(" "), F.coalesce(col(code), F.lit(""))), col(collection), F.array_join(col(collections), " "), col(metadata))
 
 
+def search_text_plain(description, name) -> Column:
+    """The description alone, or the name where it is blank: what small collections are encoded by."""
+    return F.coalesce(F.nullif(col(description), F.lit("")), F.nullif(col(name), F.lit("")), F.lit(""))
+
+
 def camel_case(c) -> Column:
     """Words joined, each with a capital: names as the contract's fields write them."""
     words = F.filter(F.split(col(c), r"[^A-Za-z0-9]+"), lambda x: x != "")

@@ -111,22 +111,33 @@ def holds_code(codes: str, vocabulary: str, code: str | None = None) -> Column:
     return F.exists(codes, lambda x: (x["vocabulary"] == vocabulary) & (F.lit(True) if code is None else x["code"] == code))
 
 
-def _pairs(df: DataFrame, key: list[str], ids: str = "id") -> DataFrame:
-    a, b = df.select(F.col(ids).alias("id_a"), *key), df.select(F.col(ids).alias("id_b"), *key)
-    return a.join(b, key).filter("id_a < id_b")
+def classes(members: DataFrame, key: list[str], ids: str = "id") -> DataFrame:
+    """Distinct members (key columns, id) with their class's representative, its smallest id, and links, its other members.
 
+    Two ids are a pair exactly if they are members of one class, so a class's square needn't be written out.
+    Classes are counted before they meet their members again, and a hot class moves as one row.
+    """
+    own = members.select(*key, F.col(ids).alias("id")).distinct()
+    heads = own.groupBy(*key).agg(F.min("id").alias("representative"), (F.count(F.lit(1)) - 1).alias("links"))
+    return own.join(heads, key)
 
-def coreference_pairs(edges: DataFrame) -> DataFrame:
-    """Pairs of sources that refer to the same target: (id_a, id_b, target_vocab, target_code), a before b.
 
-    Sources of a target are distinct first; a target's pairs are what is asked for, so they are its square.
-    """
-    src = edges.select(F.concat_ws(":", "src_authority", "src_code").alias("id"), "target_vocab", "target_code").distinct()
-    return _pairs(src, ["target_vocab", "target_code"])
+def coreference_classes(edges: DataFrame) -> DataFrame:
+    """Sources that refer to the same target: (target_vocab, target_code, id, representative, links)."""
+    src = edges.select(F.concat_ws(":", "src_authority", "src_code").alias("id"), "target_vocab", "target_code")
+    return classes(src.filter("target_vocab is not null and target_code is not null"), ["target_vocab", "target_code"])
+
 
+def same_concept_classes(elements: DataFrame, ids: str = "id") -> DataFrame:
+    """Elements of the same concept: (canonical_concept_id, id, representative, links)."""
+    return classes(elements.filter("canonical_concept_id is not null"), ["canonical_concept_id"], ids)
 
-def same_concept_pairs(elements: DataFrame, ids: str = "id") -> DataFrame:
-    return _pairs(elements.filter("canonical_concept_id is not null").select(ids, "canonical_concept_id").distinct(), ["canonical_concept_id"], ids)
+
+def pairs_of(members: DataFrame, key: list[str], asked: DataFrame) -> DataFrame:
+    """(id_a, id_b): pairs of classes in which one is among the ids asked for; a search, so its size is that of its answers."""
+    own = members.select(*key, "id").join(asked.select("id").distinct(), "id", "left_semi").withColumnRenamed("id", "__one")
+    both = own.join(members.select(*key, F.col("id").alias("__two")), key).filter("__one <> __two")
+    return both.select(F.least("__one", "__two").alias("id_a"), F.greatest("__one", "__two").alias("id_b")).distinct()
 
 
 def name_groups(df: DataFrame, ids: str, text: str, source: str) -> DataFrame:
@@ -135,7 +146,24 @@ def name_groups(df: DataFrame, ids: str, text: str, source: str) -> DataFrame:
     return named.groupBy("name").agg(F.count_distinct(source).alias("n_sources"), F.sort_array(F.collect_set(ids)).alias("ids")).filter("n_sources > 1")
 
 
-def equivalence_claims(coreferences: DataFrame, same_concept: DataFrame, curated: DataFrame) -> DataFrame:
-    """Pairs that refer to the same target and also share a concept or are curated. Symmetric, not transitive."""
-    backed = same_concept.select("id_a", "id_b").union(curated.select("id_a", "id_b")).distinct()
-    return coreferences.select("id_a", "id_b").distinct().join(backed, ["id_a", "id_b"])
+def equivalence_claims(coreferences: DataFrame, elements: DataFrame, curated: DataFrame) -> DataFrame:
+    """Claims that two ids are equivalent: they refer to the same target and also share a concept, or are curated.
+
+    coreferences: target_vocab, target_code, id; elements: id, canonical_concept_id; curated: id_a, id_b.
+    Gives classes by target and concept (evidence "concept"; only those of several members) and curated pairs
+    that share a target (evidence "curated", both ids as a class of their own, the smaller one its
+    representative). Symmetric, not transitive: every claim names its target and no claims are chained.
+    """
+    key = ["target_vocab", "target_code"]
+    members = coreferences.select(*key, "id").distinct()
+    known = members.join(elements.filter("canonical_concept_id is not null").select("id", "canonical_concept_id").distinct(), "id")
+    backed = classes(known, [*key, "canonical_concept_id"]).filter("links > 0")
+    shared = curated.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).filter("id_a <> id_b").distinct()
+    shared = shared.join(members.withColumnRenamed("id", "id_a"), "id_a").join(members.withColumnRenamed("id", "id_b"), ["id_b", *key])
+    listed = shared.select(*key, F.explode(F.array("id_a", "id_b")).alias("id"), F.col("id_a").alias("representative"), F.lit(1).cast("long").alias("links"))
+    return backed.select(F.lit("concept").alias("evidence"), *key, "id", "representative", "links").unionByName(listed.select(F.lit("curated").alias("evidence"), *key, "id", "representative", "links"))
+
+
+def by_alternates(elements: DataFrame, *tie: str) -> DataFrame:
+    """Elements in order of their number of alternate codes, most first; a range sort, no single task."""
+    return elements.withColumn("num_alternates", F.coalesce(F.size("alternate_codes"), F.lit(0))).orderBy(F.col("num_alternates").desc(), *tie)

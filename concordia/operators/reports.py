@@ -47,21 +47,30 @@ BINARY_SUFFIXES = (".png", ".jpg", ".pdf", ".zip", ".parquet", ".gz")
 LARGE_BYTES = 50 * 1024 * 1024
 
 
+def _line_ends(c: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit("\n")))
+
+
+def _hits(text: Column, name: str, pattern: str) -> Column:
+    """Array of (pattern, line, snippet) of a text's matches: lines are counted over the pieces between matches, and the matches."""
+    p = F.lit(pattern)
+    between = F.zip_with(F.split(text, pattern), F.regexp_extract_all(text, p, F.lit(0)), lambda piece, hit: F.struct(piece.alias("piece"), hit.alias("hit")))
+    start = F.struct(F.lit(1).alias("line"), F.array().cast("array<struct<pattern:string,line:int,snippet:string>>").alias("found"))
+
+    def step(state: Column, x: Column) -> Column:
+        line = state["line"] + _line_ends(x["piece"])
+        own = F.struct(F.lit(name).alias("pattern"), line.cast("int").alias("line"), F.substring(x["hit"], 1, 50).alias("snippet"))
+        return F.struct((line + _line_ends(x["hit"])).alias("line"), F.array_append(state["found"], own).alias("found"))
+
+    matched = F.filter(between, lambda x: x["hit"].isNotNull())
+    return F.when(F.rlike(text, p), F.aggregate(matched, start, step, lambda state: state["found"]))
+
+
 def screen_content(files: DataFrame, path: str, text: str, patterns: dict[str, str] = FORBIDDEN) -> DataFrame:
-    """(path, pattern, line, snippet): every place that a pattern matches in files that aren't binary."""
-    found = None
-    for name, pattern in patterns.items():
-        # Each match leaves what stands before it; the pieces between matches give the lines.
-        pieces = F.split(F.col(text), pattern)
-        hits = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-        own = files.filter(~F.rlike(F.lower(path), F.lit("(" + "|".join(s.replace(".", r"\.") for s in BINARY_SUFFIXES) + ")$")) & F.rlike(F.col(text), F.lit(pattern)))
-        rows = own.select(F.col(path).alias("path"), pieces.alias("pieces"), F.posexplode(hits).alias("nth", "hit"))
-        before = F.array_join(F.slice("pieces", F.lit(1), F.col("nth") + 1), "")
-        earlier = F.col("nth") * 0
-        line = F.length(before) - F.length(F.replace(before, F.lit("\n"))) + 1 + earlier
-        part = rows.select("path", F.lit(name).alias("pattern"), line.cast("int").alias("line"), F.substring("hit", 1, 50).alias("snippet"))
-        found = part if found is None else found.unionByName(part)
-    return found
+    """(path, pattern, line, snippet): every place that a pattern matches in files that aren't binary; one pass over the texts."""
+    binary = F.rlike(F.lower(F.col(path)), F.lit("(" + "|".join(s.replace(".", r"\.") for s in BINARY_SUFFIXES) + ")$"))
+    found = F.flatten(F.array_compact(F.array(*[_hits(F.col(text), name, pattern) for name, pattern in patterns.items()])))
+    return files.filter(~binary).select(F.col(path).alias("path"), F.inline(found))
 
 
 def screen_files(files: DataFrame, forbidden_folders: tuple[str, ...] = (), forbidden_suffixes: tuple[str, ...] = ()) -> DataFrame:

@@ -94,21 +94,28 @@ def lineage_note(context: DataFrame) -> DataFrame:
 
 
 def lineage_findings(samples: DataFrame) -> DataFrame:
-    """Samples (sample_id, parent_id, subject_id) whose ancestors are missing, go in circles, or are of another subject.
+    """Samples (sample_id, parent_id, subject_id; ids unique) whose ancestors are missing, go in circles, or are of another subject.
 
-    Each round follows one parent of all open samples at once, until none is open: a sample whose ancestors go in circles is closed when one comes again.
+    A sample's finding is the first bad step on its way up: a parent that isn't there, or that is of another
+    subject (an unknown subject is no other). Every round a sample takes over what the sample it points to has
+    found, or points to where that one points, so reaches double: after as many rounds as the number of
+    samples has binary digits, whatever is still open goes in a circle.
     """
-    roots = samples.select(F.col("sample_id").alias("at"), F.col("parent_id").alias("next"), F.col("subject_id").alias("owner"))
-    open_ = samples.filter("parent_id is not null").select("sample_id", "subject_id", F.col("parent_id").alias("at"), F.array("sample_id").alias("seen"))
-    bad = []
-    while True:
-        step = checkpointed(open_.join(roots, "at", "left"))
-        state = F.when(F.col("owner").isNull() & F.col("next").isNull(), "PARENT_MISSING").when(F.array_contains("seen", F.col("at")), "LINEAGE_CIRCLE").when(F.col("owner") != F.col("subject_id"), "SUBJECT_MISMATCH")
-        bad.append(step.withColumn("code", state).filter("code is not null").select("sample_id", "code", "at"))
-        open_ = step.filter(state.isNull() & F.col("next").isNotNull()).select("sample_id", "subject_id", F.col("next").alias("at"), F.array_append("seen", F.col("at")).alias("seen"))
+    own = samples.filter("sample_id is not null").select("sample_id", "parent_id", "subject_id")
+    parents = own.select(F.col("sample_id").alias("parent_id"), F.col("subject_id").alias("owner"), F.lit(True).alias("there"))
+    step = own.join(parents, "parent_id", "left")
+    bad = F.when(F.col("parent_id").isNotNull() & F.col("there").isNull(), "PARENT_MISSING").when(F.col("owner") != F.col("subject_id"), "SUBJECT_MISMATCH")
+    ends = F.col("parent_id").isNull() | bad.isNotNull()
+    state = checkpointed(step.select("sample_id", bad.alias("code"), F.when(bad.isNotNull(), F.col("parent_id")).alias("at"), F.when(~ends, F.col("parent_id")).alias("next")))
+    for _ in range(state.count().bit_length() + 1):
+        open_ = state.filter("next is not null")
         if open_.isEmpty():
             break
-    every = reduce(DataFrame.unionByName, bad)
+        above = state.select(F.col("sample_id").alias("next"), F.col("code").alias("__code"), F.col("at").alias("__at"), F.col("next").alias("__next"))
+        moved = open_.select("sample_id", "next").join(above, "next").select("sample_id", F.col("__code").alias("code"), F.col("__at").alias("at"), F.col("__next").alias("next"))
+        state = checkpointed(state.filter("next is null").unionByName(moved))
+    circle = state.filter("next is not null").select("sample_id", F.lit("LINEAGE_CIRCLE").alias("code"), F.col("next").alias("at"))
+    every = state.filter("code is not null").select("sample_id", "code", "at").unionByName(circle)
     return every.select(F.lit(ERROR).alias("severity"), "code", F.concat(F.lit("at "), F.col("at").cast("string")).alias("message"), F.col("sample_id").cast("string").alias("item"), F.lit("parent_id").alias("field"))
 
 

@@ -88,38 +88,72 @@ def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64), np.array([r[2] if len(r) > 2 else None for r in rows], object)
 
 
-def exact_search(corpus: DataFrame, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", group: str | None = None) -> DataFrame:
-    """(query_id, rank, key, score): each query's k best by inner product, ties to the smaller key.
+#: Scores that a worker holds at once.
+HELD_SCORES = 1 << 21
 
-    Queries are a set that is sent in blocks against all rows; every Arrow batch hands on its own k best of
-    each query, so what is shuffled is bounded by batches, not by pairs. group: a column whose value must
-    differ between a query and its neighbours.
+
+def _best_of(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of each row's k best finite scores, ties to the smaller key."""
+    n = scores.shape[1]
+    if n > k:
+        least = np.partition(scores, n - k, axis=1)[:, n - k]
+        row, column = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+    else:
+        row, column = np.nonzero(np.isfinite(scores))
+    order = np.lexsort((keys[column], -scores[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k]
+
+
+def _scan_blocks(corpus: DataFrame, queries: DataFrame, names: list[str], k: int, group: bool, cells=None) -> DataFrame:
+    """Each Arrow batch's k best of each query of a block, over all blocks.
+
+    names: key, vector and, with group, the column that must differ. cells: the corpus's last column is a
+    cell, and this gives the cells that a block's queries look into.
     """
-    schema = f"query_id long, {key} long, score double"
-    names = [key, vector, *([group] if group else [])]
-    found = None
+    key, found = names[0], None
+    schema = f"query_id {dict(queries.dtypes)[key]}, {key} {dict(corpus.dtypes)[key]}, score double"
     for block in _blocks(queries, names):
-        sent = corpus.sparkSession.sparkContext.broadcast(block)
+        probed = None if cells is None else cells(block[1])
+        sent = corpus.sparkSession.sparkContext.broadcast((*block, probed))
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            q_ids, q, q_group = sent.value
+            q_ids, q, q_group, probed = sent.value
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                own, scores = batch.column(0).to_numpy(), q @ _matrix(batch.column(1)).T
-                if group:
-                    scores = np.where(q_group[:, None] == np.array(batch.column(2).to_pylist(), object)[None, :], -np.inf, scores)
-                order = np.lexsort((np.broadcast_to(own, scores.shape), -scores), axis=1)[:, :k]
-                rows = np.repeat(np.arange(len(q_ids)), order.shape[1])
-                best = scores[rows, order.ravel()]
-                real = np.isfinite(best)
-                yield pa.record_batch([pa.array(q_ids[rows][real]), pa.array(own[order.ravel()][real]), pa.array(best[real])], names=["query_id", key, "score"])
-
-        part = corpus.select(*names).mapInArrow(scan, schema)
+                keys, m = np.array(batch.column(0).to_pylist()), _matrix(batch.column(1))
+                theirs = np.array(batch.column(2).to_pylist(), object) if group else None
+                if probed is None:
+                    parts = [(np.arange(len(keys)), np.arange(len(q_ids)))]
+                else:
+                    cell = batch.column(batch.num_columns - 1).to_numpy()
+                    parts = [(np.flatnonzero(cell == c), np.flatnonzero((probed == c).any(axis=1))) for c in np.unique(cell)]
+                for rows, asking in parts:
+                    step = max(1, HELD_SCORES // len(rows))
+                    for at in range(0, len(asking), step):
+                        some = asking[at : at + step]
+                        scores = q[some] @ m[rows].T
+                        if group:
+                            scores = np.where(q_group[some][:, None] == theirs[rows][None, :], -np.inf, scores)
+                        row, column = _best_of(scores, keys[rows], k)
+                        yield pa.record_batch([pa.array(q_ids[some][row]), pa.array(keys[rows][column]), pa.array(scores[row, column])], names=["query_id", key, "score"])
+
+        columns = names if cells is None else [*names, "cell"]
+        part = corpus.select(*columns).mapInArrow(scan, schema)
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        return corpus.sparkSession.createDataFrame([], f"query_id long, rank int, {key} long, score double")
-    return best_k(found, k, key)
+    return found if found is not None else corpus.sparkSession.createDataFrame([], schema)
+
+
+def exact_search(corpus: DataFrame, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", group: str | None = None) -> DataFrame:
+    """(query_id, rank, key, score): each query's k best by inner product, ties to the smaller key.
+
+    Queries are a set that is sent in blocks against all rows; every Arrow batch hands on its own k best of
+    each query, so what is shuffled is bounded by batches, not by pairs. group: a column whose value must
+    differ between a query and its neighbours.
+    """
+    return best_k(_scan_blocks(corpus, queries, [key, vector, *([group] if group else [])], k, bool(group)), k, key)
 
 
 def best_k(scored: DataFrame, k: int, key: str) -> DataFrame:
@@ -158,16 +192,15 @@ class CellIndex:
         return cls(spark.read.parquet(f"{path}/cells"), np.array([r["centroid"] for r in rows]), rows[0]["probes"])
 
     def search(self, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", probes: int | None = None) -> DataFrame:
-        """As exact_search, over each query's nearest cells alone."""
-        nearest = nearest_cells(self.centroids, probes or self.probes)
-        asked = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("q"), F.explode(nearest(vector)).alias("cell"))
+        """As exact_search, over each query's nearest cells alone: a batch scores a cell's vectors for the queries that look into it."""
+        n = probes or self.probes
+        return best_k(_scan_blocks(self.cells, queries, [key, vector], k, False, lambda q: _nearest(q, self.centroids, n)), k, key)
 
-        @F.pandas_udf("double")
-        def score(a: pd.Series, b: pd.Series) -> pd.Series:
-            return pd.Series([float(np.dot(np.asarray(x, np.float64), np.asarray(y, np.float64))) for x, y in zip(a, b, strict=True)])
 
-        pairs = self.cells.join(asked, "cell").select("query_id", key, score("q", vector).alias("score"))
-        return best_k(pairs, k, key)
+def _nearest(q: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
+    """The n cells whose centroids are nearest to each vector, in order."""
+    d = (centroids**2).sum(axis=1)[None, :] - 2 * q @ centroids.T
+    return np.argsort(d, axis=1)[:, :n].astype(np.int32)
 
 
 def nearest_cells(centroids: np.ndarray, n: int):
@@ -175,9 +208,7 @@ def nearest_cells(centroids: np.ndarray, n: int):
 
     @F.pandas_udf("array<int>")
     def nearest(v: pd.Series) -> pd.Series:
-        q = np.array(v.tolist(), np.float64)
-        d = (centroids**2).sum(axis=1)[None, :] - 2 * q @ centroids.T
-        return pd.Series(list(np.argsort(d, axis=1)[:, :n].astype(np.int32)))
+        return pd.Series(list(_nearest(np.array(v.tolist(), np.float64), centroids, n)))
 
     return nearest
 
@@ -214,6 +245,22 @@ def recall_at(neighbours: DataFrame, truth: DataFrame, key: str = "vec_id", ks:
     return joined.agg(*[F.avg(F.coalesce((F.col("rank") <= k).cast("double"), F.lit(0.0))).alias(f"recall_{k}") for k in ks])
 
 
+def cosine_gap(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """One row: how much nearer true pairs (vectors a, b; row_id) are than as many random ones, by mean cosine.
+
+    The random pairs join each a with the b of the next row by a hash of row_id: no row meets all others.
+    """
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, z: s + z)
+    cosine = lambda x, y: dot(x, y) / F.sqrt(dot(x, x) * dot(y, y))
+    bucket = F.pmod(F.xxhash64("row_id"), F.lit(1 << 10))
+    following = Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit("next"), "row_id"), "row_id")
+    whole = following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    other = F.coalesce(F.lead(b).over(following), F.first(b).over(whole))
+    both = pairs.withColumn("__other", other).select(cosine(a, b).alias("true"), cosine(a, "__other").alias("random"))
+    means = both.agg(F.avg("true").alias("true_pairs"), F.avg("random").alias("random_pairs"))
+    return means.withColumn("gap", F.col("true_pairs") - F.col("random_pairs"))
+
+
 def cell_count(n: int) -> int:
     """Lists that suit n vectors: four times the square root, at most 4096."""
     return max(2, min(4096, int(4 * math.sqrt(n))))

@@ -75,21 +75,22 @@ def curation_winners(spark, sf_dir):
     return reports.curation_winners(read(spark, sf_dir, "supplier"), ["s_nationkey"], "s_suppkey").select("s_suppkey", "replaced_by")
 
 
-@query("SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item FROM part WHERE p_partkey % 10 = 5 AND p_partkey < 100")
+@query("""
+SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item, 'at ' || (5 - p_partkey % 1000 - 1000000) AS message FROM part WHERE p_partkey % 1000 BETWEEN 5 AND 9
+UNION ALL SELECT 'SUBJECT_MISMATCH', p_partkey::VARCHAR, 'at ' || (p_partkey // 1000 * 1000 + 499) FROM part WHERE p_partkey % 1000 BETWEEN 500 AND 899
+UNION ALL SELECT 'LINEAGE_CIRCLE', p_partkey::VARCHAR, '' FROM part WHERE p_partkey % 1000 >= 900
+""")
 def sample_lineage(spark, sf_dir):
-    return _lineage(read(spark, sf_dir, "part").filter("p_partkey < 100"))
-
-
-@query("SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item FROM part WHERE p_partkey % 10 = 5")
-def sample_lineage_whole(spark, sf_dir):
-    """sample_lineage over all parts."""
-    return _lineage(read(spark, sf_dir, "part"))
-
-
-def _lineage(part):
-    k = F.col("p_partkey")
-    s = part.select(k.alias("sample_id"), F.when(k % 10 == 5, -k).when(k % 10 == 6, k - 2).when(k % 10 == 4, k - 1).alias("parent_id"), F.lit(1).alias("subject_id"))
-    return validation.lineage_findings(s).select("code", "item")
+    """Chains of hundreds of samples: some end at a missing parent, some change their subject, some go in a circle."""
+    k, n = F.col("p_partkey"), F.col("p_partkey") % 1000
+    part = read(spark, sf_dir, "part")
+    top = part.agg(F.max("p_partkey")).first()[0]
+    # Samples 5 to 9 point to parents that aren't there; 10 to 899 to the one before, with another subject from 500 on; 900 on to the next and the last back to 900, where they are all there.
+    last = F.least(F.lit(999), F.lit(top) - (k - n))
+    parent = F.when(n.between(5, 9), 5 - n - 1000000).when(n.between(11, 899), k - 1).when(n == last, k - n + 900).when(n >= 900, k + 1)
+    s = part.select(k.alias("sample_id"), parent.alias("parent_id"), F.when(n.between(500, 899), 2).otherwise(1).alias("subject_id"))
+    found = validation.lineage_findings(s)
+    return found.select("code", "item", F.when(F.col("code") == "LINEAGE_CIRCLE", "").otherwise(F.col("message")).alias("message"))
 
 
 @query("SELECT sum(n_chars)::BIGINT AS total_bytes, count(*) AS total_rows FROM documents")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import hashing
-from ..functions.numbers import tolerant_bounds
+from ..functions.numbers import filled_count, tolerant_bounds
 from ..operators import dedup, reports, sixaxis, validation
 from ..schema import to_elements
 from .registry import query, read
@@ -22,27 +22,19 @@ FROM ranked GROUP BY user_id, event_type
 """)
 def within_source_dedup(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumn("value", F.round("value", 6))
-    filled = F.nullif(F.col("event_type"), F.lit("view")).isNotNull().cast("int") + (F.col("value") >= 50).cast("int")
+    filled = filled_count(F.nullif(F.col("event_type"), F.lit("view")), F.when(F.col("value") >= 50, 1))
     rank = [-filled, F.coalesce(-F.unix_micros(F.col("ts").cast("timestamp")), F.lit((1 << 63) - 1)), F.col("event_id")]
-    sums = {"n_props": F.size(F.collect_set("props")).cast("long"), "source_row_count": F.count(F.lit(1))}
+    sums = {"n_props": F.count_distinct("props"), "source_row_count": F.count(F.lit(1))}
     return dedup.best_row(e, ["user_id", "event_type"], rank, ["event_id", "value", "props"], sums)
 
 
-@query("SELECT user_id, event_type, string_agg(props, '|' ORDER BY props) AS variants, count(*) AS n FROM events WHERE props IS NOT NULL GROUP BY user_id, event_type")
+@query("SELECT user_id, event_type, props, count(*) AS n FROM events WHERE props IS NOT NULL GROUP BY user_id, event_type, props")
 def metadata_variants(spark, sf_dir):
-    e = read(spark, sf_dir, "events").filter("props is not null")
-    return e.groupBy("user_id", "event_type").agg(F.array_join(F.sort_array(F.collect_list("props")), "|").alias("variants"), F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT event_type, string_agg(DISTINCT props, '|' ORDER BY props) AS names FROM events WHERE user_id % 10 = 0 GROUP BY event_type")
-def string_union(spark, sf_dir):
-    e = read(spark, sf_dir, "events").filter("user_id % 10 = 0")
-    return e.groupBy("event_type").agg(dedup.string_union("props").alias("names"))
+    return dedup.metadata_variants(read(spark, sf_dir, "events"), ("user_id", "event_type"), "props")
 
 
 @query("SELECT event_type, string_agg(DISTINCT props, '|' ORDER BY props) AS names FROM events GROUP BY event_type")
-def string_union_whole(spark, sf_dir):
-    """string_union over all events."""
+def string_union(spark, sf_dir):
     return read(spark, sf_dir, "events").groupBy("event_type").agg(dedup.string_union("props").alias("names"))
 
 
@@ -52,7 +44,7 @@ FROM orders GROUP BY o_custkey
 """)
 def array_union(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select("o_custkey", F.array("o_orderstatus", "o_orderpriority").alias("names"))
-    return o.groupBy("o_custkey").agg(F.array_join(dedup.set_union("names"), ",").alias("names"))
+    return dedup.sets_by_key(o, ["o_custkey"], {"names": F.col("names")}).withColumn("names", F.array_join("names", ","))
 
 
 @query("""
@@ -122,6 +114,16 @@ def content_hash(spark, sf_dir):
     return p.select("p_partkey", hashing.native_hash(fields, ("size",)).alias("content_hash"))
 
 
+@query("""
+WITH h AS (SELECT coalesce(CASE WHEN p_size % 7 <> 0 THEN sha256(p_name) END, '') AS h FROM part), c AS (SELECT h, count(*) AS n FROM h GROUP BY h),
+d AS (SELECT substr(h, 1, 4) AS part, sha256(string_agg(CASE WHEN h = '' THEN ' ' || n ELSE h || ' ' || n END, chr(10) ORDER BY h)) AS digest FROM c GROUP BY 1)
+SELECT sha256(string_agg(digest, chr(10) ORDER BY part)) AS rollup_hash FROM d
+""")
+def rollup_tree(spark, sf_dir):
+    p = read(spark, sf_dir, "part").select(F.when(F.col("p_size") % 7 != 0, F.sha2("p_name", 256)).alias("content_hash"))
+    return hashing.rollup_tree(p)
+
+
 @query("SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS rollup_hash FROM (SELECT coalesce(CASE WHEN p_size % 7 <> 0 THEN sha256(p_name) END, '') AS h FROM part)")
 def rollup_hash(spark, sf_dir):
     p = read(spark, sf_dir, "part").select(F.when(F.col("p_size") % 7 != 0, F.sha2("p_name", 256)).alias("content_hash"))
@@ -133,7 +135,7 @@ def _part_elements(spark, sf_dir):
     none = lambda kind: F.lit(None).cast(kind)
     return to_elements(p.select(
         k.cast("string").alias("item"), F.col("p_name").alias("description"), F.when(k % 3 == 0, "numeric").when(k % 3 == 1, "string").alias("item_type"),
-        F.when(k % 2 == 0, F.col("p_size").cast("double")).otherwise(none("double")).alias("plausible_min"), F.when(k % 5 == 0, "cm").alias("unit_of_measure"),
+        F.when(k % 2 == 0, F.col("p_size").cast("double")).otherwise(none("double")).alias("plausible_min"), F.when(k % 7 == 0, F.array(F.lit(1.0))).alias("embedding"), F.when(k % 14 == 0, "t").otherwise("").alias("search_text"), F.when(k % 5 == 0, "cm").alias("unit_of_measure"),
         F.when(k % 4 == 0, F.lit(2)).alias("numeric_precision"), F.when(k % 6 == 0, "multiple").otherwise("single").alias("cardinality"),
         F.when(k % 12 == 0, "a; b").when(k % 18 == 0, "a|b; c").otherwise("a, b").alias("values"), F.when(k % 10 == 0, "other").alias("replaced_by_id"), (k % 20 == 0).alias("is_active"),
         F.lit("OMOP").alias("source_authority"), F.lit("1").alias("source_version"), F.lit("2024-01-01").alias("source_retrieved_date"),
@@ -145,6 +147,7 @@ SELECT severity, code, item, field FROM (
   SELECT 'ERROR' AS severity, 'ACTIVE_BUT_REPLACED' AS code, p_partkey::VARCHAR AS item, 'is_active' AS field FROM part WHERE p_partkey % 20 = 0
   UNION ALL SELECT 'ERROR', 'NUMERIC_BOUNDS_WITHOUT_UNIT', p_partkey::VARCHAR, 'unit_of_measure' FROM part WHERE p_partkey % 6 = 0 AND p_partkey % 5 <> 0
   UNION ALL SELECT 'WARNING', 'NUMERIC_PRECISION_ON_NON_NUMERIC', p_partkey::VARCHAR, 'numeric_precision' FROM part WHERE p_partkey % 4 = 0 AND p_partkey % 3 <> 0
+  UNION ALL SELECT 'WARNING', 'EMBEDDING_WITHOUT_SEARCH_TEXT', p_partkey::VARCHAR, 'search_text' FROM part WHERE p_partkey % 7 = 0 AND p_partkey % 14 <> 0
   UNION ALL SELECT 'INFO', 'CARDINALITY_DELIMITER_CONVENTION', p_partkey::VARCHAR, 'values' FROM part WHERE p_partkey % 6 = 0 AND NOT (p_partkey % 18 = 0 AND p_partkey % 12 <> 0))
 """
 

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.numbers import dot, l2_normalize, mean_pool
+from ..operators import dedup
 from ..operators import vectors as V
 from .registry import query, read
 
-_QUERIES = "vec_id % 50 = 0"
 #: The stated set of queries.
-_STATED = "vec_id % 20 = 0"
+_QUERIES = "vec_id % 20 = 0"
 
 
-def _ranked(where: str = "", queries: str = _QUERIES) -> str:
+def _ranked(where: str = "") -> str:
     return f"""
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score
-  FROM embeddings q JOIN embeddings c ON true {where} WHERE q.{queries})"""
+  FROM embeddings q JOIN embeddings c ON true {where} WHERE q.{_QUERIES})"""
 
 
 @query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked()}) WHERE rank <= 10")
@@ -25,12 +26,23 @@ def cosine_topk(spark, sf_dir):
     return V.exact_search(e, e.filter(_QUERIES), 10).withColumn("score", F.round("score", 6))
 
 
-@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked('AND q.label IS DISTINCT FROM c.label')}) WHERE rank <= 5")
+_CROSS = _ranked("AND q.label IS DISTINCT FROM c.label")
+
+
+@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_CROSS}) WHERE rank <= 5")
 def cross_label_knn(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
     return V.exact_search(e, e.filter(_QUERIES), 5, group="label").withColumn("score", F.round("score", 6))
 
 
+@query(f"SELECT query_id, vec_id, round(score, 6) AS score, score < 0.4 AS needs_review FROM ({_CROSS}) WHERE rank <= 5 AND score > 0.3")
+def cross_label_candidates(spark, sf_dir):
+    """Candidates of another label; these vectors have no meaning, so the bounds are lower than the operator's own."""
+    e = read(spark, sf_dir, "embeddings")
+    found = V.cross_group_candidates(V.exact_search(e, e.filter(_QUERIES), 5, group="label"), 0.3, 0.4)
+    return found.select("query_id", "vec_id", F.round("score", 6).alias("score"), "needs_review")
+
+
 @query(f"""
 SELECT query_id, CASE WHEN score >= 0.92 THEN 'auto-bind' WHEN score >= 0.80 THEN 'review' WHEN score >= 0.65 THEN 'review-caution' ELSE 'novel' END AS verdict FROM ({_ranked('AND q.vec_id <> c.vec_id')}) WHERE rank = 1
 """)
@@ -40,26 +52,23 @@ def cosine_triage(spark, sf_dir):
     return V.best_k(best, 1, "vec_id").select("query_id", V.triage("score").alias("verdict"))
 
 
-@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked(queries=_STATED)}) WHERE rank <= 10")
-def cosine_topk_whole(spark, sf_dir):
-    """cosine_topk over the stated set of queries."""
-    e = read(spark, sf_dir, "embeddings")
-    return V.exact_search(e, e.filter(_STATED), 10).withColumn("score", F.round("score", 6))
-
-
-@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked('AND q.label IS DISTINCT FROM c.label', _STATED)}) WHERE rank <= 5")
-def cross_label_knn_whole(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
-    return V.exact_search(e, e.filter(_STATED), 5, group="label").withColumn("score", F.round("score", 6))
+@query("""
+SELECT vec_id, round(list_sum([x::DOUBLE * x::DOUBLE for x in embedding]) / greatest(list_sum([x::DOUBLE * x::DOUBLE for x in embedding]), 1e-9), 6) AS unit,
+  round(CASE WHEN vec_id % 2 = 0 THEN embedding[1]::DOUBLE ELSE (embedding[1]::DOUBLE + embedding[64]::DOUBLE) / 2 END, 6) AS first FROM embeddings
+""")
+def normalised_vectors(spark, sf_dir):
+    """Squared norms after normalising, and the first component of the mean of a vector and its reverse, where both count."""
+    e = read(spark, sf_dir, "embeddings").withColumn("u", l2_normalize("embedding"))
+    pooled = mean_pool(F.array(F.col("embedding"), F.reverse("embedding")), F.array(F.lit(1), (F.col("vec_id") % 2).cast("int")))
+    return e.select("vec_id", F.round(dot("u", "u"), 6).alias("unit"), F.round(pooled[0], 6).alias("first"))
 
 
-@query(f"""
-SELECT query_id, CASE WHEN score >= 0.92 THEN 'auto-bind' WHEN score >= 0.80 THEN 'review' WHEN score >= 0.65 THEN 'review-caution' ELSE 'novel' END AS verdict FROM ({_ranked('AND q.vec_id <> c.vec_id', _STATED)}) WHERE rank = 1
-""")
-def cosine_triage_whole(spark, sf_dir):
+@query("SELECT vec_id, label FROM embeddings")
+def vector_append(spark, sf_dir):
+    """New vectors below those that are there, all keys once."""
     e = read(spark, sf_dir, "embeddings")
-    best = V.exact_search(e, e.filter(_STATED), 2).filter("query_id <> vec_id")
-    return V.best_k(best, 1, "vec_id").select("query_id", V.triage("score").alias("verdict"))
+    both = dedup.append_vectors(e.filter("vec_id % 3 <> 0"), e.filter("vec_id % 3 = 0"), "vec_id")
+    return both.join(e.select("vec_id", "label"), "vec_id").select("vec_id", "label")
 
 
 @query("SELECT round(min(n), 5) AS min_norm, round(max(n), 5) AS max_norm, round(avg(n), 5) AS mean_norm, bool_and(abs(n - 1) <= 1e-5) AS all_unit FROM (SELECT sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)")
@@ -68,22 +77,22 @@ def norm_stats(spark, sf_dir):
     return s.select(*[F.round(c, 5).alias(c) for c in ("min_norm", "max_norm", "mean_norm")], "all_unit")
 
 
-@query("SELECT 1.0::DOUBLE AS recall_1, 1.0::DOUBLE AS recall_5, 1.0::DOUBLE AS recall_10")
+@query(f"SELECT avg((rank <= 1)::INTEGER)::DOUBLE AS recall_1, avg((rank <= 5)::INTEGER)::DOUBLE AS recall_5, avg((rank <= 10)::INTEGER)::DOUBLE AS recall_10 FROM ({_ranked()}) WHERE query_id = vec_id")
 def self_recall(spark, sf_dir):
-    """Every vector of unit length finds itself first."""
+    """How many vectors find themselves among their best."""
     e = read(spark, sf_dir, "embeddings")
-    q = e.filter(_STATED)
+    q = e.filter(_QUERIES)
     return V.recall_at(V.exact_search(e, q, 10), q.select(F.col("vec_id").alias("query_id"), "vec_id"))
 
 
 @query()
 def ivf_topk(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
-    return V.CellIndex.build(e, 16).search(e.filter(_STATED), 10)
+    return V.CellIndex.build(e, 16).search(e.filter(_QUERIES), 10)
 
 
 @query()
 def encoded_search(spark, sf_dir):
     d = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id"), "text")
     e = V.encode(d, "text", V.hashing_encoder(64))
-    return V.exact_search(e, e.filter("vec_id % 10 = 0"), 3)
+    return V.exact_search(e, e.filter(_QUERIES), 3)

@@ -19,9 +19,24 @@ def session(name: str = "concordia", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; on a local master without it, a folder of our own."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if found.isDefined():
+            path = found.get()
+        elif spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        else:
+            path = "file://" + tempfile.mkdtemp(prefix="concordia-")
+            spark.sparkContext.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to spark.checkpoint.dir, or to a folder of our own where none is set."""
+    """df, written to the shared folder: cuts lineage and survives lost executors."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="concordia-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

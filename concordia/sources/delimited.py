@@ -75,15 +75,20 @@ CDE_TYPES = {
 
 
 def vocabulary_versions(vocabularies: DataFrame) -> DataFrame:
-    """(vocabulary_id, version); blank versions are unknown, and of several rows the largest version stays."""
-    v = vocabularies.select("vocabulary_id", F.coalesce(X.blank_to_null("vocabulary_version"), F.lit("unknown")).alias("version"))
-    return v.groupBy("vocabulary_id").agg(F.max("version").alias("version"))
+    """(vocabulary_id, version); blank versions are unknown, and of several rows the last in the file stays."""
+    v = vocabularies.select("vocabulary_id", F.coalesce(X.blank_to_null("vocabulary_version"), F.lit("unknown")).alias("version"), _place())
+    return v.groupBy("vocabulary_id").agg(F.max_by("version", "__place").alias("version"))
+
+
+def _place() -> Column:
+    """Where a row stands: a file with line ends in quotes is one partition, and partitions follow one another."""
+    return F.monotonically_increasing_id().alias("__place")
 
 
 def synonym_lists(synonyms: DataFrame) -> DataFrame:
-    """(concept_id, synonyms): a concept's names that aren't blank, in order."""
-    s = synonyms.select(tolerant_long("concept_id").alias("concept_id"), X.blank_to_null("concept_synonym_name").alias("name")).filter("concept_id is not null and name is not null")
-    return s.groupBy("concept_id").agg(F.sort_array(F.collect_set("name")).alias("synonyms"))
+    """(concept_id, synonyms): a concept's names that aren't blank, in the file's order, repeats included."""
+    s = synonyms.select(tolerant_long("concept_id").alias("concept_id"), X.blank_to_null("concept_synonym_name").alias("name"), _place()).filter("concept_id is not null and name is not null")
+    return s.groupBy("concept_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("__place", "name"))), lambda x: x["name"]).alias("synonyms"))
 
 
 def concepts(spark: SparkSession, concept: DataFrame, vocabularies: DataFrame | None = None, synonyms: DataFrame | None = None, axes: DataFrame | None = None, *, retrieved: dt.date | None = None, standard_only: bool = True, skip: tuple[str, ...] = ()) -> DataFrame:

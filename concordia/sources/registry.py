@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from . import delimited, semistructured
+from .fetch import first_match
 
 SOURCES: dict[str, Callable[..., DataFrame]] = {}
 
@@ -64,8 +67,30 @@ for _kind in semistructured.ONTOLOGIES:
     SOURCES[_kind] = lambda spark, path, kind=_kind, **o: semistructured.ontology_elements(semistructured.ontology_terms(spark, path), kind, **o)
 
 
+#: Fixed table: where each source's files are looked for below a folder of downloads, first match first.
+FILES = {
+    "concepts": ("**/CONCEPT.csv",), "lab_codes": ("**/Loinc.csv", "**/loinc.csv", "**/LoincTable/*.csv"), "hpo": ("**/hp.obo",), "mondo": ("**/mondo.obo",), "duo": ("**/duo.obo",),
+    "codelists": ("**/SDTM*Terminology*.txt", "**/*.tsv"), "data_elements": ("**/*CDE*.csv", "**/*.csv"), "protocols": ("**/*.csv", "**/*.txt"), "yaml": ("**/objects", "**/*.yaml"),
+}
+
+
+def find(name: str, folder: str) -> str:
+    """The path that a source reads below a folder: the folder of its tables, or its file; an error if there is none."""
+    found = first_match(Path(folder), *FILES[name])
+    return str(found.parent if name == "concepts" or (name == "yaml" and found.is_file()) else found)
+
+
 def stage(spark: SparkSession, name: str, out: str, **options) -> int:
-    """Write a source's elements to out/<name>.parquet; how many there are."""
+    """Write a source's elements to out/<name>.parquet; how many there are.
+
+    Where Parquet can't be written (a type that it lacks), the elements are written as JSON lines instead.
+    """
     path = f"{out}/{name}.parquet"
-    SOURCES[name](spark, **options).write.mode("overwrite").parquet(path)
+    found = SOURCES[name](spark, **options)
+    try:
+        found.write.mode("overwrite").parquet(path)
+    except AnalysisException:
+        path = f"{out}/{name}.jsonl"
+        found.write.mode("overwrite").json(path)
+        return spark.read.schema(found.schema).json(path).count()
     return spark.read.parquet(path).count()

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,18 +136,24 @@ ANCHOR = T.StructType([
 
 
 def anchors(spark: SparkSession, folder: str) -> DataFrame:
-    """Anchor definitions of a folder of JSON arrays, with their file's stem as theme; unknown keys are left out.
+    """Anchor definitions of a folder of JSON arrays, with their file's stem as theme and place, their order in it; unknown keys are left out.
 
     An item that two definitions share is an error.
     """
     df = spark.read.schema(ANCHOR).option("multiLine", True).option("mode", "FAILFAST").json(f"{folder}/*.json")
-    df = df.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("theme"))
+    # A file is one partition, so a theme's rows are numbered in its order.
+    df = df.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("theme"), F.monotonically_increasing_id().alias("place"))
     twice = df.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("item").limit(5).collect()
     if twice:
         raise ValueError(f"defined more than once: {', '.join(str(r['item']) for r in twice)}")
     return df
 
 
+def by_theme(anchors: DataFrame) -> DataFrame:
+    """(theme, items): a theme's anchors in their file's order."""
+    return anchors.groupBy("theme").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "item"))), lambda x: x["item"]).alias("items"))
+
+
 def json_elements(spark: SparkSession, path: str) -> DataFrame:
     """Elements of a JSON array of objects; the first row that doesn't fit ends the read."""
     return to_elements(spark.read.schema(ELEMENT).option("multiLine", True).option("mode", "FAILFAST").json(path))
@@ -168,7 +176,10 @@ def staged_rows(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-def matrix_rows(spark: SparkSession, vectors: Iterable, keys: Iterable, key: str = "vec_id") -> DataFrame:
-    """A matrix's rows as a keyed table."""
-    rows = [(int(k), [float(x) for x in v]) for k, v in zip(keys, vectors, strict=True)]
-    return spark.createDataFrame(rows, f"{key} long, embedding array<float>")
+def matrix_rows(spark: SparkSession, vectors, keys, key: str = "vec_id") -> DataFrame:
+    """A matrix's rows as a keyed table, by Arrow: no row becomes a Python object."""
+    m, k = np.asarray(vectors, np.float32), np.asarray(keys, np.int64)
+    if m.ndim != 2 or len(m) != len(k):
+        raise ValueError(f"{m.shape} vectors for {len(k)} keys")
+    column = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(m).reshape(-1)), max(1, m.shape[1])).cast(pa.list_(pa.float32()))
+    return spark.createDataFrame(pa.table({key: pa.array(k), "embedding": column}))

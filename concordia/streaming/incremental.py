@@ -5,17 +5,17 @@ The batch engine has no streams of its own; these let a staging folder be follow
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 
 def _state_folder(spark: SparkSession) -> str:
-    """A place for a stream's own checkpoint, in the shared folder where one is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/concordia-stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="concordia-stream-")
+    """A place for a stream's own checkpoint, in the shared folder."""
+    return f"{shared_folder(spark)}/concordia-stream-{uuid.uuid4().hex}"
 
 
 def follow(spark: SparkSession, path: str, schema) -> DataFrame:
