@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from itertools import chain
 
 import numpy as np
 
 from .common import _BYTE_VALUES, slice_hashes
 
-#: Pieces that a worker remembers; it starts anew beyond.
-REMEMBERED = 1 << 18
+#: Pieces that a worker remembers; it starts anew beyond. Bits of their table's places, twice as many.
+REMEMBERED, TABLE_BITS = 1 << 19, 20
 
 #: White space of the pattern, and endings that follow an apostrophe.
 _SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -73,6 +74,36 @@ def pieces(codes: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(new), kind
 
 
+class Table:
+    """Numbers of 64-bit hashes, by open addressing: lookups of many hashes at once, in arrays of a fixed size."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where there is none; no hash is 0."""
+        out, todo = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
+        at = (hashes >> self.shift).astype(np.int64)
+        while len(todo):
+            held = self.keys[at]
+            hit = held == hashes
+            out[todo[hit]] = self.values[at[hit]]
+            on = ~hit & (held != 0)
+            todo, hashes, at = todo[on], hashes[on], (at[on] + 1) & self.mask
+        return out
+
+    def add(self, hashes: np.ndarray, first: int) -> None:
+        """New different hashes, numbered from first on."""
+        values, at = np.arange(first, first + len(hashes), dtype=np.int32), (hashes >> self.shift).astype(np.int64)
+        while len(hashes):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = hashes[free]  # of several that meet in a place one is left
+            won = self.keys[at] == hashes
+            self.values[at[won]] = values[won]
+            values, hashes, at = values[~won], hashes[~won], (at[~won] + 1) & self.mask
+
+
 class Encoder:
     """Ids of texts; one for each worker, as it remembers pieces."""
 
@@ -84,16 +115,16 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.table, self.known = Table(TABLE_BITS), 0
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first, self.width = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         merge = self.tokenizer.model.tokenize  # the pieces are split already, and mapped to the vocabulary's characters
         found = [[t.id for t in merge(x)] for x in texts]
         widths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(widths.sum()))
-        n = len(self.place)
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(widths.sum()))
+        n = self.known
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while n + len(found) > len(self.first):
@@ -102,7 +133,8 @@ class Encoder:
         self.first[n : n + len(found)] = self.used + np.cumsum(widths) - widths
         self.width[n : n + len(found)] = widths
         self.used += len(flat)
-        self.place.update(zip(hashes, range(n, n + len(found)), strict=True))
+        self.table.add(hashes, n)
+        self.known += len(found)
 
     def encode(self, raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a chunk, bounds of each text's ids)."""
@@ -126,19 +158,20 @@ class Encoder:
                 at = data.find(mark, at + 1)
         a = heads[begin]
         b = np.append(a[1:], len(raw))
-        known, inverse = np.unique(slice_hashes(_BYTE_VALUES[raw], a, b), return_inverse=True)
-        sample = np.zeros(len(known), np.int64)
-        sample[inverse] = np.arange(len(a))
-        if len(self.place) + len(known) > REMEMBERED:
-            self.forget()
-        keys = known.tolist()
-        place = self.place
-        missing = [k for k, h in enumerate(keys) if h not in place]
-        if missing:
-            at = sample[missing]
+        hashes = slice_hashes(_BYTE_VALUES[raw], a, b) | np.uint64(1)
+        index = self.table.find(hashes)
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            new, sample, inverse = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            if self.known + len(new) > REMEMBERED and self.known:
+                self.forget()
+                missing = np.arange(len(hashes))
+                new, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            at = missing[sample]
             mapped = _BYTE_CHARS[raw].tobytes().decode("utf-16-le")  # one character for each byte
-            self._learn([keys[k] for k in missing], [mapped[x:y] for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)])
-        index = np.fromiter(map(place.__getitem__, keys), np.int64, len(keys))[inverse]
+            first = self.known
+            self._learn(new, [mapped[x:y] for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)])
+            index[missing] = first + inverse
         width = self.width[index]
         ends = np.cumsum(width)
         total = int(ends[-1])
@@ -179,10 +212,5 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def forget() -> None:
-    """Let go of this worker's encoders."""
-    _ENCODERS.clear()
-
-
 if sys.byteorder != "little":
     raise RuntimeError("token files are little-endian")

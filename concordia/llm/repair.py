@@ -2,8 +2,9 @@
 
 A shard is some consecutive documents in ascending order of id. Its pairs of neighbouring symbols are counted
 exactly, and the most frequent are replaced by new nonterminals, again and again and never across documents,
-until no pair is left with LEAST_USES uses: a rule of fewer takes about as much as it saves. A round takes all
-pairs with at least a SHARE-th of the largest count; where two of them overlap the more frequent one wins.
+until no pair is left with LEAST_USES uses. (A rule takes some 8 bytes and a use of it saves 2; rules of fewer
+uses make symbols a bit wider, and with them shards came out larger.) A round takes all pairs with at least a
+SHARE-th of the largest count; where two of them overlap the more frequent one wins.
 
 A shard stores its rules, the expansion length of each, its documents' ids and the ends of their symbols, and
 the symbols, rules and symbols packed in as few bits as the largest symbol needs. Every symbol has its place,
@@ -31,78 +32,100 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, text_chunks, tidied
-from .encode import encoder, forget
+from .encode import encoder
 
 MAGIC = b"RPSH0002"
 #: Ids in a shard, about; uses that a rule needs; share of the largest count that pairs of a round have; bytes of text in a part.
-SHARD_IDS, LEAST_USES, SHARE, PART_BYTES = 1 << 20, 4, 8, 24 << 20
+SHARD_IDS, LEAST_USES, SHARE, PART_BYTES = 1 << 20, 8, 64, 24 << 20
 #: Bits of the hash by which pairs that can't have enough uses are set aside before counting; parts in a group of prefix sums.
-SIEVE_BITS, GROUP_BITS = 21, 11
+SIEVE_BITS, GROUP_BITS = 19, 11
 #: Of this many documents one is read by itself.
 ALONE = 64
 NO_ID = -(1 << 63)
 
 
-def _frequent(symbols: np.ndarray, last: np.ndarray, done: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, their pair's number, pairs): pairs of a round; places of one pair don't overlap. No pairs: nothing is left to replace.
+def _frequent(symbols: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, number of the pair at each, pairs of the round, places whose pair has uses enough to come later).
 
-    done: pairs known to have too few uses.
+    Of a run of places of one pair, which overlap, every other one is given.
     """
-    place = np.flatnonzero(~last[:-1])
     key = symbols[place].astype(np.uint64) << np.uint64(32) | symbols[place + 1]
-    sieve = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
-    some = np.bincount(sieve, minlength=1 << SIEVE_BITS)[sieve] >= LEAST_USES
-    place, key = place[some], key[some]
-    pairs, count = np.unique(key, return_counts=True)
-    open_ = (count >= LEAST_USES) & ~np.isin(pairs, done)
-    pairs, count = pairs[open_], count[open_]
+    sieve = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SIEVE_BITS)).view(np.int64)
+    some = np.flatnonzero((np.bincount(sieve, minlength=1 << SIEVE_BITS) >= LEAST_USES)[sieve])
+    place, key, sieve = place[some], key[some], sieve[some]
+    order = np.sort(key)
+    new = np.ones(len(order), bool)
+    np.not_equal(order[1:], order[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(order)))
+    pairs, count = order[first[count >= LEAST_USES]], count[count >= LEAST_USES]
     if not len(pairs):
-        return place[:0], place[:0], pairs
-    pairs = pairs[count >= max(LEAST_USES, int(count.max()) // SHARE)]
-    number = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
-    hit = pairs[number] == key
-    place, number = place[hit], number[hit]
-    # Of a run of places of one pair, which overlap, every other one counts.
+        return place[:0], sieve[:0], pairs, place[:0]
+    # A place finds its pair by the sieve's hash; of pairs that share one the most frequent comes now, the others later.
+    at, own = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SIEVE_BITS)).view(np.int64), np.arange(len(pairs), dtype=np.int32)
+    number = np.zeros(1 << SIEVE_BITS, np.int32)
+    number[at] = own
+    behind = np.zeros(1 << SIEVE_BITS, bool)
+    behind[at[number[at] != own]] = True
+    clash = np.flatnonzero(behind[at])
+    clash = clash[np.argsort(count[clash], kind="stable")]
+    number[at[clash]] = clash
+    now = count >= max(LEAST_USES, int(count.max()) // SHARE)
+    mine = number[sieve]
+    hit = pairs[mine] == key
+    waits = np.where(hit, ~now[mine], behind[sieve])
+    later, hit = place[np.flatnonzero(waits)], np.flatnonzero(hit & ~waits)
+    place, mine = place[hit], mine[hit]
     new = np.ones(len(place), bool)
-    new[1:] = (np.diff(place) != 1) | (number[1:] != number[:-1])
+    new[1:] = (np.diff(place) != 1) | (mine[1:] != mine[:-1])
     nth = np.arange(len(place))
     own = (nth - np.maximum.accumulate(np.where(new, nth, 0))) % 2 == 0
-    return place[own], number[own], pairs
+    return place[own], mine[own], pairs, np.concatenate([later, place[~own]])
 
 
 def grammar(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules as pairs, symbols left, whether each is the last of its document)."""
+    """(rules as pairs, symbols left, whether each is the last of its document).
+
+    A pair's count can't rise: its symbols only ever stand side by side where they did before. So a place is
+    looked at until its pair has too few uses, and again when a neighbour is replaced.
+    """
     made: list[np.ndarray] = []
-    done = np.zeros(0, np.uint64)
-    next_symbol = base
-    while len(symbols) > 1:
-        place, number, pairs = _frequent(symbols, last, done)
+    symbols, last, open_ = symbols.copy(), last.copy(), ~last
+    open_[-1:] = False
+    while True:
+        place, number, pairs, later = _frequent(symbols, np.flatnonzero(open_))
         if not len(pairs):
             break
         uses = np.bincount(number, minlength=len(pairs))
-        rare = uses < LEAST_USES  # the count fell as its places overlap; it can't rise again
-        done = np.union1d(done, pairs[rare])
-        rank = np.empty(len(pairs), np.int64)
-        rank[np.lexsort((pairs, -uses))] = np.arange(len(pairs))
-        own = ~rare[number]
+        enough = uses >= LEAST_USES  # a pair's places may overlap, which leaves fewer uses than it counts
+        weight = uses * len(pairs) - np.arange(len(pairs))  # by uses, then by the smaller pair: no two are alike
+        own = enough[number]
         place, number = place[own], number[own]
         # Where places of two pairs overlap the more frequent pair wins; the loser is counted again in the next round.
-        order, touch = rank[number], np.diff(place) == 1
+        order, touch = weight[number], np.diff(place) == 1
         win = np.ones(len(place), bool)
-        win[1:] &= ~(touch & (order[1:] > order[:-1]))
-        win[:-1] &= ~(touch & (order[:-1] > order[1:]))
+        win[1:] &= ~(touch & (order[1:] < order[:-1]))
+        win[:-1] &= ~(touch & (order[:-1] < order[1:]))
+        lost = place[~win]
         place, number = place[win], number[win]
         kept = np.bincount(number, minlength=len(pairs)) >= LEAST_USES
         own = kept[number]
+        lost = np.concatenate([lost, place[~own]])
         place, number = place[own], (np.cumsum(kept) - 1)[number[own]]
         made.append(pairs[kept])
-        symbols, last = symbols.copy(), last.copy()
-        symbols[place] = (next_symbol + number).astype(np.uint32)
+        symbols[place] = (base + sum(map(len, made[:-1])) + number).astype(np.uint32)
         last[place] = last[place + 1]
+        # Open are the places that come later, those that lost, and the replaced symbols with the ones before them.
+        open_[:] = False
+        open_[later] = open_[lost] = open_[place] = True
+        open_[np.maximum(place - 1, 0)] = True
         stay = np.ones(len(symbols), bool)
         stay[place + 1] = False
-        symbols, last = symbols[stay], last[stay]
-        next_symbol += int(kept.sum())
+        # Where two replaced symbols meet, the one before is a replaced symbol too, which is open.
+        stay = np.flatnonzero(stay)
+        symbols, last, open_ = symbols[stay], last[stay], open_[stay]
+        open_ &= ~last
+        open_[-1:] = False
     rules = np.concatenate([np.zeros(0, np.uint64), *made])
     return np.stack([rules >> np.uint64(32), rules & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), symbols, last
 
@@ -135,6 +158,8 @@ def expand(symbols: np.ndarray, pairs: np.ndarray, base: int) -> np.ndarray:
 
 def pack(values: np.ndarray, bits: int) -> bytes:
     """Numbers in so many bits each, lowest bit first."""
+    if bits == 16:
+        return values.astype("<u2").tobytes()
     place, out = np.arange(bits, dtype=np.uint32), []
     for at in range(0, len(values), 1 << 16):  # a multiple of 8 numbers ends at a byte
         out.append(np.packbits((values[at : at + (1 << 16), None] >> place & np.uint32(1)).astype(np.uint8), bitorder="little").tobytes())
@@ -143,6 +168,8 @@ def pack(values: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: np.ndarray, bits: int, start: int, stop: int) -> np.ndarray:
     """The numbers from place start to stop, from the bytes that hold them alone."""
+    if bits == 16:
+        return data[2 * start : 2 * stop].view("<u2").astype(np.uint32)
     out, weight = [np.zeros(0, np.uint32)], (np.uint32(1) << np.arange(bits, dtype=np.uint32))[None]
     for a in range(start, stop, 1 << 16):
         n = min(1 << 16, stop - a)
@@ -259,7 +286,6 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: i
                     held, count, shard = [], 0, shard + 1
         if held:
             yield made()
-        forget()
 
     # The hash keeps texts of one id, or of none, apart.
     ordered = own.repartitionByRange(max(1, -(-size // PART_BYTES)), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
