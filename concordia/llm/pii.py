@@ -211,12 +211,18 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFr
     words = held.join(asked.select("text_key").distinct(), "text_key", "left_semi").select("text_key", F.inline("words")).distinct()
     words = staged(words, "pii_words")
     asked = staged(asked, "pii_entities")
-    together = words.select("text_key", "term").distinct().join(asked, "text_key").groupBy("term", "entity", "entity_df").agg(F.sum("n").alias("co"))
-    together = together.filter(F.col("co") >= support)
-    # The few pairs with support pick their terms out of the counts of all terms.
-    terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull()).select("term", "df")
-    terms = terms.join(together.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("term_df"))
-    counted = together.join(terms, "term")
+    # A term tells of an entity only if it is rare enough itself, as a pair is in no more documents than its
+    # entity: its information must reach the threshold's share of the entity's. That leaves the common words of
+    # a text out before terms and entities meet, and a text's pairs are compared, not written out.
+    information = lambda n: F.log2(F.lit(float(max(total, 1))) / F.col(n))
+    asked = asked.withColumn("needed", threshold * information("entity_df"))
+    least = asked.agg(F.min("needed")).first()[0]
+    held = words.select("text_key", "term").distinct()
+    terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull() & F.col("base_sha256").isNull()).select("term", "df")
+    terms = terms.join(held.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("term_df"))
+    terms = terms.withColumn("information", information("term_df")).filter((F.col("term_df") >= support) & (F.col("information") >= F.lit(least if least is not None else 0.0) - 1e-9))
+    near = held.join(terms, "term").join(asked, "text_key").filter(F.col("information") >= F.col("needed") - 1e-9)
+    counted = near.groupBy("term", "entity", "entity_df", "term_df").agg(F.sum("n").alias("co")).filter(F.col("co") >= support)
     shared = F.log2(F.col("co") * F.lit(float(total)) / (F.col("term_df") * F.col("entity_df")))
     own = F.log2(F.lit(float(total)) / F.col("entity_df"))
     telling = counted.filter((own > 0) & (shared >= threshold * own)).select("term", "entity")
