@@ -45,7 +45,7 @@ from .common import staged, tidied
 
 #: Vectors in an index block, at most about; in a leaf of a tree; queries in a chunk; vectors that the top of the
 #: tree is fitted on, and those of them that a cell needs.
-BLOCK_ROWS, LEAF_ROWS, CHUNK_ROWS, SAMPLE_ROWS, CELL_SAMPLE = 1 << 13, 32, 1 << 14, 1 << 16, 16
+BLOCK_ROWS, LEAF_ROWS, CHUNK_ROWS, SAMPLE_ROWS, CELL_SAMPLE = 1 << 13, 64, 1 << 14, 1 << 16, 16
 
 
 def chi_square_cdf(x: np.ndarray, m: int) -> np.ndarray:
@@ -203,9 +203,8 @@ class Block:
             gap = self.points[rows] - point
             rows = rows[np.einsum("ij,ij->i", gap, gap) <= limit]
             verified += len(rows)
+            rows = rows[self.vectors[rows] @ query >= bound - 1e-9 * max(1.0, far)]  # far more than the rounding of a product
             scores = (self.vectors[rows] * query).sum(axis=1)  # the same sum for the same vector, wherever it lies
-            good = scores >= bound - 1e-12
-            rows, scores = rows[good], scores[good]
             ids = self.ids[rows]
             if len(rows) > 4 * k:
                 keep = np.lexsort((ids, -scores))[: k + int((ids == qid).sum())]
