@@ -8,7 +8,6 @@ A single text is never cut; the largest text is the least that a worker must hol
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: Bytes of text that are worked on at once, and rows that Spark hands to a Python worker at once.
 CHUNK_BYTES, BATCH_ROWS = 1 << 19, 1024
 
@@ -25,30 +26,12 @@ SPACES = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset.
-
-    A folder of our own is on this machine, so without the setting only a local master is accepted.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if found.isDefined():
-            path = found.get()
-        elif spark.sparkContext.master.split("[")[0] != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        else:
-            path = "file://" + tempfile.mkdtemp(prefix="concordia-")
-            spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
 #: Paths of tables that this process has staged and not released.
 _STAGED: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    _STAGED.append(f"{shared_dir(spark)}/concordia/{name}-{uuid.uuid4().hex}")
+    _STAGED.append(f"{shared_folder(spark)}/concordia/{name}-{uuid.uuid4().hex}")
     return _STAGED[-1]
 
 
@@ -59,6 +42,14 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that nothing refers to any more.
+
+    It notices them when the driver's JVM collects garbage, which may be long after what they led to was staged.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def staged_so_far() -> int:
     """A mark for release()."""
     return len(_STAGED)

@@ -7,7 +7,7 @@ and Myers' bit-parallel algorithm verifies the whole item on the stretch of text
 
 Texts are compared in lower case with white space characters alike, one character for one, so spans are
 code points of the text itself. Items are the query set: they are read in blocks of bounded size, each
-broadcast against all documents.
+sent with the tasks that read all documents.
 
 Items too short for an edit, under 1 / ERRORS characters, are matched exactly and between word boundaries, so
 that one word of an item isn't found inside another word.
@@ -159,12 +159,11 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def _items(sent, errors: float) -> Items:
-    """This worker's automaton of a broadcast block; the last one is kept."""
-    key = f"{sent.value[0]}"
+def _items(key: str, block: list[tuple[int, str]], errors: float) -> Items:
+    """This worker's automaton of a block; the last one is kept."""
     if key not in _BLOCKS:
         _BLOCKS.clear()
-        _BLOCKS[key] = Items(sent.value[1], errors)
+        _BLOCKS[key] = Items(block, errors)
     return _BLOCKS[key]
 
 
@@ -174,10 +173,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) ->
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = None
     for block in blocks(benchmark):
-        sent = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items = _items(sent, errors)
+        # A block goes with the tasks; Spark lets go of it with the plan.
+        def scan(batches: Iterator[pa.RecordBatch], key=uuid.uuid4().hex, block=block) -> Iterator[pa.RecordBatch]:
+            items = _items(key, block, errors)
             for batch in batches:
                 for lo, _, raw, offs in text_chunks(batch.column(1)):
                     data, rows = raw.tobytes(), []
@@ -196,10 +194,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) -> D
     """docs without the rows whose text holds a test item; one pass, and no shuffle, for each block of items."""
     at = docs.columns.index("text")
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block))
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items = _items(sent, errors)
+        def scan(batches: Iterator[pa.RecordBatch], key=uuid.uuid4().hex, block=block) -> Iterator[pa.RecordBatch]:
+            items = _items(key, block, errors)
             for batch in batches:
                 for lo, hi, raw, offs in text_chunks(batch.column(at)):
                     data = raw.tobytes()

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, staged, text_chunks, tidied
+from .common import let_go, row_key, staged, text_chunks, tidied
 from .graph import components
 
 #: Entries of a segment value's bucket beyond which its links go through complete balls.
@@ -152,6 +152,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, crowd: int = CROWD, key:
     prints = staged(fingerprints(docs, width=width, key=key), "fingerprints")
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     groups = components(links(nodes.select("fp"), crowd=crowd)).select(F.col("node").alias("fp"), "component")
+    let_go(docs.sparkSession)  # of the probes
     named = staged(nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups")
     # Most groups are one fingerprint: only those of several meet to find their smallest id.
     several = named.filter("group <> fp").select("group").distinct()

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_unit, mix64, slice_hashes, staged, text_chunks, tidied, word_bounds, word_hashes
+from .common import hash_unit, let_go, mix64, slice_hashes, staged, text_chunks, tidied, word_bounds, word_hashes
 
 WINDOW, GRAM = 50, 25
 #: Windows that a worker holds at once; share of documents in the sample; entries in the sample that make an anchor
@@ -128,11 +128,9 @@ _PIECES = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("source
 def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, text_key, pieces): factors of each text that has any. A factor is n windows from word start on, n + window - 1 words,
     which stand from word source_start on in the document source, whose id is smaller."""
-    crowded, ways = crowded_anchors(docs, window, gram)
-    sent = docs.sparkSession.sparkContext.broadcast((crowded, ways))
+    some, dealt = crowded_anchors(docs, window, gram)  # MOST_CROWDED numbers at most, so they go with the tasks
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, dealt = sent.value
         for batch in batches:
             for lo, _, raw, offs in text_chunks(batch.column(1)):
                 w = Windows(raw, offs, window, gram)
@@ -167,7 +165,7 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
     blocks = index.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "start").mapInArrow(tidied(parse), FOUND)
     found = staged(blocks, "factors")
     sure = found.filter("hash is null").select("doc_id", "text_key", "pieces")
-    if len(crowded):
+    if len(some):
         # The first entries of each way: all but those of the smallest document are repeated too. A window of the
         # window function holds a row for each way, however often a document repeats it.
         own = F.struct("doc_id", F.col("pieces")[0]["start"].alias("at"))
@@ -260,6 +258,7 @@ def digests(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
 
 def _joined(docs: DataFrame, window: int, gram: int, made, column: str, kind: pa.DataType) -> DataFrame:
     spans = factors(docs, window=window, gram=gram).select("doc_id", "text_key", F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))).alias("spans"))
+    let_go(docs.sparkSession)  # of the index
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     both = own.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")

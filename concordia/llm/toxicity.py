@@ -115,7 +115,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
 
 
 class Model:
-    """Selected n-grams (by hash) with their weights, and the intercept."""
+    """Selected n-grams (by hash, FEATURES at most) with their weights, and the intercept: small enough to go with a task."""
 
     def __init__(self, keys: np.ndarray, weights: np.ndarray, bias: float):
         self.keys, self.weights, self.bias = keys, weights, bias
@@ -227,14 +227,12 @@ def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: fl
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:
     """(doc_id, score) for every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.keys, model.weights, model.bias))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*sent.value)
-        place = own.table()
+        place = model.table()
         for batch in batches:
             for lo, hi, raw, offs in gram_chunks(batch.column(1)):
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(own.score(raw, offs, place))], names=["doc_id", "score"])
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(model.score(raw, offs, place))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(scan), "doc_id long, score double")
 
@@ -246,16 +244,13 @@ def judged(scores: DataFrame, threshold: float) -> DataFrame:
 
 def kept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows that the model rejects, in one pass and with all columns."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.keys, model.weights, model.bias))
-    names = docs.columns
-    at = names.index("text")
+    at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*sent.value)
-        place = own.table()
+        place = model.table()
         for batch in batches:
             for lo, hi, raw, offs in gram_chunks(batch.column(at)):
-                clean = own.score(raw, offs, place) < threshold
+                clean = model.score(raw, offs, place) < threshold
                 yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 
     return docs.mapInArrow(tidied(scan), docs.schema)

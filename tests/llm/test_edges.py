@@ -316,6 +316,20 @@ def test_pii_terms(spark):
     assert clean[0] == "common words here  [EMAIL] more common words" and clean[10] == texts[10]
 
 
+def test_pii_whole_documents(spark):
+    """A term far from its entity discloses it as one beside it does, at every place in the documents; long words don't hide it."""
+    far, long = " ".join(["common"] * 40), "x" * 300
+    texts = [f"faraway {far}. {long} near a@x.org {far} faraway" if k < 4 else f"{far} {long} near number" for k in range(40)]
+    made = [(None if k == 3 else k, t) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    last = len(texts[0])
+    for i in (0, 1, 2, None):
+        spans = got[i]["spans"].split(",")
+        assert "term:0:7" in spans and f"term:{last - 7}:{last}" in spans
+        assert got[i]["n_term"] == 3 and "near" not in {texts[0][int(s.split(":")[1]) : int(s.split(":")[2])] for s in spans}
+    assert got[10]["spans"] == ""
+
+
 def test_pii_long_words(spark):
     """Terms are found however far from the entity and however long the words between; copies under one id and under two count alike."""
     long = "x" * 1000
