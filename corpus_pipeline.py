@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordia.llm import decontaminate, mixing, repair, simhash, toxicity
-from concordia.llm.common import discard, new_path, release, staged_so_far, table
+from concordia.llm.common import discard, let_go, new_path, release, staged_so_far, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,5 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         release(spark, mark, keep=path)
         if before is not None:
             discard(spark, before)
+        let_go(spark)
         before = path
     return docs
