@@ -8,6 +8,8 @@ A single text is never cut; the largest text is the least that a worker must hol
 from __future__ import annotations
 
 import ctypes
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -46,8 +48,13 @@ def let_go(spark: SparkSession) -> None:
     """Have Spark remove the shuffle files of plans that nothing refers to any more.
 
     It notices them when the driver's JVM collects garbage, which may be long after what they led to was staged.
+    A plan goes in two steps: what refers to it is finalised after the first collection.
     """
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()
+    system = spark.sparkContext._jvm.System
+    system.gc()
+    time.sleep(0.3)
+    system.gc()
 
 
 def staged_so_far() -> int:
