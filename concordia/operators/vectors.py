@@ -116,10 +116,10 @@ def _scan_blocks(corpus: DataFrame, queries: DataFrame, names: list[str], k: int
     schema = f"query_id {dict(queries.dtypes)[key]}, {key} {dict(corpus.dtypes)[key]}, score double"
     for block in _blocks(queries, names):
         probed = None if cells is None else cells(block[1])
-        sent = corpus.sparkSession.sparkContext.broadcast((*block, probed))
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            q_ids, q, q_group, probed = sent.value
+        # A block goes with the tasks; Spark lets go of it with the plan.
+        def scan(batches: Iterator[pa.RecordBatch], block=block, probed=probed) -> Iterator[pa.RecordBatch]:
+            q_ids, q, q_group = block
             for batch in batches:
                 if not batch.num_rows:
                     continue
