@@ -23,6 +23,9 @@ from ..session import shared_folder
 #: Bytes of text that are worked on at once, and rows that Spark hands to a Python worker at once.
 CHUNK_BYTES, BATCH_ROWS = 1 << 19, 1024
 
+#: Narrow rows in a file of a staged table at least, about, where their number is known.
+FILE_ROWS = 1 << 16
+
 #: Fixed values of the word contract: the bytes between words.
 SPACES = b" \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -37,9 +40,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return _STAGED[-1]
 
 
-def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, codec: str = "zstd", rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it again: cuts lineage, survives lost executors.
+
+    rows: about how many there are at most; a table of few rows becomes few files, however many partitions made it.
+    """
     path = new_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

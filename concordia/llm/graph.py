@@ -23,14 +23,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges: a, b (long), in any direction, repeats and loops allowed. No edges: no rows.
     """
     edges = staged(edges.select("a", "b").filter("a <> b"), "links")
-    both = staged(edges.union(edges.select("b", "a")).distinct(), "edges")
-    labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels")
+    rows = 2 * edges.count()
+    both = staged(edges.union(edges.select("b", "a")).distinct(), "edges", rows=rows)
+    labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels", rows=rows)
     for _ in range(MOST_ROUNDS):
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         # A label's own label, read from the round before: jumps along chains.
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = staged(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
+        after = staged(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels", rows=rows)
         labels = after.select("node", "label")
         if after.filter("label <> old").isEmpty():
             return labels.withColumnRenamed("label", "component")

@@ -128,7 +128,7 @@ def links(nodes: DataFrame, *, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     high, low = _segments(fp)
     balls = F.concat(F.transform(ball, lambda m: _key(0, high.bitwiseXOR(m))), F.transform(ball, lambda m: _key(1, low.bitwiseXOR(m))))
     probes = nodes.select(F.col("fp").alias("p_fp"), F.explode(balls).alias("key"))
-    crowded = staged(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded")
+    crowded = staged(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded", rows=2 * nodes.count() // crowd)
     # One lookup finds both: entries of sparse buckets, and marks of crowded ones (with no fingerprint).
     mark = crowded.select("key", F.lit(None).cast("long").alias("fp"))
     targets = table.join(crowded, "key", "left_anti").select("key", "fp").union(mark)
@@ -150,10 +150,10 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, crowd: int = CROWD, key:
     component_id: the smallest doc_id that links reach; group: a fingerprint that stands for the component.
     """
     prints = staged(fingerprints(docs, width=width, key=key), "fingerprints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes", rows=prints.count())
     groups = components(links(nodes.select("fp"), crowd=crowd)).select(F.col("node").alias("fp"), "component")
     let_go(docs.sparkSession)  # of the probes
-    named = staged(nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups")
+    named = staged(nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups", rows=nodes.count())
     # Most groups are one fingerprint: only those of several meet to find their smallest id.
     several = named.filter("group <> fp").select("group").distinct()
     least = named.join(several, "group", "left_semi").groupBy("group").agg(F.min("least").alias("lowest"))
