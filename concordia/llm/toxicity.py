@@ -110,7 +110,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = own.filter(F.col("label") == value).orderBy(spread, "__id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     # The sample is bounded by 2 * per_class rows of ids.
-    joined = docs.select("doc_id", "text").join(F.broadcast(staged(chosen, "sample")), F.col("doc_id") == F.col("__id"))
+    joined = docs.select("doc_id", "text").join(F.broadcast(staged(chosen, "sample", rows=2 * per_class)), F.col("doc_id") == F.col("__id"))
     return joined.repartition(SAMPLE_PARTS, F.xxhash64("__id")).select("text", F.col("label").cast("int").alias("label"))
 
 
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
     the texts are.
     """
     nothing = Model(np.zeros(0, np.int64), np.zeros(0), -50.0)
-    sample = staged(training_sample(docs, labels, column, per_class), "texts")
+    sample = staged(training_sample(docs, labels, column, per_class).coalesce(SAMPLE_PARTS), "texts")
     total = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not total.get(0) or not total.get(1):
         return nothing
@@ -202,23 +202,39 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "toxic", per_class:
         weights, bias = _regress(rows, np.array(y, float), ratio, ridge)
         yield pa.record_batch([pa.array([(weights * ratio).astype("<f8").tobytes()]), pa.array([float(bias)])], names=["weights", "bias"])
 
-    found = staged(sample.mapInArrow(tidied(extract), "features binary, label int"), "features")
+    found = staged(sample.mapInArrow(tidied(extract), "features binary, label int"), "features", rows=2 * per_class)
     row = found.coalesce(1).mapInArrow(tidied(train), "weights binary, bias double").first()
     return Model(keys, np.frombuffer(row["weights"], np.float64), row["bias"])
 
 
+def _sums(groups: np.ndarray, size: int):
+    """A function of values in order of groups (sorted): their sums for each of size groups."""
+    starts = np.flatnonzero(np.diff(groups, prepend=-1))
+    some = groups[starts]
+
+    def sums(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(size)
+        if len(starts):
+            out[some] = np.add.reduceat(values, starts)
+        return out
+
+    return sums
+
+
 def _regress(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, ridge: float, rounds: int = 600) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse scaled presence features by accelerated gradient steps; classes weigh alike."""
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = np.concatenate(rows).astype(np.intp) if rows else np.zeros(0, np.intp)
+    column = np.concatenate([np.zeros(0, np.intp), *rows]).astype(np.intp)
+    by_column = np.argsort(column, kind="stable")
+    of_row, of_column, owner_by_column = _sums(owner, len(y)), _sums(column[by_column], len(scale)), owner[by_column]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    norms = np.bincount(owner, weights=(scale * scale)[column], minlength=len(y))
+    norms = of_row((scale * scale).take(column))
     step = 1 / (0.25 * float((weight * (norms + 1)).sum()) + ridge / len(y))
     w, b, w_at, b_at, t = np.zeros(len(scale)), 0.0, np.zeros(len(scale)), 0.0, 1.0
     for _ in range(rounds):
-        margin = np.bincount(owner, weights=(scale * w_at)[column], minlength=len(y)) + b_at
+        margin = of_row((scale * w_at).take(column)) + b_at
         slope = weight * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y)
-        grad = scale * np.bincount(column, weights=slope[owner], minlength=len(scale)) + ridge / len(y) * 1e-2 * w_at
+        grad = scale * of_column(slope.take(owner_by_column)) + ridge / len(y) * 1e-2 * w_at
         w_new, b_new, t_new = w_at - step * grad, b_at - step * float(slope.sum()), (1 + (1 + 4 * t * t) ** 0.5) / 2
         w_at, b_at = w_new + (t - 1) / t_new * (w_new - w), b_new + (t - 1) / t_new * (b_new - b)
         w, b, t = w_new, b_new, t_new
