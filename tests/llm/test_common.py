@@ -105,3 +105,13 @@ def test_worker_memory():
 def test_let_go(spark):
     common.let_go(spark)
     assert spark.range(3).agg(F.sum("id")).first()[0] == 3
+
+
+def test_entry_hides_nothing_else():
+    """The entry module does without the subpackage, but not without what the subpackage needs."""
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=120, check=False)
+    assert found.returncode and "ahocorasick" in found.stderr
+    code = "import sys; sys.modules['concordia.llm'] = None; import __spark_entry__ as e; print(sorted(set(e.queries()) & {'pipeline', 'op1_toxicity', 'totals'}))"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=120, check=True)
+    assert found.stdout.split() == ["['totals']"]
