@@ -10,12 +10,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..bundle import _put
+from ..bundle import _put, file_manifest, verify, write_bundle
 from ..functions import hashing
 from ..operators import sixaxis
 from ..schema import to_elements
 from ..session import shared_folder
-from ..sources import delimited, semistructured
+from ..sources import delimited, registry, semistructured
+from .build import write_edges
 from .registry import query, read
 
 DAY = dt.date(2024, 5, 6)
@@ -297,3 +298,50 @@ def element_hash(spark, sf_dir):
         F.when(k % 3 == 0, _text('{"k": [2, 1], "a": "', F.col("p_brand"), '"}')).alias("metadata_"), F.col("p_size").cast("double").alias("plausible_min"), F.when(k % 5 == 0, F.lit(2)).alias("numeric_precision"),
     ))
     return e.select(F.col("source_code").cast("long").alias("k"), hashing.content_hash(e).alias("content_hash"))
+
+
+# ---- what is written
+
+
+@query("SELECT 'd' || n_regionkey || '/' || n_name || '.txt' AS path, length(n_name) AS bytes, sha256(n_name) AS sha256 FROM nation")
+def file_digests(spark, sf_dir):
+    """Size and SHA-256 of every file below a folder."""
+    folder = _folder(spark, "files")
+    for n in _nations(spark, sf_dir):
+        _put(spark, f"{folder}/d{n['n_regionkey']}/{n['n_name']}.txt", n["n_name"])
+    files = [(f["path"], f["bytes"], f["sha256"]) for f in file_manifest(spark, folder)]  # as many as nations
+    return spark.createDataFrame(files, "path string, bytes long, sha256 string")
+
+
+@query("""
+SELECT s_name AS item, 'OMOP:' || lpad(s_suppkey::VARCHAR, 7, '0') AS accession, 'nation ' || s_nationkey || ' | OMOP' AS search_text, s_suppkey % 2 = 0 AS embedded,
+  (SELECT count(*) FROM supplier) AS n_elements, (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) AS n_with_embedding, 0 AS n_wrong FROM supplier
+""")
+def bundle_written(spark, sf_dir):
+    """Elements, embeddings and manifest of a bundle, read back and verified."""
+    key = F.col("s_suppkey")
+    vector = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda k: (((key + k) % 7) + 1).cast("float"))
+    e = to_elements(read(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("item"), _text("nation ", F.col("s_nationkey")).alias("description"), _text("OMOP:", F.lpad(key.cast("string"), 7, "0")).alias("accession"), F.when(key % 2 == 0, vector).alias("embedding"),
+        F.lit("OMOP").alias("source_authority"), F.lit("1").alias("source_version"), F.lit("2024-01-01").alias("source_retrieved_date"),
+    ))
+    out = _folder(spark, "bundle")
+    manifest = write_bundle(e, out, "1", created=DAY)
+    wrong = len(verify(spark, out))
+    stored = spark.read.parquet(f"{out}/embeddings").select("accession", F.lit(True).alias("embedded"))
+    rows = spark.read.parquet(f"{out}/elements").join(stored, "accession", "left")
+    counts = [F.lit(manifest[n]).cast("long").alias(n) for n in ("n_elements", "n_with_embedding")]
+    return rows.select("item", "accession", "search_text", F.coalesce("embedded", F.lit(False)).alias("embedded"), *counts, F.lit(wrong).alias("n_wrong"))
+
+
+@query("SELECT 'lab_codes' AS source, (SELECT count(*) FROM part WHERE p_partkey % 2 = 0) AS n UNION ALL SELECT 'edges', (SELECT count(*) FROM part WHERE p_partkey % 3 = 0) UNION ALL SELECT 'no edges', 0")
+def staged_counts(spark, sf_dir):
+    """Rows of a source that the registry stages, and of edges as they are written; without any there is no table."""
+    k = F.col("p_partkey")
+    p = read(spark, sf_dir, "part")
+    table = p.select(_text(k, "-1").alias("LOINC_NUM"), F.col("p_name").alias("COMPONENT"), F.when(k % 2 == 0, "ACTIVE").otherwise("TRIAL").alias("STATUS"))
+    out = _folder(spark, "stage")
+    n = registry.stage(spark, "lab_codes", out, path=_written(table, "lab"), version="9", retrieved=DAY)
+    edges = p.filter(k % 3 == 0).select(k.alias("src_code"), F.col("p_size").alias("target_code"))
+    written = [("lab_codes", n), ("edges", write_edges(edges, f"{out}/edges")), ("no edges", write_edges(edges.limit(0), f"{out}/none"))]
+    return spark.createDataFrame(written, "source string, n long")
