@@ -36,6 +36,7 @@ _STAGED: list[str] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
+    bounded_batches(spark)  # plans that are written from here on
     _STAGED.append(f"{shared_folder(spark)}/concordia/{name}-{uuid.uuid4().hex}")
     return _STAGED[-1]
 
