@@ -23,8 +23,9 @@ from ..session import shared_folder
 #: Bytes of text that are worked on at once, and rows that Spark hands to a Python worker at once.
 CHUNK_BYTES, BATCH_ROWS = 1 << 19, 1024
 
-#: Narrow rows in a file of a staged table at least, about, where their number is known.
-FILE_ROWS = 1 << 16
+#: Narrow rows, or bytes as Spark estimates them, in a file of a written table at least, about; and tasks for each core
+#: of the cluster that a write keeps in any case.
+FILE_ROWS, FILE_BYTES, CORE_TASKS = 1 << 16, 64 << 20, 2
 
 #: Fixed values of the word contract: the bytes between words.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -47,12 +48,17 @@ def staged(df: DataFrame, name: str, codec: str = "zstd", rows: int | None = Non
     rows: about how many there are at most; a table of few rows becomes few files, however many partitions made it.
     """
     path = new_path(df.sparkSession, name)
-    if rows is not None:
-        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
+    df = few_files(df) if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """df in no more partitions than its size, or the cluster's cores, ask for: many small inputs don't become many small files."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.coalesce(max(CORE_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-min(size, 1 << 54) // FILE_BYTES)))
+
+
 def let_go(spark: SparkSession) -> None:
     """Have Spark remove the shuffle files of plans that nothing refers to any more.
 
