@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordia.llm import decontaminate, mixing, repair, simhash, toxicity
-from concordia.llm.common import discard, let_go, new_path, release, staged_so_far, table
+from concordia.llm.common import discard, few_files, let_go, new_path, release, staged_so_far, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     their texts; without labels of both classes all stay.
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.kept(docs, model)
+    return few_files(toxicity.kept(docs, model))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id link like any other and stay where no row of their group has an id. Empty and null
     texts are one group. Rows that are equal in every column are one.
     """
-    return simhash.one_of_each(docs)
+    return few_files(simhash.one_of_each(docs))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Null and empty texts hold none; null and blank items are held by none; repeated rows stay or go alike.
     """
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return few_files(decontaminate.clean(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words are taken never; a null source is one of its own; rows that share an id are taken
     each for itself.
     """
-    return mixing.emitted(docs)
+    return few_files(mixing.emitted(docs))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A null text has the end id alone; rows without an id come first; rows that share an id each have a row.
     """
-    return repair.written_and_read(docs)
+    return few_files(repair.written_and_read(docs))
 
 
 STAGES = [
