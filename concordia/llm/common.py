@@ -53,10 +53,20 @@ def staged(df: DataFrame, name: str, codec: str = "zstd", rows: int | None = Non
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Operators of a plan that shuffle; a shuffle's partitions are sized by Spark itself.
+_SHUFFLED = ("Join ", "Aggregate [", "Repartition", "Window [", "Sort [", "Distinct", "Deduplicate")
+
+
 def few_files(df: DataFrame) -> DataFrame:
-    """df in no more partitions than its size, or the cluster's cores, ask for: many small inputs don't become many small files."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.coalesce(max(CORE_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-min(size, 1 << 54) // FILE_BYTES)))
+    """df in no more partitions than its size, or the cluster's cores, ask for: many small inputs don't become many small files.
+
+    Only where df is made without a shuffle.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if any(name in plan.toString() for name in _SHUFFLED):
+        return df
+    size = min(int(str(plan.stats().sizeInBytes())), 1 << 54)
+    return df.coalesce(max(CORE_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-size // FILE_BYTES)))
 
 
 def let_go(spark: SparkSession) -> None:
