@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, mixing, pii, quality, repair, simhash, sql, substring, toxicity
+from . import ann, chat, codes, decontaminate, lines, mixing, periods, pii, quality, repair, simhash, sql, substring, toxicity
 from .common import table
 
 
@@ -65,5 +65,24 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).drop("removed")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_mixing, op4_decontaminate, op5_simhash, op6_repair, op7_chat, op8_ann, op9_pii, op10_substring)}
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that stay in another one, and what is kept."""
+    return lines.digests(lines.dedup(table(spark, sf_dir, "documents")))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of each document's words, with planted ones, and what collapsing them keeps."""
+    return periods.digests(periods.collapse(periods.with_planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors, and their errors."""
+    return codes.with_label_errors(codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+_ALL = (
+    op1_toxicity, op2_quality, op3_mixing, op4_decontaminate, op5_simhash, op6_repair, op7_chat, op8_ann, op9_pii, op10_substring,
+    op11_lines, op12_periods, op13_codes,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = sql.ORACLES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, mixing
+from . import chat, codes, lines, mixing
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -56,4 +56,37 @@ k AS (SELECT v.doc_id, count(c.p) AS n_removed, coalesce(string_agg(v.word, ' '
 SELECT w.doc_id, len(w.l)::BIGINT AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
 
-ORACLES = {"op3_mixing": MIXING, "op7_chat": CHAT, "op10_substring": SUBSTRING}
+LINES = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, i, l[i] AS line, translate(trim(l[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+h AS (SELECT key, max(doc_id) AS keeper FROM x WHERE length(key) >= {lines.LEAST_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.LEAST_DOCS}),
+m AS (SELECT x.doc_id, x.i, x.line, coalesce(h.keeper <> x.doc_id, false) AS gone FROM x LEFT JOIN h ON x.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+"""
+
+
+def _codes() -> str:
+    """A round of assignment and a round of means after the other; a distance and its entry are ordered as one number."""
+    n, parts, entries = codes.SCALE, codes.PARTS, codes.ENTRIES
+    steps = [f"""
+WITH r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS id, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT id, i, (i * {parts}) // len(v) AS part, floor({n} * v[i + 1]::DOUBLE)::BIGINT AS c FROM (SELECT id, v, unnest(range(len(v))) AS i FROM r)),
+c0 AS MATERIALIZED (SELECT id AS entry, i, part, c FROM x WHERE id < {entries})"""]
+    near = "(SELECT x.id, x.part, min(d) AS d FROM (SELECT x.id, x.part, sum((x.c - b.c) * (x.c - b.c))::BIGINT * {e} + b.entry AS d FROM x JOIN c{k} b ON b.i = x.i GROUP BY x.id, x.part, b.entry) x GROUP BY x.id, x.part)"
+    for k in range(codes.ROUNDS):
+        steps.append(f"a{k} AS MATERIALIZED {near.format(k=k, e=entries)}")
+        mean = "(s - ((s % n) + n) % n) // n"
+        steps.append(f"""c{k + 1} AS MATERIALIZED (SELECT b.entry, b.i, b.part, coalesce({mean}, b.c) AS c FROM c{k} b LEFT JOIN
+  (SELECT a.d % {entries} AS entry, x.i, sum(x.c)::BIGINT AS s, count(*) AS n FROM x JOIN a{k} a ON a.id = x.id AND a.part = x.part GROUP BY ALL) m ON m.entry = b.entry AND m.i = b.i)""")
+    last = codes.ROUNDS
+    steps.append(f"f AS (SELECT id, string_agg(printf('%02x', d % {entries}), '' ORDER BY part) AS code, sum(d // {entries})::BIGINT AS error FROM {near.format(k=last, e=entries)} GROUP BY id)")
+    steps.append(f"g AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256 FROM c{last})")
+    return ",\n".join(steps) + """
+SELECT r.vec_id, f.code, f.error, sum(f.error) OVER (PARTITION BY r.label)::BIGINT AS label_error, g.codebooks_sha256 FROM r JOIN f ON f.id = r.id, g
+"""
+
+
+ORACLES = {"op3_mixing": MIXING, "op7_chat": CHAT, "op10_substring": SUBSTRING, "op11_lines": LINES, "op13_codes": _codes()}

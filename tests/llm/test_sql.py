@@ -13,7 +13,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, sf), con.execute(queries.ORACLES[name])
     names = [d[0] for d in want.description]
