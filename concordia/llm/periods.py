@@ -3,13 +3,17 @@
 A run of period q and length L >= max(24, 3q) has L - q words whose like stands q further on, and
 L - q >= max(16, 2q). Of those words every block size B, a power of two with B <= q < 2B (B = 8 for all
 q below 16), has at least one aligned block, as any 2B - 1 words have. So for each B the aligned blocks
-of a document are the keys of one automaton over word numbers, which the document is searched with; an
-occurrence at a distance of that scale is a seed, extended word by word to both sides. No run is missed.
-
-What is not searched, by proof: words whose next like is 2B or more away can't be in a run of the scale,
-so only stretches of at least 2B words with nearer ones are looked at; and a block that lies three blocks
-deep in a run of period p <= B has, within the scale, only occurrences at multiples of p, which extend to
-that same run. Prose has next to no such stretches, and long runs are searched at their own scale only.
+of a document, or their first 64 words, are the keys of an automaton over word numbers, which the document
+is searched with; an occurrence at a distance of that scale is a seed, extended word by word to both sides.
+No run is missed.
+
+What is not searched, by proof:
+- Words whose next like is 2B or more away can't be in a run of the scale, so only stretches of at least 2B
+  words with nearer ones are looked at. Prose has next to none.
+- A whole block that lies three blocks deep in a run of period p <= B has, within the scale, only occurrences
+  at multiples of p, which extend to that same run. Long runs are searched at their own scale only.
+- A seed whose two sides lie in different runs of one period p, at most half a key, stops where the nearer
+  run ends, short of three periods, unless the runs' starts or ends are as far apart as the seed's sides.
 A stretch is searched in segments of a bounded number of words, so that automata stay small.
 
 A stretch has the smallest of its periods: those that divide it are found at the same place before it.
@@ -36,8 +40,8 @@ from .common import WORD_PATTERN, text_chunks, tidied
 
 #: Words of a run, and times that its period stands in it, at least. The proof above needs these or more.
 LEAST_WORDS, LEAST_TIMES = 24, 3
-#: The smallest block, and words of an automaton's segment.
-FIRST_BLOCK, SEGMENT = 8, 1 << 16
+#: The smallest block, the words of a key at most, and words of an automaton's segment.
+FIRST_BLOCK, KEY_WORDS, SEGMENT = 8, 64, 1 << 16
 
 
 class Run(NamedTuple):
@@ -81,6 +85,7 @@ def _agree(ids: np.ndarray, a: int, b: int, step: int) -> int:
 def _seeds(ids: np.ndarray, starts: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """(block start, distance) of the occurrences, at distances of the scale, of the aligned blocks at the starts."""
     near, far = (1, 2 * FIRST_BLOCK - 1) if block == FIRST_BLOCK else (block, 2 * block - 1)
+    width = min(block, KEY_WORDS)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     # Blocks whose reach overlaps are one stretch, cut into segments.
     breaks = np.flatnonzero((np.diff(starts) > 2 * block)) + 1
@@ -92,13 +97,13 @@ def _seeds(ids: np.ndarray, starts: np.ndarray, block: int) -> tuple[np.ndarray,
             trie, kinds = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), {}
             kind_at = np.full((end - base) // block + 1, -1, np.int64)
             for j in (own - base).tolist():
-                key = words[j : j + block]
+                key = words[j : j + width]
                 kind = kinds.setdefault(key, len(kinds))
                 kind_at[j // block] = kind
                 trie.add_word(key, kind)
             trie.make_automaton()
             hits = np.array(list(trie.iter(words)), np.int64).reshape(-1, 2)
-            place, kind = hits[:, 0] - block + 1, hits[:, 1]
+            place, kind = hits[:, 0] - width + 1, hits[:, 1]
             at = (place - near) // block * block  # the last aligned block that is near enough
             for back in range(0, far - near + 1, block):
                 j = at - back
@@ -108,17 +113,42 @@ def _seeds(ids: np.ndarray, starts: np.ndarray, block: int) -> tuple[np.ndarray,
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _inside_known(runs: dict[tuple[int, int], int], j: np.ndarray, q: np.ndarray, block: int) -> np.ndarray:
-    """Which seeds lie in a run, found before, whose period divides the distance: they extend to that run."""
-    if not runs:
-        return np.zeros(len(j), bool)
-    known = np.array([(s, e, p) for (s, e), p in sorted(runs.items())], np.int64)
-    # Of runs that start no later, the one that ends last; two that held the seed would be one.
-    last = np.maximum.accumulate(known[:, 1])
-    owner = np.maximum.accumulate(np.where(known[:, 1] == last, np.arange(len(known)), 0))
-    at = np.searchsorted(known[:, 0], j, "right") - 1
-    run = known[owner[np.maximum(at, 0)]]
-    return (at >= 0) & (run[:, 1] >= j + q + block) & (q % run[:, 2] == 0) & (run[:, 2] < q)
+class _Known:
+    """Runs found so far, to be asked which of them holds a stretch."""
+
+    def __init__(self, runs: dict[tuple[int, int], int], most: int):
+        """most: the longest period of the runs that are asked."""
+        self.run = np.array([(s, e, p) for (s, e), p in sorted(runs.items()) if p <= most], np.int64).reshape(-1, 3)
+        if len(self.run):
+            last = np.maximum.accumulate(self.run[:, 1])
+            self.longest = np.maximum.accumulate(np.where(self.run[:, 1] == last, np.arange(len(self.run)), 0))
+
+    def holding(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The run that ends last of those that start no later, where it holds the stretch; else -1.
+
+        Where the periods of two runs add up to the stretch's length or less, no more than one holds it.
+        """
+        if not len(self.run):
+            return np.full(len(start), -1)
+        at = np.searchsorted(self.run[:, 0], start, "right") - 1
+        own = self.longest[np.maximum(at, 0)]
+        return np.where((at >= 0) & (self.run[own, 1] >= end), own, -1)
+
+
+def _settled(runs: dict[tuple[int, int], int], j: np.ndarray, q: np.ndarray, block: int) -> np.ndarray:
+    """Which seeds can't give a run that isn't known."""
+    width = min(block, KEY_WORDS)
+    known = _Known(runs, block)
+    own = known.holding(j, j + q + width)
+    settled = own >= 0
+    period = known.run[own[settled], 2]
+    settled[settled] = (q[settled] % period == 0) & (period < q[settled])
+    short = _Known(runs, width // 2)
+    one, other = short.holding(j, j + width), short.holding(j + q, j + q + width)
+    two = (one >= 0) & (other >= 0) & (one != other)
+    a, b = short.run[one[two]], short.run[other[two]]
+    settled[two] |= (a[:, 2] == b[:, 2]) & (b[:, 0] - a[:, 0] != q[two]) & (b[:, 1] - a[:, 1] != q[two])
+    return settled
 
 
 def find_runs(ids: np.ndarray, *, words: int = LEAST_WORDS, times: int = LEAST_TIMES) -> list[Run]:
@@ -144,7 +174,8 @@ def find_runs(ids: np.ndarray, *, words: int = LEAST_WORDS, times: int = LEAST_T
         open_ = open_[~deep[open_]]
         if len(open_):
             j, q = _seeds(ids, open_, block)
-            fresh = ~_inside_known(runs, j, q, block)
+            width = min(block, KEY_WORDS)
+            fresh = ~_settled(runs, j, q, block)
             j, q = j[fresh], q[fresh]
             order = np.lexsort((j, q))
             j, q = j[order], q[order]
@@ -154,10 +185,10 @@ def find_runs(ids: np.ndarray, *, words: int = LEAST_WORDS, times: int = LEAST_T
                 while k < len(own):
                     seed = int(own[k])
                     start = seed - _agree(ids, seed - 1, seed + period - 1, -1)
-                    end = seed + period + block + _agree(ids, seed + block, seed + period + block, 1)
+                    end = seed + period + width + _agree(ids, seed + width, seed + period + width, 1)
                     if end - start >= max(words, times * period):
                         runs.setdefault((start, end), period)
-                    k = max(k + 1, int(np.searchsorted(own, end - period - block, "right")))
+                    k = max(k + 1, int(np.searchsorted(own, end - period - width, "right")))
         block *= 2
     return sorted((Run(s, e - s, p) for (s, e), p in runs.items()), key=lambda r: (r.start, r.period))
 
