@@ -26,6 +26,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 #: Code points of a key, and documents that hold it, from which on its lines are dropped.
 LEAST_CHARS, LEAST_DOCS = 40, 5
 
@@ -65,7 +67,8 @@ def crowded_lines(docs: DataFrame, *, chars: int = LEAST_CHARS, least: int = LEA
 
 def dropped_places(docs: DataFrame, *, chars: int = LEAST_CHARS, least: int = LEAST_DOCS) -> DataFrame:
     """(doc_id, row_a, row_b, places): numbers, from 0, of the lines that a text loses; only texts that lose any."""
-    crowded = crowded_lines(docs, chars=chars, least=least).select("a", "b", "keeper")
+    # Written first: then a line that a third of all documents have is a skewed side of the join alone, which Spark splits.
+    crowded = staged(crowded_lines(docs, chars=chars, least=least).select("a", "b", "keeper"), "crowded_lines")
     each = _rows(docs).select("doc_id", "row_a", "row_b", F.posexplode(lines_of(F.col("text"))).alias("place", "line"))
     keyed = each.select("doc_id", "row_a", "row_b", "place", line_key(F.col("line")).alias("line"))
     places = keyed.filter(F.char_length("line") >= chars).select("doc_id", "row_a", "row_b", "place", *_hashes(F.col("line"), "a", "b"))
