@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 #: Columns whose values all come from a group's best row.
 SCALARS = (
     "item", "description", "item_type", "unit_of_measure", "unit_vocabulary", "plausible_min", "plausible_max", "cardinality", "values", "source_version", "source_url", "source_retrieved_date",
@@ -48,7 +50,7 @@ def sets_by_key(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> Dat
 
 def tokens(c) -> Column:
     """The entries of a pipe list, trimmed, blanks left out."""
-    return F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, r"\|"), X.trim_ws), lambda x: x != "")
 
 
 def metadata_variants(df: DataFrame, keys: tuple[str, ...] = ("source_authority", "source_code"), column: str = "metadata_") -> DataFrame:

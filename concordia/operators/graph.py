@@ -1,29 +1,40 @@
-"""Connected components of an edge table, on request: equivalences themselves aren't transitive."""
+"""Connected components of an edge table, on request: equivalences themselves aren't transitive.
+
+Labels are parents in a forest. A round looks at every edge once: a node's parent becomes the smallest
+grandparent among its neighbours and itself, and so does the parent of the node that was its parent
+before, which hooks one tree to another at its root. So trees grow by other trees, not by nodes, and
+paths halve: a chain of n nodes, in any order, takes about log2(n) + 2 rounds. Parents only ever get
+smaller, so rounds end; they go on until none changes, however many that takes.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
 
-MOST_ROUNDS = 200
-
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that each node of edges (a, b) reaches.
+def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
+    """(node, component): the smallest node that each node of edges (a, b: long) reaches.
 
-    Labels spread to neighbours and jump to their label's label; every round is written to the checkpoint
-    folder, and only whether something changed comes back to the driver.
+    Edges go both ways, repeats and loops allowed; edges with a null end are left out. No edges: no rows.
+    keep: how a round is written; it cuts lineage. Only whether something changed comes back to the driver.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
-    for _ in range(MOST_ROUNDS):
-        near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        after = checkpointed(lower.join(jump, "component", "left").select("node", "old", F.least("component", F.coalesce("next", "component")).alias("component")))
+    edges = keep(edges.select("a", "b").filter("a is not null and b is not null"))
+    both = keep(edges.union(edges.select("b", "a")).distinct())
+    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
+    while True:
+        parents = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        grand = labels.join(parents, "component").select("node", "component", "up")
+        near = both.join(grand.select(F.col("node").alias("b"), "up"), "b").groupBy(F.col("a").alias("node")).agg(F.min("up").alias("near"))
+        lower = keep(grand.join(near, "node").select("node", "component", F.least("up", "near").alias("low")))
+        # The same for the root of the tree that a node was in; summed up first, whatever the size of the tree.
+        hooks = lower.groupBy(F.col("component").alias("node")).agg(F.min("low").alias("hook"))
+        after = lower.join(hooks, "node", "left").select("node", F.col("component").alias("old"), F.least("low", F.coalesce("hook", "low")).alias("component"))
+        after = keep(after)
         labels = after.select("node", "component")
         if after.filter("component <> old").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")

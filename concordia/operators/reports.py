@@ -37,11 +37,13 @@ def founders(individuals: DataFrame) -> DataFrame:
     return out.select("individual_id", (F.col("__mother_id").isNull() & F.col("__father_id").isNull()).alias("is_founder"))
 
 
-#: Patterns of content that must not be published.
+#: Patterns of content that must not be published (fixed values).
 FORBIDDEN = {
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "aws_key": r"AKIA[0-9A-Z]{16}", "github_token": r"gh[pousr]_[A-Za-z0-9]{36}", "password": r"(?i)password\s*[=:]\s*\S{6,}",
     "api_key": r"(?i)api[_-]?key\s*[=:]\s*\S{8,}", "secret": r"(?i)secret\s*[=:]\s*\S{8,}", "bearer": r"(?i)bearer\s+[A-Za-z0-9._-]{20,}", "connection": r"(?i)(postgres|mysql|mongodb)://[^ ]+:[^ ]+@",
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}",
+    "passwd": r"(?i)(passwd|pwd)\s*[=:]\s*\S{8,}", "aws_name": r"(?i)aws[_-]?(access[_-]?key|secret)", "basic_auth": r"(?i)authorization:\s*basic\s+[A-Za-z0-9+/=]{20,}",
+    "ssh_key": r"(?i)ssh-rsa\s+AAAA[0-9A-Za-z+/]+", "social_security": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "card_number": r"\b[0-9]{16}\b",
 }
 BINARY_SUFFIXES = (".png", ".jpg", ".pdf", ".zip", ".parquet", ".gz")
 LARGE_BYTES = 50 * 1024 * 1024

@@ -218,7 +218,7 @@ SELECT doc_id, '{name}' AS pattern, ({before} + 1)::INTEGER AS line, substr(hits
 
 @query(" UNION ALL ".join(_scan_sql(name, p) for name, p in reports.FORBIDDEN.items()))
 def security_scan(spark, sf_dir):
-    """Every place in the documents that one of the nine patterns matches, with its line and the beginning of the match."""
+    """Every place in the documents that one of the patterns matches, with its line and the beginning of the match."""
     d = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
     return reports.screen_content(d, "path", "text").select(F.col("path").cast("long").alias("doc_id"), "pattern", "line", "snippet")
 
