@@ -36,9 +36,14 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _STAGED: list[str] = []
 
 
-def new_path(spark: SparkSession, name: str) -> str:
+def product_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for files that release() leaves."""
     bounded_batches(spark)  # plans that are written from here on
-    _STAGED.append(f"{shared_folder(spark)}/concordia/{name}-{uuid.uuid4().hex}")
+    return f"{shared_folder(spark)}/concordia/{name}-{uuid.uuid4().hex}"
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    _STAGED.append(product_path(spark, name))
     return _STAGED[-1]
 
 

@@ -13,7 +13,7 @@ Items too short for an edit, under 1 / ERRORS characters, are matched exactly an
 that one word of an item isn't found inside another word.
 
 Defined results: null and blank items are nowhere found, null and empty texts hold none; items without an
-item_id are not read; equal items are each reported; repeated rows are reported each, and rows without a
+item_id are found like any other, and reported with a null one; equal items are each reported; repeated rows are reported each, and rows without a
 doc_id with a null one; an item that a document holds several times is reported once, where it has fewest
 edits, then first; empty tables give no rows. Texts are whole: the longest is the least that a worker holds.
 Other columns, whatever their names, take no part, and clean() passes them on.
@@ -21,6 +21,7 @@ Other columns, whatever their names, take no part, and clean() passes them on.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -34,6 +35,8 @@ from .common import text_chunks, tidied
 
 #: Edits for each character of an item; characters of items in a block, whose automaton takes some 60 bytes for each.
 ERRORS, BLOCK_CHARS = 0.06, 2 << 20
+#: Other items with the same beginning, or end, beyond which pieces are cut elsewhere; and characters of such a piece at least.
+CROWD, LEAST_PIECE = 16, 8
 
 
 def normal(text: str) -> str:
@@ -81,14 +84,36 @@ def _bounded(text: str, start: int, end: int) -> bool:
     return not inside(start) and not inside(end)
 
 
+def _shared(texts: list[str], crowd: int = CROWD) -> list[int]:
+    """For each text the length of the beginning that crowd other texts have too."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    same = lambda a, b: len(os.path.commonprefix([texts[a], texts[b]]))
+    out = [0] * len(texts)
+    # Of texts in order, any crowd + 1 in a row share what the first and the last of them do.
+    for at in range(len(order) - crowd):
+        n = same(order[at], order[at + crowd])
+        for k in order[at : at + crowd + 1]:
+            out[k] = max(out[k], n)
+    return out
+
+
 class Items:
-    """A block of test items and the automaton over their pieces."""
+    """A block of test items and the automaton over their pieces.
+
+    Any budget + 1 pieces of an item that don't overlap will do. Where many items begin or end alike, as
+    questions of one set do, the pieces are cut from what is between: else a document with the common
+    words would have every such item verified against it.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], errors: float = ERRORS):
+    def __init__(self, items: list[tuple[int | None, str]], errors: float = ERRORS):
         self.ids, self.texts, self.budgets = [i for i, _ in items], [t for _, t in items], [int(errors * len(t)) for _, t in items]
         pieces: dict[str, list[tuple[int, int]]] = {}
+        heads, tails = _shared(self.texts), _shared([t[::-1] for t in self.texts])
         for k, (text, budget) in enumerate(zip(self.texts, self.budgets, strict=True)):
-            cuts = [len(text) * j // (budget + 1) for j in range(budget + 2)]
+            lo, hi = heads[k], len(text) - tails[k]
+            if hi - lo < LEAST_PIECE * (budget + 1):
+                lo, hi = 0, len(text)
+            cuts = [lo + (hi - lo) * j // (budget + 1) for j in range(budget + 2)] if budget else [0, len(text)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 pieces.setdefault(text[a:b], []).append((k, a))
         self.automaton = ahocorasick.Automaton()
@@ -143,10 +168,10 @@ class Items:
 _BLOCKS: dict[str, Items] = {}
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of bounded size, read one row at a time."""
     held, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null and item_id is not null").toLocalIterator():
+    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null").toLocalIterator():
         text = normal(row["text"]).strip()
         if not text:
             continue
@@ -182,7 +207,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, errors: float = ERRORS) ->
                     for k, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
                         rows += [(lo + k, *hit) for hit in items.find(data[a:b].decode("utf-8", "replace"))]
                     if rows:
-                        at, item, edits, start, end = zip(*sorted(rows), strict=True)
+                        at, item, edits, start, end = zip(*sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2:])), strict=True)
                         yield pa.record_batch([batch.column(0).take(pa.array(at)), pa.array(item, pa.int64()), pa.array(edits, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "edits", "start", "end"])
 
         part = own.mapInArrow(tidied(scan), schema)

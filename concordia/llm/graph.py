@@ -1,38 +1,19 @@
-"""Connected components of an edge table by label propagation with pointer jumping.
-
-Every round a node takes the smallest label among its own and its neighbours', then the label of its
-label. Rounds are written to the shared folder, so a lost executor costs one round at most, and the
-driver sees only the count of labels that changed.
-"""
+"""Connected components of an edge table; rounds are staged, so a lost executor costs one round at most."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..operators import graph
 from .common import staged
 
-#: A graph that takes more rounds raises an error; nothing is returned unfinished. A round carries a label one edge
-#: further at least, and along labels that it has already found by a jump.
-MOST_ROUNDS = 200
-
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that can be reached, for every node that has an edge.
+    """(node, component): the smallest node that can be reached, for every node that has an edge to another.
 
-    edges: a, b (long), in any direction, repeats and loops allowed. No edges: no rows.
+    edges: a, b (long), in any direction, repeats and loops allowed. No edges: no rows. Rounds grow with the
+    logarithm of a chain's length and aren't capped.
     """
     edges = staged(edges.select("a", "b").filter("a <> b"), "links")
     rows = 2 * edges.count()
-    both = staged(edges.union(edges.select("b", "a")).distinct(), "edges", rows=rows)
-    labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels", rows=rows)
-    for _ in range(MOST_ROUNDS):
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        # A label's own label, read from the round before: jumps along chains.
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        after = staged(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels", rows=rows)
-        labels = after.select("node", "label")
-        if after.filter("label <> old").isEmpty():
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError("connected components did not settle")
+    return graph.components(edges, lambda df: staged(df, "labels", rows=rows))

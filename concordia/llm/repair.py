@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, text_chunks, tidied
+from .common import product_path, text_chunks, tidied
 from .encode import encoder
 
 MAGIC = b"RPSH0002"
@@ -324,7 +324,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(places, ["part", "shard"]).select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def written_and_read(docs: DataFrame, **options) -> DataFrame:
-    path = new_path(docs.sparkSession, "tokens")
+def written_and_read(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
+    """read()'s rows of the shards that docs are written to: at path, or in a folder of their own in the shared one.
+
+    The shards are a product and stay; shards_path() of the result, also when it was written and read again, says where.
+    """
+    path = path or product_path(docs.sparkSession, "tokens")
     write(docs, path, **options)
-    return read(docs.sparkSession, path)
+    return read(docs.sparkSession, path).withMetadata("doc_id", {"shards": path})
+
+
+def shards_path(found: DataFrame) -> str:
+    """Where the shards are that found tells of."""
+    return found.schema["doc_id"].metadata["shards"]
