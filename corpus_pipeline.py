@@ -54,6 +54,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Place, length and checksum of each document's ids in the token files.
 
     A null text has the end id alone; rows without an id come first; rows that share an id each have a row.
+    repair.shards_path() of the result says where the files are.
     """
     return few_files(repair.written_and_read(docs))
 
@@ -71,7 +72,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's result. What a stage staged for itself is removed when the stage is written."""
+    """The last stage's result; repair.shards_path() of it says where its token shards are.
+
+    What a stage staged for itself is removed when the stage is written; the shards stay.
+    """
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         mark = staged_so_far()
