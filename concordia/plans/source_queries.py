@@ -7,7 +7,7 @@ import json
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..bundle import _put, file_manifest, verify, write_bundle
@@ -48,6 +48,24 @@ def _if(condition: Column, value) -> Column:
 # ---- delimited sources
 
 
+@query("""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL)
+SELECT doc_id, md5(replace(t, chr(13), '')) AS text_md5, length(t) - length(replace(t, chr(10), '')) AS line_ends, row_number() OVER (ORDER BY doc_id) AS nth FROM d
+""")
+def cut_records(spark, sf_dir):
+    """Whole texts, line ends and quotes included, written as quoted fields in order of ids and read by cuts; nth is the record's place among all."""
+    d = read(spark, sf_dir, "documents").filter("doc_id is not null")
+    table = d.select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit("\r"), F.lit("")).alias("text")).orderBy("doc_id")
+    r = delimited.read_delimited(spark, _written(table, "texts"), ",")
+    # Places are in order of ids exactly if the n-th id by place is the n-th by value: ranks by place within a file, files by their first id.
+    ranked = r.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("__place.file").alias("file"), F.col("__place.line").alias("line"))
+    sizes = ranked.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    before = sizes.select("file", F.coalesce(F.sum("n").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    out = ranked.join(before, "file").select("doc_id", F.md5("text").alias("text_md5"), "text", (nth + F.col("before")).alias("nth"))
+    return out.select("doc_id", "text_md5", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("line_ends"), "nth")
+
+
 @query("""
 WITH t AS (SELECT *, p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN 'S ' || p_brand END AS short FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 3 <> 1)
 SELECT k || '-1' AS source_code, coalesce(short, p_name) AS item, CASE WHEN k % 3 = 0 THEN p_name || ', in "' || p_type || '"' ELSE coalesce(short, p_name) END AS description,

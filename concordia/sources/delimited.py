@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.numbers import tolerant_bounds, tolerant_long
 from ..schema import to_elements
+from .records import PLACE, read_records
 
 
 def sniff_delimiter(spark: SparkSession, path: str, need_one: bool = True) -> str:
@@ -22,11 +23,13 @@ def sniff_delimiter(spark: SparkSession, path: str, need_one: bool = True) -> st
 
 
 def read_delimited(spark: SparkSession, path, sep: str | None = None) -> DataFrame:
-    """All columns as strings; quotes are doubled inside quotes, and line ends may stand there. Files may differ in columns' order."""
+    """All columns as strings, with each record's place; quotes are doubled inside quotes, and line ends may stand there.
+
+    Files are cut like any other, whatever their quotes hold. Several paths may differ in columns' order.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     sep = sep or sniff_delimiter(spark, paths[0])
-    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": True, "inferSchema": False, "mode": "PERMISSIVE"}
-    frames = [spark.read.options(**options).csv(p) for p in paths]
+    frames = [read_records(spark, p, sep, number=k) for k, p in enumerate(paths)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -76,19 +79,19 @@ CDE_TYPES = {
 
 def vocabulary_versions(vocabularies: DataFrame) -> DataFrame:
     """(vocabulary_id, version); blank versions are unknown, and of several rows the last in the file stays."""
-    v = vocabularies.select("vocabulary_id", F.coalesce(X.blank_to_null("vocabulary_version"), F.lit("unknown")).alias("version"), _place())
-    return v.groupBy("vocabulary_id").agg(F.max_by("version", "__place").alias("version"))
+    v = vocabularies.select("vocabulary_id", F.coalesce(X.blank_to_null("vocabulary_version"), F.lit("unknown")).alias("version"), _place(vocabularies))
+    return v.groupBy("vocabulary_id").agg(F.max_by("version", PLACE).alias("version"))
 
 
-def _place() -> Column:
-    """Where a row stands: a file with line ends in quotes is one partition, and partitions follow one another."""
-    return F.monotonically_increasing_id().alias("__place")
+def _place(df: DataFrame) -> Column:
+    """Where a row stands: its record's place, or where it is no record, its row's."""
+    return F.col(PLACE) if PLACE in df.columns else F.monotonically_increasing_id().alias(PLACE)
 
 
 def synonym_lists(synonyms: DataFrame) -> DataFrame:
     """(concept_id, synonyms): a concept's names that aren't blank, in the file's order, repeats included."""
-    s = synonyms.select(tolerant_long("concept_id").alias("concept_id"), X.blank_to_null("concept_synonym_name").alias("name"), _place()).filter("concept_id is not null and name is not null")
-    return s.groupBy("concept_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("__place", "name"))), lambda x: x["name"]).alias("synonyms"))
+    s = synonyms.select(tolerant_long("concept_id").alias("concept_id"), X.blank_to_null("concept_synonym_name").alias("name"), _place(synonyms)).filter("concept_id is not null and name is not null")
+    return s.groupBy("concept_id").agg(F.transform(F.sort_array(F.collect_list(F.struct(PLACE, "name"))), lambda x: x["name"]).alias("synonyms"))
 
 
 def concepts(spark: SparkSession, concept: DataFrame, vocabularies: DataFrame | None = None, synonyms: DataFrame | None = None, axes: DataFrame | None = None, *, retrieved: dt.date | None = None, standard_only: bool = True, skip: tuple[str, ...] = ()) -> DataFrame:
