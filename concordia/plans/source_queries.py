@@ -15,7 +15,7 @@ from ..functions import hashing
 from ..operators import sixaxis
 from ..schema import to_elements
 from ..session import shared_folder
-from ..sources import delimited, registry, semistructured
+from ..sources import delimited, obo, registry, semistructured
 from .build import write_edges
 from .registry import query, read
 
@@ -58,12 +58,13 @@ def cut_records(spark, sf_dir):
     table = d.select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit("\r"), F.lit("")).alias("text")).orderBy("doc_id")
     r = delimited.read_delimited(spark, _written(table, "texts"), ",")
     # Places are in order of ids exactly if the n-th id by place is the n-th by value: ranks by place within a file, files by their first id.
-    ranked = r.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("__place.file").alias("file"), F.col("__place.line").alias("line"))
+    text = F.coalesce("text", F.lit(""))
+    ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    ranked = r.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("text_md5"), ends.cast("long").alias("line_ends"), F.col("__place.file").alias("file"), F.col("__place.line").alias("line"))
     sizes = ranked.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     before = sizes.select("file", F.coalesce(F.sum("n").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     nth = F.row_number().over(Window.partitionBy("file").orderBy("line"))
-    out = ranked.join(before, "file").select("doc_id", F.md5("text").alias("text_md5"), "text", (nth + F.col("before")).alias("nth"))
-    return out.select("doc_id", "text_md5", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("line_ends"), "nth")
+    return ranked.join(before, "file").select("doc_id", "text_md5", "line_ends", (nth + F.col("before")).alias("nth"))
 
 
 @query("""
@@ -195,6 +196,23 @@ def ontology_elements(spark, sf_dir):
     return reduce(DataFrame.unionByName, every).select("source_authority", "source_code", "item", "description", "alternate_names", "collection", "metadata_")
 
 
+@query("""
+SELECT 'HP:' || p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE p_name END AS name, CASE WHEN p_partkey % 4 <> 0 THEN 'X:' || p_size || '|Y:' || p_partkey ELSE 'X:' || p_size END AS xrefs
+FROM part WHERE p_partkey % 7 <> 0
+""")
+def ontology_stanzas(spark, sf_dir):
+    """Terms of files as they are distributed: CRLF, blanks at lines' ends, stanzas with no line between, other kinds, remarks behind a blank line."""
+    k = F.col("p_partkey")
+    stanza = F.concat_ws(
+        "\r\n", F.when(k % 7 == 0, F.lit("[Typedef]")).otherwise("[Term]  "), _text("id: HP:", k, "\t"), _text("  name: ", F.col("p_name"), " ! remark"), F.when(k % 3 == 0, _text("name: ", F.col("p_brand"))),
+        _text("xref: X:", F.col("p_size")), F.when(k % 4 == 0, F.lit(" \t")), _text("xref: Y:", k, " ! a ! b"), F.when(k % 5 == 0, F.lit("")), F.lit("name:no value here"),
+    )
+    path = _folder(spark, "stanzas")
+    read(spark, sf_dir, "part").select(F.concat(stanza, F.lit("\r"))).write.text(path)
+    terms = obo.read_stanzas(spark, path, splitBytes=1 << 16, pushFilters=True).filter("kind = 'Term' AND startswith(id, 'HP:')")
+    return terms.select("id", "name", F.array_join("xref", "|").alias("xrefs"))
+
+
 @query("""
 SELECT CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, ' ', '') ELSE p_name END AS item, p_name AS description, CASE p_partkey % 4 WHEN 0 THEN 'string' WHEN 3 THEN 'binary' ELSE 'numeric' END AS item_type,
   CASE WHEN p_partkey % 3 = 1 THEN 'multiple' ELSE 'single' END AS cardinality, printf('(%04X,%04X)', p_partkey & 65535, p_size::BIGINT) AS source_code FROM part WHERE p_partkey % 5 <> 0

@@ -15,26 +15,32 @@ from pyspark.sql import types as T
 from ..functions import text as X
 from ..functions.numbers import tag_text
 from ..schema import ELEMENT, to_elements
-
-#: Keys of a term that may repeat.
-LISTED = ("synonym", "xref", "is_a", "alt_id", "subset", "property_value", "consider", "intersection_of")
-SINGLE = ("id", "name", "def", "is_obsolete", "replaced_by")
+from .obo import LISTED, SINGLE, file_system, read_stanzas
 
 
 def ontology_terms(spark: SparkSession, path: str) -> DataFrame:
     """One row for each term: single keys (the last value wins) and listed ones as arrays, comments cut off.
 
-    Stanzas are parted by blank lines, so the file is read in stanzas and parsed by expressions alone.
+    Read by the data source; from a store that only Spark can open, by expressions over what lies between lines
+    that begin with "[".
     """
-    return parse_stanzas(spark.read.option("lineSep", "\n\n").text(path))
+    try:
+        file_system(path)
+    except (OSError, pa.ArrowInvalid):
+        return parse_stanzas(spark.read.option("lineSep", "\n[").text(path))
+    return read_stanzas(spark, path, kinds="Term").select(*SINGLE, *LISTED)
 
 
-def parse_stanzas(stanzas: DataFrame) -> DataFrame:
-    """Terms of stanzas (value), one stanza a row."""
+def parse_stanzas(chunks: DataFrame) -> DataFrame:
+    """Terms of chunks (value), each the text from behind one "[" at a line's beginning to the next."""
     lines = F.transform(F.split(F.replace(F.col("value"), F.lit("\r"), F.lit("")), "\n"), X.trim_ws)
-    terms = stanzas.select(lines.alias("lines")).filter(F.array_contains("lines", "[Term]"))
-    body = F.filter("lines", lambda x: F.contains(x, F.lit(":")) & ~F.startswith(x, F.lit("[")))
-    pairs = F.transform(body, lambda x: F.struct(F.split_part(x, F.lit(":"), F.lit(1)).alias("key"), F.regexp_replace(X.trim_ws(F.substr(x, F.instr(x, ":") + 1)), r"\s*!\s*.*$", "").alias("value")))
+    terms = chunks.select(lines.alias("lines")).filter(F.col("lines")[0].isin("Term]", "[Term]"))
+    blank = F.array_position("lines", "")
+    body = F.slice("lines", F.lit(2), F.when(blank > 0, blank - 2).otherwise(F.size("lines") - 1).cast("int"))
+    pairs = F.transform(
+        F.filter(body, lambda x: F.contains(x, F.lit(": "))),
+        lambda x: F.struct(F.split_part(x, F.lit(": "), F.lit(1)).alias("key"), X.trim_ws(F.regexp_replace(F.substr(x, F.instr(x, ": ") + 2), r"\s*!\s*.*$", "")).alias("value")),
+    )
     terms = terms.select(pairs.alias("pairs"))
     of = lambda key: F.transform(F.filter("pairs", lambda p: p["key"] == key), lambda p: p["value"])
     return terms.select(*[F.try_element_at(of(k), F.lit(-1)).alias(k) for k in SINGLE], *[of(k).alias(k) for k in LISTED])
