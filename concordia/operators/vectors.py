@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import l2_norm
+from . import routing
 
 #: Queries that are sent to the executors at once.
 QUERY_BLOCK = 4096
@@ -106,42 +107,32 @@ def _best_of(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray,
     return row[place < k], column[place < k]
 
 
-def _scan_blocks(corpus: DataFrame, queries: DataFrame, names: list[str], k: int, group: bool, cells=None) -> DataFrame:
+def _scan_blocks(corpus: DataFrame, queries: DataFrame, names: list[str], k: int, group: bool) -> DataFrame:
     """Each Arrow batch's k best of each query of a block, over all blocks.
 
-    names: key, vector and, with group, the column that must differ. cells: the corpus's last column is a
-    cell, and this gives the cells that a block's queries look into.
+    names: key, vector and, with group, the column that must differ.
     """
     key, found = names[0], None
     schema = f"query_id {dict(queries.dtypes)[key]}, {key} {dict(corpus.dtypes)[key]}, score double"
     for block in _blocks(queries, names):
-        probed = None if cells is None else cells(block[1])
 
         # A block goes with the tasks; Spark lets go of it with the plan.
-        def scan(batches: Iterator[pa.RecordBatch], block=block, probed=probed) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             q_ids, q, q_group = block
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 keys, m = np.array(batch.column(0).to_pylist()), _matrix(batch.column(1))
                 theirs = np.array(batch.column(2).to_pylist(), object) if group else None
-                if probed is None:
-                    parts = [(np.arange(len(keys)), np.arange(len(q_ids)))]
-                else:
-                    cell = batch.column(batch.num_columns - 1).to_numpy()
-                    parts = [(np.flatnonzero(cell == c), np.flatnonzero((probed == c).any(axis=1))) for c in np.unique(cell)]
-                for rows, asking in parts:
-                    step = max(1, HELD_SCORES // len(rows))
-                    for at in range(0, len(asking), step):
-                        some = asking[at : at + step]
-                        scores = q[some] @ m[rows].T
-                        if group:
-                            scores = np.where(q_group[some][:, None] == theirs[rows][None, :], -np.inf, scores)
-                        row, column = _best_of(scores, keys[rows], k)
-                        yield pa.record_batch([pa.array(q_ids[some][row]), pa.array(keys[rows][column]), pa.array(scores[row, column])], names=["query_id", key, "score"])
-
-        columns = names if cells is None else [*names, "cell"]
-        part = corpus.select(*columns).mapInArrow(scan, schema)
+                step = max(1, HELD_SCORES // len(keys))
+                for at in range(0, len(q_ids), step):
+                    scores = q[at : at + step] @ m.T
+                    if group:
+                        scores = np.where(q_group[at : at + step, None] == theirs[None, :], -np.inf, scores)
+                    row, column = _best_of(scores, keys, k)
+                    yield pa.record_batch([pa.array(q_ids[at : at + step][row]), pa.array(keys[column]), pa.array(scores[row, column])], names=["query_id", key, "score"])
+
+        part = corpus.select(*names).mapInArrow(scan, schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else corpus.sparkSession.createDataFrame([], schema)
 
@@ -181,20 +172,34 @@ class CellIndex:
         return cls(cells, centroids, probes or tuned_probes(cells, centroids, key, vector))
 
     def write(self, path: str) -> None:
-        self.cells.write.partitionBy("cell").parquet(f"{path}/cells")
+        _write_cells(self.cells, path)
         spark = self.cells.sparkSession
         rows = [(k, [float(x) for x in c], self.probes) for k, c in enumerate(self.centroids)]
         spark.createDataFrame(rows, "cell int, centroid array<double>, probes int").write.parquet(f"{path}/centroids")
 
+    @classmethod
+    def append(cls, spark, path: str, rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding") -> CellIndex:
+        """Add rows to the cells of a written index; its centroids stay. Rows whose key is there already stand twice."""
+        known = cls.read(spark, path)
+        _write_cells(rows.select(key, vector, nearest_cells(known.centroids, 1)(vector)[0].alias("cell")), path)
+        return cls.read(spark, path)
+
     @classmethod
     def read(cls, spark, path: str) -> CellIndex:
         rows = spark.read.parquet(f"{path}/centroids").orderBy("cell").collect()  # as many as lists
         return cls(spark.read.parquet(f"{path}/cells"), np.array([r["centroid"] for r in rows]), rows[0]["probes"])
 
     def search(self, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", probes: int | None = None) -> DataFrame:
-        """As exact_search, over each query's nearest cells alone: a batch scores a cell's vectors for the queries that look into it."""
-        n = probes or self.probes
-        return best_k(_scan_blocks(self.cells, queries, [key, vector], k, False, lambda q: _nearest(q, self.centroids, n)), k, key)
+        """As exact_search, over each query's nearest cells alone: routes (query, cell) meet the cells' rows; of a written index only those cells are read."""
+        n = min(probes or self.probes, len(self.centroids))
+        asked = queries.select(F.col(key).alias("asker"), F.col(vector).alias("vector"), F.explode(nearest_cells(self.centroids, n)(vector)).alias("cell"))
+        cells = self.cells.select(F.col(key).alias("key"), F.col(vector).alias("vector"), "cell")
+        return best_k(routing.best_in_cells(cells, asked, k, _best_of, ("query_id", key)), k, key)
+
+
+def _write_cells(cells: DataFrame, path: str) -> None:
+    """Spark cuts cells that are too large for a file, and gathers a small one's rows in one."""
+    cells.hint("rebalance", "cell").write.mode("append").partitionBy("cell").parquet(f"{path}/cells")
 
 
 def _nearest(q: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.numbers import dot, l2_normalize, mean_pool
-from ..operators import dedup
+from ..operators import dedup, routing
 from ..operators import vectors as V
+from ..session import shared_folder
 from .registry import query, read
 
 #: The stated set of queries.
@@ -91,6 +94,36 @@ def ivf_topk(spark, sf_dir):
     return V.CellIndex.build(e, 16).search(e.filter(_QUERIES), 10)
 
 
+@query(f"SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM ({_ranked()}) WHERE rank <= 10")
+def index_appended(spark, sf_dir):
+    """A written index to which a third of the rows is added later; asked in all its cells, it finds what the exact search does."""
+    e = read(spark, sf_dir, "embeddings")
+    path = f"{shared_folder(spark)}/concordia/index-{uuid.uuid4().hex}"
+    V.CellIndex.build(e.filter("vec_id % 3 <> 1"), 16, probes=16).write(path)
+    index = V.CellIndex.append(spark, path, e.filter("vec_id % 3 = 1"))
+    return index.search(e.filter(_QUERIES), 10).withColumn("score", F.round("score", 6))
+
+
+def _near_sql(least: float) -> str:
+    return f"""
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm FROM embeddings),
+p AS (SELECT a.vec_id, b.label IS DISTINCT FROM a.label AS other FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {least})
+SELECT e.vec_id, min(e.vec_id) OVER (PARTITION BY e.v) AS class, coalesce(n, 0) AS n_links, coalesce(m, 0) AS n_cross
+FROM e LEFT JOIN (SELECT vec_id, count(*) AS n, count(*) FILTER (other) AS m FROM p GROUP BY vec_id) x ON x.vec_id = e.vec_id"""
+
+
+@query(_near_sql(0.92))
+def cosine_links(spark, sf_dir):
+    """All rows' near ones at the bound of binding, as classes of equal vectors with numbers of links."""
+    return routing.link_counts(read(spark, sf_dir, "embeddings"), 0.92)
+
+
+@query(_near_sql(0.45))
+def cosine_links_loose(spark, sf_dir):
+    """As cosine_links at a bound that many of these vectors reach."""
+    return routing.link_counts(read(spark, sf_dir, "embeddings"), 0.45)
+
+
 @query()
 def encoded_search(spark, sf_dir):
     d = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id"), "text")
