@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import suppress_complement, suppress_small
-from ..operators import reports, validation
+from ..operators import lifecycle, reports, validation
 from ..streaming import incremental
 from .registry import query, read
 
@@ -74,6 +74,25 @@ SELECT s_suppkey, CASE WHEN s_suppkey <> min(s_suppkey) OVER (PARTITION BY s_nat
 def curation_winners(spark, sf_dir):
     return reports.curation_winners(read(spark, sf_dir, "supplier"), ["s_nationkey"], "s_suppkey").select("s_suppkey", "replaced_by")
 
+@query("""
+WITH o AS (SELECT p_partkey AS k, p_name AS h, CASE WHEN p_partkey % 17 = 0 THEN p_type END AS c, p_partkey % 5 AS a, p_partkey % 13 <> 0 AS act FROM part WHERE p_partkey % 4 <> 1),
+n AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 0 THEN p_brand ELSE p_name END AS h, CASE WHEN p_partkey % 17 IN (0, 3) THEN p_type END AS c FROM part WHERE p_partkey % 6 <> 2),
+m AS (SELECT coalesce(n.k, o.k) AS k, n.k IS NOT NULL AS here, CASE WHEN n.k IS NULL THEN o.h ELSE n.h END AS h, CASE WHEN n.k IS NULL THEN 'v1' ELSE 'v2' END AS v, CASE WHEN n.k IS NULL THEN o.c ELSE n.c END AS c,
+  coalesce(o.a, 9) AS a, CASE WHEN o.k IS NULL THEN 'new' WHEN n.k IS NOT NULL AND n.h <> o.h THEN 'changed' WHEN n.k IS NOT NULL AND NOT o.act THEN 'returned' WHEN n.k IS NOT NULL THEN 'same'
+  WHEN o.act THEN 'retired' ELSE 'gone' END AS state FROM o FULL JOIN n ON o.k = n.k),
+w AS (SELECT *, first_value(k) OVER (PARTITION BY c, here ORDER BY a, k) AS winner FROM m)
+SELECT k AS code, h AS content_hash, v AS source_version, a::BIGINT AS accession, CASE WHEN here AND c IS NOT NULL AND winner <> k THEN winner END AS replaced_by,
+  CASE WHEN here AND c IS NOT NULL AND winner <> k THEN 'replaced' ELSE state END AS state FROM w
+""")
+def lifecycle_merge(spark, sf_dir):
+    """A release of parts merged into those of the one before: all states, and claims that several make."""
+    p, k = read(spark, sf_dir, "part"), F.col("p_partkey")
+    claim = lambda *rests: F.when((k % 17).isin(*rests), F.col("p_type")).alias("claim")
+    old = p.filter(k % 4 != 1).select(k.alias("code"), F.col("p_name").alias("content_hash"), F.lit("v1").alias("source_version"), claim(0), (k % 5).alias("accession"), (k % 13 != 0).alias("is_active"))
+    new = p.filter(k % 6 != 2).select(k.alias("code"), F.when(k % 7 == 0, F.col("p_brand")).otherwise(F.col("p_name")).alias("content_hash"), F.lit("v2").alias("source_version"), claim(0, 3))
+    merged = lifecycle.merge(old, new, ["code"], 9)
+    return merged.select("code", "content_hash", "source_version", "accession", F.col("replaced_by.code").alias("replaced_by"), "state")
+
 
 @query("""
 SELECT 'PARENT_MISSING' AS code, p_partkey::VARCHAR AS item, 'at ' || (5 - p_partkey % 1000 - 1000000) AS message FROM part WHERE p_partkey % 1000 BETWEEN 5 AND 9
