@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import code_index, graph
 from ..operators import edges as E
-from ..operators import graph
+from ..session import shared_folder
 from .registry import query, read
 
 # Test vocabularies: parts and suppliers as concepts, order lines as relationships between them.
@@ -82,6 +85,16 @@ def code_containment(spark, sf_dir):
     return _attached(spark, sf_dir).filter(E.holds_code("alternate_codes", "Brand#11")).select("s_suppkey")
 
 
+@query(f"SELECT DISTINCT target_concept_id - 10000000 AS s_suppkey, src_code AS code FROM ({_STRICT}) WHERE src_vocab = 'Brand#11'")
+def code_lookup(spark, sf_dir):
+    """As code_containment, by an index of codes to which half of the elements were added later."""
+    s = _attached(spark, sf_dir)
+    path = f"{shared_folder(spark)}/concordia/codes-{uuid.uuid4().hex}"
+    code_index.write(s.filter("s_suppkey % 2 = 0"), path, "s_suppkey")
+    code_index.append(s, path, "s_suppkey")
+    return code_index.lookup(spark, path, "Brand#11").withColumnRenamed("key", "s_suppkey")
+
+
 @query(f"SELECT DISTINCT target_concept_id - 10000000 AS s_suppkey, src_vocab AS vocabulary, src_code AS code FROM ({_STRICT})")
 def code_explode(spark, sf_dir):
     return _attached(spark, sf_dir).select("s_suppkey", F.inline("alternate_codes"))

@@ -8,7 +8,7 @@ from ..functions import text as X
 from ..functions.numbers import date_after, tag_text, tolerant_long, top_coded_age
 from ..functions.priority import is_required, parse_priority
 from ..functions.sql_functions import register
-from ..operators import reports, validation
+from ..operators import reports, submissions, validation
 from ..sources import semistructured
 from .registry import query, read
 
@@ -168,9 +168,50 @@ def companion_missing(spark, sf_dir):
     return validation.missing_companions(_anchors(spark, sf_dir), _context(spark, sf_dir)).select("item", "field")
 
 
-@query("SELECT 'NO_TIME_BASELINE' AS code, 'ERROR' AS severity, 'VisitBaselineDate' AS field")
+_ITEM_SQL = "CASE l_partkey % 50 WHEN 7 THEN 'VisitBaselineDate' WHEN 9 THEN 'VisitDate' ELSE 'F' || (l_partkey % 50) END"
+_TIMES_SQL = """
+SELECT o_orderkey AS submission_id, CASE WHEN bool_or(coalesce(item = 'VisitBaselineDate', false)) THEN 'NO_TIME_REPRESENTATION' ELSE 'NO_TIME_BASELINE' END AS code, NULL::VARCHAR AS item,
+  CASE WHEN NOT bool_or(coalesce(item = 'VisitBaselineDate', false)) THEN 'VisitBaselineDate' END AS field FROM orders LEFT JOIN f ON s = o_orderkey WHERE o_orderkey % 3 = 0 GROUP BY o_orderkey
+  HAVING NOT bool_or(coalesce(item = 'VisitBaselineDate', false)) OR NOT bool_or(coalesce(item = 'VisitDate', false))"""
+_FIELDS_SQL = f"f AS (SELECT DISTINCT l_orderkey AS s, {_ITEM_SQL} AS item, l_linestatus AS v FROM lineitem)"
+
+
+def _submissions(spark, sf_dir):
+    """Orders as submissions, every third longitudinal; their lines as fields; nations as anchors with rules and companions."""
+    o, li, n = read(spark, sf_dir, "orders", "lineitem", "nation")
+    table = o.select(F.col("o_orderkey").alias("submission_id"), F.create_map(F.lit("is_longitudinal"), F.col("o_orderkey") % 3 == 0).alias("flags"))
+    k = F.col("l_partkey") % 50
+    item = F.when(k == 7, "VisitBaselineDate").when(k == 9, "VisitDate").otherwise(F.concat(F.lit("F"), k.cast("string")))
+    fields = li.select(F.col("l_orderkey").alias("submission_id"), item.alias("item"), F.col("l_linestatus").alias("value"))
+    m, own = F.col("n_nationkey") % 5, F.col("n_nationkey").cast("string")
+    rule = (
+        F.when(m == 0, "Required").when(m == 1, F.concat(F.lit("Required-when-F"), own, F.lit("-present"))).when(m == 2, F.concat(F.lit("Required-when-F"), own, F.lit("-o")))
+        .when(m == 3, "Required-for-longitudinal").otherwise("Optional")
+    )
+    companions = F.to_json(F.struct(F.array(F.concat(F.lit("F"), (F.col("n_nationkey") + 1).cast("string"))).alias("companion_fields")))
+    anchors = n.select(F.concat(F.lit("F"), (2 * F.col("n_nationkey")).cast("string")).alias("item"), rule.alias("priority"), companions.alias("metadata_"))
+    return anchors, table, fields
+
+
+@query(f"WITH {_FIELDS_SQL} {_TIMES_SQL}")
 def time_derivability(spark, sf_dir):
-    return validation.time_findings(_context(spark, sf_dir)).select("code", "severity", "field")
+    """Longitudinal submissions whose times can't be derived."""
+    _, table, fields = _submissions(spark, sf_dir)
+    return submissions.time_findings(table, fields).select("submission_id", "code", "item", "field")
+
+
+@query(f"""
+WITH {_FIELDS_SQL},
+a AS (SELECT 'F' || (n_nationkey * 2) AS item, n_nationkey % 5 AS k, n_nationkey AS n FROM nation),
+need AS (SELECT o_orderkey AS s, item FROM orders JOIN a ON k = 0 OR (k = 3 AND o_orderkey % 3 = 0)
+  UNION SELECT s, a.item FROM f JOIN a ON (k = 1 OR (k = 2 AND v = 'O')) AND f.item = 'F' || n)
+SELECT s AS submission_id, 'ANCHOR_MISSING' AS code, item, NULL::VARCHAR AS field FROM need WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.s = need.s AND f.item = need.item)
+UNION ALL SELECT DISTINCT s, 'MISSING_COMPANION_FIELD', f.item, 'F' || (n + 1) FROM f JOIN a ON f.item = a.item WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.s = f.s AND g.item = 'F' || (n + 1))
+UNION ALL SELECT * FROM ({_TIMES_SQL})
+""")
+def submissions_checked(spark, sf_dir):
+    """All findings of all orders as submissions."""
+    return submissions.findings(*_submissions(spark, sf_dir)).select("submission_id", "code", "item", "field")
 
 
 @query("""

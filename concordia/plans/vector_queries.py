@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.numbers import dot, l2_normalize, mean_pool
-from ..operators import dedup, routing
+from ..operators import dedup, encoding, routing
 from ..operators import vectors as V
 from ..session import shared_folder
 from .registry import query, read
@@ -124,6 +124,15 @@ def cosine_links_loose(spark, sf_dir):
     return routing.link_counts(read(spark, sf_dir, "embeddings"), 0.45)
 
 
+@query("SELECT md5(coalesce(text, '')) AS content_hash, 64 AS dimensions FROM conversations GROUP BY ALL")
+def encoding_resumed(spark, sf_dir):
+    """Contents encoded in batches by a run that leaves off and one that goes on: each is there once."""
+    texts = read(spark, sf_dir, "conversations").select(F.md5(F.coalesce("text", F.lit(""))).alias("content_hash"), "text")
+    path = f"{shared_folder(spark)}/concordia/encoded-{uuid.uuid4().hex}"
+    encoding.resume(texts, "text", V.hashing_encoder(64), path, batches=4, stop_after=2)
+    return encoding.resume(texts, "text", V.hashing_encoder(64), path).select("content_hash", F.size("embedding").alias("dimensions"))
+
+
 @query()
 def encoded_search(spark, sf_dir):
     d = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id"), "text")
