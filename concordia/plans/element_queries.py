@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing
 from ..functions.numbers import filled_count, tolerant_bounds
-from ..operators import dedup, reports, sixaxis, validation
+from ..operators import dedup, metadata, reports, sixaxis, validation
 from ..schema import to_elements
 from .registry import query, read
 
@@ -33,6 +33,20 @@ def metadata_variants(spark, sf_dir):
     return dedup.metadata_variants(read(spark, sf_dir, "events"), ("user_id", "event_type"), "props")
 
 
+@query("""
+WITH l AS (SELECT p_brand, 'type' AS path, '"' || p_type || '"' AS v FROM part UNION ALL SELECT p_brand, 'size.n', p_size::VARCHAR FROM part UNION ALL SELECT p_brand, 'e' || (p_partkey % 3), '"' || p_name || '"' FROM part),
+b AS (SELECT *, row_number() OVER (PARTITION BY p_brand, path ORDER BY n DESC, v) AS nth FROM (SELECT p_brand, path, v, count(*) AS n FROM l GROUP BY ALL))
+SELECT p_brand, '{' || string_agg(CASE WHEN path = 'size.n' THEN '"size":{"n":' || v || '}' ELSE '"' || path || '":' || v END, ',' ORDER BY path) || '}' AS metadata FROM b WHERE nth = 1 GROUP BY p_brand
+""")
+def metadata_merged(spark, sf_dir):
+    """One object of metadata for each brand: each path's most frequent value, over all its parts."""
+    k = F.col("p_partkey") % 3
+    entry = lambda n: F.when(k == n, F.col("p_name")).alias(f"e{n}")  # noqa: E731  null entries aren't written
+    meta = F.to_json(F.struct("p_type", F.struct(F.col("p_size").alias("n")).alias("size"), *[entry(n) for n in range(3)]))
+    parts = read(spark, sf_dir, "part").select("p_brand", F.replace(meta, F.lit('"p_type"'), F.lit('"type"')).alias("metadata"))
+    return metadata.merged(parts, ["p_brand"], "metadata")
+
+
 @query("SELECT event_type, string_agg(DISTINCT props, '|' ORDER BY props) AS names FROM events GROUP BY event_type")
 def string_union(spark, sf_dir):
     return read(spark, sf_dir, "events").groupBy("event_type").agg(dedup.string_union("props").alias("names"))
