@@ -45,6 +45,11 @@ FORBIDDEN = {
     "passwd": r"(?i)(passwd|pwd)\s*[=:]\s*\S{8,}", "aws_name": r"(?i)aws[_-]?(access[_-]?key|secret)", "basic_auth": r"(?i)authorization:\s*basic\s+[A-Za-z0-9+/=]{20,}",
     "ssh_key": r"(?i)ssh-rsa\s+AAAA[0-9A-Za-z+/]+", "social_security": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "card_number": r"\b[0-9]{16}\b",
 }
+#: What a text that one of those patterns matches holds in lower case, whatever else: looked for first, as it is found much faster.
+NEEDED = {
+    "private_key": "private key-----", "aws_key": "akia", "github_token": "_", "password": "password", "api_key": "api", "secret": "secret", "bearer": "bearer", "connection": "://", "email": "@",
+    "passwd": "wd", "aws_name": "aws", "basic_auth": "authorization:", "ssh_key": "ssh-rsa",
+}
 BINARY_SUFFIXES = (".png", ".jpg", ".pdf", ".zip", ".parquet", ".gz")
 LARGE_BYTES = 50 * 1024 * 1024
 
@@ -65,7 +70,10 @@ def _hits(text: Column, name: str, pattern: str) -> Column:
         return F.struct((line + _line_ends(x["hit"])).alias("line"), F.array_append(state["found"], own).alias("found"))
 
     matched = F.filter(between, lambda x: x["hit"].isNotNull())
-    return F.when(F.rlike(text, p), F.aggregate(matched, start, step, lambda state: state["found"]))
+    may = F.rlike(text, p)
+    if FORBIDDEN.get(name) == pattern and name in NEEDED:
+        may = F.contains(F.lower(text), F.lit(NEEDED[name])) & may
+    return F.when(may, F.aggregate(matched, start, step, lambda state: state["found"]))
 
 
 def screen_content(files: DataFrame, path: str, text: str, patterns: dict[str, str] = FORBIDDEN) -> DataFrame:
