@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import col
+from .canonical import canonical, json_float, json_string
 
 #: Fixed list: the fields that a content hash covers.
 HASHED = (
@@ -18,56 +16,41 @@ HASHED = (
 )
 
 
-def canonical_json(value) -> str:
-    """Keys sorted, nulls kept, no spaces, ASCII only."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"))
-
-
-def _element_hash(rows: pd.DataFrame) -> pd.Series:
-    out = []
-    for row in rows.to_dict("records"):
-        payload = {}
-        for name in HASHED:
-            v = row.get("member_of_collections" if name == "collections" else name)
-            v = None if v is None or (isinstance(v, float) and v != v) else v
-            if name == "alternate_names":
-                v = sorted(v.split("|")) if v else None
-            elif name == "collections":
-                v = sorted(v) if v is not None else []
-            elif name == "metadata_":
-                v = json.loads(v) if v else None
-            elif name == "numeric_precision":
-                v = int(v) if v is not None else None
-            payload[name] = v
-        out.append(hashlib.sha256(canonical_json(payload).encode()).hexdigest())
-    return pd.Series(out, dtype=str)
+def _hashed_field(name: str, c: Column) -> Column:
+    """The canonical JSON of one hashed field; null stays null."""
+    if name == "alternate_names":
+        names = F.array_join(F.transform(F.sort_array(F.split(c, r"\|", -1)), json_string), ",")
+        return F.when(c != "", F.concat(F.lit("["), names, F.lit("]")))
+    if name == "collections":
+        held = F.array_join(F.transform(F.sort_array(c), lambda x: F.coalesce(json_string(x), F.lit("null"))), ",")
+        return F.concat(F.lit("["), F.coalesce(held, F.lit("")), F.lit("]"))
+    if name == "metadata_":
+        return F.when(c != "", canonical(c))
+    if name == "numeric_precision":
+        return c.cast("long").cast("string")
+    if name in ("plausible_min", "plausible_max"):
+        return json_float(F.when(~F.isnan(c.cast("double")), c.cast("double")))
+    return json_string(c.cast("string"))
 
 
 def content_hash(df: DataFrame) -> Column:
-    """SHA-256 of an element's hashed fields; columns that the table lacks count as null.
+    """SHA-256 of an element's hashed fields; columns that the table lacks count as null, as do not-a-numbers.
 
-    Numbers and escapes must be written just so, which Spark's JSON writer can't; Arrow batches go to Python.
+    All of it is Column functions, canonical JSON of any text, number and metadata included.
     """
 
-    @F.pandas_udf("string")
-    def hashed(rows: pd.DataFrame) -> pd.Series:
-        return _element_hash(rows)
-
-    fields = [*(f for f in HASHED if f != "collections"), "member_of_collections"]
-    return hashed(F.struct(*[F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields]))
-
+    def field(name: str) -> Column:
+        column = "member_of_collections" if name == "collections" else name
+        kind = "array<string>" if name == "collections" else "string"
+        value = F.col(column) if column in df.columns else F.lit(None).cast(kind)
+        return F.concat(F.lit(f'"{name}":'), F.coalesce(_hashed_field(name, value), F.lit("null")))
 
-def _json_string(c) -> Column:
-    """A JSON string of text in the Basic Latin range."""
-    text = F.replace(F.replace(col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    for raw, name in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
-        text = F.replace(text, F.lit(raw), F.lit(name))
-    return F.coalesce(F.concat(F.lit('"'), text, F.lit('"')), F.lit("null"))
+    return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *map(field, sorted(HASHED))), F.lit("}")), 256)
 
 
 def native_hash(fields: dict[str, Column], numbers: tuple[str, ...] = ()) -> Column:
-    """SHA-256 of an object of whole numbers and Basic Latin texts, without leaving the JVM."""
-    parts = [F.concat(F.lit(f'"{k}":'), F.coalesce(v.cast("string"), F.lit("null")) if k in numbers else _json_string(v)) for k, v in sorted(fields.items())]
+    """SHA-256 of an object of whole numbers and texts."""
+    parts = [F.concat(F.lit(f'"{k}":'), F.coalesce(v.cast("string") if k in numbers else json_string(v.cast("string")), F.lit("null"))) for k, v in sorted(fields.items())]
     return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")), 256)
 
 
