@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import suppress_complement, suppress_small
 from ..operators import lifecycle, reports, validation
-from ..streaming import incremental
+from ..streaming import accessions, incremental
 from .registry import query, read
 
 
@@ -121,3 +121,18 @@ def totals(spark, sf_dir):
 def streaming_dedup(spark, sf_dir):
     """An extension: the same groups, gathered by a stream."""
     return incremental.stream_groups(spark, f"{sf_dir}/events.parquet")
+
+
+@query("""
+WITH last AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id),
+mark AS (SELECT epoch_ms(max(ts)) - 3600000 AS ms FROM events)
+SELECT user_id::VARCHAR AS accession, CASE WHEN epoch_ms(last.ts) + 7200000 <= ms THEN 'retired' ELSE 'new' END AS state, max(md5(event_type)) AS content_hash
+FROM events JOIN last USING (user_id, ts), mark GROUP BY user_id, last.ts, ms
+""")
+def accession_states(spark, sf_dir):
+    """An extension: the last state of each accession, kept by a stateful stream with timers; two hours unseen retire it."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    seen = incremental.follow(spark, f"{sf_dir}/events.parquet", schema).withColumn("content", F.md5("event_type"))
+    history = incremental.state_folder(spark) + "-history"
+    accessions.run(accessions.changes(seen, "user_id", "ts", "content", expiry_ms=7_200_000), history, incremental.state_folder(spark))
+    return accessions.latest(spark, history).select("accession", "state", "content_hash")

@@ -1,4 +1,4 @@
-"""Streams, an extension: incremental ingest by content hash, and windowed counts with late rows.
+"""Streams, an extension: incremental ingest by content hash.
 
 The batch engine has no streams of its own; these let a staging folder be followed as it grows.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 
 
-def _state_folder(spark: SparkSession) -> str:
+def state_folder(spark: SparkSession) -> str:
     """A place for a stream's own checkpoint, in the shared folder."""
     return f"{shared_folder(spark)}/concordia-stream-{uuid.uuid4().hex}"
 
@@ -24,11 +24,6 @@ def follow(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", name).option("recursiveFileLookup", "true").parquet(folder)
 
 
-def new_elements(stream: DataFrame, time: str, key: str = "content_hash", late: str = "1 hour") -> DataFrame:
-    """Rows whose key hasn't come within the watermark."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
-
-
 def append_new(stream: DataFrame, target: str, key: str = "content_hash"):
     """Append each batch's rows whose key the target lacks; a batch that runs again adds nothing."""
 
@@ -42,18 +37,14 @@ def append_new(stream: DataFrame, target: str, key: str = "content_hash"):
                 raise
         batch.dropDuplicates([key]).write.mode("append").parquet(target)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", _state_folder(stream.sparkSession))
-
-
-def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1 day", late: str = "2 days") -> DataFrame:
-    return stream.withWatermark(time, late).groupBy(F.window(time, width), *by).agg(F.count(F.lit(1)).alias("n"))
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", state_folder(stream.sparkSession))
 
 
 def stream_groups(spark: SparkSession, path: str) -> DataFrame:
     """Counts by user and kind of event, run as a stream over all that is there; its last state, as a table."""
     schema = spark.read.parquet(path).schema
     groups = follow(spark, path, schema).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
-    state, out = _state_folder(spark), _state_folder(spark) + "-groups"
+    state, out = state_folder(spark), state_folder(spark) + "-groups"
     write = lambda batch, _: batch.write.mode("overwrite").parquet(out)
     groups.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(groups.schema).parquet(out)
