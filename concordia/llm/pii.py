@@ -11,7 +11,9 @@ Offsets are code points, ends exclusive. The patterns are matched so that no tex
 linear time: an e-mail is found from its @ backwards, digits are never tried twice.
 
 Counts and spans follow texts, not ids: rows of equal texts have equal spans, whatever their ids, and each
-row counts as a document in all counts, those of terms, of entities, of pairs and of the whole.
+row counts as a document in all counts, those of terms, of entities, of pairs and of the whole. Whether copies of
+one text are evidence is a choice: with copies=False a pair must co-occur in enough different texts, so that a text
+that stands twice doesn't make each of its rare words telling; shares of documents stay shares of rows.
 
 Defined results: a null text is empty and has no spans; rows without a doc_id and rows that share one are
 documents of their own; of spans that begin together base ones come first, by kind; an empty table gives no
@@ -193,11 +195,11 @@ def _documents(ids: pa.Array, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBat
     return pa.record_batch([own[f.name] if f.name in own else pa.nulls(none, f.type) if f.name in ("term", "df") else pa.array(rows[f.name], f.type) for f in _ARROW], schema=_ARROW)
 
 
-def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFrame:
+def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9, copies: bool = True) -> DataFrame:
     """One row per document: doc_id, n_<kind>, base_sha256, spans, n_term, text_key.
 
     text_key: 64 bits of the text's digest, null where it has no spans. support: documents in which a pair must co-occur, wherever in them. threshold: share of the entity's
-    information that a term must give away.
+    information that a term must give away. copies: whether rows of equal texts count each as support, or as one.
     """
     scanned = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(_scan()), SCAN), "pii")
     rows = scanned.filter(F.col("base_sha256").isNotNull())
@@ -206,7 +208,8 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFr
     held = rows.filter(F.col("text_key").isNotNull())
     asked = held.select("text_key", F.explode("entities").alias("entity")).groupBy("text_key", "entity").agg(F.count(F.lit(1)).alias("n"))
     # A pair is in no more documents than its entity, so entities without support have none.
-    entities = asked.groupBy("entity").agg(F.sum("n").alias("entity_df")).filter(F.col("entity_df") >= support)
+    evidence = F.sum("n") if copies else F.count(F.lit(1))  # a row for each different text here, and of each pair below
+    entities = asked.groupBy("entity").agg(F.sum("n").alias("entity_df"), evidence.alias("seen")).filter(F.col("seen") >= support).drop("seen")
     asked = asked.join(entities, "entity")
     words = held.join(asked.select("text_key").distinct(), "text_key", "left_semi").select("text_key", F.inline("words")).distinct()
     words = staged(words, "pii_words")
@@ -216,13 +219,17 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9) -> DataFr
     # a text out before terms and entities meet, and a text's pairs are compared, not written out.
     information = lambda n: F.log2(F.lit(float(max(total, 1))) / F.col(n))
     asked = asked.withColumn("needed", threshold * information("entity_df"))
-    least = asked.agg(F.min("needed")).first()[0]
+    # Each text has a bound of its own, so one common entity doesn't let common words in everywhere.
+    bounds = asked.groupBy("text_key").agg(F.min("needed").alias("least"))
     held = words.select("text_key", "term").distinct()
+    if not copies:  # a pair is in no more texts than its term
+        held = held.join(held.groupBy("term").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") >= support).select("term"), "term")
     terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull() & F.col("base_sha256").isNull()).select("term", "df")
     terms = terms.join(held.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("term_df"))
-    terms = terms.withColumn("information", information("term_df")).filter((F.col("term_df") >= support) & (F.col("information") >= F.lit(least if least is not None else 0.0) - 1e-9))
-    near = held.join(terms, "term").join(asked, "text_key").filter(F.col("information") >= F.col("needed") - 1e-9)
-    counted = near.groupBy("term", "entity", "entity_df", "term_df").agg(F.sum("n").alias("co")).filter(F.col("co") >= support)
+    terms = terms.withColumn("information", information("term_df")).filter(F.col("term_df") >= support)
+    rare = held.join(terms, "term").join(bounds, "text_key").filter(F.col("information") >= F.col("least") - 1e-9).drop("least")
+    near = rare.join(asked, "text_key").filter(F.col("information") >= F.col("needed") - 1e-9)
+    counted = near.groupBy("term", "entity", "entity_df", "term_df").agg(F.sum("n").alias("co"), evidence.alias("seen")).filter(F.col("seen") >= support)
     shared = F.log2(F.col("co") * F.lit(float(total)) / (F.col("term_df") * F.col("entity_df")))
     own = F.log2(F.lit(float(total)) / F.col("entity_df"))
     telling = counted.filter((own > 0) & (shared >= threshold * own)).select("term", "entity")

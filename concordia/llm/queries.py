@@ -57,7 +57,7 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document, with the terms beside it that give it away."""
-    return pii.find(table(spark, sf_dir, "documents")).drop("text_key")
+    return pii.find(table(spark, sf_dir, "documents"), copies=False).drop("text_key")
 
 
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

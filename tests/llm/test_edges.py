@@ -345,6 +345,47 @@ def test_pii_long_words(spark):
     assert Counter(r["text"] for r in rows(pii.sanitised(shared))) == Counter(r["text"] for r in rows(pii.sanitised(df)))
 
 
+def test_pii_copies_are_no_evidence(spark):
+    """Without copies as evidence, a text that stands often tells nothing; words that stand with an address in different texts do."""
+    far = [f"plain words number {k}" for k in range(60)]
+    twice = ["onlyhere rareword once@x.org plain words"] * 3
+    told = [f"Secretname wrote {k} times to known@x.org" for k in range(3)]
+    df = spark.createDataFrame(list(enumerate(far + twice + told)), "doc_id long, text string")
+    with_copies = {r["doc_id"]: r["n_term"] for r in rows(pii.find(df))}
+    got = {r["doc_id"]: r["spans"] for r in rows(pii.find(df, copies=False))}
+    assert with_copies[60] >= 2 and got[60] == got[62] == "email:18:28"
+    assert got[63].startswith("term:0:10,") and got[5] == ""
+
+
+@pytest.mark.parametrize("support", [1, 2, 3])
+def test_pii_different_texts_plain(spark, support):
+    """Support by different texts against a plain count, with copies and null ids."""
+    import math
+    import random
+
+    rng, texts = random.Random(10 + support), []
+    for k in range(100):
+        words = [rng.choice("abcdefghij") + str(rng.randint(0, 3)) for _ in range(rng.randint(1, 10))]
+        for who in rng.sample(range(6), rng.choice([0, 0, 1, 2])):
+            words += [f"u{who}@m.org"] + [f"name{who}"] * (rng.random() < 0.8)
+        texts.append(" ".join(words))
+    texts += texts[:30] * 2
+    split = [(t, {w for w in t.split() if "@" in w}, set(t.split())) for t in texts]
+    n, telling = len(texts), set()
+    for e in set().union(*(s[1] for s in split)):
+        e_df = sum(e in s[1] for s in split)
+        for t in set().union(*(s[2] for s in split)):
+            both = [s[0] for s in split if e in s[1] and t in s[2]]
+            if len(set(both)) >= support and n > e_df and math.log2(len(both) * n / (sum(t in s[2] for s in split) * e_df)) >= 0.9 * math.log2(n / e_df):
+                telling.add((t, e))
+    want = Counter()
+    for k, (text, own, _) in enumerate(split):
+        want[None if k % 7 == 0 else k, sum(any((w, e) in telling for e in own) for w in text.split() if w not in own)] += 1
+    df = spark.createDataFrame([(None if k % 7 == 0 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert Counter((r["doc_id"], r["n_term"]) for r in rows(pii.find(df, support=support, copies=False))) == want
+    assert any(c for _, c in want)
+
+
 @pytest.mark.parametrize("support", [1, 2])
 def test_pii_terms_plain(spark, support):
     """Terms against a plain count over random documents, with copies, repeated ids and null ids."""
