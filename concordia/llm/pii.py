@@ -222,11 +222,11 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9, copies: b
     # Each text has a bound of its own, so one common entity doesn't let common words in everywhere.
     bounds = asked.groupBy("text_key").agg(F.min("needed").alias("least"))
     held = words.select("text_key", "term").distinct()
-    if not copies:  # a pair is in no more texts than its term
-        held = held.join(held.groupBy("term").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") >= support).select("term"), "term")
-    terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull() & F.col("base_sha256").isNull()).select("term", "df")
-    terms = terms.join(held.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("term_df"))
-    terms = terms.withColumn("information", information("term_df")).filter(F.col("term_df") >= support)
+    # A pair is in no more documents than its term, nor in more texts. Counts are summed before they meet the terms asked for.
+    own = held.groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull() & F.col("base_sha256").isNull()).groupBy("term").agg(F.sum("df").alias("term_df"))
+    enough = F.col("term_df") if copies else F.least("seen", "term_df")
+    terms = terms.join(own, "term").filter(enough >= support).select("term", "term_df", information("term_df").alias("information"))
     rare = held.join(terms, "term").join(bounds, "text_key").filter(F.col("information") >= F.col("least") - 1e-9).drop("least")
     near = rare.join(asked, "text_key").filter(F.col("information") >= F.col("needed") - 1e-9)
     counted = near.groupBy("term", "entity", "entity_df", "term_df").agg(F.sum("n").alias("co"), evidence.alias("seen")).filter(F.col("seen") >= support)
