@@ -225,7 +225,7 @@ def find(docs: DataFrame, *, support: int = 2, threshold: float = 0.9, copies: b
     # A pair is in no more documents than its term, nor in more texts. Counts are summed before they meet the terms asked for.
     own = held.groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
     terms = scanned.filter(F.col("term").isNotNull() & F.col("doc_id").isNull() & F.col("base_sha256").isNull()).groupBy("term").agg(F.sum("df").alias("term_df"))
-    enough = F.col("term_df") if copies else F.least("seen", "term_df")
+    enough = F.col("term_df") if copies else F.col("seen")
     terms = terms.join(own, "term").filter(enough >= support).select("term", "term_df", information("term_df").alias("information"))
     rare = held.join(terms, "term").join(bounds, "text_key").filter(F.col("information") >= F.col("least") - 1e-9).drop("least")
     near = rare.join(asked, "text_key").filter(F.col("information") >= F.col("needed") - 1e-9)
