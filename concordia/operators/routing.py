@@ -18,6 +18,8 @@ from ..functions.numbers import l2_normalize
 
 #: Rows and askers of a group, about, and scores that a worker holds at once.
 ROWS, ASKERS, HELD_SCORES = 8192, 4096, 1 << 21
+#: Bytes of vectors on either side of a group where all rows meet all askers, and the fewest vectors of a side.
+SIDE_BYTES, LEAST_SIDE = 32 << 20, 1024
 
 #: (asker, row) places in the group, and scores.
 Picked = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -39,7 +41,27 @@ def meet(rows: DataFrame, routes: DataFrame, pick: Callable[[np.ndarray, np.ndar
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     here = rows.join(ways, "cell").select("cell", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"), every("parts").alias("part"), "key", "vector")
     there = routes.join(ways, "cell").select("cell", every("blocks").alias("block"), F.pmod(F.xxhash64("asker"), F.col("parts")).cast("int").alias("part"), "asker", "vector")
-    own, kinds = ["cell", "block", "part"], (dict(routes.dtypes)["asker"], dict(rows.dtypes)["key"])
+    return _scored(here, there, ["cell", "block", "part"], pick, names)
+
+
+def meet_all(rows: DataFrame, routes: DataFrame, pick: Callable[[np.ndarray, np.ndarray, np.ndarray], Picked], names: tuple[str, str]) -> DataFrame:
+    """As meet(), where every asker looks at every row: rows (key, vector), askers (asker, vector), and in both a tag if equal ones mustn't meet.
+
+    A stated set of queries against all rows, in blocks of SIDE_BYTES on either side: nothing passes the driver, and what
+    is shuffled is each row once for a block of askers and each asker once for a block of rows. Vectors are of one length.
+    """
+    first = rows.select(F.size("vector")).first()
+    side = max(LEAST_SIDE, SIDE_BYTES // (8 * max(1, first[0] if first else 1)))
+    blocks, parts = (max(1, -(-df.count() // side)) for df in (rows, routes))
+    dealt = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    here = rows.select(dealt(blocks, "key", "vector").alias("block"), every(parts).alias("part"), *rows.columns)
+    there = routes.select(every(blocks).alias("block"), dealt(parts, "asker", "vector").alias("part"), *routes.columns)
+    return _scored(here, there, ["block", "part"], pick, names)
+
+
+def _scored(here: DataFrame, there: DataFrame, own: list[str], pick: Callable, names: tuple[str, str]) -> DataFrame:
+    kinds = dict(there.dtypes)["asker"], dict(here.dtypes)["key"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple] = []
@@ -48,11 +70,14 @@ def meet(rows: DataFrame, routes: DataFrame, pick: Callable[[np.ndarray, np.ndar
             m, q = matrix(left["vector"]), matrix(right["vector"])
             if m.shape[1] != q.shape[1]:
                 raise ValueError("vectors of different lengths")
+            theirs, mine = _tags(left, right) if "tag" in left.column_names else (None, None)
             as_array = lambda x: x.to_numpy(zero_copy_only=False)
             step = max(1, HELD_SCORES // len(m))
             for at in range(0, len(q), step):
-                some = asking.slice(at, step)
-                a, b, s = pick(q[at : at + step] @ m.T, as_array(some), as_array(keys))
+                some, scores = asking.slice(at, step), q[at : at + step] @ m.T
+                if theirs is not None:
+                    scores[mine[at : at + step, None] == theirs[None, :]] = -np.inf
+                a, b, s = pick(scores, as_array(some), as_array(keys))
                 found.append((some.take(pa.array(a)), keys.take(pa.array(b)), pa.array(s)))
         columns = list(zip(*found, strict=True)) or [[pa.array([], right["asker"].type)], [pa.array([], left["key"].type)], [pa.array([], pa.float64())]]
         return pa.table({n: pa.chunked_array(list(c)) for n, c in zip([*names, "score"], columns, strict=True)})
@@ -60,6 +85,13 @@ def meet(rows: DataFrame, routes: DataFrame, pick: Callable[[np.ndarray, np.ndar
     return here.groupBy(*own).cogroup(there.groupBy(*own)).applyInArrow(score, f"{names[0]} {kinds[0]}, {names[1]} {kinds[1]}, score double")
 
 
+def _tags(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides' tags as numbers; null is a tag."""
+    both = pa.chunked_array([*left["tag"].chunks, *right["tag"].chunks]).combine_chunks()
+    numbers = both.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    return numbers[: left.num_rows], numbers[left.num_rows :]
+
+
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, v): unit vectors of double precision; null, empty and zero ones, and those with null or non-finite components, are left out."""
     v = F.col(vector).cast("array<double>")
@@ -140,15 +172,20 @@ def link_counts(df: DataFrame, least: float, *, key: str = "vec_id", vector: str
     return out.select(F.col("key").alias(key), F.col("class"), (F.col("all") - 1).alias("n_links"), (F.col("all") - F.col("same")).alias("n_cross"))
 
 
-def best_in_cells(cells: DataFrame, routes: DataFrame, k: int, best_of: Callable, names: tuple[str, str]) -> DataFrame:
+def best_in_cells(cells: DataFrame, routes: DataFrame, k: int, best_of_scores: Callable, names: tuple[str, str]) -> DataFrame:
     """(names, score): at least each asker's k best rows of the cells that it looks into.
 
     Only the cells that are asked are read, where the table is partitioned by cell.
     """
     asked = [r["cell"] for r in routes.select("cell").distinct().collect()]  # as many as cells
-    return meet(cells.filter(F.col("cell").isin(asked)), routes, lambda scores, _, keys: _listed(scores, *best_of(scores, keys, k)), names)
+    return meet(cells.filter(F.col("cell").isin(asked)), routes, best_of(best_of_scores, k), names)
 
 
-def _listed(scores: np.ndarray, row: np.ndarray, column: np.ndarray) -> Picked:
-    return row, column, scores[row, column]
+def best_of(best: Callable, k: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], Picked]:
+    """A pick of the k best of each row of scores, by best(scores, keys, k)."""
+
+    def pick(scores: np.ndarray, asking: np.ndarray, keys: np.ndarray) -> Picked:
+        row, column = best(scores, keys, k)
+        return row, column, scores[row, column]
 
+    return pick

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.numbers import l2_norm
 from . import routing
 
-#: Queries that are sent to the executors at once.
-QUERY_BLOCK = 4096
 #: Rows whose exact neighbours set an index's probes, and the share of these neighbours that the probes must reach.
 TUNING_ROWS, TUNED_RECALL = 256, 0.95
 
@@ -69,30 +66,6 @@ def encode_missing(stored: DataFrame, incoming: DataFrame, text: str, factory: C
     return stored.select(key, "embedding").unionByName(encode(fresh, text, factory, **options).select(key, "embedding"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-
-
-def _blocks(queries: DataFrame, names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Queries (key, vector and, if there is one, group) in blocks of bounded size, read one row at a time."""
-    held = []
-    for r in queries.select(*names).toLocalIterator():
-        held.append(r)
-        if len(held) == QUERY_BLOCK:
-            yield _block(held)
-            held = []
-    if held:
-        yield _block(held)
-
-
-def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64), np.array([r[2] if len(r) > 2 else None for r in rows], object)
-
-
-#: Scores that a worker holds at once.
-HELD_SCORES = 1 << 21
-
-
 def _best_of(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of each row's k best finite scores, ties to the smaller key."""
     n = scores.shape[1]
@@ -107,44 +80,17 @@ def _best_of(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray,
     return row[place < k], column[place < k]
 
 
-def _scan_blocks(corpus: DataFrame, queries: DataFrame, names: list[str], k: int, group: bool) -> DataFrame:
-    """Each Arrow batch's k best of each query of a block, over all blocks.
-
-    names: key, vector and, with group, the column that must differ.
-    """
-    key, found = names[0], None
-    schema = f"query_id {dict(queries.dtypes)[key]}, {key} {dict(corpus.dtypes)[key]}, score double"
-    for block in _blocks(queries, names):
-
-        # A block goes with the tasks; Spark lets go of it with the plan.
-        def scan(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            q_ids, q, q_group = block
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                keys, m = np.array(batch.column(0).to_pylist()), _matrix(batch.column(1))
-                theirs = np.array(batch.column(2).to_pylist(), object) if group else None
-                step = max(1, HELD_SCORES // len(keys))
-                for at in range(0, len(q_ids), step):
-                    scores = q[at : at + step] @ m.T
-                    if group:
-                        scores = np.where(q_group[at : at + step, None] == theirs[None, :], -np.inf, scores)
-                    row, column = _best_of(scores, keys, k)
-                    yield pa.record_batch([pa.array(q_ids[at : at + step][row]), pa.array(keys[column]), pa.array(scores[row, column])], names=["query_id", key, "score"])
-
-        part = corpus.select(*names).mapInArrow(scan, schema)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else corpus.sparkSession.createDataFrame([], schema)
-
-
 def exact_search(corpus: DataFrame, queries: DataFrame, k: int = 10, *, key: str = "vec_id", vector: str = "embedding", group: str | None = None) -> DataFrame:
     """(query_id, rank, key, score): each query's k best by inner product, ties to the smaller key.
 
-    Queries are a set that is sent in blocks against all rows; every Arrow batch hands on its own k best of
-    each query, so what is shuffled is bounded by batches, not by pairs. group: a column whose value must
-    differ between a query and its neighbours.
+    Blocks of queries meet blocks of rows on the executors, and every meeting hands on its own k best of each
+    query, so what is ranked is bounded by blocks, not by pairs. group: a column whose value must differ between
+    a query and its neighbours; null is a value.
     """
-    return best_k(_scan_blocks(corpus, queries, [key, vector, *([group] if group else [])], k, bool(group)), k, key)
+    tag = [F.col(group).cast("string").alias("tag")] if group else []
+    rows = corpus.select(F.col(key).alias("key"), F.col(vector).alias("vector"), *tag)
+    asked = queries.select(F.col(key).alias("asker"), F.col(vector).alias("vector"), *tag)
+    return best_k(routing.meet_all(rows, asked, routing.best_of(_best_of, k), ("query_id", key)), k, key)
 
 
 def best_k(scored: DataFrame, k: int, key: str) -> DataFrame:
