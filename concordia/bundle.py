@@ -9,7 +9,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.hashing import content_hash, rollup_hash
+from .functions.hashing import content_hash, rollup_hash, rollup_tree
 from .functions.numbers import human_size
 from .functions.text import search_text_library
 from .operators.vectors import CellIndex, cell_count
@@ -46,8 +46,12 @@ def derived(elements: DataFrame) -> DataFrame:
     return out.withColumn("content_hash", F.coalesce("content_hash", content_hash(out)))
 
 
-def write_bundle(elements: DataFrame, out: str, version: str, *, key: str = "accession", created: dt.date | None = None, index: bool = True) -> dict:
-    """Write elements, embeddings, index, manifest and notes below out; the manifest."""
+def write_bundle(elements: DataFrame, out: str, version: str, *, key: str = "accession", created: dt.date | None = None, index: bool = True, flat_hash: bool = True) -> dict:
+    """Write elements, embeddings, index, manifest and notes below out; the manifest.
+
+    rollup_tree is a digest of all content hashes that no single place has to read. With flat_hash there is
+    rollup_hash as well, which other bundles have and which reads every hash in one order: leave it out of large ones.
+    """
     spark = elements.sparkSession
     full = derived(elements)
     full.drop("embedding").write.option("compression", "zstd").parquet(f"{out}/elements")
@@ -62,7 +66,7 @@ def write_bundle(elements: DataFrame, out: str, version: str, *, key: str = "acc
         CellIndex.build(stored, cell_count(n_vectors), key=key).write(f"{out}/index")
     manifest = {
         "bundle_version": version, "created": (created or dt.date.today()).isoformat(), "n_elements": written.count(), "n_with_embedding": n_vectors,
-        "rollup_hash": rollup_hash(written).first()[0],
+        "rollup_tree": rollup_tree(written).first()[0], **({"rollup_hash": rollup_hash(written).first()[0]} if flat_hash else {}),
         "sources": {r[0]: r[1] for r in written.groupBy("source_authority").agg(F.max("source_version")).orderBy("source_authority").collect()},
         "by_authority": {r[0]: r[1] for r in written.groupBy("source_authority").count().orderBy("source_authority").collect()},
         "files": file_manifest(spark, out),

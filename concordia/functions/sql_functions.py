@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from ..schema import ELEMENT
+from ..operators import code_index
+from ..schema import DEFAULTS, ELEMENT
 
 #: Name, parameters, and body of each SQL function.
 FUNCTIONS = {
@@ -42,6 +44,33 @@ def create_tables(spark: SparkSession, database: str | None = None) -> list[str]
     return [f"{place}element_store", f"{place}edge_store"]
 
 
+def migrate(spark: SparkSession, table: str, *, index: str | None = None, key: str = "accession") -> list[str]:
+    """Give an existing table the element's columns that it lacks; their names. Its rows and other columns stay as they are.
+
+    Added columns have the element's defaults, also in the rows that are there, and are null without one; no file is
+    written again. A column of the same name in any letter case stays if its type is the element's and is refused
+    otherwise, before anything is changed. A second run adds nothing. index: where to write the index of the
+    table's codes, by key.
+    """
+    have = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+    other = [f"{f.name} {have[f.name.lower()].simpleString()}" for f in ELEMENT if f.name.lower() in have and not _fits(have[f.name.lower()], f.dataType)]
+    if other:
+        raise ValueError(f"columns of other types than the element's: {', '.join(other)}")
+    added = [f for f in ELEMENT if f.name.lower() not in have]
+    if added:
+        default = lambda n: f" DEFAULT {str(v).lower() if isinstance(v, bool) else repr(v)}" if (v := DEFAULTS.get(n)) is not None else ""
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}{default(f.name)}' for f in added)})")
+    if index is not None:
+        code_index.write(spark.table(table), index, key)
+    return [f.name for f in added]
+
+
+def _fits(have: T.DataType, want: T.DataType) -> bool:
+    """Whether a column can be the element's: the same type, or a narrower or wider whole or floating number."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)
+    return have.simpleString() == want.simpleString() or any(isinstance(have, k) and isinstance(want, k) for k in kinds)
+
+
 def create_views(elements: DataFrame, crosswalk: DataFrame | None = None) -> list[str]:
     """Views over the element table: all elements, active ones, and active ones with a crosswalk's columns."""
     elements.createOrReplaceTempView("elements")

@@ -48,6 +48,21 @@ def sets_by_key(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> Dat
     return flat.groupBy(*keys).agg(*[F.sort_array(F.collect_set(F.when(F.col("list") == n, F.col("entry")))).alias(n) for n in lists])
 
 
+def entries(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
+    """A row for each key, list and different entry, with the number of times that it stands there.
+
+    What sets_by_key and string_union gather in a row, as a table: no key's entries meet in one place, so a key that
+    a third of all rows share is no harder than another. A whole string is the one entry of a list of its own.
+    """
+
+    def named(name: str, held: Column) -> Column:
+        held = F.filter(F.coalesce(held, F.array().cast("array<string>")), lambda x: x.isNotNull())
+        return F.transform(held, lambda x: F.struct(F.lit(name).alias("list"), x.alias("entry")))
+
+    flat = df.select(*keys, F.inline(F.concat(*[named(n, c) for n, c in lists.items()])))
+    return flat.groupBy(*keys, "list", "entry").agg(F.count(F.lit(1)).alias("n"))
+
+
 def tokens(c) -> Column:
     """The entries of a pipe list, trimmed, blanks left out."""
     return F.filter(F.transform(F.split(c, r"\|"), X.trim_ws), lambda x: x != "")

@@ -141,9 +141,23 @@ def pairs_of(members: DataFrame, key: list[str], asked: DataFrame) -> DataFrame:
 
 
 def name_groups(df: DataFrame, ids: str, text: str, source: str) -> DataFrame:
-    """(name, n_sources, ids): texts that are equal but for case and punctuation, in more than one source."""
-    named = df.withColumn("name", normalized_words(text)).filter("name <> ''")
-    return named.groupBy("name").agg(F.count_distinct(source).alias("n_sources"), F.sort_array(F.collect_set(ids)).alias("ids")).filter("n_sources > 1")
+    """(name, n_sources, n_ids, representative): texts that are equal but for case and punctuation, in more than one source.
+
+    Counts and the smallest id only; name_classes gives the members, a row each.
+    """
+    named = _named(df, ids, text, source)
+    return named.groupBy("name").agg(F.count_distinct("source").alias("n_sources"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("representative")).filter("n_sources > 1")
+
+
+def name_classes(df: DataFrame, ids: str, text: str, source: str) -> DataFrame:
+    """(name, id, representative, n_sources, n_ids): the members of name_groups; a name that many ids have is never one row of them all."""
+    members = _named(df, ids, text, source).select("name", "id").distinct()
+    return members.join(name_groups(df, ids, text, source), "name").select("name", "id", "representative", "n_sources", "n_ids")
+
+
+def _named(df: DataFrame, ids: str, text: str, source: str) -> DataFrame:
+    named = df.select(normalized_words(text).alias("name"), F.col(ids).alias("id"), F.col(source).alias("source"))
+    return named.filter("name <> '' and id is not null")
 
 
 def equivalence_claims(coreferences: DataFrame, elements: DataFrame, curated: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dedup import same_keys
+
 
 def coverage(df: DataFrame, by: list[str], conditions: dict[str, Column]) -> DataFrame:
     """For each group its rows and the share that meets each condition."""
@@ -24,8 +26,10 @@ def visit_numbers(df: DataFrame, subject: list[str], date: str, tie: list[str])
 
 
 def years_from_baseline(df: DataFrame, subject: list[str], date: str) -> DataFrame:
-    first = F.min(F.to_date(date)).over(Window.partitionBy(*subject))
-    return df.withColumn("years_from_baseline", (F.datediff(F.to_date(date), first).cast("double") / 365.25))
+    """Rows with the years since their subject's first date; an aggregate and a join, so no subject's rows are sorted in one task."""
+    first = df.groupBy(*subject).agg(F.min(F.to_date(date)).alias("__first"))
+    years = F.datediff(F.to_date(date), "__first").cast("double") / 365.25
+    return same_keys(df, first, subject).withColumn("years_from_baseline", years).drop("__first")
 
 
 def founders(individuals: DataFrame) -> DataFrame:
@@ -104,5 +108,6 @@ def active_crosswalk(elements: DataFrame, crosswalk: DataFrame, schema_id: str |
 
 def curation_winners(claims: DataFrame, key: list[str], accession: str = "accession") -> DataFrame:
     """Of elements that claim the same thing, the one with the older accession stays; the others name it."""
-    first = F.min(accession).over(Window.partitionBy(*key))
-    return claims.withColumn("replaced_by", F.when(F.col(accession) != first, first)).withColumn("is_active", F.col("replaced_by").isNull())
+    first = claims.groupBy(*key).agg(F.min(accession).alias("__first"))
+    replaced = F.when(F.col(accession) != F.col("__first"), F.col("__first"))
+    return same_keys(claims, first, key).withColumn("replaced_by", replaced).withColumn("is_active", F.col("replaced_by").isNull()).drop("__first")

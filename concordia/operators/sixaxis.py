@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Relationships of each axis, and classes of the concepts that name them.
@@ -40,9 +40,8 @@ def six_axes_last(concepts: DataFrame, relationships: DataFrame, ordinal: str) -
     lab = concepts.filter("vocabulary_id = 'LOINC'").select("concept_id", "concept_name")
     edges = relationships.filter(F.col("relationship_id").isin(*names) & (F.coalesce("invalid_reason", F.lit("")) == ""))
     named = edges.join(lab.select(F.col("concept_id").alias("concept_id_2"), "concept_name"), "concept_id_2").join(lab.select(F.col("concept_id").alias("concept_id_1")), "concept_id_1", "left_semi")
-    last = Window.partitionBy("concept_id_1", "relationship_id").orderBy(F.col(ordinal).desc())
-    named = named.withColumn("__rank", F.row_number().over(last)).filter("__rank = 1")
-    return named.groupBy(F.col("concept_id_1").alias("omop_concept_id")).agg(*[F.max(F.when(F.col("relationship_id") == r, F.col("concept_name"))).alias(c) for r, c in names.items()])
+    last = lambda r: F.max_by("concept_name", F.when(F.col("relationship_id") == r, F.struct(F.col(ordinal).isNotNull(), ordinal)))  # noqa: E731  an edge without an ordinal is before all others
+    return named.groupBy(F.col("concept_id_1").alias("omop_concept_id")).agg(*[last(r).alias(c) for r, c in names.items()])
 
 
 def population(df: DataFrame, columns: list[str]) -> DataFrame:

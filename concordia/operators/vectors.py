@@ -18,6 +18,8 @@ from . import routing
 
 #: Rows whose exact neighbours set an index's probes, and the share of these neighbours that the probes must reach.
 TUNING_ROWS, TUNED_RECALL = 256, 0.95
+#: Rows of a bucket of random pairs, about.
+GAP_BUCKET = 4096
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -199,14 +201,16 @@ def recall_at(neighbours: DataFrame, truth: DataFrame, key: str = "vec_id", ks:
 def cosine_gap(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """One row: how much nearer true pairs (vectors a, b; row_id) are than as many random ones, by mean cosine.
 
-    The random pairs join each a with the b of the next row by a hash of row_id: no row meets all others.
+    The random pairs join each a with the b of the next row of its bucket, by a hash of row_id: no row meets all
+    others. Buckets follow the number of rows, so none is large and none has one row alone; one pair has no random one.
     """
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, z: s + z)
     cosine = lambda x, y: dot(x, y) / F.sqrt(dot(x, x) * dot(y, y))
-    bucket = F.pmod(F.xxhash64("row_id"), F.lit(1 << 10))
-    following = Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit("next"), "row_id"), "row_id")
+    rows, name = pairs.count(), F.md5(F.col("row_id").cast("string"))
+    bucket = F.pmod(F.conv(F.substring(name, 1, 7), 16, 10).cast("long"), F.lit(max(1, rows // GAP_BUCKET)))
+    following = Window.partitionBy(bucket).orderBy(name)
     whole = following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    other = F.coalesce(F.lead(b).over(following), F.first(b).over(whole))
+    other = F.when(F.lit(rows > 1), F.coalesce(F.lead(b).over(following), F.first(b).over(whole)))
     both = pairs.withColumn("__other", other).select(cosine(a, b).alias("true"), cosine(a, "__other").alias("random"))
     means = both.agg(F.avg("true").alias("true_pairs"), F.avg("random").alias("random_pairs"))
     return means.withColumn("gap", F.col("true_pairs") - F.col("random_pairs"))

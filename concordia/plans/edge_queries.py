@@ -245,7 +245,16 @@ def alternates_order(spark, sf_dir):
 SELECT lower(trim(regexp_replace(regexp_replace(p_type, '[^A-Za-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))) AS name, count(DISTINCT p_brand) AS n_sources, count(DISTINCT p_partkey) AS n_ids FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1
 """)
 def normalized_match(spark, sf_dir):
-    return E.name_groups(read(spark, sf_dir, "part"), "p_partkey", "p_type", "p_brand").select("name", "n_sources", F.size("ids").cast("long").alias("n_ids"))
+    return E.name_groups(read(spark, sf_dir, "part"), "p_partkey", "p_type", "p_brand").select("name", "n_sources", "n_ids")
+
+
+@query("""
+WITH p AS (SELECT lower(trim(regexp_replace(regexp_replace(p_type, '[^A-Za-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))) AS name, p_partkey AS id, p_brand FROM part)
+SELECT name, id, representative, n_ids FROM (SELECT DISTINCT name, id FROM p) JOIN (SELECT name, min(id) AS representative, count(DISTINCT id) AS n_ids FROM p GROUP BY name HAVING count(DISTINCT p_brand) > 1) USING (name)
+""")
+def normalized_classes(spark, sf_dir):
+    """The members of names that several brands have."""
+    return E.name_classes(read(spark, sf_dir, "part"), "p_partkey", "p_type", "p_brand").select("name", "id", "representative", "n_ids")
 
 
 @query()

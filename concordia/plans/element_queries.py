@@ -61,6 +61,18 @@ def array_union(spark, sf_dir):
     return dedup.sets_by_key(o, ["o_custkey"], {"names": F.col("names")}).withColumn("names", F.array_join("names", ","))
 
 
+@query("""
+SELECT o_orderpriority, list, entry, count(*) AS n FROM (
+  SELECT o_orderpriority, 'clerk' AS list, o_orderstatus || o_custkey AS entry FROM orders UNION ALL SELECT o_orderpriority, 'key', o_custkey::VARCHAR FROM orders
+  UNION ALL SELECT o_orderpriority, 'key', (o_custkey + 1)::VARCHAR FROM orders) GROUP BY ALL
+""")
+def list_entries(spark, sf_dir):
+    """Entries of lists under five keys, a row each."""
+    k = F.col("o_custkey")
+    lists = {"clerk": F.array(F.concat("o_orderstatus", k.cast("string"))), "key": F.array(k.cast("string"), (k + 1).cast("string"), F.lit(None).cast("string"))}
+    return dedup.entries(read(spark, sf_dir, "orders"), ["o_orderpriority"], lists)
+
+
 @query("""
 SELECT c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_mktsegment AS segment, NULL::VARCHAR AS kind FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL, 'supplier' FROM supplier

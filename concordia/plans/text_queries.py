@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.numbers import date_after, tag_text, tolerant_long, top_coded_age
 from ..functions.priority import is_required, parse_priority
-from ..functions.sql_functions import register
+from ..functions.sql_functions import migrate, register
 from ..operators import reports, submissions, validation
+from ..session import shared_folder
 from ..sources import semistructured
 from .registry import query, read
 
@@ -243,6 +246,23 @@ def sql_functions(spark, sf_dir):
     return spark.sql("""SELECT doc_id, compose_search_text(lang, source, NULL, lang, array('a', 'b'), '{}') AS text, filled(CASE WHEN trim_ws(concat(' ', lang)) = 'en' THEN '  ' ELSE lang END) AS lang FROM concordia_documents""")
 
 
+@query("""
+SELECT p_partkey AS accession, p_name AS item, p_size AS old_column, 'single' AS cardinality, true AS is_active, 'auto-matched' AS curation_status, NULL::VARCHAR AS unit_of_measure FROM part
+UNION ALL SELECT p_partkey + 10000000, p_type, NULL, 'multiple', false, 'deprecated', 'kg' FROM part WHERE p_partkey % 3 = 0
+""")
+def table_migrated(spark, sf_dir):
+    """A table that was there before is given the element's columns; old rows have the defaults, later ones their own values."""
+    p, k = read(spark, sf_dir, "part"), F.col("p_partkey")
+    name = f"concordia_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/concordia/{name}"
+    p.select(k.cast("string").alias("accession"), F.col("p_name").alias("item"), F.col("p_size").alias("old_column")).write.option("path", path).saveAsTable(name)
+    migrate(spark, name)
+    later = p.filter(k % 3 == 0).select((k + 10000000).cast("string"), "p_type", F.lit("multiple"), F.lit(False), F.lit("deprecated"), F.lit("kg"))
+    later.createOrReplaceTempView(f"{name}_later")
+    spark.sql(f"INSERT INTO {name} (accession, item, cardinality, is_active, curation_status, unit_of_measure) SELECT * FROM {name}_later")
+    return spark.table(name).select(F.col("accession").cast("long").alias("accession"), "item", "old_column", "cardinality", "is_active", "curation_status", "unit_of_measure")
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang ELSE source || ' (' || lang || ')' END AS text FROM documents")
 def default_description(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", X.default_description(F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(" "), "source", "lang").alias("text"))

@@ -88,6 +88,19 @@ def self_recall(spark, sf_dir):
     return V.recall_at(V.exact_search(e, q, 10), q.select(F.col("vec_id").alias("query_id"), "vec_id"))
 
 
+@query("""
+WITH p AS (SELECT a.vec_id AS id, a.embedding::DOUBLE[] AS a, b.embedding::DOUBLE[] AS b FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1),
+h AS (SELECT *, md5(id::VARCHAR) AS h, ('0x' || md5(id::VARCHAR)[1:7])::BIGINT % (SELECT greatest(1, count(*) // 4096) FROM p) AS g FROM p),
+o AS (SELECT a, b, coalesce(lead(b) OVER w, first_value(b) OVER w) AS c FROM h WINDOW w AS (PARTITION BY g ORDER BY h))
+SELECT round(avg(list_cosine_similarity(a, b)), 6) AS true_pairs, round(avg(list_cosine_similarity(a, c)), 6) AS random_pairs FROM o
+""")
+def cosine_gap(spark, sf_dir):
+    """Mean cosine of neighbouring vectors, as pairs, and of as many random pairs."""
+    e = read(spark, sf_dir, "embeddings")
+    pairs = e.select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("a")).join(e.select((F.col("vec_id") - 1).alias("row_id"), F.col("embedding").alias("b")), "row_id")
+    return V.cosine_gap(pairs).select(F.round("true_pairs", 6).alias("true_pairs"), F.round("random_pairs", 6).alias("random_pairs"))
+
+
 @query()
 def ivf_topk(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings")
