@@ -1,7 +1,7 @@
 """Chat formatting by schema fingerprints, with DataFrame functions only.
 
-A record's nested field paths are written in one canonical form and hashed; the fingerprint selects a
-declarative mapping that says where the turns are. Typed tables have one fingerprint, that of their
+Those of a record's nested field paths that a mapping names are written in one canonical form and hashed; the
+fingerprint selects a declarative mapping that says where the turns are. Typed tables have one fingerprint, that of their
 schema; JSON records have one each, so that layouts may be mixed row by row. All layouts become the
 same turns (conv_id, turn, role, text), which one template writes out:
 
@@ -13,7 +13,7 @@ code point spans of the assistant's texts, escaped as they stand.
 
 Defined results: a null text or role is empty; a null conv_id is a conversation of its own, of all such
 turns; a null turn comes first; repeated turns are repeated; texts are whole; other columns of a typed
-table take no part, whatever their names, as its mapping reads fields by their paths; a record of an unknown
+table and other fields of a record take no part, whatever their names, as mappings read fields by their paths; a record of an unknown
 layout has a null layout and no turns; equal turn numbers are ordered by role, then text; a conversation
 that has no rows has no output, and an empty table gives no rows.
 A conversation is one output row: its turns are gathered in one place, as its digest needs them in order.
@@ -50,27 +50,14 @@ MAPPINGS = {
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
-def _nested(paths) -> dict:
-    tree: dict = {}
-    for path in paths:
-        at = tree
-        for part in path.split("."):
-            at = at.setdefault(part, {})
-    return tree
-
-
 def canonical(paths) -> str:
-    """The canonical form of field paths: names sorted, at every level."""
+    """The canonical form of field paths: sorted, joined by commas."""
+    return ",".join(sorted(paths))
 
-    def write(tree: dict) -> str:
-        fields = []
-        for name in sorted(tree):
-            inner = write(tree[name]) if tree[name] else ""
-            bare = name.removesuffix("[]")
-            fields.append(bare + (f": ARRAY<{inner}>" if name.endswith("[]") else f": {inner}" if inner else ""))
-        return f"OBJECT<{', '.join(fields)}>"
 
-    return write(_nested(paths))
+def _paths(mapping: dict) -> tuple[str, ...]:
+    """All paths that a mapping names."""
+    return (*mapping["fields"], *mapping.get("optional", ()))
 
 
 def _layouts() -> dict[str, str]:
@@ -93,9 +80,36 @@ def fingerprint(paths_form: Column) -> Column:
     return F.substring(F.sha2(paths_form, 256), 1, 16)
 
 
-def json_form(variant: Column) -> Column:
-    """The canonical form of a variant record: its schema without the types of its leaves."""
-    return F.regexp_replace(F.schema_of_variant(variant), r": (?!OBJECT<|ARRAY<OBJECT<)[A-Z_]+(\([0-9, ]+\)|<[A-Z_]+>)?", "")
+def json_paths(variant: Column) -> Column:
+    """The paths that any mapping names and a variant record has, sorted: leaves, or arrays of them.
+
+    An array's path is there if an element has it, or if the array is empty; a JSON null is there.
+    """
+    leaf = lambda x: ~F.contains(F.schema_of_variant(x), F.lit("OBJECT<"))
+
+    def there(path: str) -> Column:
+        array, _, inner = path.rpartition("[].")
+        if not array:
+            return leaf(F.try_variant_get(variant, f"$.{path}", "variant"))
+        items = F.try_variant_get(variant, f"$.{array}", "array<variant>")
+        return (F.size(items) == 0) | F.exists(items, lambda x: F.coalesce(leaf(F.try_variant_get(x, f"$.{inner}", "variant")), F.lit(False)))
+
+    return F.array_compact(F.array(*[F.when(there(p), F.lit(p)) for p in sorted({p for m in MAPPINGS.values() for p in _paths(m)})]))
+
+
+def json_layout(paths: Column) -> Column:
+    """The mapping that a record's fingerprint selects, as layout_of does for a table: of several, the one that names most paths, then the first."""
+    by_print = F.create_map(*[F.lit(x) for form, name in _layouts().items() for x in (print_of(form), name)])
+    fit = []
+    for k, (name, m) in enumerate(MAPPINGS.items()):
+        own = _among(paths, _paths(m))
+        selected = F.try_element_at(by_print, fingerprint(F.array_join(own, ",")))
+        fit.append(F.when(selected == name, F.struct(F.size(own).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name"))))
+    return F.array_max(F.array(*fit))["name"]
+
+
+def _among(paths: Column, named: tuple[str, ...]) -> Column:
+    return F.filter(paths, lambda p: p.isin(*named))
 
 
 def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -117,7 +131,7 @@ def layout_of(df: DataFrame) -> str | None:
     paths, best = schema_paths(df.schema), None
     by_print = {print_of(form): name for form, name in _layouts().items()}
     for name, m in MAPPINGS.items():
-        own = [p for p in paths if p in (*m["fields"], *m.get("optional", ()))]
+        own = [p for p in paths if p in _paths(m)]
         if own and by_print.get(print_of(canonical(own))) == name and (best is None or len(own) > best[0]):
             best = (len(own), name)
     return best and best[1]
@@ -159,12 +173,12 @@ def _fixed_turns(mapping: dict, get) -> Column:
 def json_turns(df: DataFrame, record: str = "record", conv_id: str = "conv_id") -> DataFrame:
     """Canonical turns of JSON records of any mix of layouts: (conv_id, layout, turn, role, text).
 
-    A record that can't be parsed or has an unknown layout gives one row with null layout and turn.
+    Fields that no mapping names take no part, in records and in their messages. A record that can't be parsed or
+    has an unknown layout gives one row with null layout and turn, one whose list of messages is empty its layout
+    and a null turn.
     """
-    layouts = _layouts()
-    by_print = F.create_map(*[F.lit(x) for form, name in layouts.items() for x in (print_of(form), name)])
     parsed = df.select(F.col(conv_id).alias("conv_id"), F.try_parse_json(F.col(record)).alias("v"))
-    named = parsed.withColumn("layout", F.try_element_at(by_print, fingerprint(json_form(F.col("v")))))
+    named = parsed.withColumn("paths", json_paths(F.col("v"))).withColumn("layout", json_layout(F.col("paths")))
     v, kind = F.col("v"), "array<struct<turn:bigint,role:string,text:string>>"
     text = lambda p: F.try_variant_get(v, f"$.{p}", "string")
     turns = F.lit(None).cast(kind)

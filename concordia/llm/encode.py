@@ -9,6 +9,7 @@ go through the library whole.
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from itertools import chain
@@ -104,13 +105,25 @@ class Table:
             values, hashes, at = values[~won], hashes[~won], (at[~won] + 1) & self.mask
 
 
+def splits_by_bytes(settings: dict) -> bool:
+    """Whether a tokenizer file splits as pieces() does and then merges each piece alone: byte-level BPE with the usual pattern."""
+    split, model = settings.get("pre_tokenizer") or {}, settings["model"]
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    other = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    return bool(usual and settings.get("normalizer") is None and model.get("type") == "BPE" and not any(model.get(o) for o in other))
+
+
 class Encoder:
-    """Ids of texts; one for each worker, as it remembers pieces."""
+    """Ids of texts; one for each worker, as it remembers pieces.
+
+    Files that split or merge in another way than the byte-level ones are read by the library alone.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.own_split = splits_by_bytes(json.loads(self.tokenizer.to_str()))
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
@@ -141,6 +154,8 @@ class Encoder:
         n, data = len(offs) - 1, raw.tobytes()
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        if not self.own_split:
+            return self._whole([data[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1], offs[1:], strict=True)])
         heads = np.flatnonzero((raw & 0xC0) != 0x80)
         codes = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         if len(codes) != len(heads):

@@ -39,6 +39,8 @@ MAGIC = b"RPSH0002"
 SHARD_IDS, LEAST_USES, SHARE, PART_BYTES = 1 << 20, 8, 64, 24 << 20
 #: Bits of the hash by which pairs that can't have enough uses are set aside before counting; parts in a group of prefix sums.
 SIEVE_BITS, GROUP_BITS = 19, 11
+#: Range partitions at most.
+MOST_PARTS = 1 << 13
 #: Of this many documents one is read by itself.
 ALONE = 64
 NO_ID = -(1 << 63)
@@ -288,10 +290,16 @@ def write(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: i
             yield made()
 
     # The hash keeps texts of one id, or of none, apart.
-    ordered = own.repartitionByRange(max(1, -(-size // PART_BYTES)), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
+    ordered = own.repartitionByRange(parts_of(size), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
     ordered.mapInArrow(tidied(build), "part int, shard int, n_docs long, n_tokens long, body binary").write.option("compression", "zstd").parquet(path)
 
 
+def parts_of(size: int) -> int:
+    """Range partitions for texts of size bytes: PART_BYTES each, and MOST_PARTS at most, as a shuffle's bookkeeping follows
+    their number. A part is written in shards of SHARD_IDS ids as it is read, so a larger part takes time, not memory."""
+    return min(MOST_PARTS, max(1, -(-size // PART_BYTES)))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files at path."""
     shards = spark.read.schema("part int, shard int, n_docs long, n_tokens long, body binary").parquet(path)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from concordia.llm import ann, chat, decontaminate, mixing, pii, quality, queries, repair, simhash, substring, toxicity
@@ -224,6 +225,45 @@ def test_chat_layouts(spark):
     assert all(got[k] == [(None, None, None, None)] for k in (8, 10, 11, 12, 13, 14))
 
 
+def test_chat_other_fields(spark):
+    """Fields that no mapping names don't matter; of several layouts the one that names most counts; an empty list has no turns."""
+    records = [
+        {"id": 7, "meta": {"a": [1, {"b": None}]}, "messages": [{"role": "user", "content": "q", "name": "x"}, {"content": "a", "role": "assistant", "weight": 1, "tool": {"n": 1}}]},
+        {"prompt": "q", "response": "a", "conv_id": 99, "layout": "x", "v": 1, "paths": ["y"]}, {"prompt": "q", "response": "a", "system": "s", "question": "?", "answer": "!"},
+        {"messages": []}, {"messages": [], "source": "x"}, {"messages": ["q"]}, {"messages": "q"}, {"prompt": {"text": "q"}, "response": "a"}, {"messages": [{"role": "user"}]},
+        {"conv_id": 5, "turn": 2, "role": "user", "text": "t", "extra": True}, {"prompt": "q", "response": "a", "completion": "c"},
+    ]
+    df = spark.createDataFrame(list(enumerate(map(json.dumps, records))), "conv_id long, record string").withColumn("layout", F.lit("mine")).withColumn("v", F.lit(0))
+    got = {}
+    for r in sorted(rows(chat.json_turns(df)), key=lambda r: (r["conv_id"], r["turn"] or 0)):
+        got.setdefault(r["conv_id"], []).append((r["layout"], r["turn"], r["role"], r["text"]))
+    assert got[0] == [("messages", 0, "user", "q"), ("messages", 1, "assistant", "a")]
+    assert [g[2:] for g in got[1]] == [("user", "q"), ("assistant", "a")] and got[1][0][0] == got[10][0][0] == "prompt_response"
+    assert [g[2:] for g in got[2]] == [("system", "s"), ("user", "q"), ("assistant", "a")]
+    assert got[3] == got[4] == [("messages", None, None, None)]
+    assert got[6] == got[7] == got[8] == [(None, None, None, None)]
+    assert got[5] == [("turn_rows", 2, "user", "t"), (None, None, None, None)] or got[5] == [(None, None, None, None), ("turn_rows", 2, "user", "t")]
+
+
+def test_other_tokenizers(spark):
+    """A file that splits in another way than by bytes is read by the library alone; both ways give the library's ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from concordia.llm import encode
+
+    texts = ["", "Hello  world, it's 12 o'clock\n\n  end ", "naïve Straße 漢字 😀 <|endoftext|> x", LONG[:5000]]
+    raw = [t.encode() for t in texts]
+    offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    for name, own in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        e = encode.Encoder(path)
+        assert e.own_split == own
+        ids, bounds = e.encode(np.frombuffer(b"".join(raw), np.uint8), offs)
+        library = Tokenizer.from_file(path)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_ann(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [None, 1.0]), (120, [inf, 0.0]), (3, [0.5, 0.5]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (None, [1.0, 1.0]), (140, [1.0]), (5, [3.0, -4.0])]
@@ -520,3 +560,8 @@ def test_items_that_begin_alike():
         took.append(time.perf_counter() - start)
     assert [f[:2] for f in found] == [(7, 2)]
     assert took[1] < 10 * took[0] + 0.05
+
+
+def test_number_of_parts():
+    """Parts follow the texts' size up to a bound that Spark's bookkeeping can bear."""
+    assert [repair.parts_of(n) for n in (0, 1, repair.PART_BYTES, repair.PART_BYTES + 1, 10**14)] == [1, 1, 1, 2, repair.MOST_PARTS]
