@@ -14,6 +14,9 @@ to the smallest one; that takes 65 rows a fingerprint and loses no link.
 Links are made between fingerprints, not ids, so rows without a doc_id and rows that share one link like
 any other: a component's id is the smallest doc_id that any row of it has, null only if none has one.
 
+All tables here have rows for fingerprints or documents, so their joins are merges: a broadcast, which Spark
+chooses by the size of compressed files, would bring a whole one through the driver.
+
 Defined results: a text without words, an empty or a null text has fingerprint zero and links like any
 other; fewer words than a shingle are one shingle of all of them; a bit that exactly half of the hashes
 have is 0; repeated rows are separate rows of one component; an empty table gives no rows; a text is never
@@ -30,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import by_merge
 from .common import let_go, row_key, staged, text_chunks, tidied
 from .graph import components
 
@@ -131,16 +135,16 @@ def links(nodes: DataFrame, *, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     crowded = staged(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded", rows=2 * nodes.count() // crowd)
     # One lookup finds both: entries of sparse buckets, and marks of crowded ones (with no fingerprint).
     mark = crowded.select("key", F.lit(None).cast("long").alias("fp"))
-    targets = table.join(crowded, "key", "left_anti").select("key", "fp").union(mark)
+    targets = table.join(by_merge(crowded), "key", "left_anti").select("key", "fp").union(mark)
     near = (F.col("p_fp") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("p_fp"))) <= bits)
-    hits = staged(probes.join(targets, "key").filter(F.col("fp").isNull() | near).select("p_fp", "fp"), "hits")
+    hits = staged(probes.join(by_merge(targets), "key").filter(F.col("fp").isNull() | near).select("p_fp", "fp"), "hits")
     found = hits.filter("fp is not null").select(F.col("p_fp").alias("a"), F.col("fp").alias("b"))
     if crowded.isEmpty():
         return found
     rest = hits.filter("fp is null").select(F.col("p_fp").alias("fp")).distinct()
     points = rest.select("fp", F.explode(F.transform(F.array(*map(F.lit, _BALL_64)), lambda m: fp.bitwiseXOR(m))).alias("point"))
     heads = points.groupBy("point").agg(F.min("fp").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("point", "head")
-    star = points.join(heads, "point").filter((F.col("head") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= bits))
+    star = points.join(by_merge(heads), "point").filter((F.col("head") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= bits))
     return found.union(star.select(F.col("fp").alias("a"), F.col("head").alias("b")))
 
 
@@ -153,12 +157,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, crowd: int = CROWD, key:
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes", rows=prints.count())
     groups = components(links(nodes.select("fp"), crowd=crowd)).select(F.col("node").alias("fp"), "component")
     let_go(docs.sparkSession)  # of the probes
-    named = staged(nodes.join(groups, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups", rows=nodes.count())
+    named = staged(nodes.join(by_merge(groups), "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"), "groups", rows=nodes.count())
     # Most groups are one fingerprint: only those of several meet to find their smallest id.
     several = named.filter("group <> fp").select("group").distinct()
-    least = named.join(several, "group", "left_semi").groupBy("group").agg(F.min("least").alias("lowest"))
-    of_print = named.join(least, "group", "left").select("fp", "group", F.coalesce("lowest", "least").alias("component_id"))
-    out = prints.join(of_print, "fp")
+    least = named.join(by_merge(several), "group", "left_semi").groupBy("group").agg(F.min("least").alias("lowest"))
+    of_print = named.join(by_merge(least), "group", "left").select("fp", "group", F.coalesce("lowest", "least").alias("component_id"))
+    out = prints.join(by_merge(of_print), "fp")
     return out.select("doc_id", "fp", "component_id") if key is None else out.select("doc_id", "fp", "component_id", "group", "key")
 
 
@@ -169,7 +173,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
     stay = first.select(F.col("first.key").alias("__row"))
     # Rows that share a key are equal in every column; one of them stays.
-    return keyed.join(stay, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    return keyed.join(by_merge(stay), "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def fingerprint_hex(fp) -> F.Column:

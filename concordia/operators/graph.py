@@ -4,7 +4,8 @@ Labels are parents in a forest. A round looks at every edge once: a node's paren
 grandparent among its neighbours and itself, and so does the parent of the node that was its parent
 before, which hooks one tree to another at its root. So trees grow by other trees, not by nodes, and
 paths halve: a chain of n nodes, in any order, takes about log2(n) + 2 rounds. Parents only ever get
-smaller, so rounds end; they go on until none changes, however many that takes.
+smaller, so rounds end; they go on until none changes, however many that takes. Labels and edges meet by
+merges, so neither passes the driver, as a broadcast would.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import by_merge, checkpointed
 
 
 def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
@@ -28,12 +29,12 @@ def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = checkp
     labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
     while True:
         parents = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        grand = labels.join(parents, "component").select("node", "component", "up")
-        near = both.join(grand.select(F.col("node").alias("b"), "up"), "b").groupBy(F.col("a").alias("node")).agg(F.min("up").alias("near"))
-        lower = keep(grand.join(near, "node").select("node", "component", F.least("up", "near").alias("low")))
+        grand = labels.join(by_merge(parents), "component").select("node", "component", "up")
+        near = both.join(by_merge(grand.select(F.col("node").alias("b"), "up")), "b").groupBy(F.col("a").alias("node")).agg(F.min("up").alias("near"))
+        lower = keep(grand.join(by_merge(near), "node").select("node", "component", F.least("up", "near").alias("low")))
         # The same for the root of the tree that a node was in; summed up first, whatever the size of the tree.
         hooks = lower.groupBy(F.col("component").alias("node")).agg(F.min("low").alias("hook"))
-        after = lower.join(hooks, "node", "left").select("node", F.col("component").alias("old"), F.least("low", F.coalesce("hook", "low")).alias("component"))
+        after = lower.join(by_merge(hooks), "node", "left").select("node", F.col("component").alias("old"), F.least("low", F.coalesce("hook", "low")).alias("component"))
         after = keep(after)
         labels = after.select("node", "component")
         if after.filter("component <> old").isEmpty():

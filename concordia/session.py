@@ -48,3 +48,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/concordia/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def by_merge(df: DataFrame) -> DataFrame:
+    """df, to be joined by a merge, whatever its files' size: a table that grows with the input isn't broadcast through the driver."""
+    return df.hint("merge")
