@@ -1,9 +1,10 @@
 """What grows with the input stays out of the driver and out of single tasks."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from concordia.llm import simhash
-from concordia.operators import graph
+from concordia.operators import graph, routing
 
 
 def plan_of(df):
@@ -35,3 +36,22 @@ def test_no_broadcast_of_labels(spark):
     got = {r["node"]: r["component"] for r in graph.components(edges, watched).collect()}
     assert got == {k: k // 100 * 100 for k in range(300)}
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_near_pairs_moved_by_blocks(spark, monkeypatch):
+    """Blocks of a few rows, cells larger than a block: all pairs, each once; vectors meet in one step that isn't run twice."""
+    monkeypatch.setattr(routing, "LEAST_SIDE", 8)
+    monkeypatch.setattr(routing, "NEAR_BYTES", 8 * 8 * 6, raising=False)
+    rng = np.random.default_rng(5)
+    v = np.concatenate([np.ones(6) + rng.normal(size=(60, 6)) * 0.2, rng.normal(size=(60, 6))])
+    table = spark.createDataFrame([(k, x.tolist(), k % 3) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    m = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for least in (0.2, 0.9):
+        want = {(a, b) for a, b in zip(*np.nonzero(np.triu(m @ m.T >= least, 1)), strict=True)}
+        got = [(r["a"], r["b"]) for r in routing.near_pairs(routing.classes(table), least, pivots=5).collect()]
+        assert len(got) == len(want) and set(got) == want
+    plans, plain = [], getattr(routing, "written", None)
+    monkeypatch.setattr(routing, "written", lambda df, name: plans.append(plan_of(df)) or plain(df, name), raising=False)
+    last = plan_of(routing.link_counts(table, 0.9))
+    plans = "".join([last, *plans])
+    assert plans.count("CoGroups") == 0 and plans.count("FlatMapGroupsInArrow") == 1
