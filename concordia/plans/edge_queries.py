@@ -185,18 +185,17 @@ SELECT target_code, id, min(id) OVER (PARTITION BY target_code) AS representativ
 """)
 def coreference_classes(spark, sf_dir):
     """Parts that refer to the same supplier, as classes: a pair is two members of one."""
-    return _coreference(spark, sf_dir).select("target_code", _number("id"), _number("representative"), "links")
+    return E.coreference_classes(_references(spark, sf_dir)).select("target_code", _number("id"), _number("representative"), "links")
 
 
 def _number(c):
     return F.substring_index(c, ":", -1).cast("long").alias(c)
 
 
-def _coreference(spark, sf_dir):
+def _references(spark, sf_dir):
     width = 12  # ids of one width, so that their order as texts is their order as numbers
     l = read(spark, sf_dir, "lineitem")
-    edges = l.select(F.lit("P").alias("src_authority"), F.lpad(F.col("l_partkey").cast("string"), width, "0").alias("src_code"), F.lit("S").alias("target_vocab"), F.col("l_suppkey").alias("target_code"))
-    return E.coreference_classes(edges)
+    return l.select(F.lit("P").alias("src_authority"), F.lpad(F.col("l_partkey").cast("string"), width, "0").alias("src_code"), F.lit("S").alias("target_vocab"), F.col("l_suppkey").alias("target_code"))
 
 
 @query("""
@@ -205,7 +204,7 @@ SELECT DISTINCT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b FROM e a
 """)
 def coreference_search(spark, sf_dir):
     """All pairs of the parts that are asked for: those whose key is divisible by 20."""
-    members = _coreference(spark, sf_dir).select("target_vocab", "target_code", _number("id"))
+    members = E.coreferences(_references(spark, sf_dir)).select("target_vocab", "target_code", _number("id"))
     asked = read(spark, sf_dir, "part").filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("id"))
     return E.pairs_of(members, ["target_vocab", "target_code"], asked)
 

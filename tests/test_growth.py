@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from concordia.llm import simhash
-from concordia.operators import graph, routing
+from concordia.operators import edges, graph, routing
 
 
 def plan_of(df):
@@ -55,3 +55,19 @@ def test_near_pairs_moved_by_blocks(spark, monkeypatch):
     last = plan_of(routing.link_counts(table, 0.9))
     plans = "".join([last, *plans])
     assert plans.count("CoGroups") == 0 and plans.count("FlatMapGroupsInArrow") == 1
+
+
+def test_pairs_of_classes_are_not_rows(spark, monkeypatch):
+    """Ids of several cuts, negative ones and repeats: each pair once, and no shuffle of pairs."""
+    monkeypatch.setattr(edges, "LIST_BITS", 4, raising=False)
+    rng = np.random.default_rng(2)
+    rows = [(int(k), int(i)) for k, i in zip(rng.integers(0, 12, 500), rng.integers(-50, 90, 500) * 3, strict=True)]
+    by = {}
+    for k, i in rows:
+        by.setdefault(k, set()).add(i)
+    want = {(min(a, b), max(a, b)) for own in by.values() for a in own if a % 4 == 0 for b in own if a != b}
+    asked = spark.createDataFrame([(i,) for i in range(-200, 300, 4)] * 2, "id long")
+    found = edges.pairs_of(spark.createDataFrame(rows + [(1, None)], "k long, id long"), ["k"], asked)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert "Aggregate" not in plan_of(found).split("MapInArrow")[0]
