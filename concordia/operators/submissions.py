@@ -19,16 +19,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.priority import CONTEXT, CONTEXT_RULES, FIELD_FLAGS, FIELD_PRESENT, FIELD_VALUE, REQUIRED, parse_priority
+from ..session import by_merge
 from .validation import ERROR, WARNING
 
 #: Ways that a signal's rows are dealt.
 SALTS = 16
+#: Rows of the tables for each task that joins or counts them, about: memory of a task doesn't grow with the input.
+TASK_ROWS = 1 << 18
 ALWAYS = "always"
 ANCESTRY = "AncestryGenetic"
 BASELINE, TIMES = "VisitBaselineDate", ("VisitDate", "VisitNumber", "YearsFromEnrollment")
 FOUND = ("submission_id", "severity", "code", "message", "item", "field")
 
 
+def _tasks(submissions: DataFrame, fields: DataFrame) -> int:
+    return max(SALTS, -(-(submissions.count() + fields.count()) // TASK_ROWS))
+
+
 def _signal(kind: str, *parts: Column) -> Column:
     return F.concat_ws(chr(31), F.lit(kind), *parts)
 
@@ -58,57 +65,62 @@ def rule_signals(rule: Column) -> Column:
     return F.filter(F.coalesce(fired, F.array().cast("array<string>")), lambda s: s.isNotNull())
 
 
-def _flags(submissions: DataFrame) -> DataFrame:
+def _flags(submissions: DataFrame, tasks: int) -> DataFrame:
     """(submission_id, flag): the flags that are set."""
-    return submissions.select("submission_id", F.explode("flags").alias("flag", "on")).filter("on").select("submission_id", "flag").distinct()
+    on = submissions.select("submission_id", F.explode("flags").alias("flag", "on")).filter("on").select("submission_id", "flag")
+    return on.repartition(tasks, "submission_id").distinct()
 
 
-def _own(fields: DataFrame, submissions: DataFrame) -> DataFrame:
-    named = fields.filter(F.col("item").isNotNull()).select("submission_id", "item", "value")
-    return named.join(submissions.select("submission_id").distinct(), "submission_id", "left_semi")
+def _own(fields: DataFrame, submissions: DataFrame, tasks: int) -> DataFrame:
+    named = fields.filter(F.col("item").isNotNull()).select("submission_id", "item", "value").repartition(tasks, "submission_id")
+    return named.join(by_merge(submissions.select("submission_id").repartition(tasks, "submission_id")), "submission_id", "left_semi")
 
 
-def signals(submissions: DataFrame, fields: DataFrame) -> DataFrame:
-    """(submission_id, signal) of all submissions."""
-    ids = submissions.select("submission_id").filter("submission_id is not null").distinct()
+def signals(submissions: DataFrame, fields: DataFrame, tasks: int) -> DataFrame:
+    """(submission_id, signal) of all submissions; repeats stay."""
+    ids = submissions.select("submission_id").filter("submission_id is not null")
     by_field = F.array(
         _signal("field", F.col("item")), F.when(F.col("value").isNotNull(), _signal("value", F.col("item"), F.lower("value"))),
         F.when(F.startswith("item", F.lit(ANCESTRY)), _signal("begins", F.lit(ANCESTRY))),
     )
-    given = _own(fields, submissions).select("submission_id", F.explode(F.array_compact(by_field)).alias("signal")).distinct()
-    flags = _flags(submissions).filter("submission_id is not null").select("submission_id", _signal("flag", F.col("flag")).alias("signal"))
+    given = _own(fields, submissions, tasks).select("submission_id", F.explode(F.array_compact(by_field)).alias("signal"))
+    flags = _flags(submissions, tasks).filter("submission_id is not null").select("submission_id", _signal("flag", F.col("flag")).alias("signal"))
     return ids.select("submission_id", F.lit(ALWAYS).alias("signal")).union(flags).union(given)
 
 
-def missing_anchors(anchors: DataFrame, submissions: DataFrame, fields: DataFrame) -> DataFrame:
+def missing_anchors(anchors: DataFrame, submissions: DataFrame, fields: DataFrame, tasks: int | None = None) -> DataFrame:
     """Anchors that rules ask of a submission and that it lacks."""
+    tasks = tasks or _tasks(submissions, fields)
     rule = parse_priority("priority")
     rules = anchors.filter(F.col("item").isNotNull()).select("item", rule.alias("rule")).select("item", "rule.kind", "rule.raw", F.explode(rule_signals(F.col("rule"))).alias("signal"))
     dealt = rules.distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    asking = signals(submissions, fields).withColumn("salt", F.pmod(F.xxhash64("submission_id"), F.lit(SALTS)).cast("int"))
-    fired = asking.join(dealt, ["signal", "salt"]).select("submission_id", "item", "kind", "raw").distinct()
-    lacking = fired.join(_own(fields, submissions).select("submission_id", "item").distinct(), ["submission_id", "item"], "left_anti")
+    asking = signals(submissions, fields, tasks).withColumn("salt", F.pmod(F.xxhash64("submission_id"), F.lit(SALTS)).cast("int"))
+    fired = asking.join(dealt, ["signal", "salt"]).select("submission_id", "item", "kind", "raw").repartition(tasks, "submission_id", "item").distinct()
+    held = _own(fields, submissions, tasks).select("submission_id", "item").repartition(tasks, "submission_id", "item")
+    lacking = fired.join(by_merge(held), ["submission_id", "item"], "left_anti")
     message = F.concat(F.lit("required by the rule "), F.col("kind"), F.lit(": "), F.col("raw"))
     return _found(lacking, ERROR, "ANCHOR_MISSING", message, F.lit(None).cast("string"))
 
 
-def missing_companions(anchors: DataFrame, submissions: DataFrame, fields: DataFrame) -> DataFrame:
+def missing_companions(anchors: DataFrame, submissions: DataFrame, fields: DataFrame, tasks: int | None = None) -> DataFrame:
     """Companions that a submission's own anchors name in their metadata and that it lacks."""
+    tasks = tasks or _tasks(submissions, fields)
     listed = F.from_json(F.get_json_object("metadata_", "$.companion_fields"), "array<string>")
     named = anchors.select("item", F.explode(listed).alias("field")).filter("item is not null and field is not null").distinct()
     dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = _own(fields, submissions).select("submission_id", "item").distinct()
+    own = _own(fields, submissions, tasks).select("submission_id", "item").repartition(tasks, "submission_id", "item").distinct()
     salted = own.withColumn("salt", F.pmod(F.xxhash64("submission_id"), F.lit(SALTS)).cast("int"))
-    asked = salted.join(dealt, ["item", "salt"]).select("submission_id", "item", "field")
-    lacking = asked.join(own.withColumnRenamed("item", "field"), ["submission_id", "field"], "left_anti")
+    asked = salted.join(dealt, ["item", "salt"]).select("submission_id", "item", "field").repartition(tasks, "submission_id", "field")
+    lacking = asked.join(by_merge(own.withColumnRenamed("item", "field")), ["submission_id", "field"], "left_anti")
     return _found(lacking, WARNING, "MISSING_COMPANION_FIELD", F.lit("its companion isn't there"), F.col("field"))
 
 
-def time_findings(submissions: DataFrame, fields: DataFrame) -> DataFrame:
+def time_findings(submissions: DataFrame, fields: DataFrame, tasks: int | None = None) -> DataFrame:
     """Longitudinal submissions without a baseline, or with one and no times."""
-    asked = _flags(submissions).filter("flag = 'is_longitudinal' AND submission_id IS NOT NULL").select("submission_id")
-    has = fields.filter(F.col("item").isin(BASELINE, *TIMES)).groupBy("submission_id").agg(F.max(F.col("item") == BASELINE).alias("baseline"), F.max(F.col("item") != BASELINE).alias("times"))
-    seen = asked.join(has, "submission_id", "left").withColumn("item", F.lit(None).cast("string"))
+    tasks = tasks or _tasks(submissions, fields)
+    asked = _flags(submissions, tasks).filter("flag = 'is_longitudinal' AND submission_id IS NOT NULL").select("submission_id")
+    has = fields.filter(F.col("item").isin(BASELINE, *TIMES)).repartition(tasks, "submission_id").groupBy("submission_id").agg(F.max(F.col("item") == BASELINE).alias("baseline"), F.max(F.col("item") != BASELINE).alias("times"))
+    seen = asked.join(by_merge(has), "submission_id", "left").withColumn("item", F.lit(None).cast("string"))
     none = seen.filter(~F.coalesce("baseline", F.lit(False)))
     bare = seen.filter(F.col("baseline") & ~F.coalesce("times", F.lit(False)))
     first = _found(none, ERROR, "NO_TIME_BASELINE", F.lit("times can't be converted without a baseline"), F.lit(BASELINE))
@@ -121,4 +133,6 @@ def _found(df: DataFrame, severity: str, code: str, message: Column, field: Colu
 
 def findings(anchors: DataFrame, submissions: DataFrame, fields: DataFrame) -> DataFrame:
     """All findings of all submissions: FOUND."""
-    return missing_anchors(anchors, submissions, fields).union(missing_companions(anchors, submissions, fields)).union(time_findings(submissions, fields))
+    tasks = _tasks(submissions, fields)
+    found = missing_anchors(anchors, submissions, fields, tasks).union(missing_companions(anchors, submissions, fields, tasks))
+    return found.union(time_findings(submissions, fields, tasks))
